@@ -6,12 +6,10 @@ level and binary values as base64, which is the stored form.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import hex_or_null, nanos_to_timestamp, null_if_empty, timestamp_text, zero_if_null
+from spanloom.functions.scalars import TIMESTAMP_TEXT, hex_or_null_text
 
 # Lists and maps nested deeper than this are not searched for NaN and infinities.
 NESTING_CHECKED = 8
@@ -20,10 +18,6 @@ NESTING_CHECKED = 8
 ESCAPED = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", " ": "\\u2028", " ": "\\u2029"}
 
 
-def _json_null() -> Column:
-    return F.parse_json(F.lit("null"))
-
-
 def with_escapes(json: Column) -> Column:
     """Escape HTML characters and line separators, and spell control characters with lower-case hex digits."""
     for char, escape in ESCAPED.items():
@@ -37,122 +31,110 @@ def with_escapes(json: Column) -> Column:
     return F.when(F.contains(json, F.lit("\\u00")), lowered).otherwise(json)
 
 
-def plain_double(value: Column) -> Column:
-    """A DOUBLE as an exact decimal in a VARIANT, so that it prints without exponent and without a bare '.0'.
+def plain_double_text(value: str) -> str:
+    """SQL text of a DOUBLE as an exact decimal in a VARIANT, so that it prints without exponent or a bare '.0'.
 
     Covers zero and magnitudes in [1e-6, 1e21); others keep their exponent form.
     """
-    size = F.abs(value)
-    return (
-        F.when(size >= F.lit(1e21), value.cast("variant"))
-        .when(size >= F.lit(1e15), value.cast("decimal(38,0)").cast("variant"))
-        .when((size >= F.lit(1e-6)) | (size == F.lit(0.0)), value.cast("decimal(38,22)").cast("variant"))
-        .otherwise(value.cast("variant"))
-    )
-
-
-def _is_type(value: Column, name: str) -> Column:
-    return F.schema_of_variant(value) == name
+    return f"""CASE WHEN abs({value}) >= 1e21D THEN CAST({value} AS VARIANT)
+      WHEN abs({value}) >= 1e15D THEN CAST(CAST({value} AS DECIMAL(38, 0)) AS VARIANT)
+      WHEN abs({value}) >= 1e-6D OR {value} = 0D THEN CAST(CAST({value} AS DECIMAL(38, 22)) AS VARIANT)
+      ELSE CAST({value} AS VARIANT) END"""
 
 
-def plain_value(value: Column) -> Column:
-    """An attribute value ready for printing: missing becomes JSON null, a double prints plainly."""
-    return F.when(
-        _is_type(value, "DOUBLE"), plain_double(F.try_variant_get(value, "$", "double"))
-    ).otherwise(F.coalesce(value, _json_null()))
+def plain_value(value: str) -> str:
+    """SQL text of an attribute value ready for printing: missing becomes JSON null, a double prints plainly."""
+    number = plain_double_text(f"try_variant_get({value}, '$', 'double')")
+    return f"CASE WHEN schema_of_variant({value}) = 'DOUBLE' THEN {number} ELSE coalesce({value}, parse_json('null')) END"
 
 
-def attributes_object(attributes: Column) -> Column:
-    """Attribute pairs as one VARIANT object. The last of several equal keys wins."""
-    pairs = F.transform(attributes, lambda a: F.struct(a["key"].alias("key"), plain_value(a["value"]).alias("value")))
-    return F.to_variant_object(F.map_from_entries(pairs))
+def _object(attributes: str) -> str:
+    """SQL text: attribute pairs as one VARIANT object. The last of several equal keys wins."""
+    pairs = f"transform({attributes}, a -> named_struct('key', a.key, 'value', {plain_value('a.value')}))"
+    return f"to_variant_object(map_from_entries({pairs}))"
 
 
-def attributes_json(attributes: Column) -> Column:
-    return F.when(F.size(attributes) > 0, with_escapes(F.to_json(attributes_object(attributes)))).otherwise(F.lit("{}"))
+def _object_or_null(attributes: str) -> str:
+    return f"CASE WHEN size({attributes}) > 0 THEN {_object(attributes)} END"
 
 
-def _attributes_or_null(attributes: Column) -> Column:
-    return F.when(F.size(attributes) > 0, attributes_object(attributes))
+def attributes_json(attributes: str) -> Column:
+    """A column of attribute pairs as a JSON object."""
+    json = with_escapes(F.expr(f"to_json({_object(attributes)})"))
+    return F.when(F.size(attributes) > 0, json).otherwise(F.lit("{}"))
 
 
-def _array_json(items: Column, item: Callable[[Column], Column]) -> Column:
-    return F.when(F.size(items) > 0, with_escapes(F.to_json(F.transform(items, item)))).otherwise(F.lit("[]"))
-
-
-def events_json(events: Column) -> Column:
-    """to_json leaves out NULL fields, so optional fields are set to NULL when empty."""
-
-    def item(e: Column) -> Column:
-        return F.struct(
-            timestamp_text(nanos_to_timestamp(e["time_unix_nano"])).alias("timestamp"),
-            F.coalesce(e["name"], F.lit("")).alias("name"),
-            _attributes_or_null(e["attributes"]).alias("attributes"),
-            F.nullif(zero_if_null(e["dropped_attributes_count"]), F.lit(0)).alias("dropped_attributes"),
-        )
-
-    return _array_json(events, item)
+def _array_json(items: str, item: str) -> Column:
+    """to_json leaves out NULL fields, so an item's optional fields are NULL when empty."""
+    json = with_escapes(F.expr(f"to_json(transform({items}, i -> {item}))"))
+    return F.when(F.size(items) > 0, json).otherwise(F.lit("[]"))
 
 
-def links_json(links: Column) -> Column:
-    def item(link: Column) -> Column:
-        return F.struct(
-            F.coalesce(hex_or_null(link["trace_id"]), F.lit("")).alias("trace_id"),
-            F.coalesce(hex_or_null(link["span_id"]), F.lit("")).alias("span_id"),
-            null_if_empty(link["trace_state"]).alias("trace_state"),
-            _attributes_or_null(link["attributes"]).alias("attributes"),
-            F.nullif(zero_if_null(link["dropped_attributes_count"]), F.lit(0)).alias("dropped_attributes"),
-            F.nullif(zero_if_null(link["flags"]), F.lit(0)).alias("flags"),
-        )
-
-    return _array_json(links, item)
-
+def events_json(events: str) -> Column:
+    """A column of span events as a JSON array."""
+    return _array_json(
+        events,
+        f"""named_struct(
+          'timestamp', date_format(timestamp_micros(coalesce(i.time_unix_nano, 0L) div 1000L), '{TIMESTAMP_TEXT}'),
+          'name', coalesce(i.name, ''),
+          'attributes', {_object_or_null('i.attributes')},
+          'dropped_attributes', nullif(i.dropped_attributes_count, 0L))""",
+    )
 
-def _not_finite(value: Column) -> Column:
-    return F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
 
+def links_json(links: str) -> Column:
+    """A column of span links as a JSON array."""
+    return _array_json(
+        links,
+        f"""named_struct(
+          'trace_id', coalesce({hex_or_null_text('i.trace_id')}, ''),
+          'span_id', coalesce({hex_or_null_text('i.span_id')}, ''),
+          'trace_state', nullif(i.trace_state, ''),
+          'attributes', {_object_or_null('i.attributes')},
+          'dropped_attributes', nullif(i.dropped_attributes_count, 0L),
+          'flags', nullif(i.flags, 0L))""",
+    )
 
-def holds_not_finite(value: Column, depth: int = NESTING_CHECKED) -> Column:
-    """Whether a NaN or infinity, which JSON lacks, sits anywhere in a VARIANT.
 
-    The schema text tells most values apart: a list or map is searched only if it has doubles or mixed items.
-    """
-    kind = F.schema_of_variant(value)
-    number = F.try_variant_get(value, "$", "double")
-    found = F.when(kind == "DOUBLE", _not_finite(number))
+def _not_finite_text(value: str, depth: int) -> str:
+    """SQL text of the search; written as text because of its depth."""
+    number = f"try_variant_get({value}, '$', 'double')"
+    cases = f"WHEN schema_of_variant({value}) = 'DOUBLE' THEN isnan({number}) OR abs({number}) = double('Infinity')"
     if depth > 0:
-        children = F.coalesce(
-            F.try_variant_get(value, "$", "array<variant>"),
-            F.map_values(F.try_variant_get(value, "$", "map<string,variant>")),
-        )
-        found = found.when(
-            F.rlike(kind, F.lit("^(ARRAY|OBJECT)<.*(DOUBLE|VARIANT)")),
-            F.exists(children, lambda c: holds_not_finite(c, depth - 1)),
-        )
-    return F.coalesce(found, F.lit(False))
-
-
-def attributes_encodable(attributes: Column) -> Column:
-    """False if some attribute cannot be written as JSON."""
-    return ~F.coalesce(F.exists(attributes, lambda a: holds_not_finite(a["value"])), F.lit(False))
-
-
-def body_text(body: Column) -> Column:
-    """A body as text: strings as they are, binary as base64, other scalars printed, lists and maps as JSON."""
-    number = F.try_variant_get(body, "$", "double")
-    return (
-        F.when(body.isNull() | _is_type(body, "VOID"), F.lit(""))
-        .when(_is_type(body, "STRING"), F.try_variant_get(body, "$", "string"))
-        .when(_is_type(body, "BINARY"), F.base64(F.try_variant_get(body, "$", "binary")))
-        .when(
-            _is_type(body, "DOUBLE") & _not_finite(number),
-            # The text a number that JSON lacks turns into.
-            F.concat(
-                F.lit("json: unsupported value: "),
-                F.when(F.isnan(number), F.lit("NaN")).when(number > 0, F.lit("+Inf")).otherwise(F.lit("-Inf")),
-            ),
-        )
-        .when(_is_type(body, "DOUBLE"), F.to_json(plain_double(number)))
-        .when(holds_not_finite(body), F.lit(""))
-        .otherwise(with_escapes(F.to_json(body)))
-    )
+        item = f"v{depth}"
+        items = f"""coalesce(try_variant_get({value}, '$', 'array<variant>'),
+          map_values(try_variant_get({value}, '$', 'map<string,variant>')))"""
+        # The schema text tells most lists and maps apart: only those with doubles or mixed items are searched.
+        cases += f"""
+          WHEN schema_of_variant({value}) RLIKE '^(ARRAY|OBJECT)<.*(DOUBLE|VARIANT)'
+          THEN exists({items}, {item} -> {_not_finite_text(item, depth - 1)})"""
+    return f"coalesce(CASE {cases} END, false)"
+
+
+def holds_not_finite(value: str) -> Column:
+    """Whether a NaN or infinity, which JSON lacks, sits anywhere in a VARIANT column."""
+    return F.expr(_not_finite_text(value, NESTING_CHECKED))
+
+
+def attributes_encodable(attributes: str) -> Column:
+    """False if some attribute of a column of pairs cannot be written as JSON."""
+    return F.expr(f"NOT coalesce(exists({attributes}, a -> {_not_finite_text('a.value', NESTING_CHECKED)}), false)")
+
+
+def body_text(body: str) -> Column:
+    """A body column as text: strings as they are, binary as base64, other scalars printed, lists and maps as JSON."""
+    number = f"try_variant_get({body}, '$', 'double')"
+    json = with_escapes(F.expr(f"to_json({body})"))
+    text = F.expr(f"""CASE schema_of_variant({body})
+      WHEN 'VOID' THEN ''
+      WHEN 'STRING' THEN try_variant_get({body}, '$', 'string')
+      WHEN 'BINARY' THEN base64(try_variant_get({body}, '$', 'binary'))
+      WHEN 'DOUBLE' THEN CASE
+        -- Fixed values: the text a number that JSON lacks turns into.
+        WHEN isnan({number}) THEN 'json: unsupported value: NaN'
+        WHEN {number} = double('Infinity') THEN 'json: unsupported value: +Inf'
+        WHEN {number} = double('-Infinity') THEN 'json: unsupported value: -Inf'
+        ELSE to_json({plain_double_text(number)}) END
+      END""")
+    unprintable = F.col(body).isNull() | holds_not_finite(body)
+    return F.coalesce(text, F.when(unprintable, F.lit("")).otherwise(json))

@@ -9,10 +9,13 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSx"  # fixed value: microseconds and
 TIMESTAMP_TEXT_BYTES = 29
 
 
-def hex_or_null(raw_id: Column) -> Column:
-    """Lower-case hex of a binary id; NULL when it is missing, empty or all zero."""
-    text = F.lower(F.hex(raw_id))
-    return F.when(F.translate(text, "0", "") != "", text)
+def hex_or_null_text(raw_id: str) -> str:
+    """SQL text: lower-case hex of a binary id; NULL when it is missing, empty or all zero."""
+    return f"CASE WHEN translate(hex({raw_id}), '0', '') <> '' THEN lower(hex({raw_id})) END"
+
+
+def hex_or_null(raw_id: str) -> Column:
+    return F.expr(hex_or_null_text(raw_id))
 
 
 def nanos_to_timestamp(nanos: Column) -> Column:

@@ -6,23 +6,23 @@ is fixed by its tick and by its position inside the tick.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from spanloom.operators.numbering import running_totals
 
 # Width of a numbering block in arrival numbers. Arrival numbers are unique, so a block holds at most this many rows
 # even if most rows fall into a single tick.
 BLOCK_BITS = 12
-_HELPERS = ["_upper_block", "_block", "_position"]
 
 
-def tick_of(time: Column, start_micros: int, timeout_seconds: float) -> Column:
-    """Number of the timer interval a time falls in, counted from the start; negative before it, -1 if unknown."""
-    width = F.lit(int(timeout_seconds * 1_000_000)).cast("bigint")
-    elapsed = F.unix_micros(time) - F.lit(start_micros).cast("bigint")
-    # Never NULL: no row is lost in a join on it, and no IS NOT NULL filters keep equal subplans from being shared.
-    return F.coalesce(F.call_function("div", elapsed - F.pmod(elapsed, width), width), F.lit(-1).cast("bigint"))
+def tick_of(time: str, start_micros: int, timeout_seconds: float) -> str:
+    """SQL text: the number of the timer interval a time falls in, counted from the start; -1 if the time is unknown.
+
+    Never NULL, so no row is lost in a join on it, and no IS NOT NULL filters keep equal subplans from being shared.
+    """
+    width = int(timeout_seconds * 1_000_000)
+    elapsed = f"(unix_micros({time}) - {start_micros}L)"
+    return f"coalesce(({elapsed} - pmod({elapsed}, {width}L)) div {width}L, -1L)"
 
 
 def assign_file_batches(
@@ -38,19 +38,19 @@ def assign_file_batches(
 
     `arrival` is a unique integer that grows with arrival, `time` the arrival time.
     """
-    number = F.coalesce(F.col(arrival).cast("bigint"), F.lit(-1).cast("bigint"))
-    marked = df.select(
+    number = f"coalesce(CAST({arrival} AS BIGINT), -1L)"
+    marked = df.selectExpr(
         "*",
-        tick_of(F.col(time), start_micros, timeout_seconds).alias("tick"),
-        F.shiftright(number, 2 * BLOCK_BITS).alias("_upper_block"),
-        F.shiftright(number, BLOCK_BITS).alias("_block"),
+        f"{tick_of(time, start_micros, timeout_seconds)} AS tick",
+        f"shiftright({number}, {2 * BLOCK_BITS}) AS _upper_block",
+        f"shiftright({number}, {BLOCK_BITS}) AS _block",
     )
     numbered = running_totals(
         marked,
         order=[arrival],
-        levels=["_upper_block", "_block"],
-        totals={"_position": F.lit(1)},
+        block=["_block"],
+        upper=["_upper_block"],
+        totals={"_position": "1"},
         within=["tick"],
     )
-    seq = F.call_function("div", F.col("_position") - F.lit(1), F.lit(batch_size))
-    return numbered.withColumn("seq", seq).drop(*_HELPERS)
+    return numbered.selectExpr(*df.columns, "tick", f"(_position - 1) div {batch_size} AS seq")

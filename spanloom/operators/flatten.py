@@ -24,8 +24,8 @@ def _exploded(payloads: DataFrame, resources: str, scopes: str, records: str, ca
     level = level.select(
         *carry,
         "resource_pos",
-        attributes_json(F.col("r.resource.attributes")).alias("resource_attributes"),
-        attributes_encodable(F.col("r.resource.attributes")).alias("resource_ok"),
+        attributes_json("r.resource.attributes").alias("resource_attributes"),
+        attributes_encodable("r.resource.attributes").alias("resource_ok"),
         F.posexplode(F.col(f"r.{scopes}")).alias("scope_pos", "s"),
     )
     return level.select(
@@ -48,18 +48,18 @@ def flatten_logs(payloads: DataFrame, carry: list[str] | None = None) -> DataFra
         *carry,
         *POSITIONS,
         nanos_to_timestamp(rec("rec.time_unix_nano")).alias("timestamp"),
-        hex_or_null(rec("rec.trace_id")).alias("trace_id"),
-        hex_or_null(rec("rec.span_id")).alias("span_id"),
+        hex_or_null("rec.trace_id").alias("trace_id"),
+        hex_or_null("rec.span_id").alias("span_id"),
         F.coalesce(rec("rec.severity_number"), F.lit(0)).alias("severity_number"),
         null_if_empty(rec("rec.severity_text")).alias("severity_text"),
-        body_text(rec("rec.body")).alias("body"),
+        body_text("rec.body").alias("body"),
         "scope_name",
         "scope_version",
         "resource_attributes",
-        attributes_json(rec("rec.attributes")).alias("log_attributes"),
+        attributes_json("rec.attributes").alias("log_attributes"),
         zero_if_null(rec("rec.flags")).alias("flags"),
         nanos_to_timestamp(rec("rec.observed_time_unix_nano")).alias("observed_timestamp"),
-        (rec("resource_ok") & attributes_encodable(rec("rec.attributes"))).alias(ENCODABLE),
+        (rec("resource_ok") & attributes_encodable("rec.attributes")).alias(ENCODABLE),
     )
 
 
@@ -68,15 +68,15 @@ def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataF
     carry = carry or []
     rec = F.col
     start, end = (F.coalesce(rec(f"rec.{c}"), F.lit(0)) for c in ("start_time_unix_nano", "end_time_unix_nano"))
-    def nested_pairs(items: str):
-        return F.flatten(F.transform(F.col(items), lambda i: F.coalesce(i["attributes"], F.array())))
+    def nested_pairs(items: str) -> str:
+        return f"flatten(transform({items}, i -> coalesce(i.attributes, array())))"
 
     return _exploded(payloads, "resource_spans", "scope_spans", "spans", carry).select(
         *carry,
         *POSITIONS,
-        hex_or_null(rec("rec.trace_id")).alias("trace_id"),
-        hex_or_null(rec("rec.span_id")).alias("span_id"),
-        hex_or_null(rec("rec.parent_span_id")).alias("parent_span_id"),
+        hex_or_null("rec.trace_id").alias("trace_id"),
+        hex_or_null("rec.span_id").alias("span_id"),
+        hex_or_null("rec.parent_span_id").alias("parent_span_id"),
         F.coalesce(rec("rec.name"), F.lit("")).alias("name"),
         F.coalesce(rec("rec.kind"), F.lit(0)).alias("kind"),
         nanos_to_timestamp(start).alias("start_time"),
@@ -87,9 +87,9 @@ def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataF
         "scope_name",
         "scope_version",
         "resource_attributes",
-        attributes_json(rec("rec.attributes")).alias("span_attributes"),
-        events_json(rec("rec.events")).alias("events"),
-        links_json(rec("rec.links")).alias("links"),
+        attributes_json("rec.attributes").alias("span_attributes"),
+        events_json("rec.events").alias("events"),
+        links_json("rec.links").alias("links"),
         zero_if_null(rec("rec.dropped_attributes_count")).alias("dropped_attributes_count"),
         zero_if_null(rec("rec.dropped_events_count")).alias("dropped_events_count"),
         zero_if_null(rec("rec.dropped_links_count")).alias("dropped_links_count"),
@@ -97,7 +97,7 @@ def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataF
         zero_if_null(rec("rec.flags")).alias("flags"),
         (
             rec("resource_ok")
-            & attributes_encodable(rec("rec.attributes"))
+            & attributes_encodable("rec.attributes")
             & attributes_encodable(nested_pairs("rec.events"))
             & attributes_encodable(nested_pairs("rec.links"))
         ).alias(ENCODABLE),

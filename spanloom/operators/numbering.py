@@ -1,60 +1,62 @@
 """Running totals over a total order, without putting the order into one task.
 
 The usual window without PARTITION BY (or with a few hot partitions) sends everything to one task. Here the order is
-cut into blocks, and blocks of blocks. Totals are taken per block, turned into offsets level by level on ever smaller
-tables, and added to the running total inside each block. No task ever sees more than one block of rows or the
-blocks of one upper block; the topmost window runs over the coarsest blocks only.
+cut into blocks, and the blocks into upper blocks. Totals are taken per block and turned into offsets on two ever
+smaller tables, then added to the running total inside each block. No task sees more than the rows of one block, the
+blocks of one upper block, or the list of upper blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 
 def running_totals(
     df: DataFrame,
     *,
     order: Sequence[str],
-    levels: Sequence[str],
-    totals: Mapping[str, Column],
+    block: Sequence[str],
+    upper: Sequence[str],
+    totals: Mapping[str, str],
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Add inclusive running sums.
+    """Add inclusive running sums and drop the `block` and `upper` helper columns named with a leading underscore.
 
-    `levels` are non-null columns of `df`, coarse to fine, that never decrease along `order`; `within` restarts
-    the sums. `totals` maps new column names to non-null integer expressions. Rows equal in `order` share no
-    defined sequence, so make it unique.
+    `upper` and `block` are non-null columns of `df` that, read as one key, never decrease along `order`; `within`
+    restarts the sums. `totals` maps new column names to SQL text of non-null integers. Rows equal in `order` share
+    no defined sequence, so make it unique.
     """
-    within, levels = list(within), list(levels)
-    keys = within + levels
-    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = df.select("*", *[F.sum(expr.cast("bigint")).over(inside).alias(name) for name, expr in totals.items()])
-
-    sums = df.groupBy(*keys).agg(*[F.sum(expr.cast("bigint")).alias(name) for name, expr in totals.items()])
-    offsets = None
-    for depth in range(len(levels), 0, -1):
-        above = within + levels[: depth - 1]
-        before = W.partitionBy(*above).orderBy(levels[depth - 1]).rowsBetween(W.unboundedPreceding, -1)
-        step = sums.select(
-            *above,
-            levels[depth - 1],
-            *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in totals],
-        )
-        if offsets is None:
-            offsets = step
-        else:
-            upper = step.select(*above, levels[depth - 1], *[F.col(f"_before_{n}").alias(f"_upper_{n}") for n in totals])
-            kept = [c for c in keys]
-            offsets = offsets.join(upper, above + [levels[depth - 1]]).select(
-                *kept, *[(F.col(f"_before_{n}") + F.col(f"_upper_{n}")).alias(f"_before_{n}") for n in totals]
-            )
-        if depth > 1:
-            sums = sums.groupBy(*above).agg(*[F.sum(name).alias(name) for name in totals])
-
-    return local.join(offsets, keys).select(
-        *df.columns, *[(F.col(name) + F.col(f"_before_{name}")).alias(name) for name in totals]
+    upper_key = [*within, *upper]
+    block_key = [*upper_key, *block]
+    names = list(totals)
+
+    def running(value: str, partition: Sequence[str], by: Sequence[str], end: str) -> str:
+        parted = f"PARTITION BY {', '.join(partition)} " if partition else ""
+        frame = f"ROWS BETWEEN UNBOUNDED PRECEDING AND {end}"
+        return f"sum({value}) OVER ({parted}ORDER BY {', '.join(by)} {frame})"
+
+    measured = df.selectExpr("*", *[f"CAST({text} AS BIGINT) AS {n}" for n, text in totals.items()])
+    local = df.selectExpr(
+        "*", *[f"{running(f'CAST({text} AS BIGINT)', block_key, order, 'CURRENT ROW')} AS {n}" for n, text in totals.items()]
+    )
+    # Per block, the total of the earlier blocks of its upper block.
+    per_block = measured.groupBy(*block_key).agg(*[F.sum(n).alias(n) for n in names])
+    in_upper = per_block.selectExpr(
+        *block_key, *names,
+        *[f"coalesce({running(n, upper_key, block, '1 PRECEDING')}, 0) AS _before_{n}" for n in names],
+    )
+    # Per upper block, the total of the earlier upper blocks. It needs no further shuffle of the blocks.
+    per_upper = in_upper.groupBy(*upper_key).agg(*[F.sum(n).alias(n) for n in names])
+    across = per_upper.selectExpr(
+        *upper_key, *[f"coalesce({running(n, within, upper, '1 PRECEDING')}, 0) AS _across_{n}" for n in names]
+    )
+    offsets = in_upper.join(across, upper_key).selectExpr(
+        *block_key, *[f"_before_{n} + _across_{n} AS _offset_{n}" for n in names]
+    )
+    helpers = {c for c in (*upper, *block) if c.startswith("_")}
+    return local.join(offsets, block_key).selectExpr(
+        *[c for c in df.columns if c not in helpers], *[f"{n} + _offset_{n} AS {n}" for n in names]
     )

@@ -6,78 +6,59 @@ catalog tables show. Typed bounds compare numbers and times and are what file sk
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import TIMESTAMP_TEXT_BYTES, timestamp_text
+from spanloom.functions.scalars import TIMESTAMP_TEXT, TIMESTAMP_TEXT_BYTES
 from spanloom.schemas import Signal
 
 _NUMBERS = ("int32", "int64", "uint32")
 
 
-def _count_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")), F.lit(0).cast("bigint"))
+def _size(name: str, kind: str) -> str:
+    if kind == "timestamptz":
+        return f"count({name}) * {TIMESTAMP_TEXT_BYTES}L"
+    return f"sum(CAST(octet_length(coalesce(CAST({name} AS STRING), '')) AS BIGINT))"
 
 
-def column_stats(name: str, kind: str) -> Column:
-    """Struct of size, counts and text bounds. Empty text counts as null; JSON has no bounds and "{}" is null too."""
-    value = F.col(name)
-    empty = F.lit("")
+def _column_stats(name: str, kind: str) -> str:
+    """Size, counts and text bounds. Empty text counts as null; JSON has no bounds and "{}" is null too."""
     if kind == "timestamptz":
         # The printed form has a fixed width and sorts like the time itself, so print only the two results.
-        size = _count_if(value.isNotNull()) * F.lit(TIMESTAMP_TEXT_BYTES)
-        nulls = _count_if(value.isNull())
-        low, high = timestamp_text(F.min(value)), timestamp_text(F.max(value))
+        nulls = f"count_if({name} IS NULL)"
+        low, high = (f"date_format({f}({name}), '{TIMESTAMP_TEXT}')" for f in ("min", "max"))
+    elif kind == "json":
+        nulls, low, high = f"count_if(coalesce({name}, '') IN ('', '{{}}'))", "''", "''"
     else:
-        text = F.coalesce(value.cast("string"), empty)
-        size = F.sum(F.octet_length(text).cast("bigint"))
-        if kind == "json":
-            nulls = _count_if(text.isin("", "{}"))
-            low = high = empty
-        else:
-            nulls = _count_if(text == empty)
-            low, high = F.min(F.nullif(text, empty)), F.max(F.nullif(text, empty))
-    return F.struct(
-        F.lit(name).alias("column_name"),
-        size.alias("column_size_bytes"),
-        F.count(F.lit(1)).alias("value_count"),
-        nulls.alias("null_count"),
-        F.coalesce(low, empty).alias("min_value"),
-        F.coalesce(high, empty).alias("max_value"),
-    )
+        text = f"nullif(CAST({name} AS STRING), '')"
+        nulls, low, high = f"count_if({text} IS NULL)", f"min({text})", f"max({text})"
+    return f"""named_struct('column_name', '{name}', 'column_size_bytes', {_size(name, kind)},
+      'value_count', count(1), 'null_count', {nulls}, 'min_value', coalesce({low}, ''),
+      'max_value', coalesce({high}, ''))"""
 
 
-def typed_bounds(name: str, kind: str) -> Column:
+def _typed_bounds(name: str, kind: str) -> str:
     """Bounds as BIGINT; times are epoch microseconds."""
-    value = F.col(name)
-    low, high = F.min(value), F.max(value)
+    low, high = f"min({name})", f"max({name})"
     if kind == "timestamptz":
-        low, high = F.unix_micros(low), F.unix_micros(high)
-    return F.struct(
-        F.lit(name).alias("column_name"), low.cast("bigint").alias("min_value"), high.cast("bigint").alias("max_value")
+        low, high = f"unix_micros({low})", f"unix_micros({high})"
+    return (
+        f"named_struct('column_name', '{name}', 'min_value', CAST({low} AS BIGINT), 'max_value', CAST({high} AS BIGINT))"
     )
 
 
 def file_stats(rows: DataFrame, signal: Signal, keys: list[str]) -> DataFrame:
-    """One row per file: record_count, column_stats, typed_bounds, and the last time in it."""
+    """One row per file: record_count, last_time, text_bytes, column_stats and typed_bounds."""
+    typed = [(n, k) for n, k in signal.columns if k == "timestamptz" or k in _NUMBERS]
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.max(signal.time_column).alias("last_time"),
-        F.array(*[column_stats(n, k) for n, k in signal.columns]).alias("column_stats"),
-        F.array(*[typed_bounds(n, k) for n, k in signal.columns if k == "timestamptz" or k in _NUMBERS]).alias(
-            "typed_bounds"
-        ),
+        F.expr(" + ".join(_size(n, k) for n, k in signal.columns)).alias("text_bytes"),
+        F.expr(f"array({', '.join(_column_stats(n, k) for n, k in signal.columns)})").alias("column_stats"),
+        F.expr(f"array({', '.join(_typed_bounds(n, k) for n, k in typed)})").alias("typed_bounds"),
     )
 
 
-def text_bytes(signal: Signal) -> Column:
-    """Sum of the printed sizes of all columns, an aggregate."""
-    total = F.lit(0).cast("bigint")
-    for name, kind in signal.columns:
-        total = total + column_stats(name, kind)["column_size_bytes"]
-    return total
-
-
 def long_form(files: DataFrame, keep: list[str], column: str = "column_stats") -> DataFrame:
     """One row per file and column."""
     return files.select(*keep, F.inline(column))
@@ -86,7 +67,7 @@ def long_form(files: DataFrame, keep: list[str], column: str = "column_stats") -
 def merge_column_stats(stats: DataFrame, keys: list[str]) -> DataFrame:
     """Column statistics of several files as one. Empty bounds are ignored."""
     return stats.groupBy(*keys).agg(
-        F.bool_or(F.col("null_count") > 0).alias("contains_null"),
-        F.coalesce(F.min(F.nullif(F.col("min_value"), F.lit(""))), F.lit("")).alias("min_value"),
-        F.coalesce(F.max(F.nullif(F.col("max_value"), F.lit(""))), F.lit("")).alias("max_value"),
+        F.expr("bool_or(null_count > 0)").alias("contains_null"),
+        F.expr("coalesce(min(nullif(min_value, '')), '')").alias("min_value"),
+        F.expr("coalesce(max(nullif(max_value, '')), '')").alias("max_value"),
     )

@@ -59,55 +59,48 @@ def number_commits(
     `seq_block` is how many seq values share a numbering block.
     """
     state = state or CatalogState()
-    names = {options.logs_table: "logs", options.traces_table: "traces"}
-    totals: dict[str, Column] = {}
-    for table, signal in names.items():
-        here = F.col("table_name") == F.lit(table)
-        totals[f"_files_{signal}"] = F.when(here, F.lit(1)).otherwise(F.lit(0))
-        totals[f"_records_{signal}"] = F.when(here, F.col("record_count")).otherwise(F.lit(0))
-    block = F.lit(seq_block).cast("bigint")
-    marked = manifest.select(
-        "*",
-        F.call_function("div", F.col("tick"), F.lit(_TICKS_PER_BLOCK).cast("bigint")).alias("_tick_block"),
-        F.call_function("div", F.col("seq"), block).alias("_seq_block"),
+    signals = {"logs": options.logs_table, "traces": options.traces_table}
+    totals = {}
+    for signal, table in signals.items():
+        totals[f"_files_{signal}"] = f"CASE WHEN table_name = '{table}' THEN 1 ELSE 0 END"
+        totals[f"_records_{signal}"] = f"CASE WHEN table_name = '{table}' THEN record_count ELSE 0 END"
+    marked = manifest.selectExpr(
+        "*", f"tick div {_TICKS_PER_BLOCK} AS _tick_block", f"seq div {seq_block} AS _seq_block"
     )
     numbered = running_totals(
         marked,
         order=["seq", "table_name", "path"],
-        levels=["_tick_block", "tick", "_seq_block"],
+        upper=["_tick_block"],
+        block=["tick", "_seq_block"],
         totals=totals,
     )
+    numbered = numbered.selectExpr(
+        *manifest.columns,
+        *[f"_files_{s} + {state.files.get(t, 0)} AS _files_{s}" for s, t in signals.items()],
+        *[f"_records_{s} + {state.records.get(t, 0)} AS _records_{s}" for s, t in signals.items()],
+    )
 
-    def files(signal: str, table: str) -> Column:
-        return F.col(f"_files_{signal}") + F.lit(state.files.get(table, 0))
-
-    def records(signal: str, table: str) -> Column:
-        return F.col(f"_records_{signal}") + F.lit(state.records.get(table, 0))
-
-    def of_table(value) -> Column:
-        chosen = None
-        for table, signal in names.items():
-            here = F.col("table_name") == F.lit(table)
-            chosen = F.when(here, value(signal, table)) if chosen is None else chosen.when(here, value(signal, table))
-        return chosen
+    def of_table(value: dict[str, str]) -> str:
+        cases = " ".join(f"WHEN '{t}' THEN {value[s]}" for s, t in signals.items())
+        return f"CASE table_name {cases} END"
 
-    all_files = sum((files(s, t) for t, s in names.items()), F.lit(0)).cast("bigint")
-    known_tables = sum((F.when(files(s, t) > 0, 1).otherwise(0) for t, s in names.items()), F.lit(0)).cast("bigint")
+    n_files = of_table({s: f"_files_{s}" for s in signals})
+    all_files = " + ".join(f"_files_{s}" for s in signals)
+    known_tables = " + ".join(f"CAST(_files_{s} > 0 AS BIGINT)" for s in signals)
     # Column ids run through the tables in the order of their creation.
-    known_columns = sum(
-        (F.when(files(s, t) > 0, len(SIGNALS[s].columns)).otherwise(0) for t, s in names.items()), F.lit(0)
-    )
-    own_columns = of_table(lambda s, t: F.lit(len(SIGNALS[s].columns)))
-    return numbered.select(
+    known_columns = " + ".join(f"CAST(_files_{s} > 0 AS BIGINT) * {len(SIGNALS[s].columns)}" for s in signals)
+    own_columns = of_table({s: str(len(SIGNALS[s].columns)) for s in signals})
+    return numbered.selectExpr(
         *manifest.columns,
-        all_files.alias("snapshot_id"),
-        (all_files - 1).alias("data_file_id"),
-        (of_table(files) - 1).cast("bigint").alias("file_order"),
-        of_table(records).cast("bigint").alias("next_row_id"),
-        known_tables.alias("schema_version"),
-        (known_tables + 1).alias("next_catalog_id"),
-        all_files.alias("next_file_id"),
-        (known_columns - own_columns + 1).cast("bigint").alias("first_column_id"),
+        f"{all_files} AS snapshot_id",
+        f"{all_files} - 1 AS data_file_id",
+        f"{n_files} - 1 AS file_order",
+        f"{of_table({s: f'_records_{s}' for s in signals})} AS next_row_id",
+        f"{known_tables} AS schema_version",
+        f"{known_tables} + 1 AS next_catalog_id",
+        f"{all_files} AS next_file_id",
+        # Set where a table is created, that is on its first file.
+        f"CASE WHEN {n_files} = 1 THEN CAST({known_columns} - {own_columns} + 1 AS BIGINT) END AS first_column_id",
     )
 
 

@@ -53,15 +53,12 @@ def planned_manifest(
     )
     # A full buffer is written when its last row arrives, a partial one when the timer fires.
     commit_time = F.when(F.col("record_count") == F.lit(options.batch_size), F.col("last_time")).otherwise(tick_end)
-    size = F.aggregate(
-        "column_stats", F.lit(0).cast("bigint"), lambda total, stats: total + stats["column_size_bytes"]
-    )
     unique = F.concat_ws("|", F.lit(table), F.col("tick").cast("string"), F.col("seq").cast("string"))
     folder = f"{options.output_path.rstrip('/')}/{SCHEMA_NAME}/{table}/"
     return (
         files.withColumn("table_name", F.lit(table))
         .withColumn("commit_time", commit_time)
-        .withColumn("file_size_bytes", size)
+        .withColumn("file_size_bytes", F.col("text_bytes"))
         .withColumn("path", F.concat(F.lit(folder), logical_name(F.lit(table), F.col("commit_time"), unique)))
         .select(*MANIFEST)
     )

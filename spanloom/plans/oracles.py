@@ -394,8 +394,8 @@ UNION ALL SELECT 'mapping_ids_not_zero', min(table_id) >= 1 FROM created""",
     + f"""SELECT CASE WHEN tick < 15 THEN 'first' ELSE 'second' END AS commit_id, v.table_name, tick, seq, snapshot_id,
   snapshot_id - 1 AS data_file_id, file_order, record_count, next_row_id, schema_version,
   schema_version + 1 AS next_catalog_id, snapshot_id AS next_file_id,
-  (SELECT min(column_id) FROM catalog_columns c JOIN created t ON t.table_id = c.table_id
-   WHERE t.table_name = v.table_name) AS first_column_id
+  CASE WHEN file_order = 0 THEN (SELECT min(column_id) FROM catalog_columns c JOIN created t ON t.table_id = c.table_id
+   WHERE t.table_name = v.table_name) END AS first_column_id
 FROM versions v""",
     # --- streams
     "stream_ingest_logs": f"SELECT {_LOG_LIST} FROM ({LOG_ROWS})",

@@ -6,10 +6,9 @@ In OTLP/JSON ids are hex text, 64-bit numbers may be text, and every value is wr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.functions.json_text import plain_double
+from spanloom.functions.json_text import plain_double_text
 from spanloom.schemas import LOGS, Signal
 
 # Lists and maps nested deeper than this keep their wrapped form.
@@ -52,131 +51,120 @@ SEVERITY_NAMES = {
 }
 
 
-def _enum(text: Column, names: dict[str, int]) -> Column:
-    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.coalesce(F.try_cast(text, "int") if hasattr(F, "try_cast") else text.try_cast("int"),
-                      F.try_element_at(lookup, text))
+def _enum(text: str, names: dict[str, int]) -> str:
+    pairs = ", ".join(f"'{name}', {number}" for name, number in names.items())
+    return f"coalesce(try_cast({text} AS INT), try_element_at(map({pairs}), {text}))"
 
 
-def unwrap(value: Column, depth: int = NESTING_UNWRAPPED) -> Column:
-    """A wrapped value as a plain VARIANT; an empty wrapper is JSON null."""
+def unwrap(value: str, depth: int = NESTING_UNWRAPPED) -> str:
+    """SQL text that turns a wrapped value into a plain VARIANT; an empty wrapper becomes JSON null."""
 
-    def get(name: str, kind: str) -> Column:
-        return F.try_variant_get(value, f"$.{name}", kind)
+    def get(name: str, kind: str) -> str:
+        return f"try_variant_get({value}, '$.{name}', '{kind}')"
 
-    scalar = F.coalesce(
-        get("stringValue", "string").cast("variant"),
-        get("intValue", "bigint").cast("variant"),
-        plain_double(get("doubleValue", "double")),
-        get("boolValue", "boolean").cast("variant"),
-        F.try_to_binary(get("bytesValue", "string"), F.lit("base64")).cast("variant"),
-    )
+    scalars = f"""CAST({get('stringValue', 'string')} AS VARIANT), CAST({get('intValue', 'bigint')} AS VARIANT),
+      {plain_double_text(get('doubleValue', 'double'))}, CAST({get('boolValue', 'boolean')} AS VARIANT),
+      CAST(try_to_binary({get('bytesValue', 'string')}, 'base64') AS VARIANT)"""
     if depth == 0:
-        return F.coalesce(scalar, value)
-    # A list and a map are unwrapped the same way, as pairs whose key a list leaves out.
-    is_map = F.is_variant_null(get("kvlistValue", "variant")).isNotNull()
-    is_list = F.is_variant_null(get("arrayValue", "variant")).isNotNull()
-    pair = "array<struct<key:string,value:variant>>"
-    items = F.transform(
-        get("arrayValue.values", "array<variant>"),
-        lambda v: F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")),
-    )
-    children = F.transform(
-        F.coalesce(items, get("kvlistValue.values", pair), F.from_json(F.lit("[]"), pair)),
-        lambda c: F.struct(F.coalesce(c["key"], F.lit("")).alias("key"), unwrap(c["value"], depth - 1).alias("value")),
+        return f"coalesce({scalars}, {value})"
+    v, e, c = f"v{depth}", f"e{depth}", f"c{depth}"
+    # A list is treated as a map without keys, so that what is inside is unwrapped in one place.
+    pairs = f"""coalesce(
+      transform({get('arrayValue.values', 'array<variant>')},
+        {v} -> named_struct('key', CAST(NULL AS STRING), 'value', {v})),
+      {get('kvlistValue.values', 'array<struct<key:string,value:variant>>')},
+      filter(array(named_struct('key', CAST(NULL AS STRING), 'value', {value})), {v} -> false))"""
+    plain = f"transform({pairs}, {e} -> named_struct('key', coalesce({e}.key, ''), 'value', {unwrap(f'{e}.value', depth - 1)}))"
+    # transform(array(x), c -> ...) names x, so that it is not worked out once for lists and once for maps.
+    nested = f"""element_at(transform(array({plain}), {c} ->
+      CASE WHEN {get('arrayValue', 'variant')} IS NOT NULL THEN to_variant_object(transform({c}, {e} -> {e}.value))
+           WHEN {get('kvlistValue', 'variant')} IS NOT NULL THEN to_variant_object(map_from_entries({c})) END), 1)"""
+    return f"coalesce({scalars}, {nested}, parse_json('null'))"
+
+
+def _pairs(attributes: str) -> str:
+    return f"transform({attributes}, a -> named_struct('key', a.key, 'value', {unwrap('a.value')}))"
+
+
+def _nanos(text: str) -> str:
+    return f"try_cast({text} AS BIGINT)"
+
+
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {text}" for name, text in fields.items()) + ")"
+
+
+def _log_record(r: str) -> str:
+    return _struct(
+        time_unix_nano=_nanos(f"{r}.timeUnixNano"),
+        observed_time_unix_nano=_nanos(f"{r}.observedTimeUnixNano"),
+        severity_number=_enum(f"{r}.severityNumber", SEVERITY_NAMES),
+        severity_text=f"{r}.severityText",
+        body=f"CASE WHEN {r}.body IS NOT NULL THEN {unwrap(f'{r}.body')} END",
+        attributes=_pairs(f"{r}.attributes"),
+        flags=f"{r}.flags",
+        trace_id=f"unhex({r}.traceId)",
+        span_id=f"unhex({r}.spanId)",
     )
-    nested = F.when(is_map, F.to_variant_object(F.map_from_entries(children))).when(
-        is_list, F.to_variant_object(F.transform(children, lambda c: c["value"]))
-    )
-    return F.coalesce(scalar, nested, F.parse_json(F.lit("null")))
-
-
-def _pairs(attributes: Column) -> Column:
-    return F.transform(attributes, lambda a: F.struct(a["key"].alias("key"), unwrap(a["value"]).alias("value")))
-
-
-def _nanos(text: Column) -> Column:
-    return text.try_cast("bigint")
 
 
-def _id(text: Column) -> Column:
-    return F.unhex(text)
+def _span_event(e: str) -> str:
+    return _struct(
+        time_unix_nano=_nanos(f"{e}.timeUnixNano"),
+        name=f"{e}.name",
+        attributes=_pairs(f"{e}.attributes"),
+        dropped_attributes_count=f"{e}.droppedAttributesCount",
+    )
 
 
-def _log_record(r: Column) -> Column:
-    return F.struct(
-        _nanos(r["timeUnixNano"]).alias("time_unix_nano"),
-        _nanos(r["observedTimeUnixNano"]).alias("observed_time_unix_nano"),
-        _enum(r["severityNumber"], SEVERITY_NAMES).alias("severity_number"),
-        r["severityText"].alias("severity_text"),
-        F.when(r["body"].isNotNull(), unwrap(r["body"])).alias("body"),
-        _pairs(r["attributes"]).alias("attributes"),
-        r["flags"].alias("flags"),
-        _id(r["traceId"]).alias("trace_id"),
-        _id(r["spanId"]).alias("span_id"),
+def _span_link(x: str) -> str:
+    return _struct(
+        trace_id=f"unhex({x}.traceId)",
+        span_id=f"unhex({x}.spanId)",
+        trace_state=f"{x}.traceState",
+        attributes=_pairs(f"{x}.attributes"),
+        dropped_attributes_count=f"{x}.droppedAttributesCount",
+        flags=f"{x}.flags",
     )
 
 
-def _span_record(s: Column) -> Column:
-    events = F.transform(
-        s["events"],
-        lambda e: F.struct(
-            _nanos(e["timeUnixNano"]).alias("time_unix_nano"),
-            e["name"].alias("name"),
-            _pairs(e["attributes"]).alias("attributes"),
-            e["droppedAttributesCount"].alias("dropped_attributes_count"),
-        ),
-    )
-    links = F.transform(
-        s["links"],
-        lambda x: F.struct(
-            _id(x["traceId"]).alias("trace_id"),
-            _id(x["spanId"]).alias("span_id"),
-            x["traceState"].alias("trace_state"),
-            _pairs(x["attributes"]).alias("attributes"),
-            x["droppedAttributesCount"].alias("dropped_attributes_count"),
-            x["flags"].alias("flags"),
-        ),
-    )
-    return F.struct(
-        _id(s["traceId"]).alias("trace_id"),
-        _id(s["spanId"]).alias("span_id"),
-        _id(s["parentSpanId"]).alias("parent_span_id"),
-        s["traceState"].alias("trace_state"),
-        s["flags"].alias("flags"),
-        s["name"].alias("name"),
-        _enum(s["kind"], SPAN_KINDS).alias("kind"),
-        _nanos(s["startTimeUnixNano"]).alias("start_time_unix_nano"),
-        _nanos(s["endTimeUnixNano"]).alias("end_time_unix_nano"),
-        _pairs(s["attributes"]).alias("attributes"),
-        s["droppedAttributesCount"].alias("dropped_attributes_count"),
-        events.alias("events"),
-        s["droppedEventsCount"].alias("dropped_events_count"),
-        links.alias("links"),
-        s["droppedLinksCount"].alias("dropped_links_count"),
-        F.struct(
-            _enum(s["status"]["code"], STATUS_CODES).alias("code"), s["status"]["message"].alias("message")
-        ).alias("status"),
+def _span_record(s: str) -> str:
+    return _struct(
+        trace_id=f"unhex({s}.traceId)",
+        span_id=f"unhex({s}.spanId)",
+        parent_span_id=f"unhex({s}.parentSpanId)",
+        trace_state=f"{s}.traceState",
+        flags=f"{s}.flags",
+        name=f"{s}.name",
+        kind=_enum(f"{s}.kind", SPAN_KINDS),
+        start_time_unix_nano=_nanos(f"{s}.startTimeUnixNano"),
+        end_time_unix_nano=_nanos(f"{s}.endTimeUnixNano"),
+        attributes=_pairs(f"{s}.attributes"),
+        dropped_attributes_count=f"{s}.droppedAttributesCount",
+        events=f"transform({s}.events, ev -> {_span_event('ev')})",
+        dropped_events_count=f"{s}.droppedEventsCount",
+        links=f"transform({s}.links, li -> {_span_link('li')})",
+        dropped_links_count=f"{s}.droppedLinksCount",
+        status=_struct(code=_enum(f"{s}.status.code", STATUS_CODES), message=f"{s}.status.message"),
     )
 
 
 def from_otlp_json(lines: DataFrame, signal: Signal) -> DataFrame:
     """Rows read with json_schema() to LOGS_PAYLOAD or TRACES_PAYLOAD rows. Map-only."""
     if signal is LOGS:
-        resources, scopes, records, record = "resourceLogs", "scopeLogs", "logRecords", _log_record
-        names = ("resource_logs", "scope_logs", "log_records")
+        names = ("resourceLogs", "scopeLogs", "logRecords")
+        renamed = ("resource_logs", "scope_logs", "log_records")
+        record = _log_record("rec")
     else:
-        resources, scopes, records, record = "resourceSpans", "scopeSpans", "spans", _span_record
-        names = ("resource_spans", "scope_spans", "spans")
-
-    def scope(s: Column) -> Column:
-        return F.struct(s["scope"].alias("scope"), F.transform(s[records], record).alias(names[2]))
-
-    def resource(r: Column) -> Column:
-        attributes = F.struct(_pairs(r["resource"]["attributes"]).alias("attributes"))
-        return F.struct(attributes.alias("resource"), F.transform(r[scopes], scope).alias(names[1]))
-
-    return lines.select(F.transform(resources, resource).alias(names[0]))
+        names = ("resourceSpans", "scopeSpans", "spans")
+        renamed = ("resource_spans", "scope_spans", "spans")
+        record = _span_record("rec")
+    scope = _struct(scope="sc.scope", **{renamed[2]: f"transform(sc.{names[2]}, rec -> {record})"})
+    resource = _struct(
+        resource=_struct(attributes=_pairs("re.resource.attributes")),
+        **{renamed[1]: f"transform(re.{names[1]}, sc -> {scope})"},
+    )
+    return lines.selectExpr(f"transform({names[0]}, re -> {resource}) AS {renamed[0]}")
 
 
 def json_schema(signal: Signal) -> str:
