@@ -18,17 +18,20 @@ NESTING_CHECKED = 8
 ESCAPED = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", " ": "\\u2028", " ": "\\u2029"}
 
 
-def with_escapes(json: Column) -> Column:
-    """Escape HTML characters and line separators, and spell control characters with lower-case hex digits."""
-    for char, escape in ESCAPED.items():
-        json = F.replace(json, F.lit(char), F.lit(escape))
-    lowered = json
+def with_escapes_text(json: str) -> str:
+    """SQL text: JSON with HTML characters and line separators escaped and control characters in lower-case hex.
+
+    `json` is expensive, so it is named once with transform(array(x), j -> ...) instead of being repeated.
+    """
+    lowered = "j"
     for digit in "ABCDEF":
         # Only a real escape counts, so the backslash in front of "u" must not itself be escaped.
-        lowered = F.regexp_replace(
-            lowered, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}"
-        )
-    return F.when(F.contains(json, F.lit("\\u00")), lowered).otherwise(json)
+        pattern = rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}"
+        lowered = f"regexp_replace({lowered}, r'{pattern}', '$1{digit.lower()}')"
+    text = rf"element_at(transform(array({json}), j -> CASE WHEN contains(j, r'\u00') THEN {lowered} ELSE j END), 1)"
+    for char, escape in ESCAPED.items():
+        text = f"replace({text}, '{char}', r'{escape}')"
+    return text
 
 
 def plain_double_text(value: str) -> str:
@@ -60,14 +63,14 @@ def _object_or_null(attributes: str) -> str:
 
 def attributes_json(attributes: str) -> Column:
     """A column of attribute pairs as a JSON object."""
-    json = with_escapes(F.expr(f"to_json({_object(attributes)})"))
-    return F.when(F.size(attributes) > 0, json).otherwise(F.lit("{}"))
+    json = with_escapes_text(f"to_json({_object(attributes)})")
+    return F.expr(f"CASE WHEN size({attributes}) > 0 THEN {json} ELSE '{{}}' END")
 
 
 def _array_json(items: str, item: str) -> Column:
     """to_json leaves out NULL fields, so an item's optional fields are NULL when empty."""
-    json = with_escapes(F.expr(f"to_json(transform({items}, i -> {item}))"))
-    return F.when(F.size(items) > 0, json).otherwise(F.lit("[]"))
+    json = with_escapes_text(f"to_json(transform({items}, i -> {item}))")
+    return F.expr(f"CASE WHEN size({items}) > 0 THEN {json} ELSE '[]' END")
 
 
 def events_json(events: str) -> Column:
@@ -87,8 +90,8 @@ def links_json(links: str) -> Column:
     return _array_json(
         links,
         f"""named_struct(
-          'trace_id', coalesce({hex_or_null_text('i.trace_id')}, ''),
-          'span_id', coalesce({hex_or_null_text('i.span_id')}, ''),
+          'trace_id', coalesce({hex_or_null_text('i.trace_id', 16)}, ''),
+          'span_id', coalesce({hex_or_null_text('i.span_id', 8)}, ''),
           'trace_state', nullif(i.trace_state, ''),
           'attributes', {_object_or_null('i.attributes')},
           'dropped_attributes', nullif(i.dropped_attributes_count, 0L),
@@ -98,22 +101,17 @@ def links_json(links: str) -> Column:
 
 def _not_finite_text(value: str, depth: int) -> str:
     """SQL text of the search; written as text because of its depth."""
-    number = f"try_variant_get({value}, '$', 'double')"
-    cases = f"WHEN schema_of_variant({value}) = 'DOUBLE' THEN isnan({number}) OR abs({number}) = double('Infinity')"
+    kind, number = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'double')"
+    nested = "false"
     if depth > 0:
         item = f"v{depth}"
         items = f"""coalesce(try_variant_get({value}, '$', 'array<variant>'),
           map_values(try_variant_get({value}, '$', 'map<string,variant>')))"""
         # The schema text tells most lists and maps apart: only those with doubles or mixed items are searched.
-        cases += f"""
-          WHEN schema_of_variant({value}) RLIKE '^(ARRAY|OBJECT)<.*(DOUBLE|VARIANT)'
-          THEN exists({items}, {item} -> {_not_finite_text(item, depth - 1)})"""
-    return f"coalesce(CASE {cases} END, false)"
-
-
-def holds_not_finite(value: str) -> Column:
-    """Whether a NaN or infinity, which JSON lacks, sits anywhere in a VARIANT column."""
-    return F.expr(_not_finite_text(value, NESTING_CHECKED))
+        nested = f"""{kind} RLIKE '^(ARRAY|OBJECT)<.*(DOUBLE|VARIANT)'
+          AND exists({items}, {item} -> {_not_finite_text(item, depth - 1)})"""
+    return f"""coalesce(CASE WHEN {kind} IN ('STRING', 'BIGINT', 'BOOLEAN') THEN false
+      WHEN {kind} = 'DOUBLE' THEN isnan({number}) OR abs({number}) = double('Infinity') ELSE {nested} END, false)"""
 
 
 def attributes_encodable(attributes: str) -> Column:
@@ -124,17 +122,15 @@ def attributes_encodable(attributes: str) -> Column:
 def body_text(body: str) -> Column:
     """A body column as text: strings as they are, binary as base64, other scalars printed, lists and maps as JSON."""
     number = f"try_variant_get({body}, '$', 'double')"
-    json = with_escapes(F.expr(f"to_json({body})"))
-    text = F.expr(f"""CASE schema_of_variant({body})
-      WHEN 'VOID' THEN ''
-      WHEN 'STRING' THEN try_variant_get({body}, '$', 'string')
-      WHEN 'BINARY' THEN base64(try_variant_get({body}, '$', 'binary'))
-      WHEN 'DOUBLE' THEN CASE
-        -- Fixed values: the text a number that JSON lacks turns into.
+    # The texts that numbers JSON lacks turn into.
+    return F.expr(f"""CASE
+      WHEN {body} IS NULL OR schema_of_variant({body}) = 'VOID' THEN ''
+      WHEN schema_of_variant({body}) = 'STRING' THEN try_variant_get({body}, '$', 'string')
+      WHEN schema_of_variant({body}) = 'BINARY' THEN base64(try_variant_get({body}, '$', 'binary'))
+      WHEN schema_of_variant({body}) = 'DOUBLE' THEN CASE
         WHEN isnan({number}) THEN 'json: unsupported value: NaN'
         WHEN {number} = double('Infinity') THEN 'json: unsupported value: +Inf'
         WHEN {number} = double('-Infinity') THEN 'json: unsupported value: -Inf'
         ELSE to_json({plain_double_text(number)}) END
-      END""")
-    unprintable = F.col(body).isNull() | holds_not_finite(body)
-    return F.coalesce(text, F.when(unprintable, F.lit("")).otherwise(json))
+      WHEN {_not_finite_text(body, NESTING_CHECKED)} THEN ''
+      ELSE {with_escapes_text(f'to_json({body})')} END""")

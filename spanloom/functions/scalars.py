@@ -9,13 +9,17 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSx"  # fixed value: microseconds and
 TIMESTAMP_TEXT_BYTES = 29
 
 
-def hex_or_null_text(raw_id: str) -> str:
-    """SQL text: lower-case hex of a binary id; NULL when it is missing, empty or all zero."""
-    return f"CASE WHEN translate(hex({raw_id}), '0', '') <> '' THEN lower(hex({raw_id})) END"
+def hex_or_null_text(raw_id: str, width: int) -> str:
+    """SQL text: lower-case hex of a binary id of `width` bytes; NULL when it is missing, empty or all zero."""
+    return f"CASE WHEN {raw_id} <> X'{'00' * width}' THEN nullif(lower(hex({raw_id})), '') END"
 
 
-def hex_or_null(raw_id: str) -> Column:
-    return F.expr(hex_or_null_text(raw_id))
+def trace_id_text(raw_id: str) -> Column:
+    return F.expr(hex_or_null_text(raw_id, 16))
+
+
+def span_id_text(raw_id: str) -> Column:
+    return F.expr(hex_or_null_text(raw_id, 8))
 
 
 def nanos_to_timestamp(nanos: Column) -> Column:

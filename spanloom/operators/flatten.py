@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.json_text import attributes_encodable, attributes_json, body_text, events_json, links_json
-from spanloom.functions.scalars import hex_or_null, nanos_to_timestamp, null_if_empty, zero_if_null
+from spanloom.functions.scalars import nanos_to_timestamp, null_if_empty, span_id_text, trace_id_text, zero_if_null
 from spanloom.schemas import LOGS, Signal
 
 POSITIONS = ["resource_pos", "scope_pos", "record_pos"]
@@ -20,13 +20,18 @@ ENCODABLE = "encodable"
 
 def _exploded(payloads: DataFrame, resources: str, scopes: str, records: str, carry: list[str]) -> DataFrame:
     """Inner explodes: a resource without scopes and a scope without records give no rows."""
-    level = payloads.select(*carry, F.posexplode(resources).alias("resource_pos", "r"))
+    # The outer form of the first explode keeps Spark from adding a size() filter below it, which would decode every
+    # payload twice when the payload is computed. Its NULL rows end at the next explode.
+    level = payloads.select(*carry, F.posexplode_outer(resources).alias("resource_pos", "r"))
     level = level.select(
         *carry,
         "resource_pos",
         attributes_json("r.resource.attributes").alias("resource_attributes"),
         attributes_encodable("r.resource.attributes").alias("resource_ok"),
-        F.posexplode(F.col(f"r.{scopes}")).alias("scope_pos", "s"),
+        F.col(f"r.{scopes}").alias("scopes"),
+    )
+    level = level.select(
+        *carry, "resource_pos", "resource_attributes", "resource_ok", F.posexplode("scopes").alias("scope_pos", "s")
     )
     return level.select(
         *carry,
@@ -48,8 +53,8 @@ def flatten_logs(payloads: DataFrame, carry: list[str] | None = None) -> DataFra
         *carry,
         *POSITIONS,
         nanos_to_timestamp(rec("rec.time_unix_nano")).alias("timestamp"),
-        hex_or_null("rec.trace_id").alias("trace_id"),
-        hex_or_null("rec.span_id").alias("span_id"),
+        trace_id_text("rec.trace_id").alias("trace_id"),
+        span_id_text("rec.span_id").alias("span_id"),
         F.coalesce(rec("rec.severity_number"), F.lit(0)).alias("severity_number"),
         null_if_empty(rec("rec.severity_text")).alias("severity_text"),
         body_text("rec.body").alias("body"),
@@ -74,9 +79,9 @@ def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataF
     return _exploded(payloads, "resource_spans", "scope_spans", "spans", carry).select(
         *carry,
         *POSITIONS,
-        hex_or_null("rec.trace_id").alias("trace_id"),
-        hex_or_null("rec.span_id").alias("span_id"),
-        hex_or_null("rec.parent_span_id").alias("parent_span_id"),
+        trace_id_text("rec.trace_id").alias("trace_id"),
+        span_id_text("rec.span_id").alias("span_id"),
+        span_id_text("rec.parent_span_id").alias("parent_span_id"),
         F.coalesce(rec("rec.name"), F.lit("")).alias("name"),
         F.coalesce(rec("rec.kind"), F.lit(0)).alias("kind"),
         nanos_to_timestamp(start).alias("start_time"),

@@ -39,6 +39,10 @@ class CatalogState:
     def snapshot_id(self) -> int:
         return sum(self.files.values())
 
+    def after(self, newer: "CatalogState") -> "CatalogState":
+        """The totals once newer commits, which continue from these, are in."""
+        return CatalogState({**self.files, **newer.files}, {**self.records, **newer.records})
+
 
 def read_state(commits: DataFrame) -> CatalogState:
     """One small row per table; the number of tables is fixed by the options."""
@@ -93,6 +97,7 @@ def number_commits(
     return numbered.selectExpr(
         *manifest.columns,
         f"{all_files} AS snapshot_id",
+        "CAST(NULL AS BIGINT) AS end_snapshot",
         f"{all_files} - 1 AS data_file_id",
         f"{n_files} - 1 AS file_order",
         f"{of_table({s: f'_records_{s}' for s in signals})} AS next_row_id",
@@ -268,7 +273,7 @@ def data_files(commits: DataFrame) -> DataFrame:
         "data_file_id",
         "table_id",
         F.col("snapshot_id").alias("begin_snapshot"),
-        F.lit(None).cast("bigint").alias("end_snapshot"),
+        "end_snapshot",
         "file_order",
         base_name(F.col("path")).alias("path"),
         F.lit(True).alias("path_is_relative"),

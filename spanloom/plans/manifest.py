@@ -93,10 +93,11 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def live_files(commits: DataFrame, snapshot_id: int | None = None) -> DataFrame:
-    """Files a reader of a snapshot sees. Files are never removed, so only the first snapshot bounds them."""
+    """Files a reader of a snapshot sees, by default of the newest one."""
+    end = F.col("end_snapshot")
     if snapshot_id is None:
-        return commits
-    return commits.filter(F.col("snapshot_id") <= snapshot_id)
+        return commits.filter(end.isNull())
+    return commits.filter((F.col("snapshot_id") <= snapshot_id) & (end.isNull() | (end > snapshot_id)))
 
 
 def may_hold(column: str, low: int | None = None, high: int | None = None) -> Column:

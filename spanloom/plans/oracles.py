@@ -7,6 +7,8 @@ from spanloom.schemas import LOGS, TRACES, Signal
 START_MICROS = 1_704_067_200_000_000
 TICK_MICROS = 86_400_000_000
 BATCH_SIZE = 100
+WRITE_TICK_MICROS = 5 * 86_400_000_000
+WRITE_BATCH_SIZE = 1000
 TRACE_KEY = "cfcd208495d565ef66e7dff9f98764da"
 
 _TEXT = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f') || '+00'"
@@ -61,13 +63,17 @@ def _rows(signal: Signal) -> str:
     return LOG_ROWS if signal is LOGS else SPAN_ROWS
 
 
-def _batches(signal: Signal) -> str:
+def _batches(signal: Signal, batch_size: int = BATCH_SIZE, tick_micros: int = TICK_MICROS) -> str:
     return f"""
-SELECT *, (row_number() OVER (PARTITION BY tick ORDER BY arrival) - 1) // {BATCH_SIZE} AS seq
-FROM (SELECT *, (epoch_us({signal.time_column}) - {START_MICROS}) // {TICK_MICROS} AS tick
+SELECT *, (row_number() OVER (PARTITION BY tick ORDER BY arrival) - 1) // {batch_size} AS seq
+FROM (SELECT *, (epoch_us({signal.time_column}) - {START_MICROS}) // {tick_micros} AS tick
       FROM ({_rows(signal)}))"""
 
 
+def _written(signal: Signal) -> str:
+    return _batches(signal, WRITE_BATCH_SIZE, WRITE_TICK_MICROS)
+
+
 def _text(name: str, kind: str) -> str:
     return _TEXT.format(c=name) if kind == "timestamptz" else f"coalesce(CAST({name} AS VARCHAR), '')"
 
@@ -288,13 +294,13 @@ CROSS JOIN (SELECT count(*) AS record_count, CAST(sum(duration_ns) AS BIGINT) AS
 WHERE timestamp > (SELECT max(ts) FROM events) - INTERVAL '1' DAY
 ORDER BY timestamp DESC, severity_text, body LIMIT 100""",
     "scan_catalog_table": f"""SELECT dense_rank() OVER (ORDER BY tick, seq) - 1 AS file_order, timestamp, trace_id,
-  severity_text, body FROM ({_batches(LOGS)})""",
+  severity_text, body FROM ({_written(LOGS)})""",
     "scan_as_of_snapshot": f"""SELECT timestamp, trace_id, severity_text, body
-FROM (SELECT *, dense_rank() OVER (ORDER BY tick, seq) AS snapshot_id FROM ({_batches(LOGS)}))
+FROM (SELECT *, dense_rank() OVER (ORDER BY tick, seq) AS snapshot_id FROM ({_written(LOGS)}))
 QUALIFY snapshot_id <= (max(snapshot_id) OVER ()) // 2""",
     "prune_files_minmax": f"""WITH f AS (
-  SELECT tick, seq, min(start_time) AS lo, max(start_time) AS hi FROM ({_batches(TRACES)}) GROUP BY tick, seq),
-r AS (SELECT make_timestamp({START_MICROS + 10 * TICK_MICROS}) AS lo, make_timestamp({START_MICROS + 12 * TICK_MICROS}) AS hi)
+  SELECT tick, seq, min(start_time) AS lo, max(start_time) AS hi FROM ({_written(TRACES)}) GROUP BY tick, seq),
+r AS (SELECT make_timestamp({START_MICROS + 11 * TICK_MICROS}) AS lo, make_timestamp({START_MICROS + 13 * TICK_MICROS}) AS hi)
 SELECT (SELECT count(*) FROM f) AS files_total,
   (SELECT count(*) FROM f, r WHERE f.hi >= r.lo AND f.lo < r.hi) AS files_read,
   count(*) AS rows_found, CAST(sum(duration_ns) AS BIGINT) AS duration_ns
@@ -302,7 +308,7 @@ FROM ({SPAN_ROWS}) s, r WHERE s.start_time >= r.lo AND s.start_time < r.hi""",
     "bloom_point_lookup": f"""SELECT row_number() OVER (ORDER BY tick, seq) - 1 AS file_order, count(*) AS record_count,
   count(*) FILTER (WHERE trace_id = '{TRACE_KEY}') AS key_rows,
   count(*) FILTER (WHERE trace_id = '{TRACE_KEY}') = 0 AS excludes
-FROM ({_batches(TRACES)}) GROUP BY tick, seq""",
+FROM ({_written(TRACES)}) GROUP BY tick, seq""",
     # --- manifest and catalog
     "manifest_files": f"""SELECT table_name, tick, seq, split_part(path, '/', -1) AS file_name, record_count,
   file_size_bytes, commit_time FROM ({_manifest()})""",

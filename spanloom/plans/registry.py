@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions.json_text import attributes_json, body_text, events_json, links_json
-from spanloom.functions.scalars import hex_or_null, timestamp_text, translate_path
+from spanloom.functions.scalars import span_id_text, timestamp_text, trace_id_text, translate_path
 from spanloom.operators import stats
 from spanloom.operators.batching import assign_file_batches
 from spanloom.operators.flatten import (
+    ENCODABLE,
     encodable_rows,
-    flatten,
     flatten_logs,
     flatten_traces,
     insert_missing_attributes,
-    rejected_rows,
 )
 from spanloom.operators.sink import configured_writer, write_batches
 from spanloom.options import CODECS, LakeOptions
@@ -32,12 +31,15 @@ from spanloom.streaming import ingest
 START_MICROS = 1_704_067_200_000_000
 TICK_SECONDS = 86_400
 BATCH_SIZE = 100
+# Written tables are cut more coarsely, so that files are not tiny.
+WRITE_TICK_SECONDS = 5 * 86_400
+WRITE_BATCH_SIZE = 1_000
 OUTPUT_PATH = "/staging/lake"
 DATA_PATH = "/lake"
 TRACE_KEY = "cfcd208495d565ef66e7dff9f98764da"
 SERVICE = "svc-3"
 SPLIT_TICK = 15
-PRUNE_FROM_TICK, PRUNE_TO_TICK = 10, 12
+PRUNE_DAYS = (11, 13)
 SEQ_BLOCK = 60_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,13 +68,19 @@ def _options(output_path: str = OUTPUT_PATH, data_path: str = DATA_PATH, **more)
     return LakeOptions(output_path=output_path, data_path=data_path, **more)
 
 
-def _batches(spark: SparkSession, sf_dir: str, signal: Signal) -> DataFrame:
+def _write_options(spark: SparkSession, **more) -> LakeOptions:
+    more = {"batch_size": WRITE_BATCH_SIZE, "batch_timeout_seconds": WRITE_TICK_SECONDS, **more}
+    return _options(new_scratch(spark, "lake"), "", **more)
+
+
+def _batches(spark: SparkSession, sf_dir: str, signal: Signal, options: LakeOptions | None = None) -> DataFrame:
+    options = options or _options()
     return assign_file_batches(
         source.rows(_events(spark, sf_dir), signal),
         time=signal.time_column,
         arrival="arrival",
-        batch_size=BATCH_SIZE,
-        timeout_seconds=TICK_SECONDS,
+        batch_size=options.batch_size,
+        timeout_seconds=options.batch_timeout_seconds,
         start_micros=START_MICROS,
     )
 
@@ -102,8 +110,8 @@ def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(spark: SparkSession, sf_dir: str, signal: Signal) -> tuple[LakeOptions, str]:
     """The table of a signal as real files."""
-    options = _options(new_scratch(spark, "lake"), "")
-    folder = write_batches(_batches(spark, sf_dir, signal), signal, options, arrival="arrival")
+    options = _write_options(spark)
+    folder = write_batches(_batches(spark, sf_dir, signal, options), signal, options, arrival="arrival")
     return options, folder
 
 
@@ -194,7 +202,7 @@ def id_hex(spark, sf_dir):
     trace = F.expr("unhex(CASE WHEN event_id % 6 = 0 THEN repeat('0', 32) ELSE upper(md5(CAST(event_id AS STRING))) END)")
     span = F.expr("unhex(CASE WHEN event_id % 4 = 0 THEN repeat('0', 16) ELSE substr(md5(CAST(event_id AS STRING)), 1, 16) END)")
     return _events(spark, sf_dir).select("event_id", trace.alias("t"), span.alias("s")).select(
-        "event_id", hex_or_null("t").alias("trace_id"), hex_or_null("s").alias("span_id")
+        "event_id", trace_id_text("t").alias("trace_id"), span_id_text("s").alias("span_id")
     )
 
 
@@ -247,12 +255,8 @@ def reject_unencodable(spark, sf_dir):
     )
     rows = flatten_logs(source.nested(events, record, "resource_logs", "scope_logs", "log_records"))
 
-    def counted(part, outcome):
-        return part.groupBy("body").agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.col("body").alias("event_type"), F.lit(outcome).alias("outcome"), "n_rows"
-        )
-
-    return counted(encodable_rows(rows), "kept").unionByName(counted(rejected_rows(rows), "rejected"))
+    outcome = F.when(F.col(ENCODABLE), "kept").otherwise("rejected").alias("outcome")
+    return rows.groupBy(F.col("body").alias("event_type"), outcome).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
@@ -376,7 +380,7 @@ def write_codecs(spark, sf_dir):
     """The span table once per codec: rows, a checksum, and the file name ending."""
     parts = []
     for codec in CODECS:
-        options = _options(new_scratch(spark, "codec"), "", compression=codec)
+        options = _write_options(spark, compression=codec)
         folder = options.table_dir("traces")
         configured_writer(_rows(spark, sf_dir, TRACES), options, options.traces_table).parquet(folder)
         ending = F.regexp_extract(F.col("_metadata.file_name"), r"((\.[a-z]+)?\.parquet)$", 1)
@@ -446,7 +450,7 @@ def prune_files_minmax(spark, sf_dir):
     """Spans of two days: files in all, files left by their bounds, and rows found in those."""
     options, folder = _written(spark, sf_dir, TRACES)
     commits = _written_commits(spark, options, folder, TRACES)
-    low, high = (START_MICROS + t * TICK_SECONDS * 1_000_000 for t in (PRUNE_FROM_TICK, PRUNE_TO_TICK))
+    low, high = (START_MICROS + day * 86_400_000_000 for day in PRUNE_DAYS)
     kept = commits.filter(manifest.may_hold("start_time", low, high - 1))
     rows = manifest.scan_files(spark, kept, TRACES, folder).filter(
         (F.col("start_time") >= F.timestamp_micros(F.lit(low))) & (F.col("start_time") < F.timestamp_micros(F.lit(high)))

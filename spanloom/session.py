@@ -53,3 +53,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table that several later steps read (reliable, survives lost executors)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -111,7 +111,7 @@ def _nanos() -> Column:
 
 
 def log_payloads(events: DataFrame) -> DataFrame:
-    """One payload per event, with an empty scope and an empty resource that must give no rows."""
+    """One payload per event; some also have an empty scope and an empty resource, which must give no rows."""
     record = F.struct(
         _nanos().alias("time_unix_nano"),
         _nanos().alias("observed_time_unix_nano"),
@@ -186,10 +186,15 @@ def nested(events: DataFrame, record: Column, resources: str, scopes: str, recor
         return F.struct(F.struct(pairs.alias("attributes")).alias("resource"), items.alias(scopes))
 
     found = F.array(record)
-    scopes_found = F.array(scope("idle", F.slice(found, 1, 0)), scope("events", found))
+    with_idle = F.expr("event_id % 8 = 0")
+    full_scope = scope("events", found)
+    scopes_found = F.when(with_idle, F.array(scope("idle", F.slice(found, 1, 0)), full_scope)).otherwise(
+        F.array(full_scope)
+    )
     full = resource(resource_pairs(), scopes_found)
-    empty = resource(resource_pairs(), F.slice(scopes_found, 1, 0))
-    return events.select(F.col("event_id").alias("arrival"), F.array(empty, full).alias(resources))
+    empty = resource(resource_pairs(), F.slice(F.array(full_scope), 1, 0))
+    payload = F.when(with_idle, F.array(empty, full)).otherwise(F.array(full))
+    return events.select(F.col("event_id").alias("arrival"), payload.alias(resources))
 
 
 def otlp_lines(events: DataFrame, signal: Signal) -> DataFrame:
