@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, DataFrameWriter
-from pyspark.sql import functions as F
 
 from spanloom.options import LakeOptions
 from spanloom.schemas import Signal
@@ -19,6 +18,7 @@ FILES_PER_RUN = 16
 
 def configured_writer(rows: DataFrame, options: LakeOptions, table: str, written_at: datetime | None = None):
     """A writer whose files are named <table>_<UTC time>-<task>-<job id>... and hold at most batch_size rows."""
+    options.validate()
     stamp = (written_at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     writer = (
         rows.write.mode("overwrite")
@@ -41,18 +41,28 @@ def _with_bloom_filters(writer: DataFrameWriter, options: LakeOptions) -> DataFr
     return writer
 
 
+def batch_folder(options: LakeOptions, signal: Signal, commit_id: str) -> str:
+    """Each commit writes below a folder of its own, which a repeated attempt may overwrite."""
+    return f"{options.table_dir(signal.name)}/batch={commit_id}"
+
+
 def write_batches(
-    batches: DataFrame, signal: Signal, options: LakeOptions, *, arrival: str, written_at: datetime | None = None
+    batches: DataFrame,
+    signal: Signal,
+    options: LakeOptions,
+    *,
+    commit_id: str,
+    arrival: str,
+    written_at: datetime | None = None,
 ) -> str:
     """Write rows that carry (tick, seq) so that every (tick, seq) becomes one file below tick=<n>/.
 
     One shuffle on runs of files. Inside a task rows are ordered by tick and seq; only the last run of a tick has
     a file that is not full, and it sorts last in its tick, so cutting at batch_size rows cuts between batches.
     """
-    folder = options.table_dir(signal.name)
-    run = F.call_function("div", F.col("seq"), F.lit(FILES_PER_RUN).cast("bigint"))
+    folder = batch_folder(options, signal, commit_id)
     rows = (
-        batches.withColumn("_run", run)
+        batches.selectExpr("*", f"seq div {FILES_PER_RUN} AS _run")
         .repartition("tick", "_run")
         .sortWithinPartitions("tick", "seq", arrival)
         .select(*signal.column_names, "tick")

@@ -111,6 +111,12 @@ def may_hold(column: str, low: int | None = None, high: int | None = None) -> Co
     return keep
 
 
+def newest_time(commits: DataFrame, column: str) -> Column:
+    """The latest time in a table as a scalar, from the files' bounds instead of their rows."""
+    bounds = commits.select(F.inline("typed_bounds")).filter(F.col("column_name") == column)
+    return bounds.agg(F.timestamp_micros(F.max("max_value"))).scalar()
+
+
 def scan_files(
     spark: SparkSession,
     files: DataFrame,

@@ -20,9 +20,9 @@ from spanloom.operators.flatten import (
 )
 from spanloom.operators.sink import configured_writer, write_batches
 from spanloom.options import CODECS, LakeOptions
-from spanloom.plans import catalog, manifest, queries
+from spanloom.plans import catalog, commit, manifest, queries
 from spanloom.schemas import LOGS, TRACES, Signal
-from spanloom.session import checkpointed, configure, new_scratch
+from spanloom.session import checkpointed, configure, new_scratch, size_shuffles
 from spanloom.sources import events as source
 from spanloom.sources import otlp_json, tables
 from spanloom.streaming import ingest
@@ -56,7 +56,8 @@ def query(fn: Query) -> Query:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source.read_events(configure(spark), sf_dir)
+    size_shuffles(configure(spark), f"{sf_dir}/events.parquet")
+    return source.read_events(spark, sf_dir)
 
 
 def _rows(spark: SparkSession, sf_dir: str, signal: Signal) -> DataFrame:
@@ -111,7 +112,7 @@ def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written(spark: SparkSession, sf_dir: str, signal: Signal) -> tuple[LakeOptions, str]:
     """The table of a signal as real files."""
     options = _write_options(spark)
-    folder = write_batches(_batches(spark, sf_dir, signal, options), signal, options, arrival="arrival")
+    folder = write_batches(_batches(spark, sf_dir, signal, options), signal, options, commit_id="all", arrival="arrival")
     return options, folder
 
 
@@ -126,13 +127,13 @@ def _written_commits(spark: SparkSession, options: LakeOptions, folder: str, sig
 
 @query
 def flatten_logs_(spark, sf_dir):
-    rows = encodable_rows(flatten_logs(source.log_payloads(_events(spark, sf_dir))))
+    rows = encodable_rows(flatten_logs(source.log_payloads(source.spread(_events(spark, sf_dir)))))
     return rows.select(*LOGS.column_names)
 
 
 @query
 def flatten_traces_(spark, sf_dir):
-    rows = encodable_rows(flatten_traces(source.span_payloads(_events(spark, sf_dir))))
+    rows = encodable_rows(flatten_traces(source.span_payloads(source.spread(_events(spark, sf_dir)))))
     return rows.select(*TRACES.column_names)
 
 
@@ -627,10 +628,10 @@ def catalog_commit(spark, sf_dir):
     """Two commits one after the other, the second of them tried twice."""
     options = _options(new_scratch(spark, "lake"), "")
     files = checkpointed(_manifest(spark, sf_dir, options))
-    ingest.commit_files(files.filter(F.col("tick") < SPLIT_TICK), options, "first", seq_block=4096)
+    commit.commit_files(files.filter(F.col("tick") < SPLIT_TICK), options, "first", seq_block=4096)
     for _ in range(2):
-        ingest.commit_files(files.filter(F.col("tick") >= SPLIT_TICK), options, "second", seq_block=4096)
-    return ingest.read_commits(spark, options).select(
+        commit.commit_files(files.filter(F.col("tick") >= SPLIT_TICK), options, "second", seq_block=4096)
+    return commit.read_commits(spark, options).select(
         "commit_id", "table_name", "tick", "seq", "snapshot_id", "data_file_id", "file_order", "record_count",
         "next_row_id", "schema_version", "next_catalog_id", "next_file_id", "first_column_id",
     )
@@ -658,7 +659,7 @@ def _ingested(spark, sf_dir, signal: Signal, landing: str, options: LakeOptions)
 def _streamed(spark: SparkSession, sf_dir: str, signal: Signal) -> DataFrame:
     options = LakeOptions(output_path=new_scratch(spark, "lake"))
     _ingested(spark, sf_dir, signal, _landing(spark, sf_dir, signal), options)
-    return ingest.read_table(spark, options, signal)
+    return commit.read_table(spark, options, signal)
 
 
 @query
@@ -677,9 +678,9 @@ def stream_commit_idempotent(spark, sf_dir):
     options = LakeOptions(output_path=new_scratch(spark, "lake"))
     landing = _landing(spark, sf_dir, LOGS)
     _ingested(spark, sf_dir, LOGS, landing, options)
-    before = catalog.read_state(ingest.read_commits(spark, options)).snapshot_id
+    before = catalog.read_state(commit.read_commits(spark, options)).snapshot_id
     _ingested(spark, sf_dir, LOGS, landing, options)
-    commits = ingest.read_commits(spark, options)
+    commits = commit.read_commits(spark, options)
     after = catalog.read_state(commits).snapshot_id
-    rows = ingest.read_table(spark, options, LOGS).groupBy("severity_text").agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = commit.read_table(spark, options, LOGS).groupBy("severity_text").agg(F.count(F.lit(1)).alias("n_rows"))
     return rows.select("severity_text", "n_rows", F.lit(after - before).cast("bigint").alias("snapshots_added"))

@@ -55,6 +55,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+# Input bytes per shuffle partition, and the most partitions a shuffle is started with.
+BYTES_PER_PARTITION = 256 << 20
+MOST_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Let shuffles start with as many partitions as the input needs. AQE merges small ones but never splits a
+    whole shuffle that was started too coarse. A larger number that is already set stays."""
+    fs, target = _hadoop_path(spark, path)
+    needed = -(-fs.getContentSummary(target).getLength() // BYTES_PER_PARTITION)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(current, min(needed, MOST_PARTITIONS))
+    spark.conf.set(key, str(partitions))
+    return partitions

@@ -20,6 +20,19 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
+# Inputs with fewer splits than this are small enough to be dealt out again.
+FEW_SPLITS = 32
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores before work that is heavy on CPU.
+
+    A scan has at least one task per 128 MB, so anything large has splits enough and is left alone, without a shuffle.
+    """
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 # Expressions shared by the flat and the nested form.
 _TRACE = "md5(CAST(event_id - event_id % 5 AS STRING))"
 _SPAN = "substr(md5(CAST(event_id AS STRING)), 1, 16)"

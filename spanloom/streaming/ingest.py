@@ -8,76 +8,32 @@ again after a failure replaces its files and is not committed twice.
 from __future__ import annotations
 
 import logging
-import threading
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.operators.flatten import ENCODABLE, encodable_rows, flatten
-from spanloom.operators.sink import write_rows
+from spanloom.operators.sink import batch_folder, write_rows
 from spanloom.options import LakeOptions
-from spanloom.plans.catalog import CatalogState, number_commits, read_state
-from spanloom.plans.manifest import live_files, scan_files, written_manifest
-from spanloom.schemas import COMMIT_SCHEMA, Signal
-from spanloom.session import checkpointed, configure, path_exists
+from spanloom.plans.commit import commit_files, is_committed
+from spanloom.plans.manifest import written_manifest
+from spanloom.schemas import Signal
+from spanloom.session import configure
 
 log = logging.getLogger(__name__)
 
-# The streams of one application share a catalog; numbers are given out by one commit at a time.
-_COMMIT_LOCK = threading.Lock()
-
-_STATES: dict[str, CatalogState] = {}
-
-# Files are numbered by their first time in microseconds; one block per minute.
-_SEQ_BLOCK = 60_000_000
-
-
 def commit_name(stream: str, batch_id: int) -> str:
     return f"{stream}-{batch_id:012d}"
 
 
-def read_commits(spark: SparkSession, options: LakeOptions) -> DataFrame:
-    """All committed files, one row each; none if nothing was committed yet."""
-    if not path_exists(spark, options.commits_dir):
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(options.commits_dir)
-
-
-def _commit_dir(options: LakeOptions, commit_id: str) -> str:
-    return f"{options.commits_dir}/commit_id={commit_id}"
-
-
-def is_committed(spark: SparkSession, options: LakeOptions, commit_id: str) -> bool:
-    return path_exists(spark, f"{_commit_dir(options, commit_id)}/_SUCCESS")
-
-
-def commit_files(manifest: DataFrame, options: LakeOptions, commit_id: str, seq_block: int = _SEQ_BLOCK) -> None:
-    """Number new files after all committed ones and append them as one commit.
-
-    One application owns a catalog: it reads the totals of earlier commits once and then carries them along, so the
-    work of a commit does not grow with the number of commits.
-    """
-    spark = manifest.sparkSession
-    manifest = checkpointed(manifest)
-    with _COMMIT_LOCK:
-        if is_committed(spark, options, commit_id):
-            return
-        state = _STATES.get(options.commits_dir) or read_state(read_commits(spark, options))
-        numbered = number_commits(manifest, options, state, seq_block)
-        # The folder is the commit's own: overwriting it replaces what a failed attempt left.
-        folder = _commit_dir(options, commit_id)
-        numbered.write.mode("overwrite").parquet(folder)
-        _STATES[options.commits_dir] = state.after(read_state(spark.read.schema(COMMIT_SCHEMA).parquet(folder)))
-
-
 def ingest_batch(payloads: DataFrame, batch_id: int, *, signal: Signal, options: LakeOptions, stream: str) -> None:
     """One micro-batch. Records that cannot be encoded are counted, logged and left out."""
     spark = configure(payloads.sparkSession)
     commit_id = commit_name(stream, batch_id)
     if is_committed(spark, options, commit_id):
         return
-    folder = f"{options.table_dir(signal.name)}/batch={commit_id}"
+    folder = batch_folder(options, signal, commit_id)
     seen = Observation()
     rows = flatten(payloads, signal).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")
@@ -113,10 +69,3 @@ def start_ingest(
     if drain:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{options.batch_timeout_seconds} seconds").start()
-
-
-def read_table(spark: SparkSession, options: LakeOptions, signal: Signal, snapshot_id: int | None = None) -> DataFrame:
-    """A stored table as the catalog sees it, by default at its newest snapshot."""
-    table = options.table(signal.name)
-    files = read_commits(spark, options).filter(F.col("table_name") == table)
-    return scan_files(spark, live_files(files, snapshot_id), signal, options.table_dir(signal.name))

@@ -17,7 +17,7 @@ from spanloom.operators.numbering import running_totals
 from spanloom.operators.sink import write_batches
 from spanloom.operators.stats import file_stats
 from spanloom.options import LakeOptions, OptionsError
-from spanloom.plans import catalog, manifest
+from spanloom.plans import catalog, commit, manifest, queries
 from spanloom.schemas import LOGS, TRACES
 from spanloom.session import new_scratch, shared_dir
 from spanloom.sources import otlp_json, tables
@@ -230,7 +230,7 @@ def test_hot_tick_is_written_as_full_files(spark, tmp_path):
         log_rows(events_at(spark, seconds)), time="timestamp", arrival="arrival", batch_size=20, timeout_seconds=60,
         start_micros=BASE // 1000,
     )
-    folder = write_batches(batches, LOGS, options, arrival="arrival")
+    folder = write_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
     files = manifest.written_manifest(spark, folder, LOGS, "otel_logs", F.col("tick")).collect()
     per_tick = defaultdict(list)
     for f in files:
@@ -313,12 +313,12 @@ def test_bloom_filters_and_names_in_files(spark, tmp_path):
         log_rows(events_at(spark, range(50))), time="timestamp", arrival="arrival", batch_size=1000, timeout_seconds=60,
         start_micros=BASE // 1000,
     )
-    folder = write_batches(rows, LOGS, options, arrival="arrival", written_at=datetime(2024, 1, 2, 3, 4, 5))
+    folder = write_batches(rows, LOGS, options, commit_id="c1", arrival="arrival", written_at=datetime(2024, 1, 2, 3, 4, 5))
     found = tables.scan_glob(spark, str(tmp_path), LOGS, "otel_logs")
     assert found.count() == 50
     (path,) = [f.replace("file:", "") for f in found.inputFiles()]
     path = path.replace("//", "/")
-    assert "/main/otel_logs/tick=0/otel_logs_20240102_030405-" in path
+    assert "/main/otel_logs/batch=c1/tick=0/otel_logs_20240102_030405-" in path
     meta = pq.ParquetFile(path).metadata.row_group(0)
     encodings = {meta.column(i).path_in_schema: meta.column(i).encodings for i in range(meta.num_columns)}
     assert not any("DICTIONARY" in e for e in encodings["trace_id"])
@@ -344,28 +344,28 @@ def test_stream_commits_restarts_and_replays(spark, tmp_path):
     folder = landing(tmp_path, "in", flushes)
     progress = new_scratch(spark, "progress")
     run_stream(spark, folder, options, progress)
-    commits = ingest.read_commits(spark, options)
+    commits = commit.read_commits(spark, options)
     assert commits.agg(F.sum("record_count")).first()[0] == 90
     assert commits.count() >= 3
     started = spark.sql("SELECT timestamp'2024-01-01' AS started")
     assert catalog.snapshots(commits, started).count() >= 4
 
     run_stream(spark, folder, options, progress)  # nothing new
-    assert ingest.read_commits(spark, options).count() == commits.count()
+    assert commit.read_commits(spark, options).count() == commits.count()
     (tmp_path / "in" / "more.json").write_text(json.dumps(logs_payload([log_record(i) for i in range(90, 100)])) + "\n")
     run_stream(spark, folder, options, progress)
     bad = {"attributes": [{"key": "x", "value": {"doubleValue": "Infinity"}}]}
     (tmp_path / "in" / "bad.json").write_text(json.dumps(logs_payload([bad])) + "\n")
     run_stream(spark, folder, options, progress)  # a batch with rejected rows only makes no file
-    ingest._STATES.clear()  # as after a restart of the application
+    commit._STATES.clear()  # as after a restart of the application
     spans = {"resourceSpans": [{"scopeSpans": [{"spans": [{"traceId": "ab" * 16, "spanId": "cd" * 8, "name": "s"}]}]}]}
     run_stream(spark, landing(tmp_path, "spans", [[spans]]), options, new_scratch(spark, "progress"), TRACES)
     run_stream(spark, folder, options, new_scratch(spark, "progress"))  # lost progress: every batch again
 
-    commits = ingest.read_commits(spark, options)
-    rows = ingest.read_table(spark, options, LOGS)
+    commits = commit.read_commits(spark, options)
+    rows = commit.read_table(spark, options, LOGS)
     assert rows.count() == 100 and rows.select("body").distinct().count() == 100
-    assert ingest.read_table(spark, options, TRACES).count() == 1
+    assert commit.read_table(spark, options, TRACES).count() == 1
     n = commits.count()
     assert sorted(r.snapshot_id for r in commits.collect()) == list(range(1, n + 1))
     files = catalog.data_files(commits)
@@ -374,7 +374,7 @@ def test_stream_commits_restarts_and_replays(spark, tmp_path):
     assert catalog.columns(commits, options).agg(F.max("column_id")).first()[0] == 33
     assert {r.ok for r in catalog.checks(commits, spark.range(101).agg(F.count("*"))).collect()} == {True}
     first = commits.filter("snapshot_id = 1").first()
-    assert ingest.read_table(spark, options, LOGS, snapshot_id=1).count() == first.record_count
+    assert commit.read_table(spark, options, LOGS, snapshot_id=1).count() == first.record_count
 
 
 def test_scan_files_by_join(spark, tmp_path):
@@ -384,7 +384,7 @@ def test_scan_files_by_join(spark, tmp_path):
         log_rows(events_at(spark, range(100))), time="timestamp", arrival="arrival", batch_size=10, timeout_seconds=60,
         start_micros=BASE // 1000,
     )
-    folder = write_batches(batches, LOGS, options, arrival="arrival")
+    folder = write_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
     files = manifest.written_manifest(spark, folder, LOGS, "otel_logs", F.col("tick"))
     some = files.filter("tick = 0")
     named = manifest.scan_files(spark, some, LOGS, folder)
@@ -394,5 +394,32 @@ def test_scan_files_by_join(spark, tmp_path):
     assert manifest.scan_files(spark, files.filter("tick = 99"), LOGS, folder).count() == 0
 
 
+def test_batch_ingest_through_the_catalog(spark, tmp_path):
+    options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=10, batch_timeout_seconds=60)
+    events = events_at(spark, range(100))
+
+    def store(part, commit_id):
+        batches = assign_file_batches(
+            log_rows(part), time="timestamp", arrival="arrival", batch_size=10, timeout_seconds=60,
+            start_micros=BASE // 1000,
+        )
+        commit.store_batches(batches, LOGS, options, commit_id=commit_id, arrival="arrival")
+
+    store(events.filter("event_id < 60"), "c1")
+    store(events.filter("event_id >= 60"), "c2")
+    store(events.filter("event_id >= 60"), "c2")
+    commits = commit.read_commits(spark, options)
+    assert commits.count() == 10
+    logs = commit.read_table(spark, options, LOGS)
+    assert logs.count() == 100
+    newest = manifest.newest_time(commits, "timestamp")
+    assert spark.range(1).select(newest.alias("t")).first().t == datetime(2024, 1, 1, 0, 1, 39)
+    recent = queries.recent_rows(logs, "timestamp", ["timestamp", "body"], "5 SECONDS", 100)
+    assert recent.count() == 5
+    kept = commits.filter(manifest.may_hold("timestamp", BASE // 1000 + 95 * 10**6))
+    assert kept.count() == 1
+    assert manifest.scan_files(spark, kept, LOGS, options.table_dir("logs")).count() == 10
+
+
 def test_scratch_needs_a_shared_folder(spark):
     assert shared_dir(spark)
