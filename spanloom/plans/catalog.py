@@ -27,6 +27,9 @@ AUTHOR = "spanloom"
 
 _TICKS_PER_BLOCK = 4096
 
+# Up to this many new files are numbered by one sorted task; their number is counted first.
+FEW_FILES = 100_000
+
 
 @dataclass(frozen=True)
 class CatalogState:
@@ -58,7 +61,7 @@ def read_state(commits: DataFrame) -> CatalogState:
 def number_commits(
     manifest: DataFrame, options: LakeOptions, state: CatalogState | None = None, seq_block: int = 4096
 ) -> DataFrame:
-    """Add the catalog numbers to manifest rows.
+    """Add the catalog numbers to manifest rows, which are counted first and should be persisted or checkpointed.
 
     `seq_block` is how many seq values share a numbering block.
     """
@@ -68,16 +71,19 @@ def number_commits(
     for signal, table in signals.items():
         totals[f"_files_{signal}"] = f"CASE WHEN table_name = '{table}' THEN 1 ELSE 0 END"
         totals[f"_records_{signal}"] = f"CASE WHEN table_name = '{table}' THEN record_count ELSE 0 END"
-    marked = manifest.selectExpr(
-        "*", f"tick div {_TICKS_PER_BLOCK} AS _tick_block", f"seq div {seq_block} AS _seq_block"
-    )
-    numbered = running_totals(
-        marked,
-        order=["seq", "table_name", "path"],
-        upper=["_tick_block"],
-        block=["tick", "_seq_block"],
-        totals=totals,
-    )
+    if manifest.limit(FEW_FILES + 1).count() <= FEW_FILES:
+        earlier = "OVER (ORDER BY tick, seq, table_name, path ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        numbered = manifest.selectExpr("*", *[f"sum(CAST({x} AS BIGINT)) {earlier} AS {n}" for n, x in totals.items()])
+    else:
+        numbered = running_totals(
+            manifest.selectExpr(
+                "*", f"tick div {_TICKS_PER_BLOCK} AS _tick_block", f"seq div {seq_block} AS _seq_block"
+            ),
+            order=["seq", "table_name", "path"],
+            upper=["_tick_block"],
+            block=["tick", "_seq_block"],
+            totals=totals,
+        )
     numbered = numbered.selectExpr(
         *manifest.columns,
         *[f"_files_{s} + {state.files.get(t, 0)} AS _files_{s}" for s, t in signals.items()],

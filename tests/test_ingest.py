@@ -377,6 +377,43 @@ def test_stream_commits_restarts_and_replays(spark, tmp_path):
     assert commit.read_table(spark, options, LOGS, snapshot_id=1).count() == first.record_count
 
 
+def test_numbering_is_the_same_for_few_and_many_files(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.choice(["otel_logs", "otel_traces"]), t, s, f"p{t}-{s}", rng.randint(1, 9))
+            for t in rng.sample(range(20_000), 40) for s in range(rng.choice([1, 2, 300]))]
+    files = spark.createDataFrame(rows, "table_name string, tick long, seq long, path string, record_count long")
+    files = files.withColumn("commit_time", F.timestamp_seconds(F.col("tick")))
+    options, state = LakeOptions(output_path="/x"), catalog.CatalogState({"otel_logs": 5}, {"otel_logs": 50})
+    few = catalog.number_commits(files, options, state)
+    monkeypatch.setattr(catalog, "FEW_FILES", 10)
+    many = catalog.number_commits(files, options, state, seq_block=64)
+    assert few.columns == many.columns
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert sorted(r.snapshot_id for r in many.collect()) == list(range(6, 6 + len(rows)))
+
+
+def test_two_streams_share_a_catalog(spark, tmp_path):
+    """Logs and traces ingested at the same time get one gap-free sequence of snapshots."""
+    options = LakeOptions(output_path=str(tmp_path / "lake"))
+    logs = landing(tmp_path, "logs", [[logs_payload([log_record(i)])] for i in range(3)])
+    spans = [{"traceId": f"{i:032x}", "spanId": f"{i:016x}", "name": "s"} for i in range(1, 4)]
+    traces = landing(tmp_path, "traces", [[{"resourceSpans": [{"scopeSpans": [{"spans": [s]}]}]}] for s in spans])
+    running = [
+        ingest.start_ingest(
+            otlp_json.stream_otlp_json(spark, folder, signal, files_per_batch=1), signal, options,
+            checkpoint=new_scratch(spark, "progress"), drain=True,
+        )
+        for folder, signal in ((logs, LOGS), (traces, TRACES))
+    ]
+    for stream in running:
+        stream.awaitTermination()
+    commits = commit.read_commits(spark, options).collect()
+    assert sorted(c.snapshot_id for c in commits) == list(range(1, 7))
+    for table in ("otel_logs", "otel_traces"):
+        own = sorted((c for c in commits if c.table_name == table), key=lambda c: c.snapshot_id)
+        assert [c.file_order for c in own] == [0, 1, 2] and [c.next_row_id for c in own] == [1, 2, 3]
+
+
 def test_scan_files_by_join(spark, tmp_path):
     """Beyond the bound on named files the scan filters the folder by a join, with the same result."""
     options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=10)
