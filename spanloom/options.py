@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -11,6 +13,30 @@ CODECS = ("SNAPPY", "GZIP", "ZSTD", "UNCOMPRESSED")
 SCHEMA_NAME = "main"
 
 
+# The names options have in a settings file, and the units of a duration in seconds.
+SETTINGS = {
+    "output_path": "output_path",
+    "data_path": "data_path",
+    "batch_size": "batch_size",
+    "batch_timeout": "batch_timeout_seconds",
+    "compression": "compression",
+    "enable_bloom_filters": "enable_bloom_filters",
+    "logs_table_name": "logs_table",
+    "traces_table_name": "traces_table",
+}
+UNITS = {"ms": 0.001, "s": 1.0, "m": 60.0, "h": 3600.0}
+
+
+def seconds(duration: str | int | float) -> float:
+    """A duration like 10s, 1m30s or 250ms; a bare number is seconds."""
+    if isinstance(duration, (int, float)):
+        return float(duration)
+    parts = re.findall(r"([0-9.]+)(ms|s|m|h)", duration)
+    if not parts or "".join(n + u for n, u in parts) != duration:
+        raise OptionsError(f"not a duration: {duration}")
+    return sum(float(n) * UNITS[u] for n, u in parts)
+
+
 class OptionsError(ValueError):
     """All problems found, one per line."""
 
@@ -26,6 +52,21 @@ class LakeOptions:
     logs_table: str = "otel_logs"
     traces_table: str = "otel_traces"
 
+    @classmethod
+    def from_settings(cls, settings: Mapping) -> "LakeOptions":
+        """From a parsed settings file. Sections may be nested; settings of other parts of a pipeline are left alone."""
+        found: dict = {"output_path": ""}
+
+        def collect(section: Mapping) -> None:
+            for key, value in section.items():
+                if isinstance(value, Mapping):
+                    collect(value)
+                elif key in SETTINGS:
+                    found[SETTINGS[key]] = seconds(value) if key == "batch_timeout" else value
+
+        collect(settings)
+        return cls(**found)
+
     def __post_init__(self):
         # Object stores are addressed the same way by writer and reader, so the two paths cannot differ there.
         if self._scheme() not in ("", "file") or not self.data_path:

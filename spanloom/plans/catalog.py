@@ -115,6 +115,11 @@ def number_commits(
     )
 
 
+def _unset(*names: str, kind: str = "bigint") -> list[Column]:
+    """Catalog columns that are never filled."""
+    return [F.lit(None).cast(kind).alias(name) for name in names]
+
+
 def bootstrap(spark: SparkSession, options: LakeOptions, started: DataFrame, existing: DataFrame | None = None):
     """Rows of a new catalog as (catalog_table, key, value); none if `existing` snapshots contain snapshot 0.
 
@@ -185,10 +190,12 @@ def tables(commits: DataFrame) -> DataFrame:
 def schemas(started: DataFrame) -> DataFrame:
     return started.select(
         F.lit(0).cast("bigint").alias("schema_id"),
+        _stable_uuid(F.lit(f"schema/{SCHEMA_NAME}")).alias("schema_uuid"),
+        F.lit(0).cast("bigint").alias("begin_snapshot"),
+        *_unset("end_snapshot"),
         F.lit(SCHEMA_NAME).alias("schema_name"),
         F.lit(f"{SCHEMA_NAME}/").alias("path"),
         F.lit(True).alias("path_is_relative"),
-        F.lit(0).cast("bigint").alias("begin_snapshot"),
     )
 
 
@@ -214,7 +221,9 @@ def columns(commits: DataFrame, options: LakeOptions) -> DataFrame:
             (F.col("pos") + 1).cast("bigint").alias("column_order"),
             "c.column_name",
             "c.column_type",
+            *_unset("initial_default", "default_value", kind="string"),
             F.lit(True).alias("nulls_allowed"),
+            *_unset("parent_column"),
         )
     )
 
@@ -286,6 +295,8 @@ def data_files(commits: DataFrame) -> DataFrame:
         F.lit(FILE_FORMAT).alias("file_format"),
         "record_count",
         "file_size_bytes",
+        *_unset("footer_size", "row_id_start", "partition_id"),
+        *_unset("encryption_key", "partial_file_info", kind="string"),
         "mapping_id",
     )
 
@@ -305,6 +316,7 @@ def file_column_stats(commits: DataFrame, options: LakeOptions) -> DataFrame:
         "min_value",
         "max_value",
         F.lit(False).alias("contains_nan"),
+        *_unset("extra_stats", kind="string"),
     )
 
 
@@ -327,7 +339,7 @@ def table_stats_history(commits: DataFrame) -> DataFrame:
 
 def table_column_stats(commits: DataFrame, options: LakeOptions) -> DataFrame:
     merged = merge_column_stats(file_column_stats(commits, options), ["table_id", "column_id"])
-    return merged.withColumn("contains_nan", F.lit(False))
+    return merged.select("*", F.lit(False).alias("contains_nan"), *_unset("extra_stats", kind="string"))
 
 
 def table_exists(commits: DataFrame, started: DataFrame, names: list[str]) -> DataFrame:

@@ -151,14 +151,16 @@ _SNAPSHOTS = """
 _DATA_FILES = """
   SELECT c.snapshot_id - 1 AS data_file_id, t.table_id, c.snapshot_id AS begin_snapshot,
     CAST(NULL AS BIGINT) AS end_snapshot, c.file_order, split_part(c.path, '/', -1) AS path,
-    true AS path_is_relative, 'PARQUET' AS file_format, c.record_count, c.file_size_bytes, t.table_id AS mapping_id
+    true AS path_is_relative, 'PARQUET' AS file_format, c.record_count, c.file_size_bytes,
+    CAST(NULL AS BIGINT) AS footer_size, CAST(NULL AS BIGINT) AS row_id_start, CAST(NULL AS BIGINT) AS partition_id,
+    CAST(NULL AS VARCHAR) AS encryption_key, CAST(NULL AS VARCHAR) AS partial_file_info, t.table_id AS mapping_id
   FROM commits c JOIN created t ON t.table_name = c.table_name"""
 
 
 def _all_file_column_stats() -> str:
     return f"""
   SELECT c.snapshot_id - 1 AS data_file_id, cc.table_id, cc.column_id, s.column_size_bytes, s.value_count,
-    s.null_count, s.min_value, s.max_value, false AS contains_nan
+    s.null_count, s.min_value, s.max_value, false AS contains_nan, CAST(NULL AS VARCHAR) AS extra_stats
   FROM (SELECT 'otel_logs' AS table_name, * FROM ({_column_stats(LOGS)})
         UNION ALL SELECT 'otel_traces', * FROM ({_column_stats(TRACES)})) s
   JOIN commits c ON c.table_name = s.table_name AND c.tick = s.tick AND c.seq = s.seq
@@ -330,14 +332,17 @@ SELECT c.snapshot_id, CASE WHEN c.file_order = 0 THEN 'created_table:' || c.tabl
   'Added data file for table ' || c.table_name || ' (table_id=' || CAST(t.table_id AS VARCHAR) || ')', NULL
 FROM commits c JOIN created t ON t.table_name = c.table_name""",
     "catalog_tables": _COMMITS
-    + """SELECT table_id, begin_snapshot, CAST(1 AS BIGINT) AS reference_begin_snapshot,
+    + """SELECT table_id, regexp_replace(md5('table/' || table_name), '^(.{8})(.{4})(.{4})(.{4})(.{12})$',
+    '\\1-\\2-\\3-\\4-\\5') AS table_uuid, begin_snapshot, CAST(1 AS BIGINT) AS reference_begin_snapshot,
   CAST(NULL AS BIGINT) AS end_snapshot, CAST(0 AS BIGINT) AS schema_id, table_name, table_name || '/' AS path,
   true AS path_is_relative, table_id AS mapping_id,
   (SELECT min(column_id) FROM catalog_columns c WHERE c.table_id = created.table_id) AS first_column_id
 FROM created""",
     "catalog_columns": _COMMITS
     + """SELECT column_id, begin_snapshot, CAST(1 AS BIGINT) AS reference_begin_snapshot,
-  CAST(NULL AS BIGINT) AS end_snapshot, table_id, column_order, column_name, column_type, true AS nulls_allowed
+  CAST(NULL AS BIGINT) AS end_snapshot, table_id, column_order, column_name, column_type,
+  CAST(NULL AS VARCHAR) AS initial_default, CAST(NULL AS VARCHAR) AS default_value, true AS nulls_allowed,
+  CAST(NULL AS BIGINT) AS parent_column
 FROM catalog_columns""",
     "catalog_column_mapping": _COMMITS
     + "SELECT table_id AS mapping_id, table_id, 'map_by_name' AS type FROM created",
@@ -356,7 +361,7 @@ FROM commits c JOIN created t ON t.table_name = c.table_name""",
     "table_column_stats": _COMMITS
     + f"""SELECT table_id, column_id, bool_or(null_count > 0) AS contains_null,
   coalesce(min(nullif(min_value, '')), '') AS min_value, coalesce(max(nullif(max_value, '')), '') AS max_value,
-  false AS contains_nan
+  false AS contains_nan, CAST(NULL AS VARCHAR) AS extra_stats
 FROM ({_all_file_column_stats()}) GROUP BY table_id, column_id""",
     "next_ids": _COMMITS
     + """SELECT max(schema_version) AS schema_version, max(schema_version) + 1 AS next_catalog_id,
@@ -403,6 +408,11 @@ UNION ALL SELECT 'mapping_ids_not_zero', min(table_id) >= 1 FROM created""",
   CASE WHEN file_order = 0 THEN (SELECT min(column_id) FROM catalog_columns c JOIN created t ON t.table_id = c.table_id
    WHERE t.table_name = v.table_name) END AS first_column_id
 FROM versions v""",
+    "catalog_schemas": """SELECT CAST(0 AS BIGINT) AS schema_id, regexp_replace(md5('schema/main'),
+    '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS schema_uuid,
+  CAST(0 AS BIGINT) AS begin_snapshot, CAST(NULL AS BIGINT) AS end_snapshot, 'main' AS schema_name, 'main/' AS path,
+  true AS path_is_relative, count(DISTINCT table_name) AS n_tables, CAST(sum(record_count) AS BIGINT) AS record_count
+FROM (""" + _manifest() + ")",
     # --- streams
     "stream_ingest_logs": f"SELECT {_LOG_LIST} FROM ({LOG_ROWS})",
     "stream_ingest_traces": f"SELECT {_SPAN_LIST} FROM ({SPAN_ROWS})",

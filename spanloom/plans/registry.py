@@ -526,7 +526,18 @@ def snapshot_changes(spark, sf_dir):
 
 @query
 def catalog_tables(spark, sf_dir):
-    return catalog.tables(_commits(spark, sf_dir)).drop("table_uuid")
+    return catalog.tables(_commits(spark, sf_dir))
+
+
+@query
+def catalog_schemas(spark, sf_dir):
+    """The schema with the number of its tables and their records."""
+    commits = _commits(spark, sf_dir)
+    files = commits.join(F.broadcast(catalog.tables(commits).select("table_name", "schema_id")), "table_name")
+    held = files.groupBy("schema_id").agg(
+        F.count_distinct("table_name").alias("n_tables"), F.sum("record_count").alias("record_count")
+    )
+    return catalog.schemas(_started(spark, sf_dir)).join(held, "schema_id")
 
 
 @query

@@ -281,6 +281,20 @@ def test_options():
     assert LakeOptions(output_path="s3a:///p").problems() == ["output_path has no bucket or host: s3a:///p"]
 
 
+def test_settings():
+    settings = {
+        "catalog": {"host": "localhost", "port": 5432},
+        "parquet": {"batch_size": 100, "batch_timeout": "1m30s", "compression": "ZSTD", "enable_bloom_filters": False},
+        "lake": {"output_path": "/tmp/x", "logs_table_name": "test_logs", "traces_table_name": "test_traces"},
+    }
+    options = LakeOptions.from_settings(settings).validate()
+    assert options == LakeOptions("/tmp/x", "", 100, 90.0, "ZSTD", False, "test_logs", "test_traces")
+    assert LakeOptions.from_settings({}).problems() == ["output_path must be specified"]
+    assert LakeOptions.from_settings({"batch_timeout": "250ms", "output_path": "/x"}).batch_timeout_seconds == 0.25
+    with pytest.raises(OptionsError):
+        LakeOptions.from_settings({"batch_timeout": "soon"})
+
+
 def test_compat_reader_on_nanosecond_files(spark, tmp_path):
     """Files of another writer: annotated nanosecond timestamps, zero flags left out."""
     n = 3
