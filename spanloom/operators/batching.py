@@ -2,17 +2,29 @@
 
 The buffer is cut when it holds `batch_size` rows and emptied at every tick of a free-running timer, so a row's file
 is fixed by its tick and by its position inside the tick.
+
+Positions are worked out on (tick, arrival) alone. What comes out is a small table of cuts: per block of arrival
+numbers, the files that start in it. Whole rows find their file by a lookup there and are not shuffled for it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spanloom.operators.numbering import running_totals
+from spanloom.session import checkpointed, estimated_bytes
+
+# A block spans at least this many arrival numbers, and a few files. Arrival numbers are unique, so that is also the
+# most rows a block can have, even if most rows fall into a single tick.
+SMALLEST_BLOCK = 4096
+FILES_PER_BLOCK = 4
+BLOCKS_PER_UPPER = 4096
 
-# Width of a numbering block in arrival numbers. Arrival numbers are unique, so a block holds at most this many rows
-# even if most rows fall into a single tick.
-BLOCK_BITS = 12
+# For inputs above this size the table of cuts is made first and counted. Up to FEW_BLOCKS rows (some 100 bytes each) it is
+# broadcast, so that the input itself is not shuffled; beyond, and for small inputs, Spark picks the join.
+SMALL_INPUT = 256 << 20
+FEW_BLOCKS = 1_000_000
 
 
 def tick_of(time: str, start_micros: int, timeout_seconds: float) -> str:
@@ -25,6 +37,24 @@ def tick_of(time: str, start_micros: int, timeout_seconds: float) -> str:
     return f"coalesce(({elapsed} - pmod({elapsed}, {width}L)) div {width}L, -1L)"
 
 
+def file_cuts(arrivals: DataFrame, batch_size: int, block: int) -> DataFrame:
+    """From (tick, arrival, block): per tick and block, the arrivals at which files start, and `earlier`, the number of
+    files of the tick that started before the block."""
+    numbered = running_totals(
+        arrivals.selectExpr("*", f"arrival div {block * BLOCKS_PER_UPPER} AS _upper"),
+        order=["arrival"],
+        block=["block"],
+        upper=["_upper"],
+        totals={"position": "1"},
+        within=["tick"],
+    )
+    # At most a handful of starts per block, since a block is a few files wide.
+    return numbered.groupBy("tick", "block").agg(
+        F.expr(f"(min(position) + {batch_size} - 2) div {batch_size}").alias("earlier"),
+        F.expr(f"collect_list(CASE WHEN (position - 1) % {batch_size} = 0 THEN arrival END)").alias("starts"),
+    )
+
+
 def assign_file_batches(
     df: DataFrame,
     *,
@@ -36,21 +66,19 @@ def assign_file_batches(
 ) -> DataFrame:
     """Add `tick` and `seq`, the file's tick and its number inside the tick.
 
-    `arrival` is a unique integer that grows with arrival, `time` the arrival time.
+    `arrival` is a unique, non-negative integer that grows with arrival, `time` the arrival time. For a large input
+    a job runs over these two columns.
     """
+    block = max(SMALLEST_BLOCK, FILES_PER_BLOCK * batch_size)
+    tick = f"{tick_of(time, start_micros, timeout_seconds)} AS tick"
     number = f"coalesce(CAST({arrival} AS BIGINT), -1L)"
-    marked = df.selectExpr(
-        "*",
-        f"{tick_of(time, start_micros, timeout_seconds)} AS tick",
-        f"shiftright({number}, {2 * BLOCK_BITS}) AS _upper_block",
-        f"shiftright({number}, {BLOCK_BITS}) AS _block",
-    )
-    numbered = running_totals(
-        marked,
-        order=[arrival],
-        block=["_block"],
-        upper=["_upper_block"],
-        totals={"_position": "1"},
-        within=["tick"],
+    arrivals = df.selectExpr(tick, f"{number} AS arrival", f"{number} div {block} AS block")
+    cuts = file_cuts(arrivals, batch_size, block).withColumnRenamed("block", "_block")
+    if estimated_bytes(df) > SMALL_INPUT:
+        cuts = checkpointed(cuts)
+        if cuts.limit(FEW_BLOCKS + 1).count() <= FEW_BLOCKS:
+            cuts = F.broadcast(cuts)
+    found = df.selectExpr("*", tick, f"{number} div {block} AS _block").join(cuts, ["tick", "_block"])
+    return found.selectExpr(
+        *df.columns, "tick", f"earlier + size(filter(starts, s -> s <= {number})) - 1 AS seq"
     )
-    return numbered.selectExpr(*df.columns, "tick", f"(_position - 1) div {batch_size} AS seq")

@@ -65,6 +65,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan; no job runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 # Input bytes per shuffle partition, and the most partitions a shuffle is started with.
 BYTES_PER_PARTITION = 256 << 20
 MOST_PARTITIONS = 100_000

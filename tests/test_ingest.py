@@ -474,3 +474,28 @@ def test_batch_ingest_through_the_catalog(spark, tmp_path):
 
 def test_scratch_needs_a_shared_folder(spark):
     assert shared_dir(spark)
+
+
+def test_file_batches_brute_force(spark, monkeypatch):
+    """Gaps in arrival numbers, a tick with most rows, many blocks; with and without the broadcast table of cuts."""
+    from spanloom.operators import batching
+
+    rng = random.Random(11)
+    arrivals = sorted(rng.sample(range(200_000), 5_000))
+    rows = [(a, datetime(2024, 1, 1) + timedelta(seconds=(0 if i % 3 else i // 100))) for i, a in enumerate(arrivals)]
+    df = spark.createDataFrame(rows, "arrival long, ts timestamp")
+    for batch_size in (1, 7, 1000):
+        want, seen = {}, defaultdict(int)
+        for a, ts in rows:
+            tick = (ts - datetime(2024, 1, 1)).seconds // 10
+            want[a] = (tick, seen[tick] // batch_size)
+            seen[tick] += 1
+        for small, few in ((batching.SMALL_INPUT, 0), (0, batching.FEW_BLOCKS), (0, 3)):
+            monkeypatch.setattr(batching, "SMALL_INPUT", small)
+            monkeypatch.setattr(batching, "FEW_BLOCKS", few)
+            got = assign_file_batches(
+                df, time="ts", arrival="arrival", batch_size=batch_size, timeout_seconds=10, start_micros=BASE // 1000
+            )
+            assert got.columns == ["arrival", "ts", "tick", "seq"]
+            assert {r.arrival: (r.tick, r.seq) for r in got.collect()} == want
+        monkeypatch.undo()
