@@ -12,9 +12,6 @@ from spanloom.schemas import Signal
 ID_COLUMNS = ("trace_id", "span_id")
 FALSE_POSITIVES = 0.01  # about 10 bits per value
 
-# Runs of this many files of a tick are written by one task, so that a busy tick spreads over many tasks.
-FILES_PER_RUN = 16
-
 
 def configured_writer(rows: DataFrame, options: LakeOptions, table: str, written_at: datetime | None = None):
     """A writer whose files are named <table>_<UTC time>-<task>-<job id>... and hold at most batch_size rows."""
@@ -57,13 +54,13 @@ def write_batches(
 ) -> str:
     """Write rows that carry (tick, seq) so that every (tick, seq) becomes one file below tick=<n>/.
 
-    One shuffle on runs of files. Inside a task rows are ordered by tick and seq; only the last run of a tick has
-    a file that is not full, and it sorts last in its tick, so cutting at batch_size rows cuts between batches.
+    One shuffle on (tick, seq), which spreads a busy tick over all tasks. Inside a task rows are ordered by tick and
+    seq; only the last file of a tick is not full, and it sorts last in its tick, so cutting at batch_size rows cuts
+    between files.
     """
     folder = batch_folder(options, signal, commit_id)
     rows = (
-        batches.selectExpr("*", f"seq div {FILES_PER_RUN} AS _run")
-        .repartition("tick", "_run")
+        batches.repartition("tick", "seq")
         .sortWithinPartitions("tick", "seq", arrival)
         .select(*signal.column_names, "tick")
     )

@@ -12,7 +12,8 @@ ERROR_TEXTS = ["ERROR", "FATAL", "Error", "Fatal", "error", "fatal"]
 def newer_than(df: DataFrame, time: str, lookback: str, as_of: Column | None = None) -> Column:
     """Times within `lookback` of `as_of`, by default of the newest row, so that results can be repeated.
 
-    Pass current_timestamp() for a live table. The bound is a scalar subquery and reaches the Parquet scan.
+    Pass current_timestamp() for a live table, or manifest.newest_time() to take the newest time from the catalog. The
+    bound is a scalar subquery and reaches the Parquet scan.
     """
     newest = df.agg(F.max(time)).scalar() if as_of is None else as_of
     return F.col(time) > newest - F.expr(f"INTERVAL {lookback}")
