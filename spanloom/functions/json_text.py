@@ -15,7 +15,7 @@ from spanloom.functions.scalars import TIMESTAMP_TEXT, hex_or_null_text
 NESTING_CHECKED = 8
 
 # Characters that are written as escapes although JSON does not require it.
-ESCAPED = {"<": "\\u003c", ">": "\\u003e", "&": "\\u0026", " ": "\\u2028", " ": "\\u2029"}
+ESCAPED = {"<": r"\u003c", ">": r"\u003e", "&": r"\u0026", "\u2028": r"\u2028", "\u2029": r"\u2029"}
 
 
 def with_escapes_text(json: str) -> str:
