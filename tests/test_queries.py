@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from spanloom.plans import oracles, registry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracles.SQL
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
