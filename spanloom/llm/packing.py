@@ -3,6 +3,7 @@ holds tokens of one document, needs no padding, and sequences of one length form
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,7 @@ from pyspark.sql import types as T
 
 SEQUENCE_TOKENS = 1024
 END_OF_DOCUMENT = 0
-# Distinct words whose ids a task remembers, and texts whose ids it holds at a time.
-REMEMBERED_WORDS = 200_000
+# Texts whose ids a task holds at a time.
 TEXTS_AT_ONCE = 256
 
 PIECES = T.StructType(
@@ -29,33 +29,28 @@ PIECES = T.StructType(
 )
 
 
-class _Encoder(dict):
-    """Text to little-endian 32-bit ids, the same ids that the whole-text encoder gives.
+class _Encoder:
+    """Text to little-endian 32-bit ids.
 
-    No token of this vocabulary's pattern spans a space that is followed by a non-space, so words with their leading
-    space are encoded apart and remembered. Texts with runs of spaces or special tokens take the whole-text way.
+    The vocabulary comes in two forms, which give the same ids: as ranks for a faster library, and as a tokenizer file,
+    which alone knows special tokens. Texts that hold the string of one take the tokenizer.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, ranks: str):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(word): int(number) for word, number in map(bytes.split, lines)}
+        self.ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
         self.whole = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        self[word] = ids = self.all_of(word)
-        return ids
-
-    def all_of(self, text: str) -> bytes:
-        return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if "" in rest or any(s in text for s in self.special):
-            return self.all_of(text)
-        return b"".join([self[first] if first else b"", *map(self.__getitem__, [" " + word for word in rest])])
+        if any(s in text for s in self.special):
+            return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.ordinary.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 def cuts(tokens: int, longest: int = SEQUENCE_TOKENS) -> list[int]:
@@ -64,14 +59,14 @@ def cuts(tokens: int, longest: int = SEQUENCE_TOKENS) -> list[int]:
     return [longest] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = SEQUENCE_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, ranks: str | None = None, longest: int = SEQUENCE_TOKENS) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, bucket, ids) of `docs` (doc_id, text), and sequence_id and offset.
 
     `ids` are little-endian unsigned 32-bit numbers; each document ends with id 0. `bucket` is the logarithm of the
     length: write with partitionBy("bucket") to train on batches of one length. A piece is a sequence of its own, so
     offset is 0 and nothing is padded. Null text is empty (one piece, the end id); a null or repeated doc_id is kept
     as it is, each row having its own pieces; other columns are ignored; an empty table gives no pieces. One pass over
-    the texts, no shuffle. `longest` must be a power of two, `vocabulary` a path that every executor has.
+    the texts, no shuffle. `longest` must be a power of two, `vocabulary` and `ranks` paths that every executor has.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError(f"the longest sequence must be a power of two, not {longest}")
@@ -79,7 +74,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = SEQUENCE
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encoder = _Encoder(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+        path = public_tokenizers.path
+        encoder = _Encoder(vocabulary or path("byte_bpe_50k.json"), ranks or path("byte_bpe_50k.tiktoken"))
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 yield _pieces(batch.slice(at, TEXTS_AT_ONCE), encoder, longest)
