@@ -9,6 +9,8 @@ from ..session import new_scratch
 
 # Keys of one window task in `successors`.
 KEYS_PER_WINDOW_BITS = 12
+# A broadcast holds at most so many 64-bit numbers.
+BROADCAST_ROWS = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +24,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def limited(numbers: DataFrame) -> DataFrame:
+    """A table of one column of 64-bit numbers, marked for broadcast if counting it shows that it is small; beyond that
+    Spark joins it by a shuffle."""
+    return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
+
+
 def whole_text(column: str = "text") -> str:
     """SQL for a text whose null counts as empty."""
     return f"coalesce({column}, '')"

@@ -6,18 +6,18 @@ them whole, at nearly its place, in any line within those edits.
 
 from __future__ import annotations
 
+from string import ascii_lowercase
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, whole_text, written
+from .common import components, limited, whole_text, written
 
 # Edits allowed by the length of the shorter line, the least length first. Lines below the first are compared exactly.
 EDITS = ((16, 1), (256, 2))
 MOST_EDITS = max(e for _, e in EDITS)
-# A broadcast holds at most so many 64-bit numbers; larger sets are joined by a shuffle.
-BROADCAST_ROWS = 1 << 20
-# Letters counted to reject a pair early: an edit changes their counts by two at most.
-COUNTED = "etaoinrshl"
+# Letters counted to reject a pair early: an edit changes all their counts together by two at most.
+COUNTED = ascii_lowercase
 
 
 def edits(length: str) -> str:
@@ -89,11 +89,6 @@ def lines(docs: DataFrame) -> DataFrame:
     return cut.where("trim(line) <> ''").withColumn("h", F.xxhash64("line"))
 
 
-def _limited(df: DataFrame) -> DataFrame:
-    """The table, marked for broadcast if it is counted as small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def near_lines(docs: DataFrame) -> DataFrame:
     """(a, b): hashes of different lines within the edits allowed for the shorter of the two, a < b.
 
@@ -105,10 +100,10 @@ def near_lines(docs: DataFrame) -> DataFrame:
     keyed = every.selectExpr("h", "length(line) AS n", f"inline({_keys()}) AS (key, indexed)")
     shared = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("indexed").alias("indexed"))
     shared = written(shared.where("low <> high AND indexed").select("key"), "line-keys")
-    matched = written(keyed.join(_limited(shared), "key").groupBy("key", "h", "n").agg(F.max("indexed").alias("indexed")), "line-matches")
+    matched = written(keyed.join(limited(shared), "key").groupBy("key", "h", "n").agg(F.max("indexed").alias("indexed")), "line-matches")
     wanted = written(matched.select("h").distinct(), "line-wanted")
     counts = [f"length(line) - length(replace(line, '{c}', '')) AS c{i}" for i, c in enumerate(COUNTED)]
-    texts = every.select("h", "line").join(_limited(wanted), "h").groupBy("h").agg(F.min("line").alias("line"))
+    texts = every.select("h", "line").join(limited(wanted), "h").groupBy("h").agg(F.min("line").alias("line"))
     texts = written(texts.selectExpr("h", "line", *counts), "line-texts")
     names = [f"c{i}" for i in range(len(COUNTED))]
     sized = matched.join(texts.select("h", *names), "h")
