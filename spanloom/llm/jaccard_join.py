@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import components, whole_text, written
+from .common import components, limited, whole_text, written
 
 # Similar: OF times the intersection is at least PART times the union.
 PART, OF = 75, 100
@@ -245,9 +245,10 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             columns = [pa.array([_class(t) for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary()), batch.column(0)]
             yield pa.RecordBatch.from_arrays(columns, names=["class", "tokens", "rep"])
 
-    found = texts.join(wanted.select("rep").distinct(), texts["doc_id"] == F.col("rep")).select("rep", "text")
+    found = texts.join(limited(wanted.select("rep").distinct()), texts["doc_id"] == F.col("rep")).select("rep", "text")
     built = found.mapInArrow(build, "class bigint, tokens binary, rep bigint")
-    return built.join(wanted, ["class", "rep"], "left_semi").dropDuplicates(["class"]).select("class", "tokens")
+    # Of a repeated doc_id only the texts of the class count; where these repeat, links come twice, to no effect.
+    return built.join(limited(wanted.select("class")), "class", "left_semi").select("class", "tokens")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -330,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = written(found.where("kind = 1").select("a", "b").distinct(), "jaccard-families")
     likely = written(_filtered(pairs.select("a", "b").union(star).distinct(), classes), "jaccard-likely")
     wanted = likely.select("a").union(likely.select("b")).union(star.select("a")).union(star.select("b")).distinct()
-    wanted = classes.join(wanted.withColumnRenamed("a", "class"), "class", "left_semi").select("class", "rep")
+    wanted = written(classes.join(wanted.withColumnRenamed("a", "class"), "class", "left_semi").select("class", "rep"), "jaccard-wanted")
     sets = written(_sets(rows, wanted), "jaccard-sets")
     links = written(_verified(likely, sets), "jaccard-links")
     parts = components(links, "jaccard-parts")
