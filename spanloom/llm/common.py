@@ -9,7 +9,7 @@ from ..session import new_scratch
 
 # Keys of one window task in `successors`.
 KEYS_PER_WINDOW_BITS = 12
-# A broadcast holds at most so many 64-bit numbers.
+# Rows of a table of numbers that may be broadcast.
 BROADCAST_ROWS = 1 << 20
 
 
@@ -25,8 +25,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def limited(numbers: DataFrame) -> DataFrame:
-    """A table of one column of 64-bit numbers, marked for broadcast if counting it shows that it is small; beyond that
-    Spark joins it by a shuffle."""
+    """A table of one to three columns of numbers, marked for broadcast if counting it shows that it is small; beyond
+    that Spark joins it by a shuffle."""
     return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
 
 

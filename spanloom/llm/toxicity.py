@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import written
+from .common import limited, written
 
 # The model's size, whatever the corpus: words share WORDS places by hash, counted bigrams BIGRAMS places.
 WORDS = 1 << 20
@@ -276,7 +276,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.where(f"toxic IN (0, 1) AND {fold('labelled_id')} <> {HELD_OUT}").withColumn("fold", F.expr(fold("labelled_id")))
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     counted = known.where(f"fold <> {CALIBRATION}")
-    models = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(counted, F.col("doc_id") == F.col("labelled_id")))
+    models = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(limited(counted), F.col("doc_id") == F.col("labelled_id")))
     scored = written(ratios(texts, models), "toxicity-ratios")
     sample = scored.join(known.where(f"fold = {CALIBRATION}"), F.col("doc_id") == F.col("labelled_id"))
     sample = sample.selectExpr("ratio", "ratio * sqrt(words) AS strength", "toxic", "xxhash64(doc_id) AS h", "doc_id")
