@@ -67,25 +67,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr(whole_text()).alias("text"))
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
     width = max(1, (int(high) - int(low) + 1) * NEIGHBOURS // n) if n else 1
-    rows = rows.withColumn("print", F.expr(fingerprint("text"))).withColumn("w", F.expr(f"floor(doc_id / {width}D)"))
+    rows = rows.withColumn("w", F.expr(f"floor(doc_id / {width}D)"))
+    named = rows.where("doc_id IS NOT NULL")
     order = Window.partitionBy("w").orderBy("doc_id", "text")
-    seen = rows.where("doc_id IS NOT NULL").select(
-        "*",
-        F.lead("text").over(order).alias("next_text"),
-        F.lead("print").over(order).alias("next_print"),
-        F.row_number().over(order).alias("n"),
+    inside = named.withColumn("print", F.expr(fingerprint("text"))).select(
+        "doc_id", "text", "print", F.lead("text").over(order).alias("next_text"), F.lead("print").over(order).alias("next_print")
     )
-    blocks = docs.select(F.expr(f"floor(CAST(doc_id AS BIGINT) / {width}D)").alias("w")).where("w IS NOT NULL").distinct()
-    firsts = seen.where("n = 1").selectExpr("w AS next", "text AS first_text", "print AS first_print")
-    lasts = (
-        seen.where("next_text IS NULL").drop("next_text", "next_print")
-        .join(successors(blocks, "w"), "w").join(firsts, "next")
-    )
-    out = ["doc_id", "text", "print"]
-    return (
-        seen.where("next_text IS NOT NULL").select(*out, "next_text", "next_print")
-        .union(lasts.select(*out, "first_text", "first_print"))
-        .union(rows.where("doc_id IS NULL").selectExpr(*out, "''", fingerprint("''")))
+    # The first and last of each window by rank, so that the others are not shuffled again.
+    backwards = Window.partitionBy("w").orderBy(F.desc("doc_id"), F.desc("text"))
+    firsts = named.withColumn("n", F.row_number().over(order)).where("n = 1").selectExpr("w AS next", "text AS next_text")
+    lasts = named.withColumn("n", F.row_number().over(backwards)).where("n = 1").select("w", "doc_id", "text")
+    blocks = named.select("w").distinct()
+    across = lasts.join(successors(blocks, "w"), "w").join(firsts, "next").select("doc_id", "text", "next_text")
+    across = across.union(rows.where("doc_id IS NULL").selectExpr("doc_id", "text", "''"))
+    return inside.where("next_text IS NOT NULL").union(
+        across.selectExpr("doc_id", "text", fingerprint("text"), "next_text", fingerprint("next_text"))
     )
 
 
