@@ -17,6 +17,8 @@ from . import hashing
 SEED_WORDS = 3
 # Seeds of an item that a passage must share, within twice the item's length. Shorter items need fewer.
 LEAST_SEEDS = 2
+# A seed that occurs so often is rare, whatever its item's other seeds.
+RARE = 16
 # Alignment: points for equal words, and what a different or a missing word costs. A passage counts from this share of
 # the points that the whole item would give.
 MATCH, OTHER, GAP = 2, 1, 1
@@ -48,14 +50,16 @@ class Items:
         return cls(ids, words, seeds[order], item[order], place[order])
 
     def rare(self, counts: dict[int, int]) -> Items:
-        """With only those seeds of each item that are no commoner in the corpus than its median seed."""
+        """With only those seeds of each item that occur in the corpus, and are no commoner there than the median of these
+        or than RARE."""
         seen = np.asarray([counts.get(int(s), 0) for s in self.seeds], np.int64)
-        limit = np.zeros(len(self.ids), np.float64)
+        limit = np.full(len(self.ids), RARE, np.float64)
         order = np.argsort(self.item, kind="stable")
-        by_item = np.split(order, np.searchsorted(self.item[order], np.arange(1, len(self.ids))))
-        for i in range(len(self.ids)):
-            limit[i] = np.median(seen[by_item[i]])
-        kept = seen <= limit[self.item]
+        for i, own in enumerate(np.split(order, np.searchsorted(self.item[order], np.arange(1, len(self.ids))))):
+            occurring = seen[own][seen[own] > 0]
+            if len(occurring):
+                limit[i] = max(RARE, np.median(occurring))
+        kept = (seen > 0) & (seen <= limit[self.item])
         return Items(self.ids, self.words, self.seeds[kept], self.item[kept], self.place[kept])
 
     def lengths(self) -> list[int]:
@@ -145,7 +149,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     `benchmark` (item_id, text), the best one per document row and item.
 
     Seeds are hashes of SEED_WORDS words, letters only and without case. How often each occurs is counted over the whole
-    corpus, and an item keeps the rarer half of its seeds. A passage with enough of them is aligned word by word; `score` is
+    corpus, and an item keeps the rarer half of its seeds that occur. A passage with enough of them is aligned word by word; `score` is
     the alignment's points as a share of a perfect copy's, at least LEAST_SHARE. `start` and `end` are code points.
 
     Both passes over the texts are map-only; a round's items (at most WORDS_PER_ROUND words) and its seeds' counts are

@@ -110,7 +110,7 @@ def _costly(texts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
             bucket = (low >> _U(63 - bits)).astype(np.int64)
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             rest = (low >> _U(31 - bits)).astype("<u4")
-            rows = [rest[a:b].tobytes() for a, b in zip(cut, [*cut[1:], len(low)], strict=True)]
+            rows = [rest[a:b].tobytes() for a, b in zip(cut, np.append(cut, len(low))[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.array(rows, pa.binary())], names=["bucket", "shingles"])
 
     def count(table: pa.Table) -> pa.Table:
@@ -173,7 +173,7 @@ def _candidates(texts: DataFrame, bits: int, costly: tuple[np.ndarray, np.ndarra
             bucket, owner, rest = bucket[order], owner[order], (every[order] >> _U(31 - bits)).astype("<u4")
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             rows = []
-            for a, b in zip(cut, [*cut[1:], len(bucket)], strict=True):
+            for a, b in zip(cut, np.append(cut, len(bucket))[1:], strict=True):
                 run = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
                 who = owner[a:b][run]
                 rows.append((bucket[a], number[who].tobytes(), size[who].tobytes(), extra[who].tobytes(), np.diff(run, append=b - a).astype(np.int32).tobytes(), rest[a:b].tobytes()))
