@@ -149,10 +149,11 @@ def _totals_of_contexts(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Models:
-    """word[c]: unigram probabilities; bigram[c]: counts; total[c], types[c]: per context, its words and its different words.
-    Arrays of WORDS or BIGRAMS numbers, c being ORDINARY or TOXIC."""
+    """word[c]: unigram probabilities; known: the places of bigrams that count, ascending, and bigram[c]: their counts;
+    total[c], types[c]: per context, its words and its different words. c is ORDINARY or TOXIC."""
 
     word: list[np.ndarray]
+    known: np.ndarray
     bigram: list[np.ndarray]
     total: list[np.ndarray]
     types: list[np.ndarray]
@@ -169,22 +170,22 @@ class Models:
                 continue
             ratio = alone[own].astype(np.float64)
             place = _place((own.astype(_U) << _U(20)) | before.astype(_U))
+            slot = np.minimum(np.searchsorted(self.known, place), max(len(self.known) - 1, 0))
             known = np.flatnonzero(
-                (self.bigram[ORDINARY][place] + self.bigram[TOXIC][place] >= LEAST_BIGRAMS)
-                & (self.total[ORDINARY][before] > 0) & (self.total[TOXIC][before] > 0)
-            )
+                (self.known[slot] == place) & (self.total[ORDINARY][before] > 0) & (self.total[TOXIC][before] > 0)
+            ) if len(self.known) else slot[:0]
             if len(known):
-                w, v, at = own[known], before[known], place[known]
+                w, v, at = own[known], before[known], slot[known]
                 ratio[known] = np.log(self._after(TOXIC, w, v, at)) - np.log(self._after(ORDINARY, w, v, at))
             out.append(float(ratio.mean()))
         return np.asarray(out), np.asarray(words, np.int64)
 
-    def _after(self, c: int, word: np.ndarray, before: np.ndarray, place: np.ndarray) -> np.ndarray:
+    def _after(self, c: int, word: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """P(word | word before, class): the class's bigrams, then those of both classes, then the class's words."""
         total = self.total[c][before].astype(np.float64)
         left = DISCOUNT * self.types[c][before]
-        own = (np.maximum(self.bigram[c][place] - DISCOUNT, 0) + left * self.word[c][word]) / total
-        shared = (self.bigram[0][place] + self.bigram[1][place]) / (self.total[0][before] + self.total[1][before]).astype(np.float64)
+        own = (np.maximum(self.bigram[c][slot] - DISCOUNT, 0) + left * self.word[c][word]) / total
+        shared = (self.bigram[0][slot] + self.bigram[1][slot]) / (self.total[0][before] + self.total[1][before]).astype(np.float64)
         return (own + SHARED_WEIGHT * shared) / (1 + SHARED_WEIGHT)
 
 
@@ -209,7 +210,8 @@ def train(labelled: DataFrame) -> Models:
         else:
             at = slice(row.part * (WORDS // RANGES), (row.part + 1) * (WORDS // RANGES))
             follow[int(row.kind[-1]), :, at] = values.reshape(2, -1)
-    return Models(_unigrams(words), list(bigram), [follow[c][0] for c in (ORDINARY, TOXIC)], [follow[c][1] for c in (ORDINARY, TOXIC)])
+    known = np.flatnonzero(bigram.sum(0) >= LEAST_BIGRAMS)
+    return Models(_unigrams(words), known, [counts[known] for counts in bigram], [follow[c][0] for c in (ORDINARY, TOXIC)], [follow[c][1] for c in (ORDINARY, TOXIC)])
 
 
 def _unigrams(words: np.ndarray) -> list[np.ndarray]:
