@@ -1,16 +1,18 @@
 """Toxicity by two language models: one of toxic, one of ordinary documents. A document's score says how much likelier
 its words are, one by one, under the toxic model.
 
-Both are Kneser-Ney models over hashed words. A class's counts are discounted and fall back on the counts of the same
+Both are Kneser-Ney models over words and bigrams. A class's counts are discounted and fall back on the counts of the same
 expression in both classes together, which weigh more than its own; those fall back on the number of contexts that a word
-has. Expressions that both classes together have seen only a few times are left to the shared counts alone, so they say
-nothing about the class.
+has. Bigrams that both classes together have seen only a few times are left to their word alone, and words seen in few
+contexts to the shared counts, so they say nothing about the class.
+
+Counts and models are tables that grow with the labelled texts. What scoring looks up is one number an entry, the log of
+the two models' ratio, taken in rounds of words whose size is fixed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 from . import hashing
 from .common import limited, written
 
-# The model's size, whatever the corpus: words share WORDS places by hash, counted bigrams BIGRAMS places.
-WORDS = 1 << 20
-BIGRAMS = 1 << 21
-START = WORDS - 1
+# A word is a hash of WORD_BITS bits, a bigram the word's and that of the word before. Two numbers are no words: START
+# stands before a text's first word, ALONE marks a word's own entry in the model.
+WORD_BITS = 31
+ALONE, START = 0, 1
 DISCOUNT = 0.75
 # The weight of what a model falls back on, for each unit of its own counts. A large one leaves ordinary words, whose
 # counts differ by chance, near a ratio of 1, and still lets through words that are many times likelier in one class.
@@ -32,9 +34,10 @@ SHARED_WEIGHT = 100.0
 # A word counts from so many contexts on in both classes together, a bigram from so many occurrences.
 LEAST_CONTEXTS = 4
 LEAST_BIGRAMS = 2048
-# Word ranges in which counts are brought together, and counts a task holds before it hands them on.
-RANGES = 256
+# Words or different bigrams that a counting task holds before it hands them on.
 HELD_COUNTS = 2_000_000
+# Model entries (12 bytes each) that are broadcast at a time; a larger model takes as many rounds over the texts as it needs.
+ENTRIES_PER_ROUND = 4_000_000
 # Labelled rows are dealt to five folds by the CRC of doc_id: 0 is held out, 1 calibrates the score, 2 to 4 are counted.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 # At most so many rows fit the three numbers of the calibration, those with the smallest hashes of doc_id.
@@ -48,22 +51,19 @@ def fold(doc_id: str = "doc_id") -> str:
     return f"CAST(crc32(CAST(coalesce(CAST({doc_id} AS STRING), '') AS BINARY)) % {FOLDS} AS INT)"
 
 
-def _bigrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per text, its word numbers and the word number before each."""
+def _bigrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per block of texts, its word numbers, the word number before each, and the n + 1 word offsets of the texts."""
     data, offsets = hashing.text_bytes(pc.utf8_lower(column))
     for first, last in hashing.blocks(offsets):
         hashed, at, _, _ = hashing.words(data, offsets[first : last + 1], hashing.LETTERS)
-        own = (hashed % _U(START)).astype(np.int64)
-        before = np.concatenate([[START], own[:-1]]) if len(own) else own
+        own = hashed % _U((1 << WORD_BITS) - 2) + _U(2)
+        before = np.concatenate([np.full(min(len(own), 1), START, _U), own[:-1]])
         before[at[:-1][at[:-1] < len(own)]] = START
-        for a, b in zip(at[:-1], at[1:], strict=True):
-            yield own[a:b], before[a:b]
+        yield own, before, at
 
 
-def _place(keys: np.ndarray) -> np.ndarray:
-    """Where a bigram's count stands: in its word's range, by hash."""
-    per_range = BIGRAMS // RANGES
-    return (keys >> _U(20)).astype(np.int64) // (WORDS // RANGES) * per_range + (hashing.mix(keys) % _U(per_range)).astype(np.int64)
+def _pairs(own: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return (own << _U(WORD_BITS)) | before
 
 
 def _sum_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,177 +73,135 @@ def _sum_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _blobs(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())],
-        names=["kind", "part", "keys", "counts"],
-    )
-
-
-_BLOBS = "kind string, part int, keys binary, counts binary"
-
-
 def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) to counted keys: word, word before, class in 41 bits, by range of the word."""
+    """(text, toxic) to (pair, ordinary, toxic): how often each bigram occurs, summed over what a task holds."""
 
     def handed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        part = (keys >> _U(21)).astype(np.int64) // (WORDS // RANGES)
-        cut = np.searchsorted(part, np.arange(RANGES + 1))
-        return _blobs([("w", r, keys[a:b].tobytes(), counts[a:b].tobytes()) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a])
+        toxic = (keys & _U(1)).astype(np.int64)
+        columns = [(keys >> _U(1)).astype(np.int64), counts * (1 - toxic), counts * toxic]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pair", "ordinary", "toxic"])
 
-    keys, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+    keys, counts, new, size = np.zeros(0, _U), np.zeros(0, np.int64), [], 0
     for batch in batches:
-        toxic = batch.column(1).to_numpy(zero_copy_only=False)
-        found = [
-            (own.astype(_U) << _U(21)) | (before.astype(_U) << _U(1)) | _U(t)
-            for (own, before), t in zip(_bigrams(batch.column(0)), toxic, strict=True)
-        ]
-        new = np.concatenate([keys, *found])
-        keys, counts = _sum_by(new, np.concatenate([counts, np.ones(len(new) - len(keys), np.int64)]))
-        if len(keys) > HELD_COUNTS:
-            yield handed(keys, counts)
-            keys, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+        toxic, row = batch.column(1).to_numpy(zero_copy_only=False).astype(_U), 0
+        for own, before, at in _bigrams(batch.column(0)):
+            label = np.repeat(toxic[row : row + len(at) - 1], np.diff(at))
+            row += len(at) - 1
+            new.append((_pairs(own, before) << _U(1)) | label)
+            size += len(own)
+            if size > HELD_COUNTS:
+                keys, counts = _sum_by(np.concatenate([keys, *new]), np.concatenate([counts, np.ones(size, np.int64)]))
+                new, size = [], 0
+                if len(keys) > HELD_COUNTS:
+                    yield handed(keys, counts)
+                    keys, counts = keys[:0], counts[:0]
+    keys, counts = _sum_by(np.concatenate([keys, *new]), np.concatenate([counts, np.ones(size, np.int64)]))
     if len(keys):
         yield handed(keys, counts)
 
 
-def _totals_of_range(table: pa.Table) -> pa.Table:
-    """All counts of one range of words: its words' contexts, its bigrams' places, and what it adds to each context."""
-    part = table.column("part")[0].as_py()
-    keys, counts = _sum_by(
-        np.concatenate([np.frombuffer(x, _U) for x in table.column("keys").to_pylist()]),
-        np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()]),
+def train(labelled: DataFrame) -> DataFrame:
+    """(entry, ratio): log P(toxic) - log P(ordinary) of each word that counts and of each bigram that counts, from
+    `labelled` (text, toxic 0 or 1), all of whose rows are counted.
+
+    Tasks count their own bigrams first, so a frequent one is a row a task in the shuffle. No table reaches the driver.
+    """
+    counted = labelled.select("text", F.col("toxic").cast("int")).mapInArrow(_count_bigrams, "pair bigint, ordinary bigint, toxic bigint")
+    pairs = counted.groupBy("pair").agg(F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1"))
+    pairs = written(pairs, "toxicity-bigrams").selectExpr("*", f"shiftright(pair, {WORD_BITS}) AS word", f"pair & {(1 << WORD_BITS) - 1}L AS before")
+    words = pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("contexts"))
+    words = written(_unigrams(written(words.where(f"contexts >= {LEAST_CONTEXTS}"), "toxicity-words")), "toxicity-unigrams")
+    contexts = pairs.groupBy("before").agg(
+        F.sum("n0").alias("total0"), F.sum("n1").alias("total1"), F.count_if(F.col("n0") > 0).alias("types0"), F.count_if(F.col("n1") > 0).alias("types1")
     )
-    toxic, pair = (keys & _U(1)).astype(np.int64), keys >> _U(1)
-    word, before = (pair >> _U(20)).astype(np.int64), (pair & _U(WORDS - 1)).astype(np.int64)
-    low, size = part * (WORDS // RANGES), WORDS // RANGES
-    first = np.concatenate([[True], pair[1:] != pair[:-1]])
-    own = [np.bincount(word[toxic == c] - low, counts[toxic == c], size) for c in (ORDINARY, TOXIC)]
-    contexts = np.bincount(word[first] - low, minlength=size)
-    place = _place(pair) - part * (BIGRAMS // RANGES)
-    bigrams = [np.bincount(place[toxic == c], counts[toxic == c], BIGRAMS // RANGES) for c in (ORDINARY, TOXIC)]
-    rows = [
-        ("words", part, b"", np.concatenate([*own, contexts]).astype("<f4").tobytes()),
-        ("bigrams", part, b"", np.concatenate(bigrams).astype("<f4").tobytes()),
-    ]
-    for c in (ORDINARY, TOXIC):
-        own, total = _sum_by(before[toxic == c].astype(_U), counts[toxic == c])
-        _, types = _sum_by(before[toxic == c].astype(_U), np.ones(int((toxic == c).sum()), np.int64))
-        cut = np.searchsorted(own, (np.arange(RANGES + 1) * size).astype(_U))
-        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-            if b > a:
-                rows.append((f"before{c}", r, own[a:b].tobytes(), np.stack([total[a:b], types[a:b]]).astype(np.int64).tobytes()))
-    return pa.Table.from_batches([_blobs(rows)])
-
-
-def _totals_of_contexts(table: pa.Table) -> pa.Table:
-    """The counts of all words after each context of one range."""
-    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-    total = np.zeros((2, WORDS // RANGES), np.float64)
-    for keys, counts in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True):
-        own = np.frombuffer(keys, _U).astype(np.int64) - part * (WORDS // RANGES)
-        total[:, own] += np.frombuffer(counts, np.int64).reshape(2, -1)
-    return pa.Table.from_batches([_blobs([(kind, part, b"", total.astype("<f4").tobytes())])])
-
-
-@dataclass
-class Models:
-    """word[c]: unigram probabilities; known: the places of bigrams that count, ascending, and bigram[c]: their counts;
-    total[c], types[c]: per context, its words and its different words. c is ORDINARY or TOXIC."""
-
-    word: list[np.ndarray]
-    known: np.ndarray
-    bigram: list[np.ndarray]
-    total: list[np.ndarray]
-    types: list[np.ndarray]
-
-    def ratios(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Per text, the mean over its words of log P(word | word before, toxic) - log P(.. ordinary), 0 without words; and
-        the number of words."""
-        alone = np.log(self.word[TOXIC]) - np.log(self.word[ORDINARY])
-        out, words = [], []
-        for own, before in _bigrams(column):
-            words.append(len(own))
-            if not len(own):
-                out.append(0.0)
-                continue
-            ratio = alone[own].astype(np.float64)
-            place = _place((own.astype(_U) << _U(20)) | before.astype(_U))
-            slot = np.minimum(np.searchsorted(self.known, place), max(len(self.known) - 1, 0))
-            known = np.flatnonzero(
-                (self.known[slot] == place) & (self.total[ORDINARY][before] > 0) & (self.total[TOXIC][before] > 0)
-            ) if len(self.known) else slot[:0]
-            if len(known):
-                w, v, at = own[known], before[known], slot[known]
-                ratio[known] = np.log(self._after(TOXIC, w, v, at)) - np.log(self._after(ORDINARY, w, v, at))
-            out.append(float(ratio.mean()))
-        return np.asarray(out), np.asarray(words, np.int64)
-
-    def _after(self, c: int, word: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        """P(word | word before, class): the class's bigrams, then those of both classes, then the class's words."""
-        total = self.total[c][before].astype(np.float64)
-        left = DISCOUNT * self.types[c][before]
-        own = (np.maximum(self.bigram[c][slot] - DISCOUNT, 0) + left * self.word[c][word]) / total
-        shared = (self.bigram[0][slot] + self.bigram[1][slot]) / (self.total[0][before] + self.total[1][before]).astype(np.float64)
-        return (own + SHARED_WEIGHT * shared) / (1 + SHARED_WEIGHT)
-
-
-def train(labelled: DataFrame) -> Models:
-    """Models from `labelled` (text, toxic 0 or 1), all of whose rows are counted.
-
-    Tasks count their own bigrams and hand on one array per range of words; ranges are summed apart. The driver receives
-    arrays of fixed length, WORDS and BIGRAMS numbers, and no bigrams.
+    bigrams = pairs.where(f"n0 + n1 >= {LEAST_BIGRAMS}").join(contexts.where("total0 > 0 AND total1 > 0"), "before").join(words, "word", "left")
+    ratio = f"ln({_after(TOXIC)}) - ln({_after(ORDINARY)})"
+    entries = bigrams.selectExpr("pair AS entry", f"CAST({ratio} AS FLOAT) AS ratio")
+    alone = words.selectExpr(f"shiftleft(word, {WORD_BITS}) + {ALONE} AS entry", "CAST(ln(p1) - ln(p0) AS FLOAT) AS ratio")
+    return written(alone.union(entries), "toxicity-model")
+
+
+def _unigrams(words: DataFrame) -> DataFrame:
+    """(word, p0, p1): both classes' probabilities, from their counts and from the contexts in both together."""
+
+    def kept(n: str) -> str:
+        return f"greatest({n} - {DISCOUNT}D, 0D)"
+
+    sums = words.selectExpr(
+        "sum(contexts) AS all_contexts", *[f"sum({n}) AS t{i}" for i, n in enumerate(("n0", "n1", "n0 + n1"))],
+        *[f"sum({kept(n)}) AS k{i}" for i, n in enumerate(("n0", "n1", "n0 + n1"))],
+    ).first().asDict()
+    number = {name: float(value or 0) for name, value in sums.items()}
+    shared = f"({kept('n0 + n1')} + {number['t2'] - number['k2']!r}D * contexts / {number['all_contexts']!r}D) / {number['t2']!r}D"
+
+    def own(c: int) -> str:
+        total, left = number[f"t{c}"], number[f"t{c}"] - number[f"k{c}"]
+        if not total:
+            return "shared"
+        return f"({kept(f'n{c}')} + {left + SHARED_WEIGHT * total!r}D * shared) / {(1 + SHARED_WEIGHT) * total!r}D"
+
+    return words.selectExpr("*", f"{shared} AS shared").selectExpr("word", f"{own(ORDINARY)} AS p0", f"{own(TOXIC)} AS p1")
+
+
+def _after(c: int) -> str:
+    """SQL for P(word | word before, class): the class's bigrams, then those of both classes, then the class's words.
+    A word that does not count alone has one small probability in both classes."""
+    own = f"(greatest(n{c} - {DISCOUNT}D, 0D) + {DISCOUNT}D * types{c} * coalesce(p{c}, {2.0**-WORD_BITS!r}D)) / total{c}"
+    return f"(({own}) + {SHARED_WEIGHT}D * (n0 + n1) / (total0 + total1)) / {1 + SHARED_WEIGHT}D"
+
+
+def _found(entries: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of `wanted` are in the ascending `entries`, and where."""
+    if not len(entries):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(entries, wanted), len(entries) - 1)
+    hit = np.flatnonzero(entries[at] == wanted)
+    return hit, at[hit]
+
+
+def _log_ratios(column: pa.Array, entries: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, the sum over its words of the bigram's ratio, or else the word's, or else 0; and the number of words."""
+    sums, words = [np.zeros(0)], [np.zeros(0, np.int64)]
+    for own, before, at in _bigrams(column):
+        ratio = np.zeros(len(own))
+        for wanted in (_pairs(own, np.full(1, ALONE, _U)), _pairs(own, before)):
+            hit, where = _found(entries, wanted)
+            ratio[hit] = ratios[where]
+        many = np.diff(at)
+        sums.append(np.bincount(np.repeat(np.arange(len(many)), many), ratio, len(many)))
+        words.append(many)
+    return np.concatenate(sums), np.concatenate(words)
+
+
+def ratios(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """(doc_id, ratio, words): the length-normalised log-likelihood ratio of each text.
+
+    The model is taken in rounds of about ENTRIES_PER_ROUND entries, each with all entries of its words. A round is
+    map-only over the texts and adds to their sums; between rounds the texts are written with them.
     """
-    counted = labelled.select("text", F.col("toxic").cast("int")).mapInArrow(_count_bigrams, _BLOBS)
-    totals = written(counted.groupBy("part").applyInArrow(_totals_of_range, _BLOBS), "toxicity-counts")
-    before = totals.where("kind LIKE 'before%'").groupBy("kind", "part").applyInArrow(_totals_of_contexts, _BLOBS)
-    words = np.zeros((3, WORDS), np.float32)
-    bigram = np.zeros((2, BIGRAMS), np.float32)
-    follow = np.zeros((2, 2, WORDS), np.float32)
-    for row in totals.where("kind IN ('words', 'bigrams')").union(before).toLocalIterator():
-        values = np.frombuffer(row.counts, "<f4")
-        if row.kind == "words":
-            words[:, row.part * (WORDS // RANGES) : (row.part + 1) * (WORDS // RANGES)] = values.reshape(3, -1)
-        elif row.kind == "bigrams":
-            bigram[:, row.part * (BIGRAMS // RANGES) : (row.part + 1) * (BIGRAMS // RANGES)] = values.reshape(2, -1)
-        else:
-            at = slice(row.part * (WORDS // RANGES), (row.part + 1) * (WORDS // RANGES))
-            follow[int(row.kind[-1]), :, at] = values.reshape(2, -1)
-    known = np.flatnonzero(bigram.sum(0) >= LEAST_BIGRAMS)
-    return Models(_unigrams(words), known, [counts[known] for counts in bigram], [follow[c][0] for c in (ORDINARY, TOXIC)], [follow[c][1] for c in (ORDINARY, TOXIC)])
-
-
-def _unigrams(words: np.ndarray) -> list[np.ndarray]:
-    """Both classes' word probabilities from their counts (two rows) and the contexts in both together (the third)."""
-    contexts = words[2].astype(np.float64)
-    known = contexts >= LEAST_CONTEXTS
-    shared = _discounted(np.where(known, words[0] + words[1], 0), np.where(known, contexts, 0) / max(contexts[known].sum(), 1), 0)
-    both = [_discounted(np.where(known, words[c], 0), shared, SHARED_WEIGHT) for c in (ORDINARY, TOXIC)]
-    return [np.where(known, p, 1 / WORDS).astype(np.float32) for p in both]
-
-
-def _discounted(counts: np.ndarray, below: np.ndarray, weight: float) -> np.ndarray:
-    """Probabilities from discounted counts; what the discount took, and `weight` times the counts, goes to `below`."""
-    counts = counts.astype(np.float64)
-    total = counts.sum()
-    if not total:
-        return below
-    kept = np.maximum(counts - DISCOUNT, 0)
-    return (kept + (total - kept.sum() + weight * total) * below) / ((1 + weight) * total)
-
-
-def ratios(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, ratio, words): the length-normalised log-likelihood ratio of each text. One pass; the models are
-    broadcast, their size being fixed."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ratio, words = shared.value.ratios(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ratio, pa.float64()), pa.array(words)], names=["doc_id", "ratio", "words"])
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(score, "doc_id bigint, ratio double, words bigint")
+    context = docs.sparkSession.sparkContext
+    rounds = max(1, -(-model.count() // ENTRIES_PER_ROUND))
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.lit(0.0).alias("total"))
+    for r in range(rounds):
+        part = model.where(f"pmod(xxhash64(shiftright(entry, {WORD_BITS})), {rounds}) = {r}").toArrow()
+        entries, ratio = part.column("entry").to_numpy().astype(_U), part.column("ratio").to_numpy()
+        order = np.argsort(entries)
+        shared = context.broadcast((entries[order], ratio[order]))
+
+        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sums, words = _log_ratios(batch.column(1), *shared.value)
+                total = pc.add(batch.column(2), pa.array(sums))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), total, pa.array(words)], names=["doc_id", "text", "total", "words"])
+
+        def finish(batches: Iterator[pa.RecordBatch], add=add) -> Iterator[pa.RecordBatch]:
+            for batch in add(batches):
+                yield batch.select(["doc_id", "total", "words"])
+
+        if r < rounds - 1:
+            rows = written(rows.mapInArrow(add, "doc_id bigint, text string, total double, words bigint"), "toxicity-round").drop("words")
+    scored = rows.mapInArrow(finish, "doc_id bigint, total double, words bigint")
+    return scored.selectExpr("doc_id", "CASE WHEN words > 0 THEN total / words ELSE 0D END AS ratio", "words")
 
 
 def _calibrated(ratio: np.ndarray, strength: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
@@ -278,8 +236,8 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.where(f"toxic IN (0, 1) AND {fold('labelled_id')} <> {HELD_OUT}").withColumn("fold", F.expr(fold("labelled_id")))
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     counted = known.where(f"fold <> {CALIBRATION}")
-    models = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(limited(counted), F.col("doc_id") == F.col("labelled_id")))
-    scored = written(ratios(texts, models), "toxicity-ratios")
+    model = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(limited(counted), F.col("doc_id") == F.col("labelled_id")))
+    scored = written(ratios(texts, model), "toxicity-ratios")
     sample = scored.join(known.where(f"fold = {CALIBRATION}"), F.col("doc_id") == F.col("labelled_id"))
     sample = sample.selectExpr("ratio", "ratio * sqrt(words) AS strength", "toxic", "xxhash64(doc_id) AS h", "doc_id")
     sample = sample.orderBy("h", "doc_id", "ratio", "toxic").limit(CALIBRATION_ROWS).toPandas()
