@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,10 +47,14 @@ def base_name(path: Column) -> Column:
 
 
 def translate_path(path: Column, output_path: str, data_path: str) -> Column:
-    """Swap the writer's prefix for the reader's. Other paths stay as they are."""
-    old, new = output_path.rstrip("/"), data_path.rstrip("/")
+    """Swap the writer's prefix for the reader's. Other paths stay as they are.
+
+    Spark names local files with the scheme `file:`, options mostly without; both mean the same folder.
+    """
+    old, new = re.sub("^file:/+", "/", output_path.rstrip("/")), data_path.rstrip("/")
+    plain = F.regexp_replace(path, "^file:/+", "/")
     return F.when(
-        F.startswith(path, F.lit(old + "/")), F.concat(F.lit(new), F.substring(path, len(old) + 1, 1 << 30))
+        F.startswith(plain, F.lit(old + "/")), F.concat(F.lit(new), F.substring(plain, len(old) + 1, 1 << 30))
     ).otherwise(path)
 
 

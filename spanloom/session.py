@@ -65,14 +65,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, as one listing."""
+    fs, target = _hadoop_path(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(target) or [])
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a plan; no job runs for it."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-# Input bytes per shuffle partition, and the most partitions a shuffle is started with.
+# Input bytes per shuffle partition.
 BYTES_PER_PARTITION = 256 << 20
-MOST_PARTITIONS = 100_000
 
 
 def size_shuffles(spark: SparkSession, path: str) -> int:
@@ -82,6 +87,6 @@ def size_shuffles(spark: SparkSession, path: str) -> int:
     needed = -(-fs.getContentSummary(target).getLength() // BYTES_PER_PARTITION)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(current, min(needed, MOST_PARTITIONS))
+    partitions = max(current, needed)
     spark.conf.set(key, str(partitions))
     return partitions
