@@ -269,6 +269,20 @@ def test_toxicity(spark):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in got)
 
 
+def test_toxicity_rounds(spark, monkeypatch):
+    """A model that is taken in several rounds gives the same scores."""
+    r = random.Random(8)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows = [(i, " ".join(r.choice(words) for _ in range(30)) + (" vile grim" if i % 4 == 0 else "")) for i in range(200)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    whole = {x.doc_id: x.score for x in toxicity.scores(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "ENTRIES_PER_ROUND", 3)
+    parts = {x.doc_id: x.score for x in toxicity.scores(docs, labels).collect()}
+    assert len(whole) == len(parts) == 202
+    assert all(abs(whole[i] - parts[i]) < 1e-9 for i in whole)
+
+
 def test_toxicity_odd(spark, odd):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 0), (99, 1)], "doc_id bigint, toxic int")
     got = toxicity.scores(odd, labels).collect()
