@@ -8,7 +8,7 @@ that has any is expected to meet many candidates and takes EXTRA_MATCHES more, w
 What the postings give is verified exactly: by sizes, by bitmaps that bound the overlap from above, then on the sets.
 A shingle that still has a long list (documents made of common passages, large groups of near copies) gives no pairs.
 Its documents are a family, each linked to one of them at first; pairs of a family that are not yet in one component are
-compared in blocks.
+compared in blocks, by bitmaps and then by sets.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ EXTRA_MATCHES = 3
 # Costly shingles held by each task: of more, the most frequent ones.
 COSTLY = 1 << 20
 SHINGLES_PER_BUCKET = 1_000_000
+# Sets, or bitmaps, of a family that are compared in one group, a side.
 BLOCK = 256
+BITMAP_BLOCK = 1024
 
 _U = np.uint64
 _CLASS = "doc_id bigint, n int, class bigint, bitmap binary"
@@ -264,27 +266,71 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(keep, "a bigint, b bigint")
 
 
-def _within_families(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): similar pairs of `members` (class, family, part) of one family and different parts.
-
-    Everything outside a family's largest part is compared with the whole family, in blocks of about BLOCK sets a side.
-    """
+def _with_main(members: DataFrame) -> DataFrame:
+    """`members` (class, family, part) with `main`, the family's largest part; only families of several parts."""
     parts = members.groupBy("family", "part").agg(F.count("*").alias("size"))
-    largest = parts.groupBy("family").agg(
-        F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("total"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    blocks = largest.selectExpr(
-        "family", "top.part AS main", f"CAST(ceil(total / {BLOCK}) AS INT) AS in_all", f"CAST(ceil((total - top.size) / {BLOCK}) AS INT) AS in_rest"
-    )
-    placed = members.join(blocks, "family").join(sets, "class")
-    key = "family", "rest_block", "all_block"
+    largest = parts.groupBy("family").agg(F.max(F.struct("size", "part")).alias("top"), F.count("*").alias("parts"))
+    return members.join(largest.where("parts > 1").selectExpr("family", "top.part AS main"), "family")
+
+
+def _in_blocks(members: DataFrame, data: DataFrame, block: int):
+    """`members` (class, family, part, main) with their `data`, grouped so that each one outside a family's main part (`asks`)
+    meets every member of the family once, in groups of about `block` rows a side."""
+    blocks = members.groupBy("family").agg(F.count("*").alias("total"), F.count_if(F.col("part") != F.col("main")).alias("rest")).where("rest > 0")
+    blocks = blocks.selectExpr("family", f"CAST(ceil(total / {block}) AS INT) AS in_all", f"CAST(ceil(rest / {block}) AS INT) AS in_rest")
+    placed = members.join(blocks, "family").join(data, "class")
+    key, carried = ("family", "rest_block", "all_block"), ["class", "part", *(c for c in data.columns if c != "class")]
     rest = placed.where("part <> main").selectExpr(
-        "family", "CAST(pmod(xxhash64(class), in_rest) AS INT) AS rest_block", "explode(sequence(0, in_all - 1)) AS all_block", "class", "part", "tokens", "true AS asks"
+        "family", "CAST(pmod(xxhash64(class), in_rest) AS INT) AS rest_block", "explode(sequence(0, in_all - 1)) AS all_block", *carried, "true AS asks"
     )
     every = placed.selectExpr(
-        "family", "explode(sequence(0, in_rest - 1)) AS rest_block", "CAST(pmod(xxhash64(class, 1), in_all) AS INT) AS all_block", "class", "part", "tokens", "false AS asks"
+        "family", "explode(sequence(0, in_rest - 1)) AS rest_block", "CAST(pmod(xxhash64(class, 1), in_all) AS INT) AS all_block", *carried, "false AS asks"
     )
-    return rest.union(every).groupBy(*key).applyInArrow(_similar_in_blocks, "a bigint, b bigint")
+    return rest.union(every).groupBy(*key)
+
+
+def _within_families(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): similar pairs of `members` (class, family, part, main) of one family and different parts.
+
+    Everything outside a family's main part is compared with the whole family, first by sizes and bitmaps. Only those that
+    these allow to be similar to another are compared by their sets, which are many times larger.
+    """
+    described = classes.select("class", "n", "bitmap")
+    possible = _in_blocks(members, described, BITMAP_BLOCK).applyInArrow(_possible_in_blocks, "class bigint").distinct()
+    possible = written(possible, "jaccard-possible")
+    left = members.join(possible, "class", "left_semi")
+    return _in_blocks(left, sets, BLOCK).applyInArrow(_similar_in_blocks, "a bigint, b bigint")
+
+
+def _folded(bitmaps: np.ndarray, length: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(bitmaps.reshape(len(bitmaps), -1, length), axis=1)
+
+
+def _possible_in_blocks(block: pa.Table) -> pa.Table:
+    """The classes of a block that sizes and bitmaps allow to be similar to one of another part."""
+    rest, every = block.filter(block.column("asks")), block.filter(pc.invert(block.column("asks")))
+    kept = [np.zeros(0, np.int64)]
+    if rest.num_rows and every.num_rows:
+        bitmaps = every.column("bitmap").to_pylist()
+        numbers, parts, sizes = (every.column(c).to_numpy().astype(np.int64) for c in ("class", "part", "n"))
+        lengths = np.asarray([len(b) for b in bitmaps])
+        stacks = []
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            stacks.append((at, np.stack([np.frombuffer(bitmaps[i], np.uint8) for i in at])))
+        for number, part, n, bitmap in zip(*(rest.column(c).to_pylist() for c in ("class", "part", "n", "bitmap")), strict=True):
+            own = np.frombuffer(bitmap, np.uint8)[None]
+            for at, stack in stacks:
+                fit = (parts[at] != part) & (OF * np.minimum(sizes[at], n) >= PART * np.maximum(sizes[at], n))
+                if not fit.any():
+                    continue
+                at, short = at[fit], min(stack.shape[1], own.shape[1])
+                only_one = np.bitwise_count(_folded(stack[fit], short) ^ _folded(own, short)).sum(axis=1, dtype=np.int64)
+                shared = (sizes[at] + n - only_one) // 2
+                near = numbers[at[OF * shared >= PART * (sizes[at] + n - shared)]]
+                if len(near):
+                    kept += [near, np.asarray([number], np.int64)]
+    return pa.table({"class": pa.array(np.unique(np.concatenate(kept)), pa.int64())})
 
 
 def _similar_in_blocks(block: pa.Table) -> pa.Table:
@@ -339,7 +385,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = families.join(parts.withColumnRenamed("component", "part"), "node", "left").selectExpr(
         "node AS class", "component AS family", "coalesce(part, node) AS part"
     )
-    more = written(_within_families(members, sets), "jaccard-more")
+    members = written(_with_main(members), "jaccard-members")
+    more = written(_within_families(members, classes, sets), "jaccard-more")
     if more.limit(1).count():
         parts = components(links.union(more), "jaccard-parts")
     joined = classes.join(parts, F.col("class") == F.col("node"), "left").selectExpr("class", "n", "rep", "coalesce(component, class) AS component")

@@ -8,6 +8,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import pytest
 
 from spanloom.llm import chat, decontaminate, fingerprint, html_extract, jaccard_join, line_dedup, packing, pii, registry, sharding, toxicity
@@ -412,3 +413,33 @@ def test_pipeline(spark, sf_dir, docs):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == left
     toxic = {r.doc_id for r in toxicity.scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("predicted = 1").collect()}
     assert not left & toxic
+
+
+def test_jaccard_families(spark, monkeypatch):
+    """Similar pairs across the parts of a family, over blocks smaller than it, equal brute force."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "BITMAP_BLOCK", 32)
+    draw = np.random.default_rng(5)
+    pool = np.sort(draw.integers(0, 1 << 63, 90, dtype=np.uint64))
+    sets, members = {}, {}
+    for number in range(160):
+        if number % 4:
+            base = sets[number - 1]
+            tokens = np.union1d(base[draw.random(len(base)) > 0.1], pool[draw.random(len(pool)) < 0.05])
+        else:
+            tokens = pool[draw.random(len(pool)) < draw.choice([0.2, 0.5, 0.9])]
+        sets[number] = tokens
+        members[number] = (number, number % 2, number % 2 if number < 60 else number)
+    frame = spark.createDataFrame(list(members.values()), "class bigint, family bigint, part bigint")
+    rows = [(k, len(t), bytearray(jaccard_join._bitmap(t)), bytearray(t.tobytes())) for k, t in sets.items()]
+    data = spark.createDataFrame(rows, "class bigint, n int, bitmap binary, tokens binary")
+    found = jaccard_join._within_families(jaccard_join._with_main(frame), data.drop("tokens"), data.select("class", "tokens"))
+    got = {(min(r), max(r)) for r in found.collect()}
+    want = set()
+    for i in sets:
+        for j in range(i):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            similar = 100 * shared >= 75 * (len(sets[i]) + len(sets[j]) - shared)
+            if similar and members[i][1] == members[j][1] and members[i][2] != members[j][2]:
+                want.add((j, i))
+    assert got == want and len(want) > 10
