@@ -153,6 +153,13 @@ def _chosen(tokens: np.ndarray, bits: int, costly: tuple[np.ndarray, np.ndarray]
     return first, extra
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
 _POSTED = "bucket int, classes binary, sizes binary, extras binary, counts binary, shingles binary"
 _FOUND = "kind int, a bigint, b bigint, shared int, needed int"
 
@@ -187,37 +194,39 @@ def _candidates(texts: DataFrame, bits: int, costly: tuple[np.ndarray, np.ndarra
         def all_of(name: str, kind) -> np.ndarray:
             return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
 
-        counts = all_of("counts", np.int32)
-        number, size, extra = (np.repeat(all_of(n, k), counts) for n, k in (("classes", np.int64), ("sizes", np.int32), ("extras", np.int8)))
-        shingle = all_of("shingles", "<u4")
-        order = np.lexsort((number, shingle))
-        shingle, number, size, extra = shingle[order], number[order], size[order], extra[order]
+        # Classes by their place among the bucket's, so that a pair of them, or a shingle and a class, is one number.
+        number, at, place = np.unique(all_of("classes", np.int64), return_index=True, return_inverse=True)
+        size, extra = all_of("sizes", np.int32)[at].astype(np.int64), all_of("extras", np.int8)[at].astype(np.int32)
+        owner = np.repeat(place.astype(_U), all_of("counts", np.int32))
         # A class that several tasks have posted counts once.
-        kept = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (number[1:] != number[:-1])])
-        shingle, number, size, extra = shingle[kept], number[kept], size[kept], extra[kept]
-        first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-        many = np.diff(np.append(first, len(shingle)))
-        pairs, links = [], []
+        entries = np.unique((all_of("shingles", "<u4").astype(_U) << _U(32)) | owner)
+        owner = (entries & _U(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.diff((entries >> _U(32)).astype(np.int64), prepend=-1))
+        many = np.diff(np.append(first, len(entries)))
+        pairs, shared = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for length in range(2, LIST + 1):
-            # All lists of one length at once, as rows of places.
-            own = first[many == length][:, None] + np.arange(length)
-            for i in range(length):
-                for j in range(i + 1, length):
-                    a, b = own[:, i], own[:, j]
-                    fit = OF * np.minimum(size[a], size[b]).astype(np.int64) >= PART * np.maximum(size[a], size[b]).astype(np.int64)
-                    pairs.append(np.stack([number[a][fit], number[b][fit], 1 + np.minimum(extra[a], extra[b])[fit].astype(np.int64)], 1))
-        for start, length in zip(first[many > LIST], many[many > LIST], strict=True):
-            links.append(np.stack([np.full(length - 1, number[start]), number[start + 1 : start + length]], 1))
-        found, shared = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *pairs]), axis=0, return_counts=True)
-        linked = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *links]), axis=0)
+            # All lists of one length at once.
+            own = owner[first[many == length][:, None] + np.arange(length)]
+            for i in range(length - 1):
+                a, b = np.repeat(own[:, i], length - i - 1), own[:, i + 1 :].ravel()
+                fit = OF * np.minimum(size[a], size[b]) >= PART * np.maximum(size[a], size[b])
+                found, often = np.unique((a[fit] << 32) | b[fit], return_counts=True)
+                pairs.append(found)
+                shared.append(often)
+        pairs, shared = _summed(np.concatenate(pairs), np.concatenate(shared))
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        long = many > LIST
+        heads = np.repeat(owner[first[long]], many[long] - 1)
+        others = np.delete(owner[np.repeat(long, many)], np.cumsum(many[long]) - many[long])
+        linked = np.unique((heads << 32) | others)
         none = np.zeros(len(linked), np.int32)
         return pa.table(
             {
-                "kind": pa.array(np.concatenate([np.zeros(len(found), np.int32), none + 1])),
-                "a": pa.array(np.concatenate([found[:, 0], linked[:, 0]])),
-                "b": pa.array(np.concatenate([found[:, 1], linked[:, 1]])),
+                "kind": pa.array(np.concatenate([np.zeros(len(pairs), np.int32), none + 1])),
+                "a": pa.array(number[np.concatenate([a, linked >> 32])]),
+                "b": pa.array(number[np.concatenate([b, linked & 0xFFFFFFFF])]),
                 "shared": pa.array(np.concatenate([shared.astype(np.int32), none])),
-                "needed": pa.array(np.concatenate([found[:, 2].astype(np.int32), none])),
+                "needed": pa.array(np.concatenate([1 + np.minimum(extra[a], extra[b]), none])),
             }
         )
 
