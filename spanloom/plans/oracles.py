@@ -266,7 +266,7 @@ FROM ({LOG_ROWS}) l JOIN ({SPAN_ROWS}) s ON l.trace_id = s.trace_id AND l.span_i
     "span_parent_join": f"""SELECT c.trace_id, c.span_id, c.parent_span_id, c.name, p.name AS parent_name, c.duration_ns,
   p.duration_ns AS parent_duration_ns
 FROM ({SPAN_ROWS}) c JOIN ({SPAN_ROWS}) p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id""",
-    "orphan_spans": f"""WITH s AS (SELECT * FROM ({SPAN_ROWS}) WHERE arrival % 10 <> 0)
+    "orphan_spans": f"""WITH s AS ({SPAN_ROWS})
 SELECT trace_id, span_id, parent_span_id, name FROM s WHERE parent_span_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM s p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_span_id)""",
     "count_logs": f"SELECT count(*) AS n_logs FROM ({LOG_ROWS})",

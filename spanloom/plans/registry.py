@@ -316,9 +316,7 @@ def span_parent_join(spark, sf_dir):
 
 @query
 def orphan_spans(spark, sf_dir):
-    """Without the root spans of every second trace, their children are orphans."""
-    spans = source.span_rows(_events(spark, sf_dir)).filter("arrival % 10 <> 0").select(*TRACES.column_names)
-    return queries.orphan_spans(spans).select("trace_id", "span_id", "parent_span_id", "name")
+    return queries.orphan_spans(_rows(spark, sf_dir, TRACES)).select("trace_id", "span_id", "parent_span_id", "name")
 
 
 @query

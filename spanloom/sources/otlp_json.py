@@ -1,6 +1,6 @@
 """OTLP/JSON payloads (one payload per line, as the public protocol defines them) to the nested payload schema.
 
-In OTLP/JSON ids are hex text, 64-bit numbers may be text, and every value is wrapped: {"stringValue": "x"},
+In OTLP/JSON ids are hex text, numbers may be text, and every value is wrapped: {"stringValue": "x"},
 {"arrayValue": {"values": [...]}} and so on.
 """
 
@@ -21,17 +21,17 @@ _SCOPE = "STRUCT<name: STRING, version: STRING>"
 
 LOGS_JSON = f"""resourceLogs ARRAY<STRUCT<resource: {_RESOURCE}, scopeLogs: ARRAY<STRUCT<scope: {_SCOPE},
   logRecords: ARRAY<STRUCT<timeUnixNano: STRING, observedTimeUnixNano: STRING, severityNumber: STRING,
-    severityText: STRING, body: {_ANY}, attributes: {_PAIRS}, flags: BIGINT, traceId: STRING, spanId: STRING>>>>>>"""
+    severityText: STRING, body: {_ANY}, attributes: {_PAIRS}, flags: STRING, traceId: STRING, spanId: STRING>>>>>>"""
 
 TRACES_JSON = f"""resourceSpans ARRAY<STRUCT<resource: {_RESOURCE}, scopeSpans: ARRAY<STRUCT<scope: {_SCOPE},
-  spans: ARRAY<STRUCT<traceId: STRING, spanId: STRING, parentSpanId: STRING, traceState: STRING, flags: BIGINT,
+  spans: ARRAY<STRUCT<traceId: STRING, spanId: STRING, parentSpanId: STRING, traceState: STRING, flags: STRING,
     name: STRING, kind: STRING, startTimeUnixNano: STRING, endTimeUnixNano: STRING, attributes: {_PAIRS},
-    droppedAttributesCount: BIGINT,
-    events: ARRAY<STRUCT<timeUnixNano: STRING, name: STRING, attributes: {_PAIRS}, droppedAttributesCount: BIGINT>>,
-    droppedEventsCount: BIGINT,
+    droppedAttributesCount: STRING,
+    events: ARRAY<STRUCT<timeUnixNano: STRING, name: STRING, attributes: {_PAIRS}, droppedAttributesCount: STRING>>,
+    droppedEventsCount: STRING,
     links: ARRAY<STRUCT<traceId: STRING, spanId: STRING, traceState: STRING, attributes: {_PAIRS},
-      droppedAttributesCount: BIGINT, flags: BIGINT>>,
-    droppedLinksCount: BIGINT, status: STRUCT<code: STRING, message: STRING>>>>>>>"""
+      droppedAttributesCount: STRING, flags: STRING>>,
+    droppedLinksCount: STRING, status: STRUCT<code: STRING, message: STRING>>>>>>>"""
 
 # The names the protocol's JSON form allows instead of enum numbers.
 SPAN_KINDS = {
@@ -86,7 +86,8 @@ def _pairs(attributes: str) -> str:
     return f"transform({attributes}, a -> named_struct('key', a.key, 'value', {unwrap('a.value')}))"
 
 
-def _nanos(text: str) -> str:
+def _whole(text: str) -> str:
+    """Numbers may be written as numbers or as text."""
     return f"try_cast({text} AS BIGINT)"
 
 
@@ -96,13 +97,13 @@ def _struct(**fields: str) -> str:
 
 def _log_record(r: str) -> str:
     return _struct(
-        time_unix_nano=_nanos(f"{r}.timeUnixNano"),
-        observed_time_unix_nano=_nanos(f"{r}.observedTimeUnixNano"),
+        time_unix_nano=_whole(f"{r}.timeUnixNano"),
+        observed_time_unix_nano=_whole(f"{r}.observedTimeUnixNano"),
         severity_number=_enum(f"{r}.severityNumber", SEVERITY_NAMES),
         severity_text=f"{r}.severityText",
         body=f"CASE WHEN {r}.body IS NOT NULL THEN {unwrap(f'{r}.body')} END",
         attributes=_pairs(f"{r}.attributes"),
-        flags=f"{r}.flags",
+        flags=_whole(f"{r}.flags"),
         trace_id=f"unhex({r}.traceId)",
         span_id=f"unhex({r}.spanId)",
     )
@@ -110,10 +111,10 @@ def _log_record(r: str) -> str:
 
 def _span_event(e: str) -> str:
     return _struct(
-        time_unix_nano=_nanos(f"{e}.timeUnixNano"),
+        time_unix_nano=_whole(f"{e}.timeUnixNano"),
         name=f"{e}.name",
         attributes=_pairs(f"{e}.attributes"),
-        dropped_attributes_count=f"{e}.droppedAttributesCount",
+        dropped_attributes_count=_whole(f"{e}.droppedAttributesCount"),
     )
 
 
@@ -123,8 +124,8 @@ def _span_link(x: str) -> str:
         span_id=f"unhex({x}.spanId)",
         trace_state=f"{x}.traceState",
         attributes=_pairs(f"{x}.attributes"),
-        dropped_attributes_count=f"{x}.droppedAttributesCount",
-        flags=f"{x}.flags",
+        dropped_attributes_count=_whole(f"{x}.droppedAttributesCount"),
+        flags=_whole(f"{x}.flags"),
     )
 
 
@@ -134,17 +135,17 @@ def _span_record(s: str) -> str:
         span_id=f"unhex({s}.spanId)",
         parent_span_id=f"unhex({s}.parentSpanId)",
         trace_state=f"{s}.traceState",
-        flags=f"{s}.flags",
+        flags=_whole(f"{s}.flags"),
         name=f"{s}.name",
         kind=_enum(f"{s}.kind", SPAN_KINDS),
-        start_time_unix_nano=_nanos(f"{s}.startTimeUnixNano"),
-        end_time_unix_nano=_nanos(f"{s}.endTimeUnixNano"),
+        start_time_unix_nano=_whole(f"{s}.startTimeUnixNano"),
+        end_time_unix_nano=_whole(f"{s}.endTimeUnixNano"),
         attributes=_pairs(f"{s}.attributes"),
-        dropped_attributes_count=f"{s}.droppedAttributesCount",
+        dropped_attributes_count=_whole(f"{s}.droppedAttributesCount"),
         events=f"transform({s}.events, ev -> {_span_event('ev')})",
-        dropped_events_count=f"{s}.droppedEventsCount",
+        dropped_events_count=_whole(f"{s}.droppedEventsCount"),
         links=f"transform({s}.links, li -> {_span_link('li')})",
-        dropped_links_count=f"{s}.droppedLinksCount",
+        dropped_links_count=_whole(f"{s}.droppedLinksCount"),
         status=_struct(code=_enum(f"{s}.status.code", STATUS_CODES), message=f"{s}.status.message"),
     )
 

@@ -499,3 +499,25 @@ def test_file_batches_brute_force(spark, monkeypatch):
             assert got.columns == ["arrival", "ts", "tick", "seq"]
             assert {r.arrival: (r.tick, r.seq) for r in got.collect()} == want
         monkeypatch.undo()
+
+
+def test_numbers_written_as_text(spark, tmp_path):
+    link = {"traceId": "ab" * 16, "spanId": "cd" * 8, "flags": "3", "droppedAttributesCount": 4}
+    event = {"name": "e", "droppedAttributesCount": "5"}
+    span = {"flags": "1", "droppedAttributesCount": "2", "droppedEventsCount": 6, "droppedLinksCount": "7", "links": [link], "events": [event]}
+    folder = landing(tmp_path, "spans", [[{"resourceSpans": [{"scopeSpans": [{"spans": [span]}]}]}]])
+    row = flatten(otlp_json.read_otlp_json(spark, folder, TRACES), TRACES).first()
+    assert (row.flags, row.dropped_attributes_count, row.dropped_events_count, row.dropped_links_count) == (1, 2, 6, 7)
+    assert json.loads(row.links)[0]["flags"] == 3 and json.loads(row.links)[0]["dropped_attributes"] == 4
+    assert json.loads(row.events)[0]["dropped_attributes"] == 5
+    folder = landing(tmp_path, "logs", [[logs_payload([{"flags": "9"}, {"flags": 8}, {"flags": 4294967295}])]])
+    rows = flatten(otlp_json.read_otlp_json(spark, folder, LOGS), LOGS).orderBy("record_pos").collect()
+    assert [r.flags for r in rows] == [9, 8, 4294967295]
+
+
+def test_orphan_spans(spark):
+    spans = spark.createDataFrame(
+        [("t", "root", None, "a"), ("t", "kid", "root", "b"), ("t", "lost", "gone", "c"), ("u", "other", "root", "d")],
+        "trace_id string, span_id string, parent_span_id string, name string",
+    )
+    assert {r.name for r in queries.orphan_spans(spans).collect()} == {"c", "d"}
