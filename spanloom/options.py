@@ -79,18 +79,18 @@ class LakeOptions:
         found = []
         url = urlparse(self.output_path)
         if not self.output_path:
-            found.append("output_path must be specified")
+            found.append("no output_path given")
         elif url.scheme in ("", "file"):
             if os.path.exists(url.path) and not os.path.isdir(url.path):
-                found.append(f"output_path exists but is not a directory: {self.output_path}")
+                found.append(f"output_path names a file, not a folder: {self.output_path}")
         elif not url.netloc:
             found.append(f"output_path has no bucket or host: {self.output_path}")
         if self.batch_size <= 0:
-            found.append("batch_size must be greater than 0")
+            found.append(f"batch_size is {self.batch_size}; a file needs at least one row")
         if self.batch_timeout_seconds <= 0:
-            found.append("batch_timeout must be greater than 0")
+            found.append(f"batch_timeout_seconds is {self.batch_timeout_seconds}; it has to be positive")
         if self.compression not in CODECS:
-            found.append(f"compression must be one of: {', '.join(CODECS)}")
+            found.append(f"unknown compression {self.compression!r}, known are {', '.join(CODECS)}")
         if not self.logs_table or not self.traces_table or self.logs_table == self.traces_table:
             found.append("logs_table and traces_table must be two different names")
         return found

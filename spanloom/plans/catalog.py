@@ -20,7 +20,7 @@ from spanloom.schemas import SIGNALS
 
 # Fixed values of a new catalog.
 CATALOG_VERSION = "0.3"
-BOOTSTRAP_MESSAGE = "Bootstrap catalog with main schema"
+BOOTSTRAP_MESSAGE = "Empty catalog with one schema"
 MAPPING_TYPE = "map_by_name"
 FILE_FORMAT = "PARQUET"
 AUTHOR = "spanloom"
@@ -260,11 +260,7 @@ def snapshot_changes(commits: DataFrame, started: DataFrame) -> DataFrame:
         F.concat(F.lit("inserted_into_table:"), F.col("table_id").cast("string")),
     )
     message = F.concat(
-        F.lit("Added data file for table "),
-        F.col("table_name"),
-        F.lit(" (table_id="),
-        F.col("table_id").cast("string"),
-        F.lit(")"),
+        F.lit("one file more in "), F.col("table_name"), F.lit(", table "), F.col("table_id").cast("string")
     )
     made = _with_table_id(commits).select(
         "snapshot_id",

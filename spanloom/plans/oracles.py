@@ -319,17 +319,17 @@ FROM ({_manifest()})""",
     "catalog_bootstrap": """SELECT * FROM (VALUES ('metadata', 'version', '0.3'), ('metadata', 'created_by', 'spanloom'),
   ('metadata', 'data_path', '/lake/'), ('metadata', 'encrypted', 'false'), ('schema_versions', '0', '0'),
   ('schema', 'main', 'main/'),
-  ('snapshot_changes', 'created_schema:main', 'Bootstrap catalog with main schema')) t(catalog_table, key, value)
+  ('snapshot_changes', 'created_schema:main', 'Empty catalog with one schema')) t(catalog_table, key, value)
 UNION ALL
 SELECT 'snapshot', '0', strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') FROM events""",
     "catalog_snapshots": _COMMITS + _SNAPSHOTS,
     "snapshot_changes": _COMMITS
     + """SELECT CAST(0 AS BIGINT) AS snapshot_id, 'created_schema:main' AS changes_made, 'spanloom' AS author,
-  'Bootstrap catalog with main schema' AS commit_message, CAST(NULL AS VARCHAR) AS commit_extra_info
+  'Empty catalog with one schema' AS commit_message, CAST(NULL AS VARCHAR) AS commit_extra_info
 UNION ALL
 SELECT c.snapshot_id, CASE WHEN c.file_order = 0 THEN 'created_table:' || c.table_name || ',' ELSE '' END
     || 'inserted_into_table:' || CAST(t.table_id AS VARCHAR), 'spanloom',
-  'Added data file for table ' || c.table_name || ' (table_id=' || CAST(t.table_id AS VARCHAR) || ')', NULL
+  'one file more in ' || c.table_name || ', table ' || CAST(t.table_id AS VARCHAR), NULL
 FROM commits c JOIN created t ON t.table_name = c.table_name""",
     "catalog_tables": _COMMITS
     + """SELECT table_id, regexp_replace(md5('table/' || table_name), '^(.{8})(.{4})(.{4})(.{4})(.{12})$',

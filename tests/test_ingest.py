@@ -277,7 +277,7 @@ def test_options():
     with pytest.raises(OptionsError) as e:
         bad.validate()
     assert len(str(e.value).splitlines()) == 5
-    assert LakeOptions(output_path=__file__).problems() == [f"output_path exists but is not a directory: {__file__}"]
+    assert LakeOptions(output_path=__file__).problems() == [f"output_path names a file, not a folder: {__file__}"]
     assert LakeOptions(output_path="s3a:///p").problems() == ["output_path has no bucket or host: s3a:///p"]
 
 
@@ -289,7 +289,7 @@ def test_settings():
     }
     options = LakeOptions.from_settings(settings).validate()
     assert options == LakeOptions("/tmp/x", "", 100, 90.0, "ZSTD", False, "test_logs", "test_traces")
-    assert LakeOptions.from_settings({}).problems() == ["output_path must be specified"]
+    assert LakeOptions.from_settings({}).problems() == ["no output_path given"]
     assert LakeOptions.from_settings({"batch_timeout": "250ms", "output_path": "/x"}).batch_timeout_seconds == 0.25
     with pytest.raises(OptionsError):
         LakeOptions.from_settings({"batch_timeout": "soon"})
