@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare word n-grams of the test items lead to passages of the corpus, and a local alignment of
+"""Benchmark decontamination: word n-grams of the test items lead to passages of the corpus, and a local alignment of
 passage and item tells copies, also edited ones, from chance."""
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from . import hashing
 
 SEED_WORDS = 3
-# Seeds of an item that a passage must share, within twice the item's length. Shorter items need fewer.
-LEAST_SEEDS = 2
-# A seed that occurs so often is rare, whatever its item's other seeds.
-RARE = 16
 # Alignment: points for equal words, and what a different or a missing word costs. A passage counts from this share of
 # the points that the whole item would give.
 MATCH, OTHER, GAP = 2, 1, 1
@@ -49,19 +45,6 @@ class Items:
         order = np.argsort(seeds, kind="stable")
         return cls(ids, words, seeds[order], item[order], place[order])
 
-    def rare(self, counts: dict[int, int]) -> Items:
-        """With only those seeds of each item that occur in the corpus, and are no commoner there than the median of these
-        or than RARE."""
-        seen = np.asarray([counts.get(int(s), 0) for s in self.seeds], np.int64)
-        limit = np.full(len(self.ids), RARE, np.float64)
-        order = np.argsort(self.item, kind="stable")
-        for i, own in enumerate(np.split(order, np.searchsorted(self.item[order], np.arange(1, len(self.ids))))):
-            occurring = seen[own][seen[own] > 0]
-            if len(occurring):
-                limit[i] = max(RARE, np.median(occurring))
-        kept = (seen > 0) & (seen <= limit[self.item])
-        return Items(self.ids, self.words, self.seeds[kept], self.item[kept], self.place[kept])
-
     def lengths(self) -> list[int]:
         """The seed lengths in use: items of fewer words are one seed."""
         return sorted({min(SEED_WORDS, len(w)) for w in self.words})
@@ -100,7 +83,8 @@ def align(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
 
 
 def _passages(hashed: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
-    """(item, first word, last word) of stretches with enough seeds."""
+    """(item, first word, last word) of stretches around a seed, however common it is, that hold enough of the item's words to
+    reach LEAST_SHARE."""
     rows, places = [], []
     for n in items.lengths():
         grams = hashing.ngrams(hashed, n)
@@ -116,16 +100,16 @@ def _passages(hashed: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]
     row, at = np.concatenate(rows), np.concatenate(places)
     item, start = items.item[row], at - items.place[row]
     order = np.lexsort((start, item))
-    item, start, at = item[order], start[order], at[order]
+    item, start = item[order], start[order]
     lengths = np.asarray([len(w) for w in items.words])
-    chosen = np.bincount(items.item, minlength=len(items.ids))
     new = np.concatenate([[True], (item[1:] != item[:-1]) | (np.diff(start) > np.maximum(lengths[item[1:]] // 2, 1))])
     cut = np.append(np.flatnonzero(new), len(item))
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         i, n = int(item[a]), int(lengths[item[a]])
-        if len(np.unique(at[a:b])) >= min(LEAST_SEEDS, chosen[i]):
-            slack = n // 2 + 2
-            yield i, max(0, int(start[a]) - slack), min(len(hashed), int(start[b - 1]) + n + slack)
+        # Words skipped cost GAP each, so a passage that counts holds at most n beside the item's own.
+        first, last = max(0, int(start[a]) - n), min(len(hashed), int(start[b - 1]) + 2 * n)
+        if np.isin(items.words[i], hashed[first:last]).sum() >= LEAST_SHARE * n:
+            yield i, first, last
 
 
 def _benchmark(benchmark: DataFrame) -> Iterator[Items]:
@@ -148,14 +132,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, start, end, passage): the passages of `docs` (doc_id, text) that are copies of test items of
     `benchmark` (item_id, text), the best one per document row and item.
 
-    Seeds are hashes of SEED_WORDS words, letters only and without case. How often each occurs is counted over the whole
-    corpus, and an item keeps the rarer half of its seeds that occur. A passage with enough of them is aligned word by word; `score` is
+    Seeds are hashes of SEED_WORDS words, letters only and without case. Every stretch that shares one with an item and has
+    words enough is aligned word by word, however often the seed occurs; a passage that shares none is not found. `score` is
     the alignment's points as a share of a perfect copy's, at least LEAST_SHARE. `start` and `end` are code points.
 
-    Both passes over the texts are map-only; a round's items (at most WORDS_PER_ROUND words) and its seeds' counts are
-    broadcast. Null and empty texts contain nothing; items of one or two words are one seed; an item_id that repeats is
-    reported for each of its texts; rows of a repeated or null doc_id are reported row by row; an empty table on either
-    side gives no rows.
+    The one pass over the texts is map-only; a round's items (at most WORDS_PER_ROUND words) are broadcast. Null and empty
+    texts contain nothing; items of one or two words are one seed; an item_id that repeats is reported for each of its
+    texts; rows of a repeated or null doc_id are reported row by row; an empty table on either side gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = [_round(texts, items) for items in _benchmark(benchmark)]
@@ -169,26 +152,8 @@ def _round(texts: DataFrame, items: Items) -> DataFrame:
     context = texts.sparkSession.sparkContext
     every = context.broadcast(items)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = every.value
-        seeds = np.unique(own.seeds)
-        counts = np.zeros(len(seeds), np.int64)
-        for batch in batches:
-            for hashed, _, _ in _texts(_lower(batch.column(0))):
-                for n in own.lengths():
-                    grams = hashing.ngrams(hashed, n)
-                    at = np.searchsorted(seeds, grams)
-                    at = at[seeds[np.minimum(at, len(seeds) - 1)] == grams]
-                    np.add.at(counts, at[at < len(seeds)], 1)
-        kept = counts > 0
-        yield pa.RecordBatch.from_arrays([pa.array(seeds[kept].astype(np.int64)), pa.array(counts[kept])], names=["seed", "n"])
-
-    counted = texts.select("text").mapInArrow(count, "seed bigint, n bigint").groupBy("seed").agg(F.sum("n").alias("n"))
-    counts = {int(np.int64(r.seed).astype(_U)): r.n for r in counted.toLocalIterator()}
-    chosen = context.broadcast(items.rare(counts))
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = chosen.value
+        own = every.value
         for batch in batches:
             found = []
             lower = _lower(batch.column(1))

@@ -393,6 +393,18 @@ def test_decontamination_odd(spark, odd):
     assert decontaminate.contaminations(odd, bench.limit(0)).count() == 0 == decontaminate.contaminations(odd.limit(0), bench).count()
 
 
+@pytest.mark.parametrize(("exact", "edited"), [(100, 1), (1, 30)])
+@pytest.mark.parametrize("n", [15, 59])
+def test_decontamination_many_copies(spark, n, exact, edited):
+    """Seeds that an item's many copies make common still lead to the edited ones."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)]
+    copy = [w if i % 4 < 3 else "changed" for i, w in enumerate(words)]
+    rows = [(i, f"Before it, {' '.join(words if i < exact else copy)} and after.") for i in range(exact + edited)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    got = {r.doc_id: r.score for r in decontaminate.contaminations(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert got == {i: 1.0 if i < exact else align(copy, words) / (2 * n) for i in range(exact + edited)}
+
+
 def test_registered_queries(spark, sf_dir):
     import __spark_entry__ as entry
 
