@@ -3,8 +3,7 @@ its words are, one by one, under the toxic model.
 
 Both are Kneser-Ney models over words and bigrams. A class's counts are discounted and fall back on the counts of the same
 expression in both classes together, which weigh more than its own; those fall back on the number of contexts that a word
-has. Bigrams that both classes together have seen only a few times are left to their word alone, and words seen in few
-contexts to the shared counts, so they say nothing about the class.
+has. Every word and bigram of the labelled texts is in the models, however seldom it was seen.
 
 Counts and models are tables that grow with the labelled texts. What scoring looks up is one number an entry, the log of
 the two models' ratio, taken in rounds of words whose size is fixed.
@@ -31,16 +30,13 @@ DISCOUNT = 0.75
 # The weight of what a model falls back on, for each unit of its own counts. A large one leaves ordinary words, whose
 # counts differ by chance, near a ratio of 1, and still lets through words that are many times likelier in one class.
 SHARED_WEIGHT = 100.0
-# A word counts from so many contexts on in both classes together, a bigram from so many occurrences.
-LEAST_CONTEXTS = 4
-LEAST_BIGRAMS = 2048
 # Words or different bigrams that a counting task holds before it hands them on.
 HELD_COUNTS = 2_000_000
 # Model entries (12 bytes each) that are broadcast at a time; a larger model takes as many rounds over the texts as it needs.
 ENTRIES_PER_ROUND = 4_000_000
 # Labelled rows are dealt to five folds by the CRC of doc_id: 0 is held out, 1 calibrates the score, 2 to 4 are counted.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-# At most so many rows fit the three numbers of the calibration, those with the smallest hashes of doc_id.
+# At most so many rows fit the four numbers of the calibration, those with the smallest hashes of doc_id.
 CALIBRATION_ROWS = 50_000
 TOXIC, ORDINARY = 1, 0
 
@@ -101,8 +97,8 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def train(labelled: DataFrame) -> DataFrame:
-    """(entry, ratio): log P(toxic) - log P(ordinary) of each word that counts and of each bigram that counts, from
-    `labelled` (text, toxic 0 or 1), all of whose rows are counted.
+    """(entry, ratio): log P(toxic) - log P(ordinary) of each word and of each bigram of `labelled`
+    (text, toxic 0 or 1), all of whose rows are counted.
 
     Tasks count their own bigrams first, so a frequent one is a row a task in the shuffle. No table reaches the driver.
     """
@@ -110,11 +106,11 @@ def train(labelled: DataFrame) -> DataFrame:
     pairs = counted.groupBy("pair").agg(F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1"))
     pairs = written(pairs, "toxicity-bigrams").selectExpr("*", f"shiftright(pair, {WORD_BITS}) AS word", f"pair & {(1 << WORD_BITS) - 1}L AS before")
     words = pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("contexts"))
-    words = written(_unigrams(written(words.where(f"contexts >= {LEAST_CONTEXTS}"), "toxicity-words")), "toxicity-unigrams")
+    words = written(_unigrams(written(words, "toxicity-words")), "toxicity-unigrams")
     contexts = pairs.groupBy("before").agg(
         F.sum("n0").alias("total0"), F.sum("n1").alias("total1"), F.count_if(F.col("n0") > 0).alias("types0"), F.count_if(F.col("n1") > 0).alias("types1")
     )
-    bigrams = pairs.where(f"n0 + n1 >= {LEAST_BIGRAMS}").join(contexts.where("total0 > 0 AND total1 > 0"), "before").join(words, "word", "left")
+    bigrams = pairs.join(contexts, "before").join(words, "word")
     ratio = f"ln({_after(TOXIC)}) - ln({_after(ORDINARY)})"
     entries = bigrams.selectExpr("pair AS entry", f"CAST({ratio} AS FLOAT) AS ratio")
     alone = words.selectExpr(f"shiftleft(word, {WORD_BITS}) + {ALONE} AS entry", "CAST(ln(p1) - ln(p0) AS FLOAT) AS ratio")
@@ -145,8 +141,8 @@ def _unigrams(words: DataFrame) -> DataFrame:
 
 def _after(c: int) -> str:
     """SQL for P(word | word before, class): the class's bigrams, then those of both classes, then the class's words.
-    A word that does not count alone has one small probability in both classes."""
-    own = f"(greatest(n{c} - {DISCOUNT}D, 0D) + {DISCOUNT}D * types{c} * coalesce(p{c}, {2.0**-WORD_BITS!r}D)) / total{c}"
+    Where the class has not seen the word before, its words alone tell."""
+    own = f"CASE WHEN total{c} > 0 THEN (greatest(n{c} - {DISCOUNT}D, 0D) + {DISCOUNT}D * types{c} * p{c}) / total{c} ELSE p{c} END"
     return f"(({own}) + {SHARED_WEIGHT}D * (n0 + n1) / (total0 + total1)) / {1 + SHARED_WEIGHT}D"
 
 
@@ -159,29 +155,35 @@ def _found(entries: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hit, at[hit]
 
 
-def _log_ratios(column: pa.Array, entries: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per text, the sum over its words of the bigram's ratio, or else the word's, or else 0; and the number of words."""
-    sums, words = [np.zeros(0)], [np.zeros(0, np.int64)]
+def _log_ratios(column: pa.Array, entries: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text, the sum over its words of the bigram's ratio, or else the word's, or else 0; the largest of these, 0 at
+    least; and the number of words."""
+    sums, tops, words = [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]
     for own, before, at in _bigrams(column):
         ratio = np.zeros(len(own))
         for wanted in (_pairs(own, np.full(1, ALONE, _U)), _pairs(own, before)):
             hit, where = _found(entries, wanted)
             ratio[hit] = ratios[where]
         many = np.diff(at)
-        sums.append(np.bincount(np.repeat(np.arange(len(many)), many), ratio, len(many)))
+        text = np.repeat(np.arange(len(many)), many)
+        sums.append(np.bincount(text, ratio, len(many)))
+        top = np.zeros(len(many))
+        np.maximum.at(top, text, ratio)
+        tops.append(top)
         words.append(many)
-    return np.concatenate(sums), np.concatenate(words)
+    return np.concatenate(sums), np.concatenate(tops), np.concatenate(words)
 
 
 def ratios(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, ratio, words): the length-normalised log-likelihood ratio of each text.
+    """(doc_id, ratio, strongest, words): the length-normalised log-likelihood ratio of each text, and the largest of its
+    words' log ratios.
 
     The model is taken in rounds of about ENTRIES_PER_ROUND entries, each with all entries of its words. A round is
     map-only over the texts and adds to their sums; between rounds the texts are written with them.
     """
     context = docs.sparkSession.sparkContext
     rounds = max(1, -(-model.count() // ENTRIES_PER_ROUND))
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.lit(0.0).alias("total"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.lit(0.0).alias("total"), F.lit(0.0).alias("strongest"))
     for r in range(rounds):
         part = model.where(f"pmod(xxhash64(shiftright(entry, {WORD_BITS})), {rounds}) = {r}").toArrow()
         entries, ratio = part.column("entry").to_numpy().astype(_U), part.column("ratio").to_numpy()
@@ -190,32 +192,39 @@ def ratios(docs: DataFrame, model: DataFrame) -> DataFrame:
 
         def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sums, words = _log_ratios(batch.column(1), *shared.value)
-                total = pc.add(batch.column(2), pa.array(sums))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), total, pa.array(words)], names=["doc_id", "text", "total", "words"])
+                sums, tops, words = _log_ratios(batch.column(1), *shared.value)
+                total, strongest = pc.add(batch.column(2), pa.array(sums)), pc.max_element_wise(batch.column(3), pa.array(tops))
+                columns = [batch.column(0), batch.column(1), total, strongest, pa.array(words)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "total", "strongest", "words"])
 
         def finish(batches: Iterator[pa.RecordBatch], add=add) -> Iterator[pa.RecordBatch]:
             for batch in add(batches):
-                yield batch.select(["doc_id", "total", "words"])
+                yield batch.select(["doc_id", "total", "strongest", "words"])
 
         if r < rounds - 1:
-            rows = written(rows.mapInArrow(add, "doc_id bigint, text string, total double, words bigint"), "toxicity-round").drop("words")
-    scored = rows.mapInArrow(finish, "doc_id bigint, total double, words bigint")
-    return scored.selectExpr("doc_id", "CASE WHEN words > 0 THEN total / words ELSE 0D END AS ratio", "words")
+            rows = written(rows.mapInArrow(add, "doc_id bigint, text string, total double, strongest double, words bigint"), "toxicity-round").drop("words")
+    scored = rows.mapInArrow(finish, "doc_id bigint, total double, strongest double, words bigint")
+    return scored.selectExpr("doc_id", "CASE WHEN words > 0 THEN total / words ELSE 0D END AS ratio", "strongest", "words")
 
 
-def _calibrated(ratio: np.ndarray, strength: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Intercept and slopes of a logistic regression of the label on the ratio and its strength, held slightly towards 0
-    and 1."""
-    spread = np.array([1.0, float(np.std(ratio)) or 1.0, float(np.std(strength)) or 1.0])
-    x = np.stack([np.ones(len(ratio)), ratio, strength], 1) / spread
-    prior = np.array([0.0, 0.5, 0.5])
+def _calibrated(inputs: list[np.ndarray], toxic: np.ndarray) -> tuple[float, ...]:
+    """Intercept and slopes of a logistic regression of the label on the inputs, held slightly towards 0 and 1."""
+    spread = np.array([1.0, *[float(np.std(v)) or 1.0 for v in inputs]])
+    x = np.stack([np.ones(len(toxic)), *inputs], 1) / spread
+    prior = np.array([0.0, *[0.5] * len(inputs)])
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.sum(np.logaddexp(0, x @ w) - toxic * (x @ w)) + 0.005 * np.sum((w - prior) ** 2))
+
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - toxic) + 0.01 * (w - prior)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3), gradient)
-        w -= np.clip(step, -5, 5)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w)), gradient)
+        # A step that goes too far is halved.
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-8:
+            step = step / 2
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return tuple(float(v) for v in w / spread)
@@ -224,8 +233,9 @@ def _calibrated(ratio: np.ndarray, strength: np.ndarray, toxic: np.ndarray) -> t
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, ratio) of `docs` (doc_id, text), learnt from `labels` (doc_id, toxic).
 
-    The score is calibrated on a fold that the models have not counted, from the ratio and its strength, which is the
-    ratio times the root of the number of words: chance alone gives short texts larger ratios.
+    The score is calibrated on a fold that the models have not counted, from the ratio, its strength and the strongest
+    word's ratio. The strength is the ratio times the root of the number of words: chance alone gives short texts larger
+    ratios. The strongest word tells a text in which one expression gives the class away.
 
     Labels of the held-out fold are never read, and a label is never an input of a score. Labels that are null or name no
     document are ignored; a doc_id with several labels counts with each. Null and empty texts and texts without letters
@@ -239,12 +249,12 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(limited(counted), F.col("doc_id") == F.col("labelled_id")))
     scored = written(ratios(texts, model), "toxicity-ratios")
     sample = scored.join(known.where(f"fold = {CALIBRATION}"), F.col("doc_id") == F.col("labelled_id"))
-    sample = sample.selectExpr("ratio", "ratio * sqrt(words) AS strength", "toxic", "xxhash64(doc_id) AS h", "doc_id")
-    sample = sample.orderBy("h", "doc_id", "ratio", "toxic").limit(CALIBRATION_ROWS).toPandas()
-    fitted = (0.0, 1.0, 0.0)
+    sample = sample.selectExpr("ratio", "ratio * sqrt(words) AS strength", "strongest", "toxic", "xxhash64(doc_id) AS h", "doc_id")
+    sample = sample.orderBy("h", "doc_id", "ratio", "strongest", "toxic").limit(CALIBRATION_ROWS).toPandas()
+    fitted = (0.0, 1.0, 0.0, 0.0)
     if len(sample):
-        fitted = _calibrated(*(sample[c].to_numpy(float) for c in ("ratio", "strength", "toxic")))
-    logit = "{!r}D + {!r}D * ratio + {!r}D * ratio * sqrt(words)".format(*fitted)
+        fitted = _calibrated([sample[c].to_numpy(float) for c in ("ratio", "strength", "strongest")], sample["toxic"].to_numpy(float))
+    logit = "{!r}D + {!r}D * ratio + {!r}D * ratio * sqrt(words) + {!r}D * strongest".format(*fitted)
     return scored.selectExpr("doc_id", f"{fold()} = {HELD_OUT} AS held_out", f"1 / (1 + exp(-({logit}))) AS score", "ratio").selectExpr(
         "doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", "ratio"
     )

@@ -270,6 +270,22 @@ def test_toxicity(spark):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in got)
 
 
+@pytest.mark.parametrize(("toxic_phrase", "ordinary_phrase"), [("dark night", "night dark"), ("always vileword", "always")])
+def test_toxicity_expressions(spark, toxic_phrase, ordinary_phrase):
+    """Only the order of two words tells the class, or a word that always stands behind the same one."""
+    r = random.Random(6)
+    words = [f"{a}{b}" for a in ("ba", "to", "ri", "sen") for b in ("na", "le", "mo", "tu")]
+    rows = []
+    for i in range(1000):
+        body = [r.choice(words) for _ in range(40)] + [toxic_phrase if i % 5 == 0 else ordinary_phrase] * 2
+        r.shuffle(body)
+        rows.append((i, " and ".join(body)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1000)], "doc_id bigint, toxic int")
+    held = [r for r in toxicity.scores(docs, known).collect() if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 5 == 0) for r in held) >= 0.97 * len(held)
+
+
 def test_toxicity_rounds(spark, monkeypatch):
     """A model that is taken in several rounds gives the same scores."""
     r = random.Random(8)
