@@ -31,7 +31,10 @@ BLOCKS = frozenset(
     "tbody td textarea tfoot th thead tr ul".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = "script|style|template|noscript|title|svg|math|iframe|object|canvas|head"
+_RAW = "script style template noscript title svg iframe canvas".split()
+# Those of them that run to the end of the page where they are not closed; of others only the tag goes then.
+_TO_THE_END = ("script", "style")
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _RAW}
 # What an opening element closes if it is still open, and where that search ends.
 _CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
 
@@ -54,7 +57,7 @@ _TAG_KIND = {t: list(KINDS).index(k) for t, k in _TAG_KIND.items()}
 _GROUPS = {t: i for i, ts in enumerate(("html body", "div section center", "p", "h1", "h2 h3 h4 h5 h6", "li dd dt", "ul ol dl", "table tbody thead tr td th", "blockquote pre figure figcaption", "#text")) for t in ts.split()}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
@@ -118,7 +121,9 @@ def parse(page: str) -> list[Node]:
         nodes.append(node)
         return len(nodes) - 1
 
-    for m in _TOKEN.finditer(page):
+    at, unclosed = 0, set()
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         text = m["text"]
         if text is not None:
             if run < 0:
@@ -135,7 +140,15 @@ def parse(page: str) -> list[Node]:
             continue
         tag = tag.lower()
         ends = m["end"] or m["end2"]
-        if tag == "a":
+        if tag in _RAW_ENDS and not ends:
+            if tag not in unclosed and (tag in _TO_THE_END or not m[0].endswith("/>")):
+                if close := _RAW_ENDS[tag].search(page, at):
+                    at = close.end()
+                elif tag in _TO_THE_END:
+                    break
+                else:
+                    unclosed.add(tag)
+        elif tag == "a":
             link = not ends
         elif tag == "br" and run >= 0:
             nodes[run].text.append(" ")
@@ -342,8 +355,9 @@ def extract(pages: DataFrame) -> DataFrame:
     The whole html is read. Text under one block is one stretch; its character references are decoded and its white space
     becomes single spaces; kept blocks follow each other with a space. Null, empty and textless pages have the empty
     text; null page_id and url and repeated rows are kept as they are; other columns are ignored; an empty table gives
-    no rows. Broken html gives what can be read of it. Training sees a bounded sample (SAMPLE_PAGES); the trees are
-    broadcast, some ten kilobytes.
+    no rows. Of elements whose content is not page text only script, style and comments run on to the end where they are
+    not closed; the text of formulas and of objects is kept. Broken html gives what can be read of it. Training sees a
+    bounded sample (SAMPLE_PAGES); the trees are broadcast, some ten kilobytes.
     """
     rows = pages.select("page_id", "url", "html")
     trained = pages.sparkSession.sparkContext.broadcast(_model(rows))

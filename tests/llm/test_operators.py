@@ -67,6 +67,31 @@ def test_html_odd_pages(spark):
     assert html_extract.page_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>t</title><meta charset=x><body><p>a</p><p>b</p></body>", ["a", "b"]),
+        ('<p>a</p><svg width="1" /><p>b</p><svg><text>no</text></svg><p>c</p><svg><p>d</p>', ["a", "b", "c", "d"]),
+        ("<p>a <svg-icon></svg-icon>b</p><template-x><p>c</p></template-x><p>d</p>", ["a b", "c", "d"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p>b</p>", ["so x=2 holds", "b"]),
+        ("<object data=x><p>instead</p></object><iframe src=x><p>b</p><canvas>", ["instead", "b"]),
+        ("<p>a</p><script>x = '<p>no</p>'</script ><style>no</style\n><TITLE>no</title><p>b</p><script>no <p>no", ["a", "b"]),
+        ("<p>a</p><template><p>no</p></template><noscript>no</noscript><p>b</p><style>no <p>no", ["a", "b"]),
+    ],
+)
+def test_html_unclosed(page, want):
+    """Only scripts, styles and comments swallow what follows them; formulas and objects are text."""
+    assert [n.text for n in html_extract.parse(page) if n.tag == "#text" and n.text] == want
+
+
+def test_html_open_head(spark, sf_dir):
+    """An end tag that html may leave out, and unclosed elements, cost no text."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").limit(20)
+    opened = pages.selectExpr("page_id", "url", "replace(html, '</head>', '<svg><canvas>') AS html")
+    want = {r.page_id: r.text for r in html_extract.page_texts(pages).collect()}
+    assert all(want.values()) and {r.page_id: r.text for r in html_extract.page_texts(opened).collect()} == want
+
+
 def test_fingerprints(docs):
     rows = sorted(texts(docs))
     got = {r.doc_id: r for r in fingerprint.fingerprints(docs).collect()}
