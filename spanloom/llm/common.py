@@ -19,9 +19,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several steps read, in the shared folder, and read it again: cuts lineage for good."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `written`, with the path, for tables that are removed once nothing reads them any more."""
     path = new_scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def limited(numbers: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fingerprint, html_extract, jaccard_join, line_dedup, packing, pii, sharding, toxicity
+from . import centroids, chat, decontaminate, fingerprint, html_extract, jaccard_join, line_dedup, packing, pii, sharding, toxicity, url_filter, whitening
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,21 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.page_verdicts(read(spark, sf_dir, "pages"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -88,7 +103,54 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _lloyd_sql(k: int = 8, rounds: int = 10, seed: int = 3, scale: int = 1024, dimension: int = 64) -> str:
+    """Lloyd's algorithm without bounds, one pair of steps for every round."""
+
+    def nearest(turn: int) -> str:
+        return f"""a{turn} AS MATERIALIZED (
+  SELECT row, vec_id, x, arg_min(struct_pack(c := c, d := d), struct_pack(d := d, c := c)) AS best
+  FROM (SELECT v.row, v.vec_id, v.x, m.c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.x, m.x)])::BIGINT AS d
+    FROM v CROSS JOIN c{turn} m) GROUP BY row, vec_id, x)"""
+
+    def means(turn: int) -> str:
+        return f"""c{turn + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(n.x, o.x) AS x FROM c{turn} o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY place) AS x FROM (
+      SELECT best.c AS c, place, sum(component)::BIGINT AS s, count(*) AS n
+      FROM (SELECT best, unnest(x) AS component, generate_subscripts(x, 1) AS place FROM a{turn}) GROUP BY 1, 2) GROUP BY c) n ON n.c = o.c)"""
+
+    steps = [f"{nearest(t)},\n{means(t)}" for t in range(rounds)] + [nearest(rounds)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor({scale} * c::DOUBLE)::BIGINT FOR c IN embedding] AS x FROM embeddings
+  WHERE len(embedding) = {dimension} AND len([c FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = {dimension}),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS c, x FROM (
+    SELECT x, sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v ORDER BY h, x LIMIT {k})),
+{", ".join(steps)}
+SELECT a.vec_id, a.best.c AS cluster, a.best.d AS distance, sum(a.best.d) OVER (PARTITION BY a.best.c)::BIGINT AS cluster_inertia,
+  sum(a.best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} m ON m.c = a.best.c
+"""
+
+
 SQL = {
+    "op11_url_filters": r"""
+WITH parsed AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+addressed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parsed),
+rules (r_host, r_path, r_verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fitting AS (
+  SELECT a.host, a.path, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg_max(r_verdict, length(r_host || r_path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM addressed) a JOIN rules
+    ON (a.host = r_host OR ends_with(a.host, '.' || r_host)) AND starts_with(a.path, r_path) GROUP BY a.host, a.path)
+SELECT page_id, a.host, a.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM addressed a LEFT JOIN fitting f ON f.host = a.host AND f.path = a.path
+""",
+    "op13_centroid_clustering": _lloyd_sql(),
     "op7_ngram_jaccard_join": r"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
