@@ -49,6 +49,14 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a table that new_scratch() named, once nothing reads it any more."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"not in the shared folder: {path}")
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table that several later steps read (reliable, survives lost executors)."""
     shared_dir(df.sparkSession)
