@@ -68,7 +68,7 @@ def prepared(rules: DataFrame) -> DataFrame:
     )
 
 
-def expressions(host: str, path: str, labels: str, folders: str) -> str:
+def expressions(host: str, path: str, labels: int, folders: int) -> str:
     """SQL: an array of (suffix, near) for all host suffixes of at most `labels` labels and all path prefixes of at most
     `folders` slashes that end in a slash, the empty one included."""
     n_labels = f"length({host}) - length(replace({host}, '.', '')) + 1"
@@ -87,11 +87,10 @@ def verdicts(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     rule's. The join's sides are left to Spark, which broadcasts rules below its own size threshold only.
     """
     rules = prepared(rules)
-    most = rules.agg(F.coalesce(F.max("labels"), F.lit(0)).alias("labels"), F.coalesce(F.max("folders"), F.lit(0)).alias("folders"))
-    # One row of two numbers, whatever the rules.
-    expanded = addresses.crossJoin(F.broadcast(most)).selectExpr(
-        "host", "path", f"explode({expressions('host', 'path', 'labels', 'folders')}) AS e"
-    ).selectExpr("host", "path", "e.suffix", "e.near", f"substr(e.near, 1, {PREFIX_DIGITS}) AS prefix")
+    labels, folders = rules.agg(F.max("labels"), F.max("folders")).first()
+    expanded = addresses.selectExpr("host", "path", f"explode({expressions('host', 'path', labels or 0, folders or 0)}) AS e").selectExpr(
+        "host", "path", "e.suffix", "e.near", f"substr(e.near, 1, {PREFIX_DIGITS}) AS prefix"
+    )
     keyed = rules.selectExpr("*", f"substr(near, 1, {PREFIX_DIGITS}) AS prefix").withColumnRenamed("near", "r_near")
     met = expanded.join(keyed, "prefix").where("near = r_near").where(
         f"digest = sha2({_expression('suffix', 'substr(path, 1, r_length)')}, 256)"
