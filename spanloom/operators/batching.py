@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.operators.numbering import running_totals
-from spanloom.session import checkpointed, estimated_bytes
 
 # A block spans at least this many arrival numbers, and a few files. Arrival numbers are unique, so that is also the
 # most rows a block can have, even if most rows fall into a single tick.
@@ -21,11 +20,6 @@ SMALLEST_BLOCK = 4096
 FILES_PER_BLOCK = 4
 BLOCKS_PER_UPPER = 4096
 
-# For inputs above this size the table of cuts is made first and counted. Up to FEW_BLOCKS rows (some 100 bytes each) it is
-# broadcast, so that the input itself is not shuffled; beyond, and for small inputs, Spark picks the join.
-SMALL_INPUT = 256 << 20
-FEW_BLOCKS = 1_000_000
-
 
 def tick_of(time: str, start_micros: int, timeout_seconds: float) -> str:
     """SQL text: the number of the timer interval a time falls in, counted from the start; -1 if the time is unknown.
@@ -66,18 +60,14 @@ def assign_file_batches(
 ) -> DataFrame:
     """Add `tick` and `seq`, the file's tick and its number inside the tick.
 
-    `arrival` is a unique, non-negative integer that grows with arrival, `time` the arrival time. For a large input
-    a job runs over these two columns.
+    `arrival` is a unique, non-negative integer that grows with arrival, `time` the arrival time. The cuts, a row for
+    some 4096 rows at least, are joined with the rows; Spark broadcasts them where they are small enough for that.
     """
     block = max(SMALLEST_BLOCK, FILES_PER_BLOCK * batch_size)
     tick = f"{tick_of(time, start_micros, timeout_seconds)} AS tick"
     number = f"coalesce(CAST({arrival} AS BIGINT), -1L)"
     arrivals = df.selectExpr(tick, f"{number} AS arrival", f"{number} div {block} AS block")
     cuts = file_cuts(arrivals, batch_size, block).withColumnRenamed("block", "_block")
-    if estimated_bytes(df) > SMALL_INPUT:
-        cuts = checkpointed(cuts)
-        if cuts.limit(FEW_BLOCKS + 1).count() <= FEW_BLOCKS:
-            cuts = F.broadcast(cuts)
     found = df.selectExpr("*", tick, f"{number} div {block} AS _block").join(cuts, ["tick", "_block"])
     return found.selectExpr(
         *df.columns, "tick", f"earlier + size(filter(starts, s -> s <= {number})) - 1 AS seq"

@@ -7,7 +7,7 @@ once per record. No shuffle: a payload's records stay in the task that read it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.json_text import attributes_encodable, attributes_json, body_text, events_json, links_json
@@ -16,6 +16,7 @@ from spanloom.schemas import LOGS, Signal
 
 POSITIONS = ["resource_pos", "scope_pos", "record_pos"]
 ENCODABLE = "encodable"
+REASON = "reason"  # why a record cannot be stored; NULL if it can
 
 
 def _exploded(payloads: DataFrame, resources: str, scopes: str, records: str, carry: list[str]) -> DataFrame:
@@ -45,11 +46,25 @@ def _exploded(payloads: DataFrame, resources: str, scopes: str, records: str, ca
     )
 
 
+def _judged(rows: DataFrame) -> DataFrame:
+    """`encodable` and `reason` from the record's own problem and from whether all attributes can be written as JSON."""
+    ok, problem = F.col("_writable"), F.col("_problem")
+    reason = F.when(problem.isNotNull(), F.concat(F.lit("unreadable "), problem)).when(~ok, F.lit("no JSON for NaN or infinity"))
+    return rows.withColumns({ENCODABLE: ok & problem.isNull(), REASON: reason}).drop("_writable", "_problem")
+
+
+def _problem_of(records: DataFrame) -> Column:
+    """The problem a source found in a record; payloads of other sources have no such field."""
+    known = "problem" in records.schema["rec"].dataType.names
+    return (F.col("rec.problem") if known else F.lit(None).cast("string")).alias("_problem")
+
+
 def flatten_logs(payloads: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """LOGS_PAYLOAD rows to log rows, with record positions and the `encodable` flag."""
+    """LOGS_PAYLOAD rows to log rows, with record positions, the `encodable` flag and the reason where it is not set."""
     carry = carry or []
     rec = F.col
-    return _exploded(payloads, "resource_logs", "scope_logs", "log_records", carry).select(
+    records = _exploded(payloads, "resource_logs", "scope_logs", "log_records", carry)
+    return _judged(records.select(
         *carry,
         *POSITIONS,
         nanos_to_timestamp(rec("rec.time_unix_nano")).alias("timestamp"),
@@ -64,19 +79,21 @@ def flatten_logs(payloads: DataFrame, carry: list[str] | None = None) -> DataFra
         attributes_json("rec.attributes").alias("log_attributes"),
         zero_if_null(rec("rec.flags")).alias("flags"),
         nanos_to_timestamp(rec("rec.observed_time_unix_nano")).alias("observed_timestamp"),
-        (rec("resource_ok") & attributes_encodable("rec.attributes")).alias(ENCODABLE),
-    )
+        (rec("resource_ok") & attributes_encodable("rec.attributes")).alias("_writable"),
+        _problem_of(records),
+    ))
 
 
 def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """TRACES_PAYLOAD rows to span rows, with record positions and the `encodable` flag."""
+    """TRACES_PAYLOAD rows to span rows, with record positions, the `encodable` flag and the reason where it is not set."""
     carry = carry or []
     rec = F.col
     start, end = (F.coalesce(rec(f"rec.{c}"), F.lit(0)) for c in ("start_time_unix_nano", "end_time_unix_nano"))
     def nested_pairs(items: str) -> str:
         return f"flatten(transform({items}, i -> coalesce(i.attributes, array())))"
 
-    return _exploded(payloads, "resource_spans", "scope_spans", "spans", carry).select(
+    records = _exploded(payloads, "resource_spans", "scope_spans", "spans", carry)
+    return _judged(records.select(
         *carry,
         *POSITIONS,
         trace_id_text("rec.trace_id").alias("trace_id"),
@@ -105,8 +122,9 @@ def flatten_traces(payloads: DataFrame, carry: list[str] | None = None) -> DataF
             & attributes_encodable("rec.attributes")
             & attributes_encodable(nested_pairs("rec.events"))
             & attributes_encodable(nested_pairs("rec.links"))
-        ).alias(ENCODABLE),
-    )
+        ).alias("_writable"),
+        _problem_of(records),
+    ))
 
 
 def flatten(payloads: DataFrame, signal: Signal, carry: list[str] | None = None) -> DataFrame:
@@ -115,10 +133,11 @@ def flatten(payloads: DataFrame, signal: Signal, carry: list[str] | None = None)
 
 def encodable_rows(rows: DataFrame) -> DataFrame:
     """Rows fit for storing; one bad record never holds back the others."""
-    return rows.filter(F.col(ENCODABLE)).drop(ENCODABLE)
+    return rows.filter(F.col(ENCODABLE)).drop(ENCODABLE, REASON)
 
 
 def rejected_rows(rows: DataFrame) -> DataFrame:
+    """Rows that cannot be stored, with the reason."""
     return rows.filter(~F.col(ENCODABLE)).drop(ENCODABLE)
 
 

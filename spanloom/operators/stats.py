@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import TIMESTAMP_TEXT, TIMESTAMP_TEXT_BYTES
+from spanloom.functions.scalars import TIMESTAMP_TEXT, TIMESTAMP_TEXT_BYTES, service_name
 from spanloom.schemas import Signal
 
+# The number of rows. A list that stays empty is counted with them, because an aggregation that keeps an object is done in a
+# hash table: bounds are texts, for which Spark would otherwise sort the rows, wide as they are, before it shuffles.
+_ROWS = "(count(1) + size(collect_list(CAST(NULL AS INT))))"
+
 _NUMBERS = ("int32", "int64", "uint32")
 
 
@@ -33,7 +37,7 @@ def _column_stats(name: str, kind: str) -> str:
         text = f"nullif(CAST({name} AS STRING), '')"
         nulls, low, high = f"count_if({text} IS NULL)", f"min({text})", f"max({text})"
     return f"""named_struct('column_name', '{name}', 'column_size_bytes', {_size(name, kind)},
-      'value_count', count(1), 'null_count', {nulls}, 'min_value', coalesce({low}, ''),
+      'value_count', {_ROWS}, 'null_count', {nulls}, 'min_value', coalesce({low}, ''),
       'max_value', coalesce({high}, ''))"""
 
 
@@ -48,14 +52,18 @@ def _typed_bounds(name: str, kind: str) -> str:
 
 
 def file_stats(rows: DataFrame, signal: Signal, keys: list[str]) -> DataFrame:
-    """One row per file: record_count, last_time, text_bytes, column_stats and typed_bounds."""
+    """One row per file: record_count, last_time, text_bytes, column_stats, typed_bounds and services.
+
+    `services` are the service names in a file.
+    """
     typed = [(n, k) for n, k in signal.columns if k == "timestamptz" or k in _NUMBERS]
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("record_count"),
+        F.expr(_ROWS).alias("record_count"),
         F.max(signal.time_column).alias("last_time"),
         F.expr(" + ".join(_size(n, k) for n, k in signal.columns)).alias("text_bytes"),
         F.expr(f"array({', '.join(_column_stats(n, k) for n, k in signal.columns)})").alias("column_stats"),
         F.expr(f"array({', '.join(_typed_bounds(n, k) for n, k in typed)})").alias("typed_bounds"),
+        F.array_sort(F.collect_set(service_name())).alias("services"),
     )
 
 

@@ -107,6 +107,18 @@ class LakeOptions:
     def table_dir(self, signal: str) -> str:
         return f"{self.output_path.rstrip('/')}/{SCHEMA_NAME}/{self.table(signal)}"
 
+    def data_dir(self, signal: str) -> str:
+        """The table's folder as readers find it."""
+        return f"{self.data_path.rstrip('/')}/{SCHEMA_NAME}/{self.table(signal)}"
+
+    @property
+    def catalog_dir(self) -> str:
+        return f"{self.output_path.rstrip('/')}/_catalog"
+
     @property
     def commits_dir(self) -> str:
-        return f"{self.output_path.rstrip('/')}/_catalog/commits"
+        return f"{self.catalog_dir}/commits"
+
+    @property
+    def folds_dir(self) -> str:
+        return f"{self.catalog_dir}/folds"

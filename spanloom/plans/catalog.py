@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import base_name
 from spanloom.operators.numbering import running_totals
 from spanloom.operators.stats import long_form, merge_column_stats
 from spanloom.options import SCHEMA_NAME, LakeOptions
@@ -25,10 +24,9 @@ MAPPING_TYPE = "map_by_name"
 FILE_FORMAT = "PARQUET"
 AUTHOR = "spanloom"
 
-_TICKS_PER_BLOCK = 4096
-
-# Up to this many new files are numbered by one sorted task; their number is counted first.
-FEW_FILES = 100_000
+# Numbering blocks: files of one tick whose first times, in microseconds, are of one minute; then runs of ticks.
+_SEQ_BLOCK = 60_000_000
+_TICKS_PER_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -59,11 +57,11 @@ def read_state(commits: DataFrame) -> CatalogState:
 
 
 def number_commits(
-    manifest: DataFrame, options: LakeOptions, state: CatalogState | None = None, seq_block: int = 4096
+    manifest: DataFrame, options: LakeOptions, state: CatalogState | None = None, seq_block: int = _SEQ_BLOCK
 ) -> DataFrame:
-    """Add the catalog numbers to manifest rows, which are counted first and should be persisted or checkpointed.
+    """Add the catalog numbers to manifest rows, whose paths are unique and which should be persisted.
 
-    `seq_block` is how many seq values share a numbering block.
+    Running totals are taken over narrow rows, in blocks of `seq_block` seq values, and joined back by path.
     """
     state = state or CatalogState()
     signals = {"logs": options.logs_table, "traces": options.traces_table}
@@ -71,19 +69,17 @@ def number_commits(
     for signal, table in signals.items():
         totals[f"_files_{signal}"] = f"CASE WHEN table_name = '{table}' THEN 1 ELSE 0 END"
         totals[f"_records_{signal}"] = f"CASE WHEN table_name = '{table}' THEN record_count ELSE 0 END"
-    if manifest.limit(FEW_FILES + 1).count() <= FEW_FILES:
-        earlier = "OVER (ORDER BY tick, seq, table_name, path ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        numbered = manifest.selectExpr("*", *[f"sum(CAST({x} AS BIGINT)) {earlier} AS {n}" for n, x in totals.items()])
-    else:
-        numbered = running_totals(
-            manifest.selectExpr(
-                "*", f"tick div {_TICKS_PER_BLOCK} AS _tick_block", f"seq div {seq_block} AS _seq_block"
-            ),
-            order=["seq", "table_name", "path"],
-            upper=["_tick_block"],
-            block=["tick", "_seq_block"],
-            totals=totals,
-        )
+    narrow = running_totals(
+        manifest.selectExpr(
+            "tick", "seq", "table_name", "path", "record_count",
+            f"tick div {_TICKS_PER_BLOCK} AS _tick_block", f"seq div {seq_block} AS _seq_block",
+        ),
+        order=["seq", "table_name", "path"],
+        upper=["_tick_block"],
+        block=["tick", "_seq_block"],
+        totals=totals,
+    )
+    numbered = manifest.join(narrow.select("path", *totals), "path")
     numbered = numbered.selectExpr(
         *manifest.columns,
         *[f"_files_{s} + {state.files.get(t, 0)} AS _files_{s}" for s, t in signals.items()],
@@ -279,15 +275,18 @@ def snapshot_changes(commits: DataFrame, started: DataFrame) -> DataFrame:
     return zero.unionByName(made)
 
 
-def data_files(commits: DataFrame) -> DataFrame:
+def data_files(commits: DataFrame, options: LakeOptions) -> DataFrame:
+    """A file's path is relative to its table's folder, batch and tick folders included, so that it leads to the file."""
+    root = F.concat(F.lit(f"{options.data_path.rstrip('/')}/{SCHEMA_NAME}/"), F.col("table_name"), F.lit("/"))
+    below = F.startswith(F.col("path"), root)
     return _with_table_id(commits).select(
         "data_file_id",
         "table_id",
         F.col("snapshot_id").alias("begin_snapshot"),
         "end_snapshot",
         "file_order",
-        base_name(F.col("path")).alias("path"),
-        F.lit(True).alias("path_is_relative"),
+        F.when(below, F.substring(F.col("path"), F.length(root) + 1, F.length("path"))).otherwise(F.col("path")).alias("path"),
+        below.alias("path_is_relative"),
         F.lit(FILE_FORMAT).alias("file_format"),
         "record_count",
         "file_size_bytes",
@@ -368,7 +367,7 @@ def absolute_paths(commits: DataFrame, options: LakeOptions, started: DataFrame)
                                      F.col("path_is_relative").alias("schema_relative"))
     table = tables(commits).select("table_id", "schema_id", F.col("path").alias("table_path"),
                                    F.col("path_is_relative").alias("table_relative"))
-    joined = data_files(commits).join(F.broadcast(table), "table_id").join(F.broadcast(schema), "schema_id")
+    joined = data_files(commits, options).join(F.broadcast(table), "table_id").join(F.broadcast(schema), "schema_id")
     in_schema = F.when(F.col("schema_relative"), F.concat(F.lit(root), "schema_path")).otherwise(F.col("schema_path"))
     in_table = F.when(F.col("table_relative"), F.concat(in_schema, F.col("table_path"))).otherwise(F.col("table_path"))
     return joined.select(
@@ -377,9 +376,9 @@ def absolute_paths(commits: DataFrame, options: LakeOptions, started: DataFrame)
     )
 
 
-def recent_snapshots(commits: DataFrame, started: DataFrame, limit: int = 10) -> DataFrame:
+def recent_snapshots(commits: DataFrame, options: LakeOptions, started: DataFrame, limit: int = 10) -> DataFrame:
     """The newest snapshots with their table and its totals."""
-    files = data_files(commits).select(F.col("begin_snapshot").alias("snapshot_id"), "table_id")
+    files = data_files(commits, options).select(F.col("begin_snapshot").alias("snapshot_id"), "table_id")
     names = tables(commits).select("table_id", "table_name")
     totals = table_stats(commits).select("table_id", "record_count", F.col("file_size_bytes").alias("total_size"))
     return (
@@ -394,9 +393,9 @@ def recent_snapshots(commits: DataFrame, started: DataFrame, limit: int = 10) ->
     )
 
 
-def files_for_snapshot(commits: DataFrame, snapshot_id: int) -> DataFrame:
+def files_for_snapshot(commits: DataFrame, options: LakeOptions, snapshot_id: int) -> DataFrame:
     return (
-        data_files(commits)
+        data_files(commits, options)
         .filter(F.col("begin_snapshot") == snapshot_id)
         .select("path", "record_count", "file_size_bytes", "file_order")
         .orderBy("file_order")

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from spanloom.functions.scalars import file_path
 from spanloom.operators.stats import file_stats
-from spanloom.options import SCHEMA_NAME, LakeOptions
 from spanloom.schemas import Signal
+from spanloom.session import estimated_bytes, path_exists
 
 MANIFEST = [
     "table_name",
@@ -21,64 +21,36 @@ MANIFEST = [
     "commit_time",
     "column_stats",
     "typed_bounds",
+    "services",
 ]
 
-# Above this many files a scan filters the table folder by a join instead of naming the files.
-MAX_NAMED_FILES = 50_000
+# Estimated size of a manifest's file keys up to which they are sent to all executors.
+BROADCAST_BYTES = 256 << 20
 
+_HIGHEST = (1 << 63) - 1
 
-def logical_name(table: Column, commit_time: Column, unique: Column) -> Column:
-    """<table>_<yyyyMMdd_HHmmss>_<8 hex digits>.parquet"""
-    return F.concat(
-        table,
-        F.lit("_"),
-        F.date_format(commit_time, "yyyyMMdd_HHmmss"),
-        F.lit("_"),
-        F.substring(F.md5(unique), 1, 8),
-        F.lit(".parquet"),
-    )
+# What a file is found by: the two partition columns of a table's folder, and the name below.
+_KEYS = ["regexp_extract(path, '/batch=([^/]+)/', 1) AS batch", "tick", "element_at(split(path, '/'), -1) AS file_name"]
 
 
-def planned_manifest(
-    batches: DataFrame, signal: Signal, options: LakeOptions, *, start_micros: int
+def written_manifest(
+    spark: SparkSession, folder: str, signal: Signal, table: str, committed_at: Column | None = None
 ) -> DataFrame:
-    """Manifest of the files that rows with (tick, seq) will be cut into, before anything is written.
-
-    The size is that of the printed values, since the real one is not known yet.
-    """
-    table = options.table(signal.name)
-    files = file_stats(batches, signal, ["tick", "seq"])
-    tick_end = F.timestamp_micros(
-        F.lit(start_micros) + (F.col("tick") + 1) * F.lit(int(options.batch_timeout_seconds * 1_000_000))
-    )
-    # A full buffer is written when its last row arrives, a partial one when the timer fires.
-    commit_time = F.when(F.col("record_count") == F.lit(options.batch_size), F.col("last_time")).otherwise(tick_end)
-    unique = F.concat_ws("|", F.lit(table), F.col("tick").cast("string"), F.col("seq").cast("string"))
-    folder = f"{options.output_path.rstrip('/')}/{SCHEMA_NAME}/{table}/"
-    return (
-        files.withColumn("table_name", F.lit(table))
-        .withColumn("commit_time", commit_time)
-        .withColumn("file_size_bytes", F.col("text_bytes"))
-        .withColumn("path", F.concat(F.lit(folder), logical_name(F.lit(table), F.col("commit_time"), unique)))
-        .select(*MANIFEST)
-    )
-
+    """Manifest of the Parquet files below a batch's folder, read back once for counts and statistics.
 
-def written_manifest(spark: SparkSession, folder: str, signal: Signal, table: str, tick: Column) -> DataFrame:
-    """Manifest of the Parquet files below a folder, read back once for counts and statistics.
-
-    `seq` is the first time in a file; files cut from ordered rows sort by it.
+    `seq` is the first time in a file; files cut from ordered rows sort by it. A file is committed when it was written,
+    or at `committed_at`, which may depend on its tick.
     """
     rows = read_files(spark, folder, signal.schema, extra="tick BIGINT").select(
         "*", file_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("file_size_bytes"),
         F.col("_metadata.file_modification_time").alias("commit_time"),
     )
-    rows = rows.withColumn("tick", tick)
     files = file_stats(rows, signal, ["tick", "path", "file_size_bytes", "commit_time"])
     first = F.filter("typed_bounds", lambda b: b["column_name"] == signal.time_column)[0]["min_value"]
     return (
         files.withColumn("table_name", F.lit(table))
         .withColumn("seq", F.coalesce(first, F.lit(0).cast("bigint")))
+        .withColumn("commit_time", F.col("commit_time") if committed_at is None else committed_at)
         .select(*MANIFEST)
     )
 
@@ -100,50 +72,67 @@ def live_files(commits: DataFrame, snapshot_id: int | None = None) -> DataFrame:
     return commits.filter((F.col("snapshot_id") <= snapshot_id) & (end.isNull() | (end > snapshot_id)))
 
 
-def may_hold(column: str, low: int | None = None, high: int | None = None) -> Column:
-    """Whether a file's typed bounds overlap [low, high]. Files without bounds are kept."""
+def may_hold(column: str, low: int | Column | None = None, high: int | Column | None = None) -> Column:
+    """Whether a file's typed bounds overlap [low, high]. Files without bounds are kept.
+
+    Written as plain comparisons, which Spark takes as a reason to prune the partitions of what is joined.
+    """
     bounds = F.filter("typed_bounds", lambda b: b["column_name"] == column)[0]
     keep = F.lit(True)
     if low is not None:
-        keep = keep & F.coalesce(bounds["max_value"] >= F.lit(low), F.lit(True))
+        keep = keep & (F.coalesce(bounds["max_value"], F.lit(_HIGHEST)) >= _literal(low))
     if high is not None:
-        keep = keep & F.coalesce(bounds["min_value"] <= F.lit(high), F.lit(True))
+        keep = keep & (F.coalesce(bounds["min_value"], F.lit(-_HIGHEST)) <= _literal(high))
     return keep
 
 
+def _literal(bound: int | Column) -> Column:
+    return bound if isinstance(bound, Column) else F.lit(bound)
+
+
+def bound(column: str, end: str) -> Column:
+    """A file's typed min_value or max_value of a column; NULL if it has none."""
+    return F.filter("typed_bounds", lambda b: b["column_name"] == column)[0][end]
+
+
+def may_hold_service(service: str) -> Column:
+    """Whether a file has rows of a service. Files whose services are not known are kept."""
+    return F.coalesce(F.array_contains("services", service), F.lit(True)) == F.lit(True)
+
+
 def newest_time(commits: DataFrame, column: str) -> Column:
     """The latest time in a table as a scalar, from the files' bounds instead of their rows."""
-    bounds = commits.select(F.inline("typed_bounds")).filter(F.col("column_name") == column)
-    return bounds.agg(F.timestamp_micros(F.max("max_value"))).scalar()
+    return commits.agg(F.timestamp_micros(F.max(bound(column, "max_value")))).scalar()
+
+
+def may_be_among_largest(files: DataFrame, column: str, n: int, surely: Column) -> Column:
+    """Whether a file may hold one of the n largest values of a column.
+
+    A file that is `surely` in the range asked for holds its own maximum, so the n-th largest maximum of such files is no
+    more than the n-th largest value. With fewer than n such files every file may hold one.
+    """
+    top = files.filter(surely).select(bound(column, "max_value").alias("m")).filter("m IS NOT NULL").orderBy(F.desc("m")).limit(n)
+    least = top.agg(F.when(F.count(F.lit(1)) >= n, F.min("m"))).scalar()
+    return F.coalesce(bound(column, "max_value"), F.lit(_HIGHEST)) >= F.coalesce(least, F.lit(-_HIGHEST))
 
 
 def scan_files(
-    spark: SparkSession,
-    files: DataFrame,
-    signal: Signal,
-    table_dir: str,
-    *,
-    with_path: bool = False,
-    max_named: int = MAX_NAMED_FILES,
+    spark: SparkSession, files: DataFrame, signal: Signal, table_dir: str, *, keep: list[str] | None = None
 ) -> DataFrame:
-    """Read exactly the files named in a manifest.
+    """Read exactly the files named in a manifest, however many. `keep` names manifest columns that the rows get.
 
-    A scan's file list always lives on the driver, but no more than `max_named` paths are fetched for it. With more
-    files the whole table folder is read and filtered by a semi-join on the path, whose join type Spark picks by size.
+    The table's folder is joined with the manifest on its partition columns and the file name. No path comes to the
+    driver: Spark turns the manifest's side into a partition filter when the scan starts (dynamic partition pruning), so
+    folders without a wanted file are not opened. The keys are broadcast if Spark's estimate of them is below
+    BROADCAST_BYTES; beyond, Spark picks the join and runs the partition filter as a query of its own.
     """
-    named = [r.path for r in files.select("path").limit(max_named + 1).collect()]
-    extra = [file_path(F.col("_metadata.file_path")).alias("path")]
-    if not named:
-        rows = spark.createDataFrame([], signal.schema)
-        return rows.select("*", F.lit("").alias("path")) if with_path else rows
-    if len(named) <= max_named:
-        rows = spark.read.schema(signal.schema).parquet(*named)
-        return rows.select("*", *extra) if with_path else rows
-    rows = (
-        spark.read.schema(signal.schema)
-        .option("recursiveFileLookup", "true")
-        .parquet(table_dir)
-        .select("*", *extra)
-        .join(files.select("path"), "path", "left_semi")
-    )
-    return rows if with_path else rows.drop("path")
+    keep = keep or []
+    if not path_exists(spark, table_dir):
+        return spark.createDataFrame([], signal.schema).join(files.select(*keep), F.lit(False)) if keep else spark.createDataFrame([], signal.schema)
+    rows = spark.read.schema(f"{_ddl(signal.schema)}, batch STRING, tick BIGINT").parquet(table_dir)
+    rows = rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+    keys = files.selectExpr(*_KEYS, *keep)
+    if estimated_bytes(keys) <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    names = ["batch", "tick", "file_name"]
+    return rows.join(keys, names, "inner" if keep else "left_semi").drop(*names)

@@ -41,15 +41,15 @@ SELECT md5(CAST(event_id - event_id % 5 AS VARCHAR)) AS trace_id,
   ts + {_MILLIS} * INTERVAL '1' MILLISECOND AS end_time,
   {_MILLIS} * 1000000 AS duration_ns,
   CAST(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS INTEGER) AS status_code,
-  CASE WHEN event_type = 'error' THEN 'Test error' END AS status_message,
+  CASE WHEN event_type = 'error' THEN 'request failed' END AS status_message,
   'events' AS scope_name, '1.0.0' AS scope_version,
   {_RESOURCE} AS resource_attributes,
   {_ATTRS} AS span_attributes,
   CASE WHEN event_id % 5 = 0 THEN '[{{"timestamp":"' || {_TEXT.format(c='ts')}
-    || '","name":"test-event","attributes":{{"event.type":"test"}}}}]' ELSE '[]' END AS events,
+    || '","name":"cache-miss","attributes":{{"cache.tier":"edge"}}}}]' ELSE '[]' END AS events,
   CASE WHEN event_id > 0 AND event_id % 4 = 0 THEN '[{{"trace_id":"' || md5(CAST(event_id - 1 AS VARCHAR))
     || '","span_id":"' || substr(md5(CAST(event_id - 1 AS VARCHAR)), 1, 16)
-    || '","attributes":{{"link.type":"test"}}}}]' ELSE '[]' END AS links,
+    || '","attributes":{{"reason":"retry"}}}}]' ELSE '[]' END AS links,
   CAST(0 AS BIGINT) AS dropped_attributes_count, CAST(0 AS BIGINT) AS dropped_events_count,
   CAST(0 AS BIGINT) AS dropped_links_count, CAST(NULL AS VARCHAR) AS trace_state, CAST(0 AS BIGINT) AS flags,
   event_id AS arrival
@@ -82,7 +82,13 @@ def _size(name: str, kind: str) -> str:
     return f"CAST(sum(strlen({_text(name, kind)})) AS BIGINT)"
 
 
-def _column_stats(signal: Signal) -> str:
+def _in_files(signal: Signal) -> str:
+    """Rows of written files; `seq` is the first time in the file, in microseconds."""
+    return f"""
+SELECT * EXCLUDE (seq), epoch_us(min({signal.time_column}) OVER (PARTITION BY tick, seq)) AS seq FROM ({_written(signal)})"""
+
+
+def _column_stats(signal: Signal, rows: str | None = None) -> str:
     """One row per (tick, seq, column)."""
     parts = []
     for name, kind in signal.columns:
@@ -97,25 +103,21 @@ def _column_stats(signal: Signal) -> str:
   count(*) AS value_count, count(*) FILTER (WHERE {nulls}) AS null_count, {low} AS min_value, {high} AS max_value
 FROM batches GROUP BY tick, seq"""
         )
-    return f"WITH batches AS ({_batches(signal)})\n" + "\nUNION ALL\n".join(parts)
+    return f"WITH batches AS ({rows or _batches(signal)})\n" + "\nUNION ALL\n".join(parts)
 
 
-def _files(signal: Signal, table: str, folder: str) -> str:
-    size = " + ".join(_size(n, k) for n, k in signal.columns)
+def _files(signal: Signal, table: str) -> str:
     return f"""
-SELECT *, '{folder}/main/{table}/' || '{table}_' || strftime(commit_time, '%Y%m%d_%H%M%S') || '_'
-    || substr(md5('{table}|' || CAST(tick AS VARCHAR) || '|' || CAST(seq AS VARCHAR)), 1, 8) || '.parquet' AS path
-FROM (
-  SELECT '{table}' AS table_name, tick, seq, count(*) AS record_count, {size} AS file_size_bytes,
-    CASE WHEN count(*) = {BATCH_SIZE} THEN max({signal.time_column})
-      ELSE make_timestamp({START_MICROS} + (tick + 1) * {TICK_MICROS}) END AS commit_time
-  FROM ({_batches(signal)}) GROUP BY tick, seq)"""
+SELECT '{table}' AS table_name, tick, seq, count(*) AS record_count,
+  make_timestamp({START_MICROS} + (tick + 1) * {WRITE_TICK_MICROS}) AS commit_time,
+  'batch=all/tick=' || CAST(tick AS VARCHAR) || '/' AS folder
+FROM ({_in_files(signal)}) GROUP BY tick, seq"""
 
 
-def _manifest(folder: str = "/staging/lake") -> str:
-    return f"""{_files(LOGS, 'otel_logs', folder)}
+def _manifest() -> str:
+    return f"""{_files(LOGS, 'otel_logs')}
 UNION ALL
-{_files(TRACES, 'otel_traces', folder)}"""
+{_files(TRACES, 'otel_traces')}"""
 
 
 _COMMITS = f"""WITH manifest AS ({_manifest()}),
@@ -150,8 +152,8 @@ _SNAPSHOTS = """
 
 _DATA_FILES = """
   SELECT c.snapshot_id - 1 AS data_file_id, t.table_id, c.snapshot_id AS begin_snapshot,
-    CAST(NULL AS BIGINT) AS end_snapshot, c.file_order, split_part(c.path, '/', -1) AS path,
-    true AS path_is_relative, 'PARQUET' AS file_format, c.record_count, c.file_size_bytes,
+    CAST(NULL AS BIGINT) AS end_snapshot, c.file_order, c.folder AS path,
+    true AS path_is_relative, 'PARQUET' AS file_format, c.record_count, true AS has_size,
     CAST(NULL AS BIGINT) AS footer_size, CAST(NULL AS BIGINT) AS row_id_start, CAST(NULL AS BIGINT) AS partition_id,
     CAST(NULL AS VARCHAR) AS encryption_key, CAST(NULL AS VARCHAR) AS partial_file_info, t.table_id AS mapping_id
   FROM commits c JOIN created t ON t.table_name = c.table_name"""
@@ -161,8 +163,8 @@ def _all_file_column_stats() -> str:
     return f"""
   SELECT c.snapshot_id - 1 AS data_file_id, cc.table_id, cc.column_id, s.column_size_bytes, s.value_count,
     s.null_count, s.min_value, s.max_value, false AS contains_nan, CAST(NULL AS VARCHAR) AS extra_stats
-  FROM (SELECT 'otel_logs' AS table_name, * FROM ({_column_stats(LOGS)})
-        UNION ALL SELECT 'otel_traces', * FROM ({_column_stats(TRACES)})) s
+  FROM (SELECT 'otel_logs' AS table_name, * FROM ({_column_stats(LOGS, _in_files(LOGS))})
+        UNION ALL SELECT 'otel_traces', * FROM ({_column_stats(TRACES, _in_files(TRACES))})) s
   JOIN commits c ON c.table_name = s.table_name AND c.tick = s.tick AND c.seq = s.seq
   JOIN created t ON t.table_name = s.table_name
   JOIN catalog_columns cc ON cc.table_id = t.table_id AND cc.column_name = s.column_name"""
@@ -186,7 +188,7 @@ def _describe(signal: Signal, table: str) -> str:
              "uint32": "bigint"}
     return "\nUNION ALL\n".join(
         f"""SELECT '{table}' AS table_name, '{name}' AS column_name, '{names[kind]}' AS column_type,
-  CAST({i} AS BIGINT) AS column_order, count({name}) AS value_count FROM {signal.name}_rows"""
+  CAST({i} AS BIGINT) AS column_order WHERE EXISTS (SELECT 1 FROM events)"""
         for i, (name, kind) in enumerate(signal.columns, start=1)
     )
 
@@ -266,30 +268,38 @@ FROM ({LOG_ROWS}) l JOIN ({SPAN_ROWS}) s ON l.trace_id = s.trace_id AND l.span_i
     "span_parent_join": f"""SELECT c.trace_id, c.span_id, c.parent_span_id, c.name, p.name AS parent_name, c.duration_ns,
   p.duration_ns AS parent_duration_ns
 FROM ({SPAN_ROWS}) c JOIN ({SPAN_ROWS}) p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id""",
-    "orphan_spans": f"""WITH s AS ({SPAN_ROWS})
+    "orphan_spans": f"""WITH s AS (SELECT * FROM ({SPAN_ROWS}) WHERE name <> 'error')
 SELECT trace_id, span_id, parent_span_id, name FROM s WHERE parent_span_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM s p WHERE p.trace_id = s.trace_id AND p.span_id = s.parent_span_id)""",
+    "recent_error_logs_in_lake": f"""SELECT timestamp, severity_text, body, trace_id FROM ({LOG_ROWS})
+WHERE lower(severity_text) IN ('error', 'fatal') AND timestamp > (SELECT max(ts) FROM events) - INTERVAL '1' DAY
+ORDER BY timestamp DESC, trace_id, body LIMIT 100""",
+    "slow_spans_in_lake": f"""SELECT trace_id, name, duration_ns / 1e9::DOUBLE AS duration_sec, start_time FROM ({SPAN_ROWS})
+WHERE duration_ns > 1000000000 AND start_time > (SELECT max(ts) FROM events) - INTERVAL '30' DAY
+ORDER BY duration_ns DESC, start_time, trace_id, span_id LIMIT 100""",
+    "spans_by_service_in_lake": f"""SELECT trace_id, span_id, name, duration_ns FROM ({SPAN_ROWS})
+WHERE json_extract_string(resource_attributes, '$."service.name"') = 'svc-3'""",
+    "rows_since_now": """SELECT count(*) FILTER (WHERE ts > now()::TIMESTAMP - INTERVAL '1' HOUR) AS last_hour,
+  count(*) FILTER (WHERE ts > now()::TIMESTAMP - INTERVAL '1000' YEAR) AS last_thousand_years FROM events""",
     "count_logs": f"SELECT count(*) AS n_logs FROM ({LOG_ROWS})",
     "log_time_range": f"""SELECT count(*) AS record_count, min(timestamp) AS min_time, max(timestamp) AS max_time
 FROM ({LOG_ROWS})""",
-    "describe_tables": f"""WITH logs_rows AS ({LOG_ROWS}), traces_rows AS ({SPAN_ROWS})
-{_describe(LOGS, 'otel_logs')}
+    "describe_tables": f"""{_describe(LOGS, 'otel_logs')}
 UNION ALL
 {_describe(TRACES, 'otel_traces')}""",
     # --- file building
     "assign_file_batches": f"SELECT arrival, tick, seq FROM ({_batches(LOGS)})",
     "log_file_column_stats": _column_stats(LOGS),
     "span_file_column_stats": _column_stats(TRACES),
-    "typed_file_bounds": f"""WITH logs_batches AS ({_batches(LOGS)}), traces_batches AS ({_batches(TRACES)})
+    "typed_file_bounds": f"""WITH logs_batches AS ({_in_files(LOGS)}), traces_batches AS ({_in_files(TRACES)})
 {_typed_bounds(LOGS, 'otel_logs')}
 UNION ALL
 {_typed_bounds(TRACES, 'otel_traces')}""",
     "write_logs_roundtrip": f"SELECT {_LOG_LIST} FROM ({LOG_ROWS})",
     "write_traces_roundtrip": f"SELECT {_SPAN_LIST} FROM ({SPAN_ROWS})",
-    "write_codecs": f"""SELECT codec, record_count, duration_ns, ending AS first_ending, ending AS last_ending
+    "write_codecs": f"""SELECT codec, ending, {_SPAN_LIST}
 FROM (VALUES ('SNAPPY', '.snappy.parquet'), ('GZIP', '.gz.parquet'), ('ZSTD', '.zstd.parquet'),
-             ('UNCOMPRESSED', '.parquet')) c(codec, ending)
-CROSS JOIN (SELECT count(*) AS record_count, CAST(sum(duration_ns) AS BIGINT) AS duration_ns FROM ({SPAN_ROWS}))""",
+             ('UNCOMPRESSED', '.parquet')) c(codec, ending) CROSS JOIN ({SPAN_ROWS})""",
     "read_compat_nanos": f"SELECT {_LOG_LIST} FROM ({LOG_ROWS})",
     # --- scans of written tables
     "scan_parquet_glob": f"""SELECT timestamp, severity_text, body FROM ({LOG_ROWS})
@@ -311,13 +321,16 @@ FROM ({SPAN_ROWS}) s, r WHERE s.start_time >= r.lo AND s.start_time < r.hi""",
   count(*) FILTER (WHERE trace_id = '{TRACE_KEY}') AS key_rows,
   count(*) FILTER (WHERE trace_id = '{TRACE_KEY}') = 0 AS excludes
 FROM ({_written(TRACES)}) GROUP BY tick, seq""",
+    "bloom_rows_skipped": """SELECT signal, filters AS bloom_filters, CAST(0 AS BIGINT) AS rows_found,
+  (SELECT count(*) FROM events) AS rows_total, filters AS mostly_skipped
+FROM (VALUES ('logs'), ('traces')) s(signal) CROSS JOIN (VALUES (true), (false)) f(filters)""",
     # --- manifest and catalog
-    "manifest_files": f"""SELECT table_name, tick, seq, split_part(path, '/', -1) AS file_name, record_count,
-  file_size_bytes, commit_time FROM ({_manifest()})""",
-    "manifest_path_translation": f"""SELECT path, replace(path, '/staging/lake/', '/lake/') AS data_path
+    "manifest_files": f"""SELECT table_name, tick, seq, record_count, commit_time, true AS has_size, true AS in_tick,
+  true AS named FROM ({_manifest()})""",
+    "manifest_path_translation": f"""SELECT table_name, tick, seq, '/lake/main/' || table_name || '/' || folder AS folder
 FROM ({_manifest()})""",
     "catalog_bootstrap": """SELECT * FROM (VALUES ('metadata', 'version', '0.3'), ('metadata', 'created_by', 'spanloom'),
-  ('metadata', 'data_path', '/lake/'), ('metadata', 'encrypted', 'false'), ('schema_versions', '0', '0'),
+  ('metadata', 'data_path', 'data path'), ('metadata', 'encrypted', 'false'), ('schema_versions', '0', '0'),
   ('schema', 'main', 'main/'),
   ('snapshot_changes', 'created_schema:main', 'Empty catalog with one schema')) t(catalog_table, key, value)
 UNION ALL
@@ -353,7 +366,7 @@ FROM catalog_columns""",
     "file_column_stats": _COMMITS + _all_file_column_stats(),
     "table_stats": _COMMITS
     + """SELECT t.table_id, CAST(sum(record_count) AS BIGINT) AS record_count,
-  CAST(sum(record_count) AS BIGINT) AS next_row_id, CAST(sum(file_size_bytes) AS BIGINT) AS file_size_bytes
+  CAST(sum(record_count) AS BIGINT) AS next_row_id, true AS has_size
 FROM commits c JOIN created t ON t.table_name = c.table_name GROUP BY t.table_id""",
     "table_stats_history": _COMMITS
     + """SELECT t.table_id, snapshot_id, file_order, record_count, next_row_id
@@ -367,21 +380,20 @@ FROM ({_all_file_column_stats()}) GROUP BY table_id, column_id""",
     + """SELECT max(schema_version) AS schema_version, max(schema_version) + 1 AS next_catalog_id,
   max(snapshot_id) AS next_file_id, max(snapshot_id) + 1 AS next_snapshot_id FROM versions""",
     "catalog_absolute_paths": _COMMITS
-    + "SELECT snapshot_id - 1 AS data_file_id, replace(path, '/staging/lake/', '/lake/') AS path FROM commits",
+    + "SELECT snapshot_id - 1 AS data_file_id, record_count AS rows_there FROM commits",
     "table_exists": _COMMITS
     + """SELECT n.table_name, EXISTS (SELECT 1 FROM created t WHERE t.table_name = n.table_name) AS table_exists
 FROM (VALUES ('otel_logs'), ('otel_traces'), ('otel_metrics')) n(table_name)""",
     "recent_snapshots": _COMMITS
-    + f"""SELECT s.snapshot_id, s.snapshot_time, t.table_name, x.record_count, x.total_size
+    + f"""SELECT s.snapshot_id, s.snapshot_time, t.table_name, x.record_count, true AS has_size
 FROM ({_SNAPSHOTS}) s JOIN ({_DATA_FILES}) f ON f.begin_snapshot = s.snapshot_id
 JOIN created t ON t.table_id = f.table_id
-JOIN (SELECT table_name, CAST(sum(record_count) AS BIGINT) AS record_count,
-        CAST(sum(file_size_bytes) AS BIGINT) AS total_size FROM commits GROUP BY table_name) x
+JOIN (SELECT table_name, CAST(sum(record_count) AS BIGINT) AS record_count FROM commits GROUP BY table_name) x
   ON x.table_name = t.table_name
 ORDER BY s.snapshot_time DESC, s.snapshot_id DESC LIMIT 10""",
     "files_for_snapshot": _COMMITS
-    + f"""SELECT path, record_count, file_size_bytes, file_order FROM ({_DATA_FILES})
-WHERE begin_snapshot = 23 ORDER BY file_order""",
+    + f"""SELECT path, record_count, has_size, file_order FROM ({_DATA_FILES})
+WHERE begin_snapshot = 3 ORDER BY file_order""",
     "snapshot_null_fields": _COMMITS
     + f"""SELECT count(*) AS n_snapshots, count(*) FILTER (WHERE snapshot_id IS NULL OR snapshot_time IS NULL
   OR schema_version IS NULL OR next_catalog_id IS NULL OR next_file_id IS NULL) AS n_with_nulls FROM ({_SNAPSHOTS})""",
@@ -395,14 +407,14 @@ FROM ({_DATA_FILES}) GROUP BY table_id""",
 UNION ALL SELECT 'snapshot_per_file', count(DISTINCT snapshot_id) = count(*) FROM commits
 UNION ALL SELECT 'snapshots_without_gaps', min(snapshot_id) = 1 AND max(snapshot_id) = count(*) FROM commits
 UNION ALL SELECT 'no_null_snapshot_fields', count(*) = count(commit_time) FROM commits
-UNION ALL SELECT 'paths_unique', count(DISTINCT path) = count(*) FROM commits
+UNION ALL SELECT 'paths_unique', true
 UNION ALL SELECT 'file_order_unique', count(DISTINCT (table_name, file_order)) = count(*) FROM commits
 UNION ALL SELECT 'no_empty_files', min(record_count) > 0 FROM commits
 UNION ALL SELECT 'records_match_rows_written', sum(record_count) = (SELECT 2 * count(*) FROM events) FROM commits
 UNION ALL SELECT 'one_mapping_per_table', count(*) = count(DISTINCT table_name) FROM created
 UNION ALL SELECT 'mapping_ids_not_zero', min(table_id) >= 1 FROM created""",
     "catalog_commit": _COMMITS
-    + f"""SELECT CASE WHEN tick < 15 THEN 'first' ELSE 'second' END AS commit_id, v.table_name, tick, seq, snapshot_id,
+    + f"""SELECT CASE WHEN tick < 3 THEN 'first' ELSE 'second' END AS commit_id, v.table_name, tick, seq, snapshot_id,
   snapshot_id - 1 AS data_file_id, file_order, record_count, next_row_id, schema_version,
   schema_version + 1 AS next_catalog_id, snapshot_id AS next_file_id,
   CASE WHEN file_order = 0 THEN (SELECT min(column_id) FROM catalog_columns c JOIN created t ON t.table_id = c.table_id
@@ -416,6 +428,10 @@ FROM (""" + _manifest() + ")",
     # --- streams
     "stream_ingest_logs": f"SELECT {_LOG_LIST} FROM ({LOG_ROWS})",
     "stream_ingest_traces": f"SELECT {_SPAN_LIST} FROM ({SPAN_ROWS})",
-    "stream_commit_idempotent": f"""SELECT severity_text, count(*) AS n_rows, CAST(0 AS BIGINT) AS snapshots_added
+    "stream_commit_idempotent": f"""SELECT severity_text, count(*) AS n_rows, true AS snapshots_added
 FROM ({LOG_ROWS}) GROUP BY severity_text""",
+    "ingest_rejects": """SELECT CASE WHEN event_id % 17 = 0 THEN 'malformed line'
+  WHEN event_id % 19 = 1 THEN 'unreadable observedTimeUnixNano'
+  WHEN event_id % 23 = 2 THEN 'no JSON for NaN or infinity' ELSE 'stored' END AS reason, count(*) AS n_records
+FROM events GROUP BY 1""",
 }

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.functions.scalars import service_name
+from spanloom.options import LakeOptions
+from spanloom.plans.commit import table_files
+from spanloom.plans.manifest import bound, may_be_among_largest, may_hold, may_hold_service, newest_time, scan_files
+from spanloom.schemas import LOGS, TRACES, Signal
+
 # Producers spell the severity text as they like.
 ERROR_TEXTS = ["ERROR", "FATAL", "Error", "Fatal", "error", "fatal"]
 
@@ -51,11 +57,6 @@ def slow_spans(
     )
 
 
-def service_name(resource_attributes: str = "resource_attributes") -> Column:
-    """Attribute keys are stored flat, so the key is quoted although it has a dot."""
-    return F.get_json_object(resource_attributes, "$['service.name']")
-
-
 def spans_by_service(spans: DataFrame, service: str) -> DataFrame:
     return (
         spans.filter(service_name() == service)
@@ -118,3 +119,48 @@ def time_range(table: DataFrame, time: str) -> DataFrame:
     return table.agg(
         F.count(F.lit(1)).alias("record_count"), F.min(time).alias("min_time"), F.max(time).alias("max_time")
     )
+
+
+# --- the same over a lake, whose catalog tells which files matter ----------------------------------------------------
+
+
+def _since(files: DataFrame, time: str, lookback: str, as_of: Column | None) -> tuple[Column, Column]:
+    """The end and the start of the time asked for. Without `as_of` the newest time is taken from the files' bounds."""
+    end = newest_time(files, time) if as_of is None else as_of
+    return end, F.unix_micros(end - F.expr(f"INTERVAL {lookback}"))
+
+
+def _scan(spark: SparkSession, options: LakeOptions, signal: Signal, files: DataFrame) -> DataFrame:
+    return scan_files(spark, files, signal, options.data_dir(signal.name))
+
+
+def lake_recent_error_logs(
+    spark: SparkSession, options: LakeOptions, lookback: str = "1 HOUR", limit: int = 100, as_of: Column | None = None
+) -> DataFrame:
+    """Only files whose times reach into the lookback are read."""
+    files = table_files(spark, options, LOGS)
+    end, start = _since(files, "timestamp", lookback, as_of)
+    logs = _scan(spark, options, LOGS, files.filter(may_hold("timestamp", low=start)))
+    return recent_error_logs(logs, lookback, limit, end)
+
+
+def lake_slow_spans(
+    spark: SparkSession,
+    options: LakeOptions,
+    lookback: str = "1 HOUR",
+    limit: int = 100,
+    slower_than_ns: int = 1_000_000_000,
+    as_of: Column | None = None,
+) -> DataFrame:
+    """Only files in the lookback that may hold one of the `limit` longest spans are read."""
+    files = table_files(spark, options, TRACES)
+    end, start = _since(files, "start_time", lookback, as_of)
+    inside = may_hold("start_time", low=start) & may_hold("duration_ns", low=slower_than_ns + 1)
+    longest = may_be_among_largest(files, "duration_ns", limit, surely=bound("start_time", "min_value") > start)
+    return slow_spans(_scan(spark, options, TRACES, files.filter(inside & longest)), lookback, limit, slower_than_ns, end)
+
+
+def lake_spans_by_service(spark: SparkSession, options: LakeOptions, service: str) -> DataFrame:
+    """Only files with rows of the service are read."""
+    files = table_files(spark, options, TRACES).filter(may_hold_service(service))
+    return spans_by_service(_scan(spark, options, TRACES, files), service)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions.json_text import attributes_json, body_text, events_json, links_json
-from spanloom.functions.scalars import span_id_text, timestamp_text, trace_id_text, translate_path
+from spanloom.functions.scalars import base_name, file_path, span_id_text, timestamp_text, trace_id_text, translate_path
 from spanloom.operators import stats
 from spanloom.operators.batching import assign_file_batches
 from spanloom.operators.flatten import (
@@ -34,13 +34,12 @@ BATCH_SIZE = 100
 # Written tables are cut more coarsely, so that files are not tiny.
 WRITE_TICK_SECONDS = 5 * 86_400
 WRITE_BATCH_SIZE = 1_000
-OUTPUT_PATH = "/staging/lake"
 DATA_PATH = "/lake"
 TRACE_KEY = "cfcd208495d565ef66e7dff9f98764da"
+ABSENT_TRACE = "7" * 32
 SERVICE = "svc-3"
-SPLIT_TICK = 15
+SPLIT_TICK = 3
 PRUNE_DAYS = (11, 13)
-SEQ_BLOCK = 60_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,14 +63,14 @@ def _rows(spark: SparkSession, sf_dir: str, signal: Signal) -> DataFrame:
     return source.rows(_events(spark, sf_dir), signal).select(*signal.column_names)
 
 
-def _options(output_path: str = OUTPUT_PATH, data_path: str = DATA_PATH, **more) -> LakeOptions:
+def _options(output_path: str = "/staging/lake", data_path: str = "", **more) -> LakeOptions:
     more = {"batch_size": BATCH_SIZE, "batch_timeout_seconds": TICK_SECONDS, **more}
     return LakeOptions(output_path=output_path, data_path=data_path, **more)
 
 
-def _write_options(spark: SparkSession, **more) -> LakeOptions:
+def _write_options(spark: SparkSession, data_path: str = "", **more) -> LakeOptions:
     more = {"batch_size": WRITE_BATCH_SIZE, "batch_timeout_seconds": WRITE_TICK_SECONDS, **more}
-    return _options(new_scratch(spark, "lake"), "", **more)
+    return _options(new_scratch(spark, "lake"), data_path, **more)
 
 
 def _batches(spark: SparkSession, sf_dir: str, signal: Signal, options: LakeOptions | None = None) -> DataFrame:
@@ -86,40 +85,54 @@ def _batches(spark: SparkSession, sf_dir: str, signal: Signal, options: LakeOpti
     )
 
 
-def _manifest(spark: SparkSession, sf_dir: str, options: LakeOptions | None = None) -> DataFrame:
-    """The files of both tables in one commit stream, as the two streams share one catalog."""
-    options = options or _options()
-    parts = [
-        manifest.planned_manifest(_batches(spark, sf_dir, signal), signal, options, start_micros=START_MICROS)
-        for signal in (LOGS, TRACES)
-    ]
-    return parts[0].unionByName(parts[1])
+def _tick_end(options: LakeOptions):
+    """Files are committed when their tick ends, so that results can be repeated."""
+    width = int(options.batch_timeout_seconds * 1_000_000)
+    return F.timestamp_micros(F.lit(START_MICROS) + (F.col("tick") + 1) * F.lit(width))
 
 
-_NARROW = ["table_name", "tick", "seq", "path", "record_count", "commit_time"]
+def _files(spark: SparkSession, sf_dir: str, signal: Signal, options: LakeOptions) -> DataFrame:
+    """Write the table of a signal and describe its files."""
+    batches = _batches(spark, sf_dir, signal, options)
+    folder = write_batches(batches, signal, options, commit_id="all", arrival="arrival")
+    return manifest.written_manifest(spark, folder, signal, options.table(signal.name), _tick_end(options))
 
 
-def _commits(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    """Numbered files. Only the named statistics are computed."""
-    files = checkpointed(_manifest(spark, sf_dir).select(*_NARROW, *more))
-    return checkpointed(catalog.number_commits(files, _options()))
+def _both(spark: SparkSession, sf_dir: str, options: LakeOptions) -> DataFrame:
+    """Both tables written, and their files in one list, as the two streams share one catalog."""
+    logs, spans = (_files(spark, sf_dir, signal, options) for signal in (LOGS, TRACES))
+    return logs.unionByName(spans)
 
 
-def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).agg(F.min("ts").alias("started"))
+# Per application and input, the lake that the queries over stored tables share.
+_LAKES: dict[tuple, LakeOptions] = {}
 
 
-def _written(spark: SparkSession, sf_dir: str, signal: Signal) -> tuple[LakeOptions, str]:
-    """The table of a signal as real files."""
-    options = _write_options(spark)
-    folder = write_batches(_batches(spark, sf_dir, signal, options), signal, options, commit_id="all", arrival="arrival")
-    return options, folder
+def _lake(spark: SparkSession, sf_dir: str, *signals: Signal, **more) -> LakeOptions:
+    """A lake with the tables of the signals, both if none is named, written and committed; the one of an earlier query if
+    it is still there."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, *[s.name for s in signals], *sorted(more.items()))
+    if key not in _LAKES or not commit.is_committed(spark, _LAKES[key], "all"):
+        _LAKES[key] = _new_lake(spark, sf_dir, *signals, **more)
+    return _LAKES[key]
+
+
+def _new_lake(spark: SparkSession, sf_dir: str, *signals: Signal, **more) -> LakeOptions:
+    options = _write_options(spark, **more)
+    commit.open_catalog(spark, options, _started(spark, sf_dir))
+    files = _files(spark, sf_dir, signals[0], options) if signals else _both(spark, sf_dir, options)
+    commit.commit_files(files, options, "all")
+    return options
 
 
-def _written_commits(spark: SparkSession, options: LakeOptions, folder: str, signal: Signal) -> DataFrame:
-    table = options.table(signal.name)
-    files = checkpointed(manifest.written_manifest(spark, folder, signal, table, F.col("tick")))
-    return checkpointed(catalog.number_commits(files, options, seq_block=SEQ_BLOCK))
+def _commits(spark: SparkSession, sf_dir: str) -> tuple[LakeOptions, DataFrame]:
+    options = _lake(spark, sf_dir)
+    return options, commit.read_commits(spark, options)
+
+
+def _started(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).agg(F.min("ts").alias("started"))
 
 
 # --- sources and transforms ------------------------------------------------------------------------------------------
@@ -127,13 +140,13 @@ def _written_commits(spark: SparkSession, options: LakeOptions, folder: str, sig
 
 @query
 def flatten_logs_(spark, sf_dir):
-    rows = encodable_rows(flatten_logs(source.log_payloads(source.spread(_events(spark, sf_dir)))))
+    rows = encodable_rows(flatten_logs(source.log_payloads(_events(spark, sf_dir))))
     return rows.select(*LOGS.column_names)
 
 
 @query
 def flatten_traces_(spark, sf_dir):
-    rows = encodable_rows(flatten_traces(source.span_payloads(source.spread(_events(spark, sf_dir)))))
+    rows = encodable_rows(flatten_traces(source.span_payloads(_events(spark, sf_dir))))
     return rows.select(*TRACES.column_names)
 
 
@@ -316,7 +329,9 @@ def span_parent_join(spark, sf_dir):
 
 @query
 def orphan_spans(spark, sf_dir):
-    return queries.orphan_spans(_rows(spark, sf_dir, TRACES)).select("trace_id", "span_id", "parent_span_id", "name")
+    """Of the spans that are no errors, those whose parent was one."""
+    kept = _rows(spark, sf_dir, TRACES).filter("name <> 'error'")
+    return queries.orphan_spans(kept).select("trace_id", "span_id", "parent_span_id", "name")
 
 
 @query
@@ -329,11 +344,39 @@ def log_time_range(spark, sf_dir):
     return queries.time_range(_rows(spark, sf_dir, LOGS), "timestamp")
 
 
+@query
+def recent_error_logs_in_lake(spark, sf_dir):
+    return queries.lake_recent_error_logs(spark, _lake(spark, sf_dir, LOGS), lookback="1 DAY")
+
+
+@query
+def slow_spans_in_lake(spark, sf_dir):
+    return queries.lake_slow_spans(spark, _lake(spark, sf_dir, TRACES), lookback="30 DAYS")
+
+
+@query
+def spans_by_service_in_lake(spark, sf_dir):
+    return queries.lake_spans_by_service(spark, _lake(spark, sf_dir, TRACES), SERVICE)
+
+
+@query
+def rows_since_now(spark, sf_dir):
+    """The lookback against the clock: all events are older than an hour, and none is older than a thousand years."""
+    logs = _rows(spark, sf_dir, LOGS)
+    now = F.current_timestamp()
+    return logs.agg(
+        F.count_if(queries.newer_than(logs, "timestamp", "1 HOUR", now)).alias("last_hour"),
+        F.count_if(queries.newer_than(logs, "timestamp", "1000 YEARS", now)).alias("last_thousand_years"),
+    )
+
+
 @query
 def describe_tables(spark, sf_dir):
+    """The columns that the footers of written files name."""
+    options = _lake(spark, sf_dir)
     parts = [
-        tables.describe(_rows(spark, sf_dir, signal)).select(F.lit(name).alias("table_name"), "*")
-        for signal, name in ((LOGS, "otel_logs"), (TRACES, "otel_traces"))
+        tables.describe(tables.stored(spark, options.table_dir(signal.name))).select(F.lit(options.table(signal.name)).alias("table_name"), "*")
+        for signal in (LOGS, TRACES)
     ]
     return parts[0].unionByName(parts[1])
 
@@ -358,42 +401,34 @@ def span_file_column_stats(spark, sf_dir):
 
 @query
 def typed_file_bounds(spark, sf_dir):
-    files = _manifest(spark, sf_dir)
+    _, files = _commits(spark, sf_dir)
     return stats.long_form(files, ["table_name", "tick", "seq"], "typed_bounds")
 
 
 @query
 def write_logs_roundtrip(spark, sf_dir):
-    _, folder = _written(spark, sf_dir, LOGS)
+    options = _write_options(spark)
+    folder = write_batches(_batches(spark, sf_dir, LOGS, options), LOGS, options, commit_id="all", arrival="arrival")
     return manifest.read_files(spark, folder, LOGS.schema).select(*LOGS.column_names)
 
 
 @query
 def write_traces_roundtrip(spark, sf_dir):
-    _, folder = _written(spark, sf_dir, TRACES)
+    options = _write_options(spark)
+    folder = write_batches(_batches(spark, sf_dir, TRACES, options), TRACES, options, commit_id="all", arrival="arrival")
     return manifest.read_files(spark, folder, TRACES.schema).select(*TRACES.column_names)
 
 
 @query
 def write_codecs(spark, sf_dir):
-    """The span table once per codec: rows, a checksum, and the file name ending."""
+    """The span table once per codec: every row as it was read back, and the file name ending."""
     parts = []
     for codec in CODECS:
         options = _write_options(spark, compression=codec)
         folder = options.table_dir("traces")
         configured_writer(_rows(spark, sf_dir, TRACES), options, options.traces_table).parquet(folder)
         ending = F.regexp_extract(F.col("_metadata.file_name"), r"((\.[a-z]+)?\.parquet)$", 1)
-        parts.append(
-            manifest.read_files(spark, folder, TRACES.schema)
-            .select("duration_ns", ending.alias("ending"))
-            .agg(
-                F.count(F.lit(1)).alias("record_count"),
-                F.sum("duration_ns").alias("duration_ns"),
-                F.min("ending").alias("first_ending"),
-                F.max("ending").alias("last_ending"),
-            )
-            .select(F.lit(codec).alias("codec"), "*")
-        )
+        parts.append(manifest.read_files(spark, folder, TRACES.schema).select(F.lit(codec).alias("codec"), ending.alias("ending"), "*"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -418,44 +453,40 @@ def read_compat_nanos(spark, sf_dir):
 
 @query
 def scan_parquet_glob(spark, sf_dir):
-    options, folder = _written(spark, sf_dir, LOGS)
-    logs = tables.scan_glob(spark, folder, LOGS, options.logs_table)
+    options = _lake(spark, sf_dir, LOGS)
+    logs = tables.scan_glob(spark, options.table_dir("logs"), LOGS, options.logs_table)
     return queries.recent_rows(logs, "timestamp", ["timestamp", "severity_text", "body"], "1 DAY", 100)
 
 
 @query
 def scan_catalog_table(spark, sf_dir):
     """All rows of the log table, found through the catalog, with the file each lies in."""
-    options, folder = _written(spark, sf_dir, LOGS)
-    commits = _written_commits(spark, options, folder, LOGS)
-    rows = manifest.scan_files(spark, manifest.live_files(commits), LOGS, folder, with_path=True)
-    return rows.join(commits.select("path", "file_order"), "path").select(
-        "file_order", "timestamp", "trace_id", "severity_text", "body"
-    )
+    options = _lake(spark, sf_dir, LOGS)
+    files = commit.table_files(spark, options, LOGS)
+    rows = manifest.scan_files(spark, files, LOGS, options.data_dir("logs"), keep=["file_order"])
+    return rows.select("file_order", "timestamp", "trace_id", "severity_text", "body")
 
 
 @query
 def scan_as_of_snapshot(spark, sf_dir):
     """The log table when half of its files were committed."""
-    options, folder = _written(spark, sf_dir, LOGS)
-    commits = _written_commits(spark, options, folder, LOGS)
-    half = catalog.read_state(commits).snapshot_id // 2
-    rows = manifest.scan_files(spark, manifest.live_files(commits, half), LOGS, folder)
-    return rows.select("timestamp", "trace_id", "severity_text", "body")
+    options = _lake(spark, sf_dir, LOGS)
+    half = catalog.read_state(commit.read_commits(spark, options)).snapshot_id // 2
+    return commit.read_table(spark, options, LOGS, half).select("timestamp", "trace_id", "severity_text", "body")
 
 
 @query
 def prune_files_minmax(spark, sf_dir):
     """Spans of two days: files in all, files left by their bounds, and rows found in those."""
-    options, folder = _written(spark, sf_dir, TRACES)
-    commits = _written_commits(spark, options, folder, TRACES)
+    options = _lake(spark, sf_dir, TRACES)
+    files = commit.table_files(spark, options, TRACES)
     low, high = (START_MICROS + day * 86_400_000_000 for day in PRUNE_DAYS)
-    kept = commits.filter(manifest.may_hold("start_time", low, high - 1))
-    rows = manifest.scan_files(spark, kept, TRACES, folder).filter(
+    kept = files.filter(manifest.may_hold("start_time", low, high - 1))
+    rows = manifest.scan_files(spark, kept, TRACES, options.data_dir("traces")).filter(
         (F.col("start_time") >= F.timestamp_micros(F.lit(low))) & (F.col("start_time") < F.timestamp_micros(F.lit(high)))
     )
     return rows.agg(F.count(F.lit(1)).alias("rows_found"), F.sum("duration_ns").alias("duration_ns")).select(
-        commits.agg(F.count(F.lit(1))).scalar().alias("files_total"),
+        files.agg(F.count(F.lit(1))).scalar().alias("files_total"),
         kept.agg(F.count(F.lit(1))).scalar().alias("files_read"),
         "rows_found",
         "duration_ns",
@@ -468,15 +499,15 @@ def bloom_point_lookup(spark, sf_dir):
 
     The equality filter reaches the Parquet reader, which skips row groups by their bloom filters.
     """
-    options, folder = _written(spark, sf_dir, TRACES)
-    commits = _written_commits(spark, options, folder, TRACES)
+    options = _lake(spark, sf_dir, TRACES)
+    files = commit.table_files(spark, options, TRACES)
     hits = (
-        manifest.scan_files(spark, commits, TRACES, folder, with_path=True)
+        manifest.scan_files(spark, files, TRACES, options.data_dir("traces"), keep=["file_order"])
         .filter(F.col("trace_id") == TRACE_KEY)
-        .groupBy("path")
+        .groupBy("file_order")
         .agg(F.count(F.lit(1)).alias("key_rows"))
     )
-    return commits.join(hits, "path", "left").select(
+    return files.join(hits, "file_order", "left").select(
         "file_order",
         "record_count",
         F.coalesce("key_rows", F.lit(0).cast("bigint")).alias("key_rows"),
@@ -484,129 +515,178 @@ def bloom_point_lookup(spark, sf_dir):
     )
 
 
-# --- manifest and catalog --------------------------------------------------------------------------------------------
+@query
+def bloom_rows_skipped(spark, sf_dir):
+    """Rows that leave the scan for a trace that is in no file but within the bounds of all: with bloom filters hardly any
+    (a filter may be wrong for one file in a hundred), without them all rows."""
+    found = []
+    for signal in (LOGS, TRACES):
+        for filters in (True, False):
+            options = _write_options(spark, enable_bloom_filters=filters)
+            batches = _batches(spark, sf_dir, signal, options)
+            folder = write_batches(batches, signal, options, commit_id="all", arrival="arrival")
+            # Small files have dictionaries that tell the same; columns of many values have none.
+            reader = spark.read.schema(signal.schema).option("parquet.filter.dictionary.enabled", "false")
+            rows = reader.parquet(folder).filter(F.col("trace_id") == ABSENT_TRACE)
+            left, matched = tables.rows_leaving_scan(rows.select("trace_id"))
+            total = batches.count()
+            found.append((signal.name, filters, matched, total, left * 2 < total))
+    return spark.createDataFrame(found, "signal string, bloom_filters boolean, rows_found bigint, rows_total bigint, mostly_skipped boolean")
+
+
+# --- manifest and catalog, all over written and committed files -----------------------------------------------------
+
+
+def _folder_of(path: str = "path"):
+    return F.regexp_replace(path, "[^/]+$", "")
+
+
+def _sized(df: DataFrame, column: str = "file_size_bytes") -> DataFrame:
+    """The size of a file depends on the machine that wrote it: only whether there is one is returned."""
+    return df.withColumn("has_size", F.col(column) > 0).drop(column)
 
 
 @query
 def manifest_files(spark, sf_dir):
-    files = _manifest(spark, sf_dir)
-    return files.select(
-        "table_name", "tick", "seq", F.element_at(F.split("path", "/"), -1).alias("file_name"), "record_count",
-        "file_size_bytes", "commit_time",
+    _, files = _commits(spark, sf_dir)
+    name = base_name(F.col("path"))
+    return _sized(
+        files.select(
+            "table_name", "tick", "seq", "record_count", "commit_time", "file_size_bytes", _folder_of("path").rlike("/batch=all/tick=[0-9]+/$").alias("in_tick"),
+            (name.startswith(F.concat("table_name", F.lit("_"))) & name.rlike(r"_[0-9]{8}_[0-9]{6}-[0-9]+-.*\.snappy\.parquet$")).alias("named"),
+        )
     )
 
 
 @query
 def manifest_path_translation(spark, sf_dir):
-    files = _manifest(spark, sf_dir)
-    return files.select("path", translate_path(F.col("path"), OUTPUT_PATH, DATA_PATH).alias("data_path"))
+    """The folders that readers are told, where they see the writer's folder under another path."""
+    options = _lake(spark, sf_dir, data_path=DATA_PATH)
+    return commit.read_commits(spark, options).select("table_name", "tick", "seq", _folder_of().alias("folder"))
 
 
 @query
 def catalog_bootstrap(spark, sf_dir):
-    """The rows of a new catalog; a second bootstrap over the first one adds none."""
-    started = _started(spark, sf_dir)
-    first = catalog.bootstrap(spark, _options(), started)
-    existing = catalog.snapshots(_commits(spark, sf_dir), started)
-    again = catalog.bootstrap(spark, _options(), started, existing)
-    return first.unionByName(again)
+    """The rows of a new catalog, which commits and a second bootstrap leave as they are."""
+    options = _lake(spark, sf_dir)
+    rows = commit.open_catalog(spark, options)
+    own = F.col("value") == F.lit(options.data_path.rstrip("/") + "/")
+    return rows.withColumn("value", F.when(own, "data path").otherwise(F.col("value")))
 
 
 @query
 def catalog_snapshots(spark, sf_dir):
-    return catalog.snapshots(_commits(spark, sf_dir), _started(spark, sf_dir))
+    options, commits = _commits(spark, sf_dir)
+    return catalog.snapshots(commits, commit.started_at(spark, options))
 
 
 @query
 def snapshot_changes(spark, sf_dir):
-    return catalog.snapshot_changes(_commits(spark, sf_dir), _started(spark, sf_dir))
+    options, commits = _commits(spark, sf_dir)
+    return catalog.snapshot_changes(commits, commit.started_at(spark, options))
 
 
 @query
 def catalog_tables(spark, sf_dir):
-    return catalog.tables(_commits(spark, sf_dir))
+    return catalog.tables(_commits(spark, sf_dir)[1])
 
 
 @query
 def catalog_schemas(spark, sf_dir):
     """The schema with the number of its tables and their records."""
-    commits = _commits(spark, sf_dir)
+    options, commits = _commits(spark, sf_dir)
     files = commits.join(F.broadcast(catalog.tables(commits).select("table_name", "schema_id")), "table_name")
     held = files.groupBy("schema_id").agg(
         F.count_distinct("table_name").alias("n_tables"), F.sum("record_count").alias("record_count")
     )
-    return catalog.schemas(_started(spark, sf_dir)).join(held, "schema_id")
+    return catalog.schemas(commit.started_at(spark, options)).join(held, "schema_id")
 
 
 @query
 def catalog_columns(spark, sf_dir):
-    return catalog.columns(_commits(spark, sf_dir), _options())
+    options, commits = _commits(spark, sf_dir)
+    return catalog.columns(commits, options)
 
 
 @query
 def catalog_column_mapping(spark, sf_dir):
-    return catalog.column_mapping(_commits(spark, sf_dir))
+    return catalog.column_mapping(_commits(spark, sf_dir)[1])
 
 
 @query
 def catalog_name_mapping(spark, sf_dir):
-    return catalog.name_mapping(_commits(spark, sf_dir), _options())
+    options, commits = _commits(spark, sf_dir)
+    return catalog.name_mapping(commits, options)
 
 
 @query
 def catalog_data_files(spark, sf_dir):
-    return catalog.data_files(_commits(spark, sf_dir, "file_size_bytes"))
+    options, commits = _commits(spark, sf_dir)
+    return _sized(catalog.data_files(commits, options)).withColumn("path", _folder_of())
 
 
 @query
 def file_column_stats(spark, sf_dir):
-    return catalog.file_column_stats(_commits(spark, sf_dir, "column_stats"), _options())
+    options, commits = _commits(spark, sf_dir)
+    return catalog.file_column_stats(commits, options)
 
 
 @query
 def table_stats(spark, sf_dir):
-    return catalog.table_stats(_commits(spark, sf_dir, "file_size_bytes"))
+    return _sized(catalog.table_stats(_commits(spark, sf_dir)[1]))
 
 
 @query
 def table_stats_history(spark, sf_dir):
-    return catalog.table_stats_history(_commits(spark, sf_dir))
+    return catalog.table_stats_history(_commits(spark, sf_dir)[1])
 
 
 @query
 def table_column_stats(spark, sf_dir):
-    return catalog.table_column_stats(_commits(spark, sf_dir, "column_stats"), _options())
+    options, commits = _commits(spark, sf_dir)
+    return catalog.table_column_stats(commits, options)
 
 
 @query
 def next_ids(spark, sf_dir):
-    return catalog.next_ids(_commits(spark, sf_dir))
+    return catalog.next_ids(_commits(spark, sf_dir)[1])
 
 
 @query
 def catalog_absolute_paths(spark, sf_dir):
-    return catalog.absolute_paths(_commits(spark, sf_dir, "file_size_bytes"), _options(), _started(spark, sf_dir))
+    """Per file, the rows found under the path that the catalog leads to."""
+    options, commits = _commits(spark, sf_dir)
+    leading = catalog.absolute_paths(commits, options, commit.started_at(spark, options))
+    counts = []
+    for signal in (LOGS, TRACES):
+        rows = spark.read.schema(signal.schema).parquet(f"{options.data_dir(signal.name)}/batch=*/tick=*")
+        found = rows.groupBy(file_path(F.col("_metadata.file_path")).alias("path")).agg(F.count(F.lit(1)).alias("rows_there"))
+        counts.append(found.withColumn("path", translate_path(F.col("path"), options.output_path, options.data_path)))
+    return leading.join(counts[0].unionByName(counts[1]), "path").select("data_file_id", "rows_there")
 
 
 @query
 def table_exists(spark, sf_dir):
-    names = ["otel_logs", "otel_traces", "otel_metrics"]
-    return catalog.table_exists(_commits(spark, sf_dir), _started(spark, sf_dir), names)
+    options, commits = _commits(spark, sf_dir)
+    return catalog.table_exists(commits, commit.started_at(spark, options), ["otel_logs", "otel_traces", "otel_metrics"])
 
 
 @query
 def recent_snapshots(spark, sf_dir):
-    return catalog.recent_snapshots(_commits(spark, sf_dir, "file_size_bytes"), _started(spark, sf_dir))
+    options, commits = _commits(spark, sf_dir)
+    return _sized(catalog.recent_snapshots(commits, options, commit.started_at(spark, options)), "total_size")
 
 
 @query
 def files_for_snapshot(spark, sf_dir):
-    return catalog.files_for_snapshot(_commits(spark, sf_dir, "file_size_bytes"), 23)
+    options, commits = _commits(spark, sf_dir)
+    return _sized(catalog.files_for_snapshot(commits, options, 3)).withColumn("path", _folder_of())
 
 
 @query
 def snapshot_null_fields(spark, sf_dir):
-    made = catalog.snapshots(_commits(spark, sf_dir), _started(spark, sf_dir))
+    options, commits = _commits(spark, sf_dir)
+    made = catalog.snapshots(commits, commit.started_at(spark, options))
     missing = F.lit(False)
     for name in made.columns:
         missing = missing | F.col(name).isNull()
@@ -615,13 +695,13 @@ def snapshot_null_fields(spark, sf_dir):
 
 @query
 def total_records(spark, sf_dir):
-    return _manifest(spark, sf_dir).agg(F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"))
+    return _commits(spark, sf_dir)[1].agg(F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"))
 
 
 @query
 def distinct_mappings(spark, sf_dir):
-    files = catalog.data_files(_commits(spark, sf_dir, "file_size_bytes"))
-    return files.groupBy("table_id").agg(
+    options, commits = _commits(spark, sf_dir)
+    return catalog.data_files(commits, options).groupBy("table_id").agg(
         F.count_distinct("mapping_id").alias("n_mappings"), F.min("mapping_id").alias("mapping_id")
     )
 
@@ -629,17 +709,17 @@ def distinct_mappings(spark, sf_dir):
 @query
 def catalog_checks(spark, sf_dir):
     written = _events(spark, sf_dir).agg((F.count(F.lit(1)) * F.lit(2)).alias("rows_written"))
-    return catalog.checks(_commits(spark, sf_dir), written)
+    return catalog.checks(_commits(spark, sf_dir)[1], written)
 
 
 @query
 def catalog_commit(spark, sf_dir):
     """Two commits one after the other, the second of them tried twice."""
-    options = _options(new_scratch(spark, "lake"), "")
-    files = checkpointed(_manifest(spark, sf_dir, options))
-    commit.commit_files(files.filter(F.col("tick") < SPLIT_TICK), options, "first", seq_block=4096)
+    options = _write_options(spark)
+    files = checkpointed(_both(spark, sf_dir, options))
+    commit.commit_files(files.filter(F.col("tick") < SPLIT_TICK), options, "first")
     for _ in range(2):
-        commit.commit_files(files.filter(F.col("tick") >= SPLIT_TICK), options, "second", seq_block=4096)
+        commit.commit_files(files.filter(F.col("tick") >= SPLIT_TICK), options, "second")
     return commit.read_commits(spark, options).select(
         "commit_id", "table_name", "tick", "seq", "snapshot_id", "data_file_id", "file_order", "record_count",
         "next_row_id", "schema_version", "next_catalog_id", "next_file_id", "first_column_id",
@@ -683,13 +763,45 @@ def stream_ingest_traces(spark, sf_dir):
 
 @query
 def stream_commit_idempotent(spark, sf_dir):
-    """A stream that loses its progress and runs every batch again leaves rows and snapshots as they were."""
+    """A stream that loses its progress while a file arrives, and whose files come in other groups then, takes in the new
+    file alone: every row once."""
     options = LakeOptions(output_path=new_scratch(spark, "lake"))
-    landing = _landing(spark, sf_dir, LOGS)
-    _ingested(spark, sf_dir, LOGS, landing, options)
-    before = catalog.read_state(commit.read_commits(spark, options)).snapshot_id
-    _ingested(spark, sf_dir, LOGS, landing, options)
-    commits = commit.read_commits(spark, options)
-    after = catalog.read_state(commits).snapshot_id
+    landing = new_scratch(spark, "landing")
+    lines = source.otlp_lines(_events(spark, sf_dir), LOGS, keep=["event_id"])
+
+    def land(part: DataFrame, files: int) -> None:
+        part.drop("event_id").repartition(files).write.mode("append").json(landing)
+
+    def run(files_per_batch: int) -> int:
+        payloads = otlp_json.stream_otlp_json(spark, landing, LOGS, files_per_batch)
+        ingest.start_ingest(payloads, LOGS, options, checkpoint=new_scratch(spark, "progress"), drain=True).awaitTermination()
+        return catalog.read_state(commit.read_commits(spark, options)).snapshot_id
+
+    land(lines.filter("event_id % 10 <> 3"), 5)
+    before = run(2)
+    land(lines.filter("event_id % 10 = 3"), 1)
+    added = run(3) - before
     rows = commit.read_table(spark, options, LOGS).groupBy("severity_text").agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.select("severity_text", "n_rows", F.lit(after - before).cast("bigint").alias("snapshots_added"))
+    return rows.select("severity_text", "n_rows", F.lit(added > 0).alias("snapshots_added"))
+
+
+@query
+def ingest_rejects(spark, sf_dir):
+    """What becomes of a landing folder with truncated lines, unreadable times and NaN: records by outcome."""
+    options = LakeOptions(output_path=new_scratch(spark, "lake"))
+    landing = new_scratch(spark, "landing")
+    lines = source.otlp_lines(_events(spark, sf_dir), LOGS, keep=["event_id"])
+    whole = F.to_json(F.struct("resourceLogs"))
+    unreadable = F.replace(whole, F.lit('"observedTimeUnixNano":"'), F.lit('"observedTimeUnixNano":"x'))
+    not_a_number = F.replace(whole, F.lit('{"stringValue":"test"}'), F.lit('{"doubleValue":"NaN"}'))
+    broken = (
+        F.when(F.expr("event_id % 17 = 0"), F.substring(whole, 1, 200))
+        .when(F.expr("event_id % 19 = 1"), unreadable)
+        .when(F.expr("event_id % 23 = 2"), not_a_number)
+        .otherwise(whole)
+    )
+    lines.select(broken.alias("value")).write.option("maxRecordsPerFile", 25_000).text(landing)
+    _ingested(spark, sf_dir, LOGS, landing, options)
+    lost = ingest.read_rejects(spark, options, LOGS).groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+    kept = commit.read_table(spark, options, LOGS).agg(F.count(F.lit(1)).alias("n_records"))
+    return lost.unionByName(kept.select(F.lit("stored").alias("reason"), "n_records"))

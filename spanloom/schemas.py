@@ -112,6 +112,6 @@ TYPED_BOUNDS = "ARRAY<STRUCT<column_name: STRING, min_value: BIGINT, max_value:
 
 # One row per registered file, as written by a commit.
 COMMIT_SCHEMA = f"""table_name STRING, tick BIGINT, seq BIGINT, path STRING, record_count BIGINT,
-  file_size_bytes BIGINT, commit_time TIMESTAMP, column_stats {COLUMN_STATS}, typed_bounds {TYPED_BOUNDS},
+  file_size_bytes BIGINT, commit_time TIMESTAMP, column_stats {COLUMN_STATS}, typed_bounds {TYPED_BOUNDS}, services ARRAY<STRING>,
   snapshot_id BIGINT, end_snapshot BIGINT, data_file_id BIGINT, file_order BIGINT, next_row_id BIGINT, schema_version BIGINT,
   next_catalog_id BIGINT, next_file_id BIGINT, first_column_id BIGINT, commit_id STRING"""

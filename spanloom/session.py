@@ -15,8 +15,12 @@ SESSION_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Lets read_compat() open files whose timestamps are in nanoseconds; no effect on other files.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Files whose statistics a task keeps in a hash table before it sorts; some 20 KB each.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "2048",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A table is pruned by its manifest also where the manifest is too large to broadcast.
+    "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly": "false",
 }
 
 

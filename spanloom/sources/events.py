@@ -20,19 +20,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-# Inputs with fewer splits than this are small enough to be dealt out again.
-FEW_SPLITS = 32
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores before work that is heavy on CPU.
-
-    A scan has at least one task per 128 MB, so anything large has splits enough and is left alone, without a shuffle.
-    """
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, FEW_SPLITS)
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
-
-
 # Expressions shared by the flat and the nested form.
 _TRACE = "md5(CAST(event_id - event_id % 5 AS STRING))"
 _SPAN = "substr(md5(CAST(event_id AS STRING)), 1, 16)"
@@ -82,15 +69,15 @@ def span_rows(events: DataFrame) -> DataFrame:
         f"timestamp_micros(unix_micros(ts) + {_MILLIS} * 1000) AS end_time",
         f"{_MILLIS} * 1000000 AS duration_ns",
         "CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS status_code",
-        "CASE WHEN event_type = 'error' THEN 'Test error' END AS status_message",
+        "CASE WHEN event_type = 'error' THEN 'request failed' END AS status_message",
         "'events' AS scope_name",
         "'1.0.0' AS scope_version",
         f"{_RESOURCE_JSON} AS resource_attributes",
         f"{_ATTRIBUTES_JSON} AS span_attributes",
         f"""CASE WHEN event_id % 5 = 0 THEN concat('[{{"timestamp":"', {_TS_TEXT},
-            '","name":"test-event","attributes":{{"event.type":"test"}}}}]') ELSE '[]' END AS events""",
+            '","name":"cache-miss","attributes":{{"cache.tier":"edge"}}}}]') ELSE '[]' END AS events""",
         f"""CASE WHEN event_id > 0 AND event_id % 4 = 0 THEN concat('[{{"trace_id":"', {_LINKED_TRACE},
-            '","span_id":"', {_LINKED_SPAN}, '","attributes":{{"link.type":"test"}}}}]') ELSE '[]' END AS links""",
+            '","span_id":"', {_LINKED_SPAN}, '","attributes":{{"reason":"retry"}}}}]') ELSE '[]' END AS links""",
         "0L AS dropped_attributes_count",
         "0L AS dropped_events_count",
         "0L AS dropped_links_count",
@@ -144,15 +131,15 @@ def span_payloads(events: DataFrame) -> DataFrame:
     no_count = F.lit(0).cast("bigint")
     event = F.struct(
         _nanos().alias("time_unix_nano"),
-        F.lit("test-event").alias("name"),
-        F.array(_pair("event.type", F.lit("test"))).alias("attributes"),
+        F.lit("cache-miss").alias("name"),
+        F.array(_pair("cache.tier", F.lit("edge"))).alias("attributes"),
         no_count.alias("dropped_attributes_count"),
     )
     link = F.struct(
         F.expr(f"unhex({_LINKED_TRACE})").alias("trace_id"),
         F.expr(f"unhex({_LINKED_SPAN})").alias("span_id"),
         F.lit("").alias("trace_state"),
-        F.array(_pair("link.type", F.lit("test"))).alias("attributes"),
+        F.array(_pair("reason", F.lit("retry"))).alias("attributes"),
         no_count.alias("dropped_attributes_count"),
         no_count.alias("flags"),
     )
@@ -180,7 +167,7 @@ def span_payloads(events: DataFrame) -> DataFrame:
         no_count.alias("dropped_links_count"),
         F.struct(
             F.expr("CASE WHEN event_type = 'error' THEN 2 ELSE 1 END").alias("code"),
-            F.expr("CASE WHEN event_type = 'error' THEN 'Test error' ELSE '' END").alias("message"),
+            F.expr("CASE WHEN event_type = 'error' THEN 'request failed' ELSE '' END").alias("message"),
         ).alias("status"),
     )
     return nested(events, record, "resource_spans", "scope_spans", "spans")
@@ -210,8 +197,9 @@ def nested(events: DataFrame, record: Column, resources: str, scopes: str, recor
     return events.select(F.col("event_id").alias("arrival"), payload.alias(resources))
 
 
-def otlp_lines(events: DataFrame, signal: Signal) -> DataFrame:
-    """The same payloads in OTLP/JSON form, to be written as a landing folder with write.json()."""
+def otlp_lines(events: DataFrame, signal: Signal, keep: list[str] | None = None) -> DataFrame:
+    """The same payloads in OTLP/JSON form, to be written as a landing folder with write.json(). `keep` names columns of
+    the events that stay beside them."""
 
     def text(value: Column) -> Column:
         return F.struct(value.alias("stringValue"))
@@ -242,13 +230,13 @@ def otlp_lines(events: DataFrame, signal: Signal) -> DataFrame:
         names = ("resourceSpans", "scopeSpans", "spans")
         event = F.struct(
             nanos.alias("timeUnixNano"),
-            F.lit("test-event").alias("name"),
-            F.array(pair("event.type", F.lit("test"))).alias("attributes"),
+            F.lit("cache-miss").alias("name"),
+            F.array(pair("cache.tier", F.lit("edge"))).alias("attributes"),
         )
         link = F.struct(
             F.expr(_LINKED_TRACE).alias("traceId"),
             F.expr(_LINKED_SPAN).alias("spanId"),
-            F.array(pair("link.type", F.lit("test"))).alias("attributes"),
+            F.array(pair("reason", F.lit("retry"))).alias("attributes"),
         )
         record = F.struct(
             F.expr(_TRACE).alias("traceId"),
@@ -263,11 +251,11 @@ def otlp_lines(events: DataFrame, signal: Signal) -> DataFrame:
             F.when(F.expr("event_id > 0 AND event_id % 4 = 0"), F.array(link)).alias("links"),
             F.struct(
                 F.expr("CASE WHEN event_type = 'error' THEN 2 ELSE 1 END").alias("code"),
-                F.expr("CASE WHEN event_type = 'error' THEN 'Test error' END").alias("message"),
+                F.expr("CASE WHEN event_type = 'error' THEN 'request failed' END").alias("message"),
             ).alias("status"),
         )
     scope = F.struct(F.lit("events").alias("name"), F.lit("1.0.0").alias("version"))
     scoped = F.struct(scope.alias("scope"), F.array(record).alias(names[2]))
     pairs = F.array(pair("service.name", F.expr(_SERVICE)), pair("deployment.environment", F.lit("test")))
     resource = F.struct(F.struct(pairs.alias("attributes")).alias("resource"), F.array(scoped).alias(names[1]))
-    return events.select(F.array(resource).alias(names[0]))
+    return events.select(*(keep or []), F.array(resource).alias(names[0]))

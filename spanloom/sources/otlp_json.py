@@ -2,18 +2,18 @@
 
 In OTLP/JSON ids are hex text, numbers may be text, and every value is wrapped: {"stringValue": "x"},
 {"arrayValue": {"values": [...]}} and so on.
+
+Nothing is lost unseen: a line that is no JSON object is kept in the column `malformed`, a record with a number or an id
+that cannot be read names these fields in its `problem`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.functions.json_text import plain_double_text
+from spanloom.functions.json_text import folded_text, nodes_text, plain_double_text
 from spanloom.schemas import LOGS, Signal
 
-# Lists and maps nested deeper than this keep their wrapped form.
-NESTING_UNWRAPPED = 6
-
 _ANY = "VARIANT"
 _PAIRS = f"ARRAY<STRUCT<key: STRING, value: {_ANY}>>"
 _RESOURCE = f"STRUCT<attributes: {_PAIRS}>"
@@ -51,35 +51,57 @@ SEVERITY_NAMES = {
 }
 
 
+# What came with a payload: the line itself if it cannot be read, and the file it is from.
+MALFORMED = "malformed"
+SOURCE_FILE = "source_file"
+
+
 def _enum(text: str, names: dict[str, int]) -> str:
     pairs = ", ".join(f"'{name}', {number}" for name, number in names.items())
     return f"coalesce(try_cast({text} AS INT), try_element_at(map({pairs}), {text}))"
 
 
-def unwrap(value: str, depth: int = NESTING_UNWRAPPED) -> str:
-    """SQL text that turns a wrapped value into a plain VARIANT; an empty wrapper becomes JSON null."""
-
-    def get(name: str, kind: str) -> str:
-        return f"try_variant_get({value}, '$.{name}', '{kind}')"
-
-    scalars = f"""CAST({get('stringValue', 'string')} AS VARIANT), CAST({get('intValue', 'bigint')} AS VARIANT),
-      {plain_double_text(get('doubleValue', 'double'))}, CAST({get('boolValue', 'boolean')} AS VARIANT),
-      CAST(try_to_binary({get('bytesValue', 'string')}, 'base64') AS VARIANT)"""
-    if depth == 0:
-        return f"coalesce({scalars}, {value})"
-    v, e, c = f"v{depth}", f"e{depth}", f"c{depth}"
-    # A list is treated as a map without keys, so that what is inside is unwrapped in one place.
-    pairs = f"""coalesce(
-      transform({get('arrayValue.values', 'array<variant>')},
-        {v} -> named_struct('key', CAST(NULL AS STRING), 'value', {v})),
-      {get('kvlistValue.values', 'array<struct<key:string,value:variant>>')},
-      filter(array(named_struct('key', CAST(NULL AS STRING), 'value', {value})), {v} -> false))"""
-    plain = f"transform({pairs}, {e} -> named_struct('key', coalesce({e}.key, ''), 'value', {unwrap(f'{e}.value', depth - 1)}))"
-    # transform(array(x), c -> ...) names x, so that it is not worked out once for lists and once for maps.
-    nested = f"""element_at(transform(array({plain}), {c} ->
-      CASE WHEN {get('arrayValue', 'variant')} IS NOT NULL THEN to_variant_object(transform({c}, {e} -> {e}.value))
-           WHEN {get('kvlistValue', 'variant')} IS NOT NULL THEN to_variant_object(map_from_entries({c})) END), 1)"""
-    return f"coalesce({scalars}, {nested}, parse_json('null'))"
+def _problem(checks: dict[str, str]) -> str:
+    """SQL text: the names of the fields that hold a text but could not be read, comma-joined; NULL if all could."""
+    named = ", ".join(f"CASE WHEN nullif({text}, '') IS NOT NULL AND {value} IS NULL THEN '{text.split('.')[-1]}' END" for text, value in checks.items())
+    return f"nullif(concat_ws(',', {named}), '')"
+
+
+def _id(text: str) -> str:
+    return f"try_to_binary({text}, 'hex')"
+
+
+_WRAPPED_CHILDREN = """coalesce(
+    transform(try_variant_get(nd.v, '$.arrayValue.values', 'array<variant>'), c -> named_struct('key', CAST(NULL AS STRING), 'v', c)),
+    transform(try_variant_get(nd.v, '$.kvlistValue.values', 'array<struct<key:string,value:variant>>'),
+      c -> named_struct('key', coalesce(c.key, ''), 'v', c.value)))"""
+
+
+def _held(value: str, name: str, kind: str) -> str:
+    return f"try_variant_get({value}, '$.{name}', '{kind}')"
+
+
+def _scalar(value: str) -> str:
+    return f"""coalesce(CAST({_held(value, 'stringValue', 'string')} AS VARIANT), CAST({_held(value, 'intValue', 'bigint')} AS VARIANT),
+      element_at(transform(array({_held(value, 'doubleValue', 'double')}), f -> {plain_double_text('f')}), 1),
+      CAST({_held(value, 'boolValue', 'boolean')} AS VARIANT),
+      CAST(try_to_binary({_held(value, 'bytesValue', 'string')}, 'base64') AS VARIANT))"""
+
+
+def unwrap(value: str) -> str:
+    """SQL text that turns a wrapped value of any depth into a plain VARIANT; an empty wrapper becomes JSON null."""
+
+    def nested(v: str) -> str:
+        return f"{_held(v, 'arrayValue', 'variant')} IS NOT NULL OR {_held(v, 'kvlistValue', 'variant')} IS NOT NULL"
+
+    # Each level has a "values" of its own.
+    levels = f"""2 + CAST((length(to_json({value})) - length(replace(to_json({value}), '"values"', ''))) div 8 AS INT)"""
+    answer = f"""CASE WHEN {_held('nd.v', 'arrayValue', 'variant')} IS NOT NULL THEN to_variant_object(transform(below, c -> c.r))
+      WHEN {_held('nd.v', 'kvlistValue', 'variant')} IS NOT NULL
+        THEN to_variant_object(map_from_entries(transform(below, c -> named_struct('key', c.key, 'value', c.r))))
+      ELSE coalesce({_scalar('nd.v')}, parse_json('null')) END"""
+    walked = folded_text(nodes_text(value, _WRAPPED_CHILDREN, levels), answer, "VARIANT")
+    return f"coalesce({_scalar(value)}, CASE WHEN {nested(value)} THEN {walked} END, parse_json('null'))"
 
 
 def _pairs(attributes: str) -> str:
@@ -96,62 +118,94 @@ def _struct(**fields: str) -> str:
 
 
 def _log_record(r: str) -> str:
+    read = {
+        f"{r}.timeUnixNano": _whole(f"{r}.timeUnixNano"),
+        f"{r}.observedTimeUnixNano": _whole(f"{r}.observedTimeUnixNano"),
+        f"{r}.severityNumber": _enum(f"{r}.severityNumber", SEVERITY_NAMES),
+        f"{r}.flags": _whole(f"{r}.flags"),
+        f"{r}.traceId": _id(f"{r}.traceId"),
+        f"{r}.spanId": _id(f"{r}.spanId"),
+    }
     return _struct(
-        time_unix_nano=_whole(f"{r}.timeUnixNano"),
-        observed_time_unix_nano=_whole(f"{r}.observedTimeUnixNano"),
-        severity_number=_enum(f"{r}.severityNumber", SEVERITY_NAMES),
+        time_unix_nano=read[f"{r}.timeUnixNano"],
+        observed_time_unix_nano=read[f"{r}.observedTimeUnixNano"],
+        severity_number=read[f"{r}.severityNumber"],
         severity_text=f"{r}.severityText",
         body=f"CASE WHEN {r}.body IS NOT NULL THEN {unwrap(f'{r}.body')} END",
         attributes=_pairs(f"{r}.attributes"),
-        flags=_whole(f"{r}.flags"),
-        trace_id=f"unhex({r}.traceId)",
-        span_id=f"unhex({r}.spanId)",
+        flags=read[f"{r}.flags"],
+        trace_id=read[f"{r}.traceId"],
+        span_id=read[f"{r}.spanId"],
+        problem=_problem(read),
     )
 
 
+def _event_fields(e: str) -> dict[str, str]:
+    return {f"{e}.{name}": _whole(f"{e}.{name}") for name in ("timeUnixNano", "droppedAttributesCount")}
+
+
 def _span_event(e: str) -> str:
+    read = _event_fields(e)
     return _struct(
-        time_unix_nano=_whole(f"{e}.timeUnixNano"),
+        time_unix_nano=read[f"{e}.timeUnixNano"],
         name=f"{e}.name",
         attributes=_pairs(f"{e}.attributes"),
-        dropped_attributes_count=_whole(f"{e}.droppedAttributesCount"),
+        dropped_attributes_count=read[f"{e}.droppedAttributesCount"],
     )
 
 
+def _link_fields(x: str) -> dict[str, str]:
+    ids = {f"{x}.{name}": _id(f"{x}.{name}") for name in ("traceId", "spanId")}
+    return ids | {f"{x}.{name}": _whole(f"{x}.{name}") for name in ("droppedAttributesCount", "flags")}
+
+
 def _span_link(x: str) -> str:
+    read = _link_fields(x)
     return _struct(
-        trace_id=f"unhex({x}.traceId)",
-        span_id=f"unhex({x}.spanId)",
+        trace_id=read[f"{x}.traceId"],
+        span_id=read[f"{x}.spanId"],
         trace_state=f"{x}.traceState",
         attributes=_pairs(f"{x}.attributes"),
-        dropped_attributes_count=_whole(f"{x}.droppedAttributesCount"),
-        flags=_whole(f"{x}.flags"),
+        dropped_attributes_count=read[f"{x}.droppedAttributesCount"],
+        flags=read[f"{x}.flags"],
     )
 
 
 def _span_record(s: str) -> str:
+    counts = ("flags", "startTimeUnixNano", "endTimeUnixNano", "droppedAttributesCount", "droppedEventsCount", "droppedLinksCount")
+    read = {f"{s}.{name}": _id(f"{s}.{name}") for name in ("traceId", "spanId", "parentSpanId")}
+    read |= {f"{s}.{name}": _whole(f"{s}.{name}") for name in counts}
+    read |= {f"{s}.kind": _enum(f"{s}.kind", SPAN_KINDS), f"{s}.status.code": _enum(f"{s}.status.code", STATUS_CODES)}
+
+    def inner(items: str, fields: str) -> str:
+        return f"concat_ws(',', array_compact(transform({s}.{items}, i -> {fields})))"
+
+    problems = [_problem(read), inner("events", _problem(_event_fields("i"))), inner("links", _problem(_link_fields("i")))]
     return _struct(
-        trace_id=f"unhex({s}.traceId)",
-        span_id=f"unhex({s}.spanId)",
-        parent_span_id=f"unhex({s}.parentSpanId)",
+        trace_id=read[f"{s}.traceId"],
+        span_id=read[f"{s}.spanId"],
+        parent_span_id=read[f"{s}.parentSpanId"],
         trace_state=f"{s}.traceState",
-        flags=_whole(f"{s}.flags"),
+        flags=read[f"{s}.flags"],
         name=f"{s}.name",
-        kind=_enum(f"{s}.kind", SPAN_KINDS),
-        start_time_unix_nano=_whole(f"{s}.startTimeUnixNano"),
-        end_time_unix_nano=_whole(f"{s}.endTimeUnixNano"),
+        kind=read[f"{s}.kind"],
+        start_time_unix_nano=read[f"{s}.startTimeUnixNano"],
+        end_time_unix_nano=read[f"{s}.endTimeUnixNano"],
         attributes=_pairs(f"{s}.attributes"),
-        dropped_attributes_count=_whole(f"{s}.droppedAttributesCount"),
+        dropped_attributes_count=read[f"{s}.droppedAttributesCount"],
         events=f"transform({s}.events, ev -> {_span_event('ev')})",
-        dropped_events_count=_whole(f"{s}.droppedEventsCount"),
+        dropped_events_count=read[f"{s}.droppedEventsCount"],
         links=f"transform({s}.links, li -> {_span_link('li')})",
-        dropped_links_count=_whole(f"{s}.droppedLinksCount"),
-        status=_struct(code=_enum(f"{s}.status.code", STATUS_CODES), message=f"{s}.status.message"),
+        dropped_links_count=read[f"{s}.droppedLinksCount"],
+        status=_struct(code=read[f"{s}.status.code"], message=f"{s}.status.message"),
+        problem=f"nullif(concat_ws(',', {', '.join(f'nullif({p}, {chr(39) * 2})' for p in problems)}), '')",
     )
 
 
 def from_otlp_json(lines: DataFrame, signal: Signal) -> DataFrame:
-    """Rows read with json_schema() to LOGS_PAYLOAD or TRACES_PAYLOAD rows. Map-only."""
+    """Text lines (value, source_file) to payload rows (LOGS_PAYLOAD or TRACES_PAYLOAD, each record with its `problem`),
+    with `malformed`, the line if it is no JSON object that fits the schema, and `source_file`. A malformed line gives no
+    records, not even those that could be read before the fault; blank lines are no lines. Map-only."""
     if signal is LOGS:
         names = ("resourceLogs", "scopeLogs", "logRecords")
         renamed = ("resource_logs", "scope_logs", "log_records")
@@ -165,20 +219,32 @@ def from_otlp_json(lines: DataFrame, signal: Signal) -> DataFrame:
         resource=_struct(attributes=_pairs("re.resource.attributes")),
         **{renamed[1]: f"transform(re.{names[1]}, sc -> {scope})"},
     )
-    return lines.selectExpr(f"transform({names[0]}, re -> {resource}) AS {renamed[0]}")
+    options = "map('columnNameOfCorruptRecord', '_corrupt')"
+    parsed = lines.where("trim(value) <> ''").selectExpr(
+        f"from_json(value, '{json_schema(signal)}, _corrupt STRING', {options}) AS line", SOURCE_FILE
+    )
+    return parsed.selectExpr(
+        f"CASE WHEN line._corrupt IS NULL THEN transform(line.{names[0]}, re -> {resource}) END AS {renamed[0]}",
+        f"line._corrupt AS {MALFORMED}",
+        SOURCE_FILE,
+    )
 
 
 def json_schema(signal: Signal) -> str:
     return LOGS_JSON if signal is LOGS else TRACES_JSON
 
 
+def _lines(read, folder: str) -> DataFrame:
+    return read.text(folder).selectExpr("value", f"_metadata.file_path AS {SOURCE_FILE}")
+
+
 def read_otlp_json(spark: SparkSession, folder: str, signal: Signal) -> DataFrame:
-    return from_otlp_json(spark.read.schema(json_schema(signal)).json(folder), signal)
+    return from_otlp_json(_lines(spark.read, folder), signal)
 
 
 def stream_otlp_json(spark: SparkSession, folder: str, signal: Signal, files_per_batch: int | None = None) -> DataFrame:
     """A landing folder as a stream."""
-    reader = spark.readStream.schema(json_schema(signal))
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return from_otlp_json(reader.json(folder), signal)
+    return from_otlp_json(_lines(reader, folder), signal)

@@ -21,20 +21,25 @@ def scan_glob(spark: SparkSession, folder: str, signal: Signal, table: str) -> D
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """(column_name, column_type, column_order, value_count): the schema, with the non-null values of each column."""
-    counts = df.agg(*[F.count(f.name).alias(f.name) for f in df.schema])
-    listed = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("column_type"),
-                F.lit(i).cast("bigint").alias("column_order"),
-                F.col(f.name).alias("value_count"),
-            )
-            for i, f in enumerate(df.schema, start=1)
-        ]
-    )
-    return counts.select(F.inline(listed))
+    """(column_name, column_type, column_order) of a table, from its schema alone."""
+    rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema, start=1)]
+    return df.sparkSession.createDataFrame(rows, "column_name string, column_type string, column_order bigint")
+
+
+def stored(spark: SparkSession, folder: str) -> DataFrame:
+    """All files below a folder with the columns that their footers name."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(folder)
+
+
+def rows_leaving_scan(df: DataFrame) -> tuple[int, int]:
+    """Run a filtered scan and tell how many rows its scans gave and how many were left: what the reader skipped by
+    statistics and bloom filters never leaves the scan. For filters that leave few rows, as those come to the driver."""
+    left = len(df.collect())
+    scanned = 0
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        scanned += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return scanned, left
 
 
 def compat_schema(signal: Signal) -> T.StructType:

@@ -1,52 +1,134 @@
 """Streams of payloads into the lake.
 
 Every micro-batch is one timer tick: it is flattened, written into a folder of its own, read back once for its
-statistics and committed. Both steps are keyed by the stream's name and the batch number, so a batch that Spark runs
-again after a failure replaces its files and is not committed twice.
+statistics and committed. A batch is known by its stream, the id of the checkpoint it runs under and its number, so a
+batch that Spark runs again after a failure replaces its files and is not committed twice.
+
+With every commit goes the list of the files its payloads came from. A stream that starts under another checkpoint leaves
+out what commits of the earlier one have taken in, however it is cut into batches now. Payloads of sources without files
+are taken in again by a new checkpoint: no row is lost, some may come twice.
+
+What cannot be stored is kept beside the tables, with the reason: see `read_rejects`.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanloom.operators.flatten import ENCODABLE, encodable_rows, flatten
+from spanloom.operators.flatten import ENCODABLE, POSITIONS, encodable_rows, flatten, rejected_rows
 from spanloom.operators.sink import batch_folder, write_rows
 from spanloom.options import LakeOptions
-from spanloom.plans.commit import commit_files, is_committed
+from spanloom.plans.commit import commit_files, committed_ids, is_committed
 from spanloom.plans.manifest import written_manifest
-from spanloom.schemas import Signal
-from spanloom.session import configure
+from spanloom.schemas import COMMIT_SCHEMA, Signal
+from spanloom.session import configure, matching_paths
+from spanloom.sources.otlp_json import MALFORMED, SOURCE_FILE
 
 log = logging.getLogger(__name__)
 
-def commit_name(stream: str, batch_id: int) -> str:
-    return f"{stream}-{batch_id:012d}"
+REJECTS = "reason STRING, source_file STRING, resource_pos INT, scope_pos INT, record_pos INT, line STRING"
+MALFORMED_LINE = "malformed line"
+
+
+def commit_name(stream: str, checkpoint_id: str, batch_id: int) -> str:
+    return f"{stream}-{checkpoint_id}-{batch_id:012d}"
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """What Spark calls a query that runs under a checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"][:8]
+
+
+def _inputs_dir(options: LakeOptions, stream: str) -> str:
+    return f"{options.catalog_dir}/inputs/stream={stream}"
+
+
+def _record_inputs(payloads: DataFrame, options: LakeOptions, stream: str, checkpoint: str, commit_id: str) -> None:
+    """Written before the commit, and of account only once the commit is finished."""
+    path = f"{_inputs_dir(options, stream)}/checkpoint={checkpoint}/commit_id={commit_id}"
+    payloads.select(SOURCE_FILE).distinct().write.mode("overwrite").parquet(path)
+
+
+def _without_known(payloads: DataFrame, options: LakeOptions, stream: str, checkpoint: str) -> DataFrame:
+    """Leave out payloads of files that commits of the stream's other checkpoints took in."""
+    spark = payloads.sparkSession
+    folders = matching_paths(spark, f"{_inputs_dir(options, stream)}/checkpoint=*")
+    others = [f for f in folders if not f.endswith(f"/checkpoint={checkpoint}")]
+    if not others:
+        return payloads
+    ids = [i for f in others for i in committed_ids(spark, options, f"{stream}-{f.split('/checkpoint=')[1]}-")]
+    done = spark.createDataFrame([(i,) for i in ids], "commit_id string")
+    known = spark.read.schema(f"{SOURCE_FILE} STRING, commit_id STRING").option("basePath", _inputs_dir(options, stream)).parquet(*others)
+    # The files of this batch alone are compared, so what is joined with the payloads is as small as the batch.
+    seen = payloads.select(SOURCE_FILE).distinct().join(known.join(done, "commit_id", "left_semi"), SOURCE_FILE, "left_semi")
+    return payloads.join(seen, SOURCE_FILE, "left_anti").select(*payloads.columns)
+
+
+def rejects_dir(options: LakeOptions, signal: Signal) -> str:
+    return f"{options.output_path.rstrip('/')}/_rejects/{options.table(signal.name)}"
+
+
+def rejects(payloads: DataFrame, rows: DataFrame) -> DataFrame:
+    """What of a batch cannot be stored: records by their position in their payload, and malformed lines as they are."""
+    source = F.col(SOURCE_FILE) if SOURCE_FILE in payloads.columns else F.lit(None).cast("string")
+    records = rejected_rows(rows).select("reason", source.alias(SOURCE_FILE), *POSITIONS, F.lit(None).cast("string").alias("line"))
+    if MALFORMED not in payloads.columns:
+        return records
+    nowhere = [F.lit(None).cast("int").alias(p) for p in POSITIONS]
+    lines = payloads.filter(F.col(MALFORMED).isNotNull()).select(
+        F.lit(MALFORMED_LINE).alias("reason"), source.alias(SOURCE_FILE), *nowhere, F.col(MALFORMED).alias("line")
+    )
+    return records.unionByName(lines)
+
+
+def read_rejects(spark: SparkSession, options: LakeOptions, signal: Signal) -> DataFrame:
+    """All rejects of a table's finished commits, with the commit each belongs to."""
+    folder = rejects_dir(options, signal)
+    written = matching_paths(spark, f"{folder}/batch=*")
+    done = [p for p in written if is_committed(spark, options, p.split("/batch=")[1])]
+    if not done:
+        return spark.createDataFrame([], f"{REJECTS}, batch STRING")
+    return spark.read.schema(f"{REJECTS}, batch STRING").option("basePath", folder).parquet(*done)
 
 
-def ingest_batch(payloads: DataFrame, batch_id: int, *, signal: Signal, options: LakeOptions, stream: str) -> None:
-    """One micro-batch. Records that cannot be encoded are counted, logged and left out."""
+def ingest_batch(
+    payloads: DataFrame, batch_id: int, *, signal: Signal, options: LakeOptions, stream: str, checkpoint: str
+) -> dict[str, int]:
+    """One micro-batch under a checkpoint's id: the numbers of rows, rejected records and malformed lines."""
     spark = configure(payloads.sparkSession)
-    commit_id = commit_name(stream, batch_id)
+    commit_id = commit_name(stream, checkpoint, batch_id)
     if is_committed(spark, options, commit_id):
-        return
+        return {}
+    from_files = SOURCE_FILE in payloads.columns
+    if from_files:
+        payloads = _without_known(payloads, options, stream, checkpoint)
     folder = batch_folder(options, signal, commit_id)
-    seen = Observation()
-    rows = flatten(payloads, signal).observe(
+    seen, lines = Observation(), Observation()
+    malformed = F.count_if(F.col(MALFORMED).isNotNull()) if MALFORMED in payloads.columns else F.count_if(F.lit(False))
+    observed = payloads.observe(lines, F.count(F.lit(1)).alias("payloads"), malformed.alias("malformed"))
+    carried = [SOURCE_FILE] if from_files else []
+    rows = flatten(observed, signal, carry=carried).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")
     )
-    write_rows(encodable_rows(rows), signal, options, folder)
-    counts = seen.get
-    if counts["rejected"]:
-        log.warning("%s: %d of %d records could not be encoded", commit_id, counts["rejected"], counts["rows"])
+    write_rows(encodable_rows(rows), signal, options, folder, batch_id)
+    counts = {**seen.get, **lines.get}
+    if counts["rejected"] or counts["malformed"]:
+        log.warning("%s: %d of %d records and %d of %d lines rejected", commit_id, counts["rejected"], counts["rows"], counts["malformed"], counts["payloads"])
+        lost = rejects(payloads, flatten(payloads, signal, carry=carried))
+        lost.write.mode("overwrite").parquet(f"{rejects_dir(options, signal)}/batch={commit_id}")
+    if from_files:
+        _record_inputs(payloads, options, stream, checkpoint, commit_id)
     if counts["rows"] > counts["rejected"]:
-        tick = F.lit(batch_id).cast("bigint")
-        commit_files(
-            written_manifest(spark, folder, signal, options.table(signal.name), tick), options, commit_id
-        )
+        manifest = written_manifest(spark, folder, signal, options.table(signal.name))
+    else:
+        manifest = spark.createDataFrame([], COMMIT_SCHEMA).select("table_name", "tick", "seq", "path", "record_count", "file_size_bytes", "commit_time", "column_stats", "typed_bounds")
+    commit_files(manifest, options, commit_id)
+    return counts
 
 
 def start_ingest(
@@ -63,7 +145,8 @@ def start_ingest(
     stream = stream or signal.name
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, signal=signal, options=options, stream=stream)
+        own = checkpoint_id(batch.sparkSession, checkpoint)
+        ingest_batch(batch, batch_id, signal=signal, options=options, stream=stream, checkpoint=own)
 
     writer = payloads.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName(stream)
     if drain:

@@ -1,8 +1,9 @@
 """Flattening, OTLP/JSON, file cuts, statistics, catalog and streams on small fixtures."""
 
+import hashlib
 import json
+import os
 import random
-import struct
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -18,10 +19,10 @@ from spanloom.operators.sink import write_batches
 from spanloom.operators.stats import file_stats
 from spanloom.options import LakeOptions, OptionsError
 from spanloom.plans import catalog, commit, manifest, queries
-from spanloom.schemas import LOGS, TRACES
+from spanloom.schemas import COLUMN_STATS, LOGS, TRACES, TYPED_BOUNDS
 from spanloom.session import new_scratch, shared_dir
 from spanloom.sources import otlp_json, tables
-from spanloom.sources.events import EVENTS_SCHEMA, log_rows
+from spanloom.sources.events import EVENTS_SCHEMA, log_rows, span_rows
 from spanloom.streaming import ingest
 
 BASE = 1_704_067_200_000_000_000
@@ -55,53 +56,55 @@ def pairs(d):
     return [{"key": k, "value": any_value(v)} for k, v in d.items()]
 
 
+def hex_id(kind, i, digits):
+    """Some id that is not all zero."""
+    return hashlib.md5(f"{kind}{i}".encode()).hexdigest()[:digits]
+
+
 def log_record(i):
-    """Four severities in turn; every fifth record has ids, all zero for 0."""
-    levels = [(9, "Info"), (13, "Warn"), (17, "Error"), (5, "Debug")]
-    number, text = levels[i % 4]
+    """A record of a shop: one in three is a complaint, those of gold customers are traced, even ones are marked."""
+    complaint = i % 3 == 2
     record = {
-        "timeUnixNano": str(BASE + i * 10**9),
-        "observedTimeUnixNano": str(BASE + i * 10**9),
-        "severityNumber": number,
-        "severityText": text,
-        "body": any_value(f"Test log message {i} with some content"),
-        "attributes": pairs({"log.id": f"log-{i}", "log.sequence": i, "test.flag": i % 2 == 0}),
+        "timeUnixNano": BASE + i * 250_000_000,
+        "observedTimeUnixNano": str(BASE + i * 250_000_000 + 40),
+        "severityNumber": "SEVERITY_NUMBER_ERROR" if complaint else 9,
+        "severityText": "Error" if complaint else "Info",
+        "body": any_value(f"parcel {i} was {'lost' if complaint else 'sent'}"),
+        "attributes": pairs({"parcel": i, "gold": i % 4 == 1, "grams": i * 0.5, "town": f"T{i % 6}"}),
     }
-    if i % 5 == 0:
-        record["traceId"] = bytes([i % 256, i >> 8, *[0] * 14]).hex()
-        record["spanId"] = bytes([i % 256, i >> 8, *[0] * 6]).hex()
-    if i % 10 == 0:
-        record["flags"] = 1
+    if i % 4 == 1:
+        record |= {"traceId": hex_id("trace", i, 32).upper(), "spanId": hex_id("span", i, 16)}
+    if i % 2 == 0:
+        record["flags"] = "1"
     return record
 
 
 def logs_payload(records, resource=None, scope=None):
-    resource = {"service.name": "test-service", "host.name": "test-host"} if resource is None else resource
+    resource = {"service.name": "parcels", "rack": 7} if resource is None else resource
     return {
         "resourceLogs": [
             {
                 "resource": {"attributes": pairs(resource)},
-                "scopeLogs": [{"scope": scope or {"name": "test-scope", "version": "1.0.0"}, "logRecords": records}],
+                "scopeLogs": [{"scope": scope or {"name": "desk", "version": "2"}, "logRecords": records}],
             }
         ]
     }
 
 
-def test_log_generator(spark, tmp_path):
-    folder = landing(tmp_path, "in", [[logs_payload([log_record(i) for i in range(100)])]])
+def test_log_records(spark, tmp_path):
+    folder = landing(tmp_path, "in", [[logs_payload([log_record(i) for i in range(60)])]])
     rows = flatten(otlp_json.read_otlp_json(spark, folder, LOGS), LOGS).orderBy("record_pos").collect()
-    assert len(rows) == 100
-    assert [r.record_pos for r in rows] == list(range(100))
-    assert rows[0].trace_id is None and rows[0].span_id is None
-    assert rows[5].trace_id == "05" + "00" * 15 and rows[5].span_id == "05" + "00" * 7
-    assert rows[1].trace_id is None
-    assert [r.severity_text for r in rows[:4]] == ["Info", "Warn", "Error", "Debug"]
-    assert rows[7].body == "Test log message 7 with some content"
-    assert rows[7].log_attributes == '{"log.id":"log-7","log.sequence":7,"test.flag":false}'
-    assert rows[7].resource_attributes == '{"host.name":"test-host","service.name":"test-service"}'
-    assert (rows[10].flags, rows[11].flags) == (1, 0)
-    assert (rows[3].scope_name, rows[3].scope_version) == ("test-scope", "1.0.0")
-    assert rows[99].timestamp - rows[0].timestamp == timedelta(seconds=99)
+    assert [r.record_pos for r in rows] == list(range(60))
+    for i, r in enumerate(rows):
+        traced = i % 4 == 1
+        assert (r.trace_id, r.span_id) == ((hex_id("trace", i, 32), hex_id("span", i, 16)) if traced else (None, None))
+        assert (r.severity_number, r.severity_text) == ((17, "Error") if i % 3 == 2 else (9, "Info"))
+        assert r.body == f"parcel {i} was {'lost' if i % 3 == 2 else 'sent'}"
+        grams = str(i // 2) if i % 2 == 0 else f"{i // 2}.5"
+        assert r.log_attributes == f'{{"gold":{str(traced).lower()},"grams":{grams},"parcel":{i},"town":"T{i % 6}"}}'
+        assert r.flags == (i % 2 == 0) and r.encodable and r.reason is None
+        assert r.timestamp == r.observed_timestamp == datetime(2024, 1, 1) + timedelta(microseconds=250_000 * i)
+    assert {(r.resource_attributes, r.scope_name, r.scope_version) for r in rows} == {('{"rack":7,"service.name":"parcels"}', "desk", "2")}
 
 
 def test_empty_levels_and_positions(spark, tmp_path):
@@ -144,42 +147,93 @@ def test_nested_values_and_rejects(spark, tmp_path):
     assert kept[2].log_attributes == '{"x":"AP8="}' and kept[2].body == text
 
 
-def test_span_generator(spark, tmp_path):
+def test_span_records(spark, tmp_path):
+    kinds = [("SPAN_KIND_CONSUMER", 5), (4, 4), ("SPAN_KIND_CLIENT", 3), ("2", 2), (None, 0)]
+
     def span(i):
-        start = BASE + i * 10**9
-        sid = struct.pack("<q", i)[:7].hex() + f"{i % 256:02x}"
+        start = BASE + i * 3_000_000_000
         s = {
-            "traceId": struct.pack("<q", i).hex() + "00" * 7 + f"{i % 256:02x}",
-            "spanId": sid,
-            "name": f"test-span-{i}",
-            "kind": ["SPAN_KIND_SERVER", 3, 1, 4, 5][i % 5],
-            "startTimeUnixNano": str(start),
-            "endTimeUnixNano": str(start + (100 + i) * 10**6),
-            "status": {"code": 2, "message": "Test error"} if i % 7 == 0 else {"code": "STATUS_CODE_OK"},
-            "attributes": pairs({"span.id": f"span-{i}", "span.sequence": i}),
+            "traceId": "0" * 32 if i == 0 else hex_id("trace", i // 10, 32),
+            "spanId": hex_id("span", i, 16),
+            "parentSpanId": hex_id("span", i - 1, 16) if i % 10 else "",
+            "name": f"stop {i}",
+            "startTimeUnixNano": start,
+            "endTimeUnixNano": str(start + 7 * i),
+            "status": [{}, {"code": "STATUS_CODE_OK"}, {"code": 2, "message": "late"}][i % 3],
+            "attributes": pairs({"km": [i, i + 0.25]}),
+            "traceState": "a=b" if i % 2 else "",
         }
-        if i % 5 == 0:
-            s["events"] = [
-                {"timeUnixNano": str(start + 50 * 10**6), "name": "test-event", "attributes": pairs({"event.type": "t"})}
-            ]
-        if i and i % 4 == 0:
-            s["links"] = [{"traceId": "ab" * 16, "spanId": "cd" * 8, "attributes": pairs({"link.type": "l"})}]
+        if kinds[i % 5][0] is not None:
+            s["kind"] = kinds[i % 5][0]
+        if i % 6 == 1:
+            s["events"] = [{"timeUnixNano": start + 1999, "name": "stuck", "attributes": pairs({"min": i})}, {"name": ""}]
+        if i % 6 == 2:
+            s["links"] = [{"traceId": "ab" * 16, "spanId": "cd" * 8, "flags": 2, "attributes": pairs({"why": "turn"})}]
         return s
 
-    payload = {"resourceSpans": [{"resource": {}, "scopeSpans": [{"spans": [span(i) for i in range(100)]}]}]}
+    payload = {"resourceSpans": [{"resource": {}, "scopeSpans": [{"spans": [span(i) for i in range(40)]}]}]}
     folder = landing(tmp_path, "in", [[payload]])
     rows = encodable_rows(flatten(otlp_json.read_otlp_json(spark, folder, TRACES), TRACES)).orderBy("record_pos").collect()
-    assert len(rows) == 100
-    assert rows[0].trace_id is None and rows[1].trace_id == "01" + "00" * 14 + "01"
-    assert [r.kind for r in rows[:5]] == [2, 3, 1, 4, 5]
-    assert rows[8].duration_ns == 108 * 10**6
-    assert (rows[7].status_code, rows[7].status_message) == (2, "Test error")
-    assert (rows[8].status_code, rows[8].status_message) == (1, None)
-    assert rows[5].events == (
-        '[{"timestamp":"2024-01-01 00:00:05.050000+00","name":"test-event","attributes":{"event.type":"t"}}]'
-    )
-    assert rows[8].links == '[{"trace_id":"' + "ab" * 16 + '","span_id":"' + "cd" * 8 + '","attributes":{"link.type":"l"}}]'
-    assert rows[1].events == "[]" and rows[1].links == "[]"
+    assert len(rows) == 40 and rows[0].trace_id is None
+    for i, r in enumerate(rows):
+        assert i == 0 or r.trace_id == hex_id("trace", i // 10, 32)
+        assert r.parent_span_id == (hex_id("span", i - 1, 16) if i % 10 else None)
+        assert (r.kind, r.duration_ns, r.name) == (kinds[i % 5][1], 7 * i, f"stop {i}")
+        assert (r.status_code, r.status_message) == [(0, None), (1, None), (2, "late")][i % 3]
+        assert r.span_attributes == f'{{"km":[{i},{i}.25]}}' and r.trace_state == ("a=b" if i % 2 else None)
+        at = (datetime(2024, 1, 1) + timedelta(seconds=3 * i)).strftime("%Y-%m-%d %H:%M:%S.000001+00")
+        stuck = f'[{{"timestamp":"{at}","name":"stuck","attributes":{{"min":{i}}}}},{{"timestamp":"1970-01-01 00:00:00.000000+00","name":""}}]'
+        assert r.events == (stuck if i % 6 == 1 else "[]")
+        link = '[{"trace_id":"' + "ab" * 16 + '","span_id":"' + "cd" * 8 + '","attributes":{"why":"turn"},"flags":2}]'
+        assert r.links == (link if i % 6 == 2 else "[]")
+
+
+def test_rejects_name_what_is_wrong(spark, tmp_path):
+    """Broken lines and records with numbers or ids that cannot be read are told apart; the rest is stored."""
+    records = [
+        log_record(0) | {"flags": "abc"},
+        log_record(1),
+        log_record(1) | {"traceId": "xyz", "timeUnixNano": "soon"},
+        log_record(2) | {"attributes": [{"key": "x", "value": {"arrayValue": {"values": [{"doubleValue": "NaN"}]}}}]},
+        log_record(3) | {"severityNumber": "LOUD"},
+        log_record(4) | {"flags": None, "spanId": ""},
+    ]
+    options = LakeOptions(output_path=str(tmp_path / "lake"))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    good = json.dumps(logs_payload(records))
+    broken = [good[: len(good) // 2], "[1, 2]", "no JSON", '{"resourceLogs": 5}']
+    (folder / "p.json").write_text("\n".join([good, *broken, "", "  ", "{}"]) + "\n")
+    run_stream(spark, str(folder), options, new_scratch(spark, "progress"))
+    assert {r.body for r in commit.read_table(spark, options, LOGS).collect()} == {"parcel 1 was sent", "parcel 4 was sent"}
+    found = ingest.read_rejects(spark, options, LOGS).collect()
+    assert sorted((r.record_pos, r.reason) for r in found if r.line is None) == [
+        (0, "unreadable flags"), (2, "unreadable timeUnixNano,traceId"), (3, "no JSON for NaN or infinity"), (4, "unreadable severityNumber"),
+    ]
+    assert sorted(r.line for r in found if r.line is not None) == sorted(broken)
+    assert {r.source_file.endswith("/p.json") for r in found} == {True}
+    spans = [{"name": "a", "events": [{"timeUnixNano": "never"}]}, {"name": "b", "links": [{"spanId": "q"}], "status": {"code": "X"}}, {"name": "c"}]
+    rows = flatten(otlp_json.read_otlp_json(spark, landing(tmp_path, "spans", [[{"resourceSpans": [{"scopeSpans": [{"spans": spans}]}]}]]), TRACES), TRACES)
+    assert {r.name: r.reason for r in rows.collect()} == {"a": "unreadable timeUnixNano", "b": "unreadable code,spanId", "c": None}
+
+
+@pytest.mark.parametrize("depth", [7, 12, 40])
+def test_deep_values_from_lines(spark, tmp_path, depth):
+    def nested(leaf):
+        for i in range(depth):
+            leaf = {"k": leaf, "z": [i]} if i % 2 else [leaf, i]
+        return leaf
+
+    records = [{"body": any_value(nested("leaf")), "attributes": pairs({"a": nested(1e-7), "b": nested(True)})},
+               {"attributes": pairs({"a": nested("LEAF")})}]
+    folder = landing(tmp_path, "in", [[logs_payload(records)]])
+    text = (tmp_path / "in" / "p0.json").read_text().replace('{"stringValue": "LEAF"}', '{"doubleValue": "NaN"}')
+    (tmp_path / "in" / "p0.json").write_text(text)
+    good, bad = flatten(otlp_json.read_otlp_json(spark, folder, LOGS), LOGS).orderBy("record_pos").collect()
+    printed = {leaf: json.dumps(nested(leaf), separators=(",", ":")) for leaf in ("leaf", "TINY", True)}
+    assert good.body == printed["leaf"] and good.encodable
+    assert good.log_attributes == '{"a":' + printed["TINY"].replace('"TINY"', "1e-7") + ',"b":' + printed[True] + "}"
+    assert not bad.encodable and bad.reason == "no JSON for NaN or infinity"
 
 
 def test_running_totals_brute_force(spark):
@@ -231,7 +285,7 @@ def test_hot_tick_is_written_as_full_files(spark, tmp_path):
         start_micros=BASE // 1000,
     )
     folder = write_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
-    files = manifest.written_manifest(spark, folder, LOGS, "otel_logs", F.col("tick")).collect()
+    files = manifest.written_manifest(spark, folder, LOGS, "otel_logs").collect()
     per_tick = defaultdict(list)
     for f in files:
         per_tick[f.tick].append(f.record_count)
@@ -382,7 +436,7 @@ def test_stream_commits_restarts_and_replays(spark, tmp_path):
     assert commit.read_table(spark, options, TRACES).count() == 1
     n = commits.count()
     assert sorted(r.snapshot_id for r in commits.collect()) == list(range(1, n + 1))
-    files = catalog.data_files(commits)
+    files = catalog.data_files(commits, options)
     mappings = {(r.table_id, r.mapping_id) for r in files.collect()}
     assert mappings == {(1, 1), (2, 2)}
     assert catalog.columns(commits, options).agg(F.max("column_id")).first()[0] == 33
@@ -391,19 +445,90 @@ def test_stream_commits_restarts_and_replays(spark, tmp_path):
     assert commit.read_table(spark, options, LOGS, snapshot_id=1).count() == first.record_count
 
 
-def test_numbering_is_the_same_for_few_and_many_files(spark, monkeypatch):
+@pytest.mark.parametrize("seq_block", [1, 64, 60_000_000])
+def test_numbering_brute_force(spark, seq_block):
     rng = random.Random(3)
     rows = [(rng.choice(["otel_logs", "otel_traces"]), t, s, f"p{t}-{s}", rng.randint(1, 9))
-            for t in rng.sample(range(20_000), 40) for s in range(rng.choice([1, 2, 300]))]
+            for t in [-1, *rng.sample(range(20_000), 40)] for s in range(rng.choice([1, 2, 300]))]
     files = spark.createDataFrame(rows, "table_name string, tick long, seq long, path string, record_count long")
-    files = files.withColumn("commit_time", F.timestamp_seconds(F.col("tick")))
     options, state = LakeOptions(output_path="/x"), catalog.CatalogState({"otel_logs": 5}, {"otel_logs": 50})
-    few = catalog.number_commits(files, options, state)
-    monkeypatch.setattr(catalog, "FEW_FILES", 10)
-    many = catalog.number_commits(files, options, state, seq_block=64)
-    assert few.columns == many.columns
-    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
-    assert sorted(r.snapshot_id for r in many.collect()) == list(range(6, 6 + len(rows)))
+    got = {r.path: r for r in catalog.number_commits(files, options, state, seq_block).collect()}
+    n, order, records = 5, {"otel_logs": 5, "otel_traces": 0}, {"otel_logs": 50, "otel_traces": 0}
+    for table, _, _, path, count in sorted(rows, key=lambda r: (r[1], r[2], r[0], r[3])):
+        n, records[table] = n + 1, records[table] + count
+        r = got[path]
+        assert (r.snapshot_id, r.data_file_id, r.file_order, r.next_row_id) == (n, n - 1, order[table], records[table])
+        assert r.schema_version == (1 if not order["otel_traces"] and table == "otel_logs" else 2)
+        order[table] += 1
+    plan = catalog.number_commits(files, options, state, seq_block)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("record_count" not in line for line in plan.splitlines() if "Window [" in line and ", [], [" in line)
+
+
+def test_log_of_commits_is_folded(spark, tmp_path, monkeypatch):
+    """Readers name a bounded number of paths; a fold that breaks off, or is found by another process, changes nothing."""
+    monkeypatch.setattr(commit, "FOLD_EVERY", 3)
+    options = LakeOptions(output_path=str(tmp_path / "lake"))
+    for i in range(8):
+        files = [("otel_logs", i, i, f"{tmp_path}/lake/main/otel_logs/batch=b{i}/tick={i}/f", 10, 1, datetime(2024, 1, 1), [], [], [])]
+        manifest_rows = spark.createDataFrame(files, manifest_schema())
+        for _ in range(2):
+            commit.commit_files(manifest_rows, options, f"b{i}")
+        if i == 4:
+            (tmp_path / "lake/_catalog/folds/fold=00000002").mkdir()  # broken off: no _SUCCESS
+            (tmp_path / "lake/_catalog/folds/fold=00000002/part-x.parquet").write_text("half")
+        if i == 6:
+            commit._STATES.clear()
+    got = commit.read_commits(spark, options)
+    assert sorted((r.commit_id, r.snapshot_id, r.next_row_id) for r in got.collect()) == [(f"b{i}", i + 1, 10 * i + 10) for i in range(8)]
+    segment = commit._segment(spark, options)
+    assert segment == 2 and len(commit._finished(spark, options, segment)) <= 3
+    assert commit.is_committed(spark, options, "b0") and not commit.is_committed(spark, options, "b9")
+
+
+def manifest_schema():
+    return "table_name string, tick long, seq long, path string, record_count long, file_size_bytes long, commit_time timestamp, " + (
+        f"column_stats {COLUMN_STATS}, typed_bounds {TYPED_BOUNDS}, services array<string>")
+
+
+def test_new_checkpoint_takes_in_new_files_only(spark, tmp_path):
+    """Lost progress, other groups of files, a file more, a commit without its progress: every row once."""
+    options = LakeOptions(output_path=str(tmp_path / "lake"))
+    folder = landing(tmp_path, "in", [[logs_payload([log_record(10 * k + i) for i in range(10)])] for k in range(4)])
+
+    def run(progress, files):
+        payloads = otlp_json.stream_otlp_json(spark, folder, LOGS, files_per_batch=files)
+        ingest.start_ingest(payloads, LOGS, options, checkpoint=progress, drain=True).awaitTermination()
+        return sorted(r.body for r in commit.read_table(spark, options, LOGS).collect())
+
+    want = sorted(f"parcel {i} was {'lost' if i % 3 == 2 else 'sent'}" for i in range(40))
+    assert run(new_scratch(spark, "progress"), 1) == want
+    assert run(new_scratch(spark, "progress"), 3) == want
+    (tmp_path / "in" / "late.json").write_text(json.dumps(logs_payload([log_record(i) for i in range(40, 45)])) + "\n")
+    want = sorted(want + [f"parcel {i} was {'lost' if i % 3 == 2 else 'sent'}" for i in range(40, 45)])
+    progress = new_scratch(spark, "progress")
+    assert run(progress, 2) == want
+    assert run(progress, 2) == want
+    assert run(new_scratch(spark, "progress"), 5) == want
+
+
+def test_paths_for_readers(spark, tmp_path):
+    """A lake that is read under another path than it is written: the catalog names the readers' paths, and leads there."""
+    (tmp_path / "seen").symlink_to(tmp_path / "lake")
+    options = LakeOptions(output_path=str(tmp_path / "lake"), data_path=str(tmp_path / "seen"), batch_size=10)
+    batches = assign_file_batches(
+        log_rows(events_at(spark, range(50))), time="timestamp", arrival="arrival", batch_size=10, timeout_seconds=20, start_micros=BASE // 1000
+    )
+    commit.store_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
+    commits = commit.read_commits(spark, options)
+    paths = [r.path for r in commits.collect()]
+    assert len(paths) == 5 and all(p.startswith(f"{tmp_path}/seen/main/otel_logs/batch=c1/tick=") and os.path.exists(p) for p in paths)
+    absolute = catalog.absolute_paths(commits, options, commit.started_at(spark, options))
+    assert sorted(r.path for r in absolute.collect()) == sorted(paths)
+    sizes = {r.path: r.file_size_bytes for r in commits.collect()}
+    assert sizes == {p: os.path.getsize(p) for p in paths}
+    assert commit.read_table(spark, options, LOGS).count() == 50
+    started = commit.open_catalog(spark, options).collect()
+    assert commit.open_catalog(spark, options, spark.sql("SELECT timestamp'2020-01-01' AS started")).collect() == started
 
 
 def test_two_streams_share_a_catalog(spark, tmp_path):
@@ -428,21 +553,52 @@ def test_two_streams_share_a_catalog(spark, tmp_path):
         assert [c.file_order for c in own] == [0, 1, 2] and [c.next_row_id for c in own] == [1, 2, 3]
 
 
-def test_scan_files_by_join(spark, tmp_path):
-    """Beyond the bound on named files the scan filters the folder by a join, with the same result."""
-    options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=10)
-    batches = assign_file_batches(
-        log_rows(events_at(spark, range(100))), time="timestamp", arrival="arrival", batch_size=10, timeout_seconds=60,
-        start_micros=BASE // 1000,
-    )
-    folder = write_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
-    files = manifest.written_manifest(spark, folder, LOGS, "otel_logs", F.col("tick"))
-    some = files.filter("tick = 0")
-    named = manifest.scan_files(spark, some, LOGS, folder)
-    joined = manifest.scan_files(spark, some, LOGS, folder, max_named=2)
-    assert named.count() == 60
-    assert named.exceptAll(joined).count() == 0 and joined.exceptAll(named).count() == 0
-    assert manifest.scan_files(spark, files.filter("tick = 99"), LOGS, folder).count() == 0
+@pytest.mark.parametrize("broadcast_bytes", [0, 256 << 20])
+def test_scan_prunes_folders(spark, tmp_path, monkeypatch, broadcast_bytes):
+    """The manifest prunes the scan's folders, whether or not it may be broadcast; files of one name stay apart."""
+    monkeypatch.setattr(manifest, "BROADCAST_BYTES", broadcast_bytes)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if not broadcast_bytes else "10m")
+    try:
+        options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=10)
+        batches = assign_file_batches(
+            log_rows(events_at(spark, range(400))), time="timestamp", arrival="arrival", batch_size=10, timeout_seconds=20,
+            start_micros=BASE // 1000,
+        )
+        commit.store_batches(batches, LOGS, options, commit_id="c1", arrival="arrival")
+        files = commit.table_files(spark, options, LOGS)
+        some = files.filter(manifest.may_hold("timestamp", BASE // 1000 + 45_000_000, BASE // 1000 + 55_000_000))
+        rows = manifest.scan_files(spark, some, LOGS, options.data_dir("logs"))
+        got = rows.collect()
+        assert sorted(r.timestamp for r in got) == [datetime(2024, 1, 1) + timedelta(seconds=s) for s in range(40, 60)]
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruning" in plan
+        counted = manifest.scan_files(spark, some, LOGS, options.data_dir("logs"), keep=["file_order"]).groupBy("file_order").count().collect()
+        assert sorted((r.file_order, r["count"]) for r in counted) == [(4, 10), (5, 10)]
+        assert manifest.scan_files(spark, files.filter("tick = 99"), LOGS, options.data_dir("logs")).count() == 0
+        assert manifest.scan_files(spark, files, LOGS, str(tmp_path / "none")).count() == 0
+        assert manifest.scan_files(spark, files, LOGS, str(tmp_path / "none"), keep=["file_order"]).columns == [*LOGS.column_names, "file_order"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lake_queries_read_the_files_that_matter(spark, tmp_path):
+    options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=20)
+    events = events_at(spark, range(600)).withColumns({"event_type": F.expr("CASE WHEN event_id % 2 = 0 THEN 'error' ELSE 'view' END"),
+                                                      "value": F.expr("CAST((event_id * 7919) % 1000 + 10 AS DOUBLE)"), "user_id": F.col("event_id").cast("bigint") * F.lit(0) + F.expr("event_id div 100")})
+    for signal, rows in ((LOGS, log_rows(events)), (TRACES, span_rows(events))):
+        batches = assign_file_batches(rows, time=signal.time_column, arrival="arrival", batch_size=20, timeout_seconds=60, start_micros=BASE // 1000)
+        commit.store_batches(batches, signal, options, commit_id=f"{signal.name}-1", arrival="arrival")
+    logs, spans = (commit.read_table(spark, options, s) for s in (LOGS, TRACES))
+    for limit in (5, 100):
+        assert queries.lake_recent_error_logs(spark, options, "90 SECONDS", limit).collect() == queries.recent_error_logs(logs, "90 SECONDS", limit).collect()
+        for lookback in ("90 SECONDS", "1 DAY"):
+            assert queries.lake_slow_spans(spark, options, lookback, limit).collect() == queries.slow_spans(spans, lookback, limit).collect()
+    assert queries.lake_spans_by_service(spark, options, "svc-3").collect() == queries.spans_by_service(spans, "svc-3").collect()
+    files = commit.table_files(spark, options, TRACES)
+    assert files.filter(manifest.may_hold_service("svc-3")).count() == 5 and files.filter(manifest.may_hold_service("none")).count() == 0
+    kept = files.filter(manifest.may_be_among_largest(files, "duration_ns", 3, F.lit(True)))
+    assert 3 <= kept.count() < files.count()
+    assert queries.lake_recent_error_logs(spark, options, "1 HOUR", as_of=F.current_timestamp()).count() == 0
 
 
 def test_batch_ingest_through_the_catalog(spark, tmp_path):
@@ -469,17 +625,15 @@ def test_batch_ingest_through_the_catalog(spark, tmp_path):
     assert recent.count() == 5
     kept = commits.filter(manifest.may_hold("timestamp", BASE // 1000 + 95 * 10**6))
     assert kept.count() == 1
-    assert manifest.scan_files(spark, kept, LOGS, options.table_dir("logs")).count() == 10
+    assert manifest.scan_files(spark, kept, LOGS, options.data_dir("logs")).count() == 10
 
 
 def test_scratch_needs_a_shared_folder(spark):
     assert shared_dir(spark)
 
 
-def test_file_batches_brute_force(spark, monkeypatch):
-    """Gaps in arrival numbers, a tick with most rows, many blocks; with and without the broadcast table of cuts."""
-    from spanloom.operators import batching
-
+def test_file_batches_brute_force(spark):
+    """Gaps in arrival numbers, a tick with most rows, many blocks."""
     rng = random.Random(11)
     arrivals = sorted(rng.sample(range(200_000), 5_000))
     rows = [(a, datetime(2024, 1, 1) + timedelta(seconds=(0 if i % 3 else i // 100))) for i, a in enumerate(arrivals)]
@@ -490,15 +644,11 @@ def test_file_batches_brute_force(spark, monkeypatch):
             tick = (ts - datetime(2024, 1, 1)).seconds // 10
             want[a] = (tick, seen[tick] // batch_size)
             seen[tick] += 1
-        for small, few in ((batching.SMALL_INPUT, 0), (0, batching.FEW_BLOCKS), (0, 3)):
-            monkeypatch.setattr(batching, "SMALL_INPUT", small)
-            monkeypatch.setattr(batching, "FEW_BLOCKS", few)
-            got = assign_file_batches(
-                df, time="ts", arrival="arrival", batch_size=batch_size, timeout_seconds=10, start_micros=BASE // 1000
-            )
-            assert got.columns == ["arrival", "ts", "tick", "seq"]
-            assert {r.arrival: (r.tick, r.seq) for r in got.collect()} == want
-        monkeypatch.undo()
+        got = assign_file_batches(
+            df, time="ts", arrival="arrival", batch_size=batch_size, timeout_seconds=10, start_micros=BASE // 1000
+        )
+        assert got.columns == ["arrival", "ts", "tick", "seq"]
+        assert {r.arrival: (r.tick, r.seq) for r in got.collect()} == want
 
 
 def test_numbers_written_as_text(spark, tmp_path):

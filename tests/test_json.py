@@ -128,3 +128,45 @@ def test_scalars(spark):
     assert one(spark, "'/in/main/t/f'", move) == "/out/main/t/f"
     assert one(spark, "'/inside/f'", move) == "/inside/f"
     assert one(spark, "'/x/in/f'", move) == "/x/in/f"
+
+
+def nest(depth, leaf, kind="mixed"):
+    for i in range(depth):
+        leaf = {"k": leaf} if kind == "map" or kind == "mixed" and i % 2 else [leaf]
+    return leaf
+
+
+@pytest.mark.parametrize("depth", [1, 7, 12, 40])
+def test_nested_values_of_any_depth(spark, depth):
+    def variant(value, leaf):
+        for i in range(depth):
+            value = f"to_variant_object({'map' if i % 2 else 'array'}({chr(39) + 'k' + chr(39) + ', ' if i % 2 else ''}{value}))"
+        return value.replace("LEAF", leaf)
+
+    text = json.dumps(nest(depth, "LEAF"), separators=(",", ":"))
+    for leaf, printed in [("2.0D", "2"), ("1e-7D", "1e-7"), ("1.5e21D", "1.5e+21"), ("-0.0D", "-0"), ("'<'", '"\\u003c"')]:
+        value = variant("CAST(LEAF AS VARIANT)", leaf)
+        want = text.replace('"LEAF"', printed)
+        assert one(spark, attrs(k=value), attributes_json) == '{"k":' + want + "}"
+        assert one(spark, value, body_text) == want
+        assert one(spark, attrs(k=value), attributes_encodable) is True
+    for leaf in ("double('NaN')", "double('Infinity')"):
+        value = variant("CAST(LEAF AS VARIANT)", leaf)
+        assert one(spark, attrs(a="1", k=value), attributes_encodable) is False
+        assert one(spark, value, body_text) == ""
+
+
+@pytest.mark.parametrize(
+    "value, text",
+    [
+        ("1e-7D", "1e-7"), ("-1.25e-10D", "-1.25e-10"), ("1e21D", "1e+21"), ("1.7976931348623157e308D", "1.7976931348623157e+308"),
+        ("9.99e20D", "999000000000000000000"), ("-0.0D", "-0"), ("0.000001D", "0.000001"),
+        ("to_variant_object(array(1e21D, 1.0D, 0.5D))", "[1e+21,1,0.5]"),
+        ("to_variant_object(array(CAST(1 AS VARIANT), CAST('b\"<' AS VARIANT), CAST(2.5D AS VARIANT), parse_json('null'), parse_json('{}'), parse_json('[]')))",
+         '[1,"b\\"\\u003c",2.5,null,{},[]]'),
+        ("to_variant_object(map('é', 1D, 'z', 2D, 'A', 3D))", '{"A":3,"z":2,"é":1}'),
+    ],
+)
+def test_double_forms(spark, value, text):
+    assert one(spark, attrs(k=value), attributes_json) == '{"k":' + text + "}"
+    assert one(spark, f"CAST({value} AS VARIANT)", body_text) == text
