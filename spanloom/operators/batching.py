@@ -63,12 +63,16 @@ def assign_file_batches(
     `arrival` is a unique, non-negative integer that grows with arrival, `time` the arrival time. The cuts, a row for
     some 4096 rows at least, are joined with the rows; Spark broadcasts them where they are small enough for that.
     """
+    return cut_into_files(df, tick_of(time, start_micros, timeout_seconds), arrival, batch_size)
+
+
+def cut_into_files(df: DataFrame, tick: str, arrival: str, batch_size: int) -> DataFrame:
+    """Add `tick`, given as SQL text that is never NULL, and `seq`, the file's number inside the tick."""
     block = max(SMALLEST_BLOCK, FILES_PER_BLOCK * batch_size)
-    tick = f"{tick_of(time, start_micros, timeout_seconds)} AS tick"
     number = f"coalesce(CAST({arrival} AS BIGINT), -1L)"
-    arrivals = df.selectExpr(tick, f"{number} AS arrival", f"{number} div {block} AS block")
+    arrivals = df.selectExpr(f"{tick} AS tick", f"{number} AS arrival", f"{number} div {block} AS block")
     cuts = file_cuts(arrivals, batch_size, block).withColumnRenamed("block", "_block")
-    found = df.selectExpr("*", tick, f"{number} div {block} AS _block").join(cuts, ["tick", "_block"])
+    found = df.selectExpr("*", f"{tick} AS tick", f"{number} div {block} AS _block").join(cuts, ["tick", "_block"])
     return found.selectExpr(
         *df.columns, "tick", f"earlier + size(filter(starts, s -> s <= {number})) - 1 AS seq"
     )

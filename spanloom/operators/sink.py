@@ -66,9 +66,3 @@ def write_batches(
     )
     configured_writer(rows, options, options.table(signal.name), written_at).partitionBy("tick").parquet(folder)
     return folder
-
-
-def write_rows(rows: DataFrame, signal: Signal, options: LakeOptions, folder: str, tick: int) -> None:
-    """Write the rows of one tick below tick=<n>/ of a batch's folder, in evenly sized tasks of Spark's choice."""
-    shaped = rows.select(*signal.column_names).hint("rebalance")
-    configured_writer(shaped, options, options.table(signal.name)).parquet(f"{folder}/tick={tick}")

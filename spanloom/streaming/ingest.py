@@ -1,7 +1,8 @@
 """Streams of payloads into the lake.
 
-Every micro-batch is one timer tick: it is flattened, written into a folder of its own, read back once for its
-statistics and committed. A batch is known by its stream, the id of the checkpoint it runs under and its number, so a
+Every micro-batch is one timer tick: its rows are numbered as they come, cut into files of batch_size rows, of which the
+last takes what remains at the tick, written into a folder of their own, read back once for their statistics and
+committed. So streamed files obey the same rule as those of a batch load. A batch is known by its stream, the id of the checkpoint it runs under and its number, so a
 batch that Spark runs again after a failure replaces its files and is not committed twice.
 
 With every commit goes the list of the files its payloads came from. A stream that starts under another checkpoint leaves
@@ -16,15 +17,17 @@ from __future__ import annotations
 import json
 import logging
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from spanloom.operators.batching import cut_into_files
 from spanloom.operators.flatten import ENCODABLE, POSITIONS, encodable_rows, flatten, rejected_rows
-from spanloom.operators.sink import batch_folder, write_rows
+from spanloom.operators.sink import batch_folder, write_batches
 from spanloom.options import LakeOptions
 from spanloom.plans.commit import commit_files, committed_ids, is_committed
-from spanloom.plans.manifest import written_manifest
+from spanloom.plans.manifest import MANIFEST, written_manifest
 from spanloom.schemas import COMMIT_SCHEMA, Signal
 from spanloom.session import configure, matching_paths
 from spanloom.sources.otlp_json import MALFORMED, SOURCE_FILE
@@ -33,6 +36,7 @@ log = logging.getLogger(__name__)
 
 REJECTS = "reason STRING, source_file STRING, resource_pos INT, scope_pos INT, record_pos INT, line STRING"
 MALFORMED_LINE = "malformed line"
+ARRIVAL = "_arrival"
 
 
 def commit_name(stream: str, checkpoint_id: str, batch_id: int) -> str:
@@ -66,7 +70,9 @@ def _without_known(payloads: DataFrame, options: LakeOptions, stream: str, check
     known = spark.read.schema(f"{SOURCE_FILE} STRING, commit_id STRING").option("basePath", _inputs_dir(options, stream)).parquet(*others)
     # The files of this batch alone are compared, so what is joined with the payloads is as small as the batch.
     seen = payloads.select(SOURCE_FILE).distinct().join(known.join(done, "commit_id", "left_semi"), SOURCE_FILE, "left_semi")
-    return payloads.join(seen, SOURCE_FILE, "left_anti").select(*payloads.columns)
+    # At most the names of one batch's files. A broadcast also keeps the payloads in the order of their files, which the
+    # numbering of rows has to find again if a task is repeated.
+    return payloads.join(F.broadcast(seen), SOURCE_FILE, "left_anti").select(*payloads.columns)
 
 
 def rejects_dir(options: LakeOptions, signal: Signal) -> str:
@@ -96,6 +102,11 @@ def read_rejects(spark: SparkSession, options: LakeOptions, signal: Signal) -> D
     return spark.read.schema(f"{REJECTS}, batch STRING").option("basePath", folder).parquet(*done)
 
 
+def _line_counts(payloads: DataFrame) -> list:
+    malformed = F.count_if(F.col(MALFORMED).isNotNull()) if MALFORMED in payloads.columns else F.count_if(F.lit(False))
+    return [F.count(F.lit(1)).alias("payloads"), malformed.alias("malformed")]
+
+
 def ingest_batch(
     payloads: DataFrame, batch_id: int, *, signal: Signal, options: LakeOptions, stream: str, checkpoint: str
 ) -> dict[str, int]:
@@ -108,25 +119,30 @@ def ingest_batch(
     if from_files:
         payloads = _without_known(payloads, options, stream, checkpoint)
     folder = batch_folder(options, signal, commit_id)
-    seen, lines = Observation(), Observation()
-    malformed = F.count_if(F.col(MALFORMED).isNotNull()) if MALFORMED in payloads.columns else F.count_if(F.lit(False))
-    observed = payloads.observe(lines, F.count(F.lit(1)).alias("payloads"), malformed.alias("malformed"))
+    lines = Observation()
     carried = [SOURCE_FILE] if from_files else []
-    rows = flatten(observed, signal, carry=carried).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")
-    )
-    write_rows(encodable_rows(rows), signal, options, folder, batch_id)
-    counts = {**seen.get, **lines.get}
-    if counts["rejected"] or counts["malformed"]:
-        log.warning("%s: %d of %d records and %d of %d lines rejected", commit_id, counts["rejected"], counts["rows"], counts["malformed"], counts["payloads"])
-        lost = rejects(payloads, flatten(payloads, signal, carry=carried))
-        lost.write.mode("overwrite").parquet(f"{rejects_dir(options, signal)}/batch={commit_id}")
+    observed = payloads.observe(lines, *_line_counts(payloads))
+    # Read for the counts, the cuts, the files and the rejects; what is lost with an executor comes out the same again.
+    rows = flatten(observed, signal, carry=carried).withColumn(ARRIVAL, F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    try:
+        totals = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")).first().asDict()
+        # Nothing is observed in a plan that turns out to have no rows.
+        seen = lines.get if totals["rows"] else payloads.agg(*_line_counts(payloads)).first().asDict()
+        counts = {**totals, **seen}
+        if counts["rows"] > counts["rejected"]:
+            batches = cut_into_files(encodable_rows(rows), f"{batch_id}L", ARRIVAL, options.batch_size)
+            write_batches(batches, signal, options, commit_id=commit_id, arrival=ARRIVAL)
+        if counts["rejected"] or counts["malformed"]:
+            log.warning("%s: %d of %d records and %d of %d lines rejected", commit_id, counts["rejected"], counts["rows"], counts["malformed"], counts["payloads"])
+            rejects(payloads, rows).write.mode("overwrite").parquet(f"{rejects_dir(options, signal)}/batch={commit_id}")
+    finally:
+        rows.unpersist()
     if from_files:
         _record_inputs(payloads, options, stream, checkpoint, commit_id)
     if counts["rows"] > counts["rejected"]:
         manifest = written_manifest(spark, folder, signal, options.table(signal.name))
     else:
-        manifest = spark.createDataFrame([], COMMIT_SCHEMA).select("table_name", "tick", "seq", "path", "record_count", "file_size_bytes", "commit_time", "column_stats", "typed_bounds")
+        manifest = spark.createDataFrame([], COMMIT_SCHEMA).select(*MANIFEST)
     commit_files(manifest, options, commit_id)
     return counts
 

@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 import random
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -511,6 +512,37 @@ def test_new_checkpoint_takes_in_new_files_only(spark, tmp_path):
     assert run(new_scratch(spark, "progress"), 5) == want
 
 
+def test_running_stream_cuts_files_by_size_and_timer(spark, tmp_path):
+    """A stream under a running timer: each tick's rows make full files and one with what remained, as predicted."""
+    options = LakeOptions(output_path=str(tmp_path / "lake"), batch_size=7, batch_timeout_seconds=3)
+    folder = landing(tmp_path, "in", [[logs_payload([log_record(20 * k + i) for i in range(20)])] for k in range(2)])
+    payloads = otlp_json.stream_otlp_json(spark, folder, LOGS)
+    stream = ingest.start_ingest(payloads, LOGS, options, checkpoint=new_scratch(spark, "progress"))
+    try:
+        for total in (40, 55):
+            deadline = time.time() + 120
+            while commit.read_commits(spark, options).agg(F.sum("record_count")).first()[0] != total:
+                assert time.time() < deadline and stream.exception() is None
+                time.sleep(0.5)
+            if total == 40:
+                (tmp_path / "in" / "more.json").write_text(json.dumps(logs_payload([log_record(i) for i in range(40, 55)])) + "\n")
+    finally:
+        stream.stop()
+    per_tick = defaultdict(list)
+    for r in commit.read_commits(spark, options).collect():
+        per_tick[r.tick].append(r.record_count)
+    ticks = [(tick, n) for tick, counts in per_tick.items() for n in range(sum(counts))]
+    rows = [(i, datetime(2024, 1, 1) + timedelta(seconds=3 * tick)) for i, (tick, _) in enumerate(sorted(ticks))]
+    predicted = assign_file_batches(
+        spark.createDataFrame(rows, "arrival long, ts timestamp"), time="ts", arrival="arrival", batch_size=7, timeout_seconds=3, start_micros=BASE // 1000
+    )
+    want = defaultdict(list)
+    for r in predicted.groupBy("tick", "seq").count().collect():
+        want[r.tick].append(r["count"])
+    assert {t: sorted(c) for t, c in per_tick.items()} == {t: sorted(c) for t, c in want.items()}
+    assert commit.read_table(spark, options, LOGS).select("body").distinct().count() == 55
+
+
 def test_paths_for_readers(spark, tmp_path):
     """A lake that is read under another path than it is written: the catalog names the readers' paths, and leads there."""
     (tmp_path / "seen").symlink_to(tmp_path / "lake")
