@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import remove_scratch
-from .common import written_at
+from ..session import new_scratch, remove_scratch
 
 # Integer components up to this size have squared distances that fit 64 bits, at LARGEST_DIMENSION too.
 LARGEST_COMPONENT = 1 << 26
@@ -144,6 +143,13 @@ def _assign_batches(model: Model):
     return run
 
 
+def _stored(state: DataFrame) -> tuple[DataFrame, str]:
+    """A round's table, written into the shared folder and read again, and its path."""
+    path = new_scratch(state.sparkSession, "centroids")
+    state.write.parquet(path)
+    return state.sparkSession.read.schema(STATE).parquet(path), path
+
+
 def _changes(k: int, d: int):
     """Per task, what each cluster gained since the last round: vectors and component sums."""
 
@@ -177,7 +183,7 @@ def fit(vectors: DataFrame, k: int, rounds: int, seed: int) -> tuple[DataFrame |
     total = np.zeros((k, d + 1), dtype=object)
     older = None
     for turn in range(rounds + 1):
-        state, path = written_at(state.mapInArrow(_assign_batches(model), STATE), "centroids")
+        state, path = _stored(state.mapInArrow(_assign_batches(model), STATE))
         if older:
             remove_scratch(vectors.sparkSession, older)
         older = path
