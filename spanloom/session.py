@@ -57,10 +57,20 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Remove a table that new_scratch() named, once nothing reads it any more."""
     if not path.startswith(shared_dir(spark) + "/"):
         raise ValueError(f"not in the shared folder: {path}")
+    remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop_path(spark, path)
     fs.delete(target, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, target = _hadoop_path(spark, path)
+    fs.create(target, True).close()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table that several later steps read (reliable, survives lost executors)."""
     shared_dir(df.sparkSession)

@@ -483,7 +483,27 @@ def test_log_of_commits_is_folded(spark, tmp_path, monkeypatch):
     assert sorted((r.commit_id, r.snapshot_id, r.next_row_id) for r in got.collect()) == [(f"b{i}", i + 1, 10 * i + 10) for i in range(8)]
     segment = commit._segment(spark, options)
     assert segment == 2 and len(commit._finished(spark, options, segment)) <= 3
-    assert commit.is_committed(spark, options, "b0") and not commit.is_committed(spark, options, "b9")
+    assert all(commit.is_committed(spark, options, f"b{i}") for i in range(8)) and not commit.is_committed(spark, options, "b9")
+    assert commit.committed_ids(spark, options, "b") == [f"b{i}" for i in range(8)]
+    assert sorted(os.listdir(tmp_path / "lake/_catalog/folds")) == ["fold=00000001", "fold=00000002"]
+
+
+def test_long_log_is_read_by_few_paths(spark, tmp_path):
+    """A log of ten thousand commits: one fold and the commits of one segment are opened, and the next commit goes on from there."""
+    options = LakeOptions(output_path=str(tmp_path / "lake"))
+    rows = spark.range(10_000).selectExpr(
+        "'otel_logs' AS table_name", "id AS tick", "id AS seq", f"concat('{tmp_path}/lake/main/otel_logs/batch=b', id, '/tick=', id, '/f') AS path",
+        "3L AS record_count", "1L AS file_size_bytes", "timestamp'2024-01-01' AS commit_time", f"CAST(array() AS {COLUMN_STATS}) AS column_stats",
+        f"CAST(array() AS {TYPED_BOUNDS}) AS typed_bounds", "CAST(array() AS ARRAY<STRING>) AS services",
+    )
+    numbered = catalog.number_commits(rows, options).withColumn("commit_id", F.concat(F.lit("b"), F.col("tick").cast("string")))
+    segment = 10_000 // commit.FOLD_EVERY
+    numbered.write.parquet(commit._fold_dir(options, segment))
+    commit.commit_files(rows.limit(1).withColumns({"tick": F.lit(10_000).cast("bigint"), "path": F.lit("x")}), options, "next")
+    commits = commit.read_commits(spark, options)
+    assert commits.count() == 10_001 and len(commits.inputFiles()) <= 20
+    last = commits.filter("commit_id = 'next'").first()
+    assert (last.snapshot_id, last.file_order, last.next_row_id) == (10_001, 10_000, 30_003)
 
 
 def manifest_schema():
