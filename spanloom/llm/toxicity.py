@@ -12,13 +12,15 @@ the two models' ratio, taken in rounds of words whose size is fixed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_scratch, remove_scratch
 from . import hashing
 from .common import limited, written
 
@@ -32,8 +34,10 @@ DISCOUNT = 0.75
 SHARED_WEIGHT = 100.0
 # Words or different bigrams that a counting task holds before it hands them on.
 HELD_COUNTS = 2_000_000
-# Model entries (12 bytes each) that are broadcast at a time; a larger model takes as many rounds over the texts as it needs.
-ENTRIES_PER_ROUND = 4_000_000
+# Model entries (12 bytes each) that are broadcast at a time, in parts that pass the driver one by one; a larger model takes as
+# many rounds over the texts as it needs.
+ENTRIES_PER_ROUND = 8_000_000
+PARTS_PER_ROUND = 4
 # Labelled rows are dealt to five folds by the CRC of doc_id: 0 is held out, 1 calibrates the score, 2 to 4 are counted.
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 # At most so many rows fit the four numbers of the calibration, those with the smallest hashes of doc_id.
@@ -103,18 +107,48 @@ def train(labelled: DataFrame) -> DataFrame:
     Tasks count their own bigrams first, so a frequent one is a row a task in the shuffle. No table reaches the driver.
     """
     counted = labelled.select("text", F.col("toxic").cast("int")).mapInArrow(_count_bigrams, "pair bigint, ordinary bigint, toxic bigint")
-    pairs = counted.groupBy("pair").agg(F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1"))
-    pairs = written(pairs, "toxicity-bigrams").selectExpr("*", f"shiftright(pair, {WORD_BITS}) AS word", f"pair & {(1 << WORD_BITS) - 1}L AS before")
-    words = pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("contexts"))
-    words = written(_unigrams(written(words, "toxicity-words")), "toxicity-unigrams")
-    contexts = pairs.groupBy("before").agg(
-        F.sum("n0").alias("total0"), F.sum("n1").alias("total1"), F.count_if(F.col("n0") > 0).alias("types0"), F.count_if(F.col("n1") > 0).alias("types1")
-    )
-    bigrams = pairs.join(contexts, "before").join(words, "word")
-    ratio = f"ln({_after(TOXIC)}) - ln({_after(ORDINARY)})"
-    entries = bigrams.selectExpr("pair AS entry", f"CAST({ratio} AS FLOAT) AS ratio")
-    alone = words.selectExpr(f"shiftleft(word, {WORD_BITS}) + {ALONE} AS entry", "CAST(ln(p1) - ln(p0) AS FLOAT) AS ratio")
-    return written(alone.union(entries), "toxicity-model")
+    with _shuffles_removed(labelled.sparkSession):
+        pairs, pairs_at = _stored(counted.groupBy("pair").agg(F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1")), "toxicity-bigrams")
+        # The pair itself is left behind: together with its two words it would go through the joins twice.
+        pairs = pairs.selectExpr(f"CAST(shiftright(pair, {WORD_BITS}) AS INT) AS word", f"CAST(pair & {(1 << WORD_BITS) - 1}L AS INT) AS before", "n0", "n1")
+        words, words_at = _stored(pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("contexts")), "toxicity-words")
+        unigrams = written(_unigrams(words), "toxicity-unigrams")
+        contexts = pairs.groupBy("before").agg(
+            F.sum("n0").alias("total0"), F.sum("n1").alias("total1"), F.count_if(F.col("n0") > 0).alias("types0"), F.count_if(F.col("n1") > 0).alias("types1")
+        )
+        # One join at a time: the shuffles of the first are gone when those of the second begin.
+        known, known_at = _stored(pairs.join(contexts, "before"), "toxicity-contexts")
+        remove_scratch(labelled.sparkSession, pairs_at)
+        ratio = f"ln({_after(TOXIC)}) - ln({_after(ORDINARY)})"
+        entries = known.join(unigrams, "word").selectExpr(f"{_entry('before')} AS entry", f"CAST({ratio} AS FLOAT) AS ratio")
+        alone = unigrams.selectExpr(f"{_entry(ALONE)} AS entry", "CAST(ln(p1) - ln(p0) AS FLOAT) AS ratio")
+        model = written(alone.union(entries), "toxicity-model")
+        for path in (words_at, known_at):
+            remove_scratch(labelled.sparkSession, path)
+    return model
+
+
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table that several steps read and that is removed after them: written, read again, and its path."""
+    path = new_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let each query remove its shuffle files when it ends, instead of whenever the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _entry(before: str | int) -> str:
+    return f"(shiftleft(CAST(word AS BIGINT), {WORD_BITS}) + {before})"
 
 
 def _unigrams(words: DataFrame) -> DataFrame:
@@ -155,15 +189,17 @@ def _found(entries: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hit, at[hit]
 
 
-def _log_ratios(column: pa.Array, entries: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _log_ratios(column: pa.Array, parts: list[tuple[int, int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text, the sum over its words of the bigram's ratio, or else the word's, or else 0; the largest of these, 0 at
-    least; and the number of words."""
+    least; and the number of words. A part is the model of the words from a first to before a last one."""
     sums, tops, words = [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]
     for own, before, at in _bigrams(column):
         ratio = np.zeros(len(own))
-        for wanted in (_pairs(own, np.full(1, ALONE, _U)), _pairs(own, before)):
-            hit, where = _found(entries, wanted)
-            ratio[hit] = ratios[where]
+        for first, last, entries, ratios in parts:
+            here = np.flatnonzero((own >= _U(first)) & (own < _U(last)))
+            for wanted in (_pairs(own[here], np.full(1, ALONE, _U)), _pairs(own[here], before[here])):
+                hit, where = _found(entries, wanted)
+                ratio[here[hit]] = ratios[where]
         many = np.diff(at)
         text = np.repeat(np.arange(len(many)), many)
         sums.append(np.bincount(text, ratio, len(many)))
@@ -174,36 +210,49 @@ def _log_ratios(column: pa.Array, entries: np.ndarray, ratios: np.ndarray) -> tu
     return np.concatenate(sums), np.concatenate(tops), np.concatenate(words)
 
 
+def _parts(model: DataFrame, first: int, last: int, n: int) -> list:
+    """The model of the words from `first` to before `last` as n broadcasts (first word, last word, entries, ratios); one part
+    at a time is on the driver."""
+    shared = []
+    for p in range(n):
+        low, high = first + (last - first) * p // n, first + (last - first) * (p + 1) // n
+        part = model.where(f"entry >= {low << WORD_BITS}L AND entry < {high << WORD_BITS}L").toArrow()
+        entries, ratio = part.column("entry").to_numpy().astype(_U), part.column("ratio").to_numpy()
+        order = np.argsort(entries)
+        shared.append(model.sparkSession.sparkContext.broadcast((low, high, entries[order], ratio[order])))
+    return shared
+
+
 def ratios(docs: DataFrame, model: DataFrame) -> DataFrame:
     """(doc_id, ratio, strongest, words): the length-normalised log-likelihood ratio of each text, and the largest of its
     words' log ratios.
 
-    The model is taken in rounds of about ENTRIES_PER_ROUND entries, each with all entries of its words. A round is
-    map-only over the texts and adds to their sums; between rounds the texts are written with them.
+    The model is taken in rounds of about ENTRIES_PER_ROUND entries, each a range of word numbers, which are hashes and so
+    evenly spread. A round is map-only over the texts as they are stored and writes its share of each text's sum. Several
+    rounds are added up by doc_id and text digest; equal rows, which have equal sums, are counted and dealt out again.
     """
-    context = docs.sparkSession.sparkContext
     rounds = max(1, -(-model.count() // ENTRIES_PER_ROUND))
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.lit(0.0).alias("total"), F.lit(0.0).alias("strongest"))
+    shares = []
     for r in range(rounds):
-        part = model.where(f"pmod(xxhash64(shiftright(entry, {WORD_BITS})), {rounds}) = {r}").toArrow()
-        entries, ratio = part.column("entry").to_numpy().astype(_U), part.column("ratio").to_numpy()
-        order = np.argsort(entries)
-        shared = context.broadcast((entries[order], ratio[order]))
+        shared = _parts(model, (r << WORD_BITS) // rounds, ((r + 1) << WORD_BITS) // rounds, PARTS_PER_ROUND)
 
-        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            parts = [s.value for s in shared]
             for batch in batches:
-                sums, tops, words = _log_ratios(batch.column(1), *shared.value)
-                total, strongest = pc.add(batch.column(2), pa.array(sums)), pc.max_element_wise(batch.column(3), pa.array(tops))
-                columns = [batch.column(0), batch.column(1), total, strongest, pa.array(words)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "total", "strongest", "words"])
-
-        def finish(batches: Iterator[pa.RecordBatch], add=add) -> Iterator[pa.RecordBatch]:
-            for batch in add(batches):
-                yield batch.select(["doc_id", "total", "strongest", "words"])
-
-        if r < rounds - 1:
-            rows = written(rows.mapInArrow(add, "doc_id bigint, text string, total double, strongest double, words bigint"), "toxicity-round").drop("words")
-    scored = rows.mapInArrow(finish, "doc_id bigint, total double, strongest double, words bigint")
+                sums, tops, words = _log_ratios(batch.column(1), parts)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, (sums, tops, words))], names=["doc_id", "digest", "total", "strongest", "words"])
+
+        digest = "sha2(text, 256)" if rounds > 1 else "''"
+        rows = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text", f"coalesce({digest}, '') AS digest")
+        shares.append(written(rows.mapInArrow(score, "doc_id bigint, digest string, total double, strongest double, words bigint"), "toxicity-sums"))
+        for s in shared:
+            s.destroy()
+    scored = shares[0]
+    if rounds > 1:
+        for share in shares[1:]:
+            scored = scored.union(share)
+        added = scored.groupBy("doc_id", "digest", "words").agg(F.expr(f"count(*) div {rounds}").alias("copies"), F.sum("total").alias("total"), F.max("strongest").alias("strongest"))
+        scored = written(added.selectExpr("doc_id", "total / copies AS total", "strongest", "words", "explode(sequence(1L, copies)) AS copy"), "toxicity-ratios")
     return scored.selectExpr("doc_id", "CASE WHEN words > 0 THEN total / words ELSE 0D END AS ratio", "strongest", "words")
 
 
@@ -247,7 +296,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     counted = known.where(f"fold <> {CALIBRATION}")
     model = train(texts.where(f"{fold()} NOT IN ({HELD_OUT}, {CALIBRATION})").join(limited(counted), F.col("doc_id") == F.col("labelled_id")))
-    scored = written(ratios(texts, model), "toxicity-ratios")
+    scored = ratios(texts, model)
     sample = scored.join(known.where(f"fold = {CALIBRATION}"), F.col("doc_id") == F.col("labelled_id"))
     sample = sample.selectExpr("ratio", "ratio * sqrt(words) AS strength", "strongest", "toxic", "xxhash64(doc_id) AS h", "doc_id")
     sample = sample.orderBy("h", "doc_id", "ratio", "strongest", "toxic").limit(CALIBRATION_ROWS).toPandas()

@@ -316,13 +316,71 @@ def test_toxicity_rounds(spark, monkeypatch):
     r = random.Random(8)
     words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
     rows = [(i, " ".join(r.choice(words) for _ in range(30)) + (" vile grim" if i % 4 == 0 else "")) for i in range(200)] + [(200, None), (201, "")]
+    rows += [rows[0]] * 3 + [(0, "alpha alpha"), (None, "beta vile"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
-    whole = {x.doc_id: x.score for x in toxicity.scores(docs, labels).collect()}
-    monkeypatch.setattr(toxicity, "ENTRIES_PER_ROUND", 3)
-    parts = {x.doc_id: x.score for x in toxicity.scores(docs, labels).collect()}
-    assert len(whole) == len(parts) == 202
-    assert all(abs(whole[i] - parts[i]) < 1e-9 for i in whole)
+    def scored():
+        return sorted((-1 if x.doc_id is None else x.doc_id, x.score) for x in toxicity.scores(docs, labels).collect())
+
+    whole = scored()
+    monkeypatch.setattr(toxicity, "ENTRIES_PER_ROUND", 20)
+    parts = scored()
+    assert len(whole) == len(parts) == len(rows)
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 for a, b in zip(whole, parts, strict=True))
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x40\x5b-\x60\x7b-\x7f]+", (text or "").lower())
+
+
+def plain_models(labelled):
+    """The log ratios of bigrams and of words, worked out with dictionaries."""
+    d, heavy = toxicity.DISCOUNT, toxicity.SHARED_WEIGHT
+    pair, word, before, contexts = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [[0, 0], [0, 0]]), collections.Counter()
+    for text, toxic in labelled:
+        words = plain_words(text)
+        for a, b in zip(["<start>", *words], words):
+            pair[a, b][toxic] += 1
+    for (a, b), n in pair.items():
+        contexts[b] += 1
+        for c in (0, 1):
+            word[b][c] += n[c]
+            before[a][0][c] += n[c]
+            before[a][1][c] += n[c] > 0
+
+    def kept(n):
+        return max(n - d, 0)
+
+    totals = [sum(n[c] for n in word.values()) for c in (0, 1)]
+    both, left_both = sum(totals), sum(sum(n) - kept(sum(n)) for n in word.values())
+    p = {}
+    for w, n in word.items():
+        shared = (kept(sum(n)) + left_both * contexts[w] / sum(contexts.values())) / both
+        left = [sum(m[c] - kept(m[c]) for m in word.values()) for c in (0, 1)]
+        p[w] = [(kept(n[c]) + (left[c] + heavy * totals[c]) * shared) / ((1 + heavy) * totals[c]) for c in (0, 1)]
+
+    def after(a, b, c):
+        total, types = before[a][0][c], before[a][1][c]
+        own = (kept(pair[a, b][c]) + d * types * p[b][c]) / total if total else p[b][c]
+        return (own + heavy * sum(pair[a, b]) / sum(before[a][0])) / (1 + heavy)
+
+    return {k: np.log(after(*k, 1) / after(*k, 0)) for k in list(pair)}, {w: np.log(q[1] / q[0]) for w, q in p.items()}
+
+
+def test_toxicity_models_brute_force(spark):
+    r = random.Random(12)
+    vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(8)] + ["É", "straße"]
+    texts = [" ".join(r.choice(vocabulary[: r.choice([5, 50])]) for _ in range(r.randint(0, 40))).replace(" wa", r.choice([" wa", ", WA", "1wa"])) for _ in range(120)]
+    labelled = [(t, int(r.random() < 0.3)) for t in texts[:70]]
+    model = toxicity.train(spark.createDataFrame(labelled, "text string, toxic int").repartition(5))
+    got = {x.doc_id: x for x in toxicity.ratios(spark.createDataFrame([*enumerate(texts), (120, None)], "doc_id bigint, text string"), model).collect()}
+    pairs, words = plain_models(labelled)
+    for i, text in enumerate([*texts, None]):
+        found = plain_words(text)
+        each = [pairs.get((a, b), words.get(b, 0.0)) for a, b in zip(["<start>", *found], found)]
+        assert got[i].words == len(found)
+        assert abs(got[i].ratio - (sum(each) / len(each) if each else 0)) < 1e-6
+        assert abs(got[i].strongest - max([0, *each])) < 1e-6
 
 
 def test_toxicity_odd(spark, odd):
