@@ -47,10 +47,11 @@ def windows(
 
     A window is (text, turns, loss): the formatted text; its turns' number, whether it repeats one shown before, start and
     end of the escaped text; and the spans (start, end) to train on, in code points. Prefix sums of turn tokens choose
-    the spans: a window takes the following turns while system turn, history and they fit the budget, at least one; a
-    turn over the budget has a window of its own. Every window begins with the conversation's system turn (a first
-    turn with that role) and up to `history_turns` turns before its own, of `history_tokens` in all. Repeated turns are
-    never trained on, so each assistant turn is trained on once.
+    the spans: a window takes the following turns while system turn, history and they fit the budget, at least one.
+    Every window begins with the conversation's system turn (a first turn with that role) and up to `history_turns` turns
+    before its own, of `history_tokens` in all, as many as leave room for its first own turn. So a window is over the budget
+    only where the system turn and one own turn are, and then it holds nothing else. Repeated turns are never trained on,
+    so each assistant turn is trained on once.
 
     Null role and text are empty. Rows with equal turn numbers follow by role, then text; repeated rows are turns of their
     own; null turn numbers come first; rows without conv_id are one conversation. Other columns are ignored. A
@@ -79,10 +80,12 @@ def windows(
     grouped = grouped.selectExpr("conv_id", "t", "t[0].role = 'system' AS has_system").selectExpr(
         "*", "if(has_system, 2, 1) AS first", "if(has_system, t[0].size, 0L) AS fixed", "if(has_system, t[0].chars_upto, 0L) AS fixed_chars"
     )
-    # The history of a window whose own turns begin at i: the earliest of the allowed beginnings that fits.
-    begins = [f"WHEN i - {k} >= first AND t[i - 2].upto - coalesce(get(t, i - {k} - 2).upto, 0L) <= {history_tokens} THEN i - {k}" for k in range(history_turns, 0, -1)]
+    # The history of a window whose own turns begin at i: the earliest of the allowed beginnings that fits, by itself and
+    # together with the system turn and the first own turn.
+    at, before = "element_at(t, i).upto", "coalesce(get(t, i - {k} - 2).upto, 0L)"
+    fits = f"i - {{k}} >= first AND t[i - 2].upto - {before} <= {history_tokens} AND fixed + {at} - {before} <= {budget}"
+    begins = [f"WHEN {fits.format(k=k)} THEN i - {k}" for k in range(history_turns, 0, -1)]
     history = f"CASE {' '.join(begins)} ELSE i END" if begins else "i"
-    at = "element_at(t, i).upto"
     starts = f"""aggregate(
         if(size(t) >= first, sequence(first, size(t)), CAST(array() AS ARRAY<INT>)),
         named_struct('starts', CAST(array() AS ARRAY<STRUCT<h: INT, s: INT>>), 'base', CAST(NULL AS BIGINT)),
