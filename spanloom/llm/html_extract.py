@@ -8,6 +8,7 @@ import math
 import pickle
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,9 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = "script style template noscript title svg iframe canvas".split()
 # Those of them that run to the end of the page where they are not closed; of others only the tag goes then.
 _TO_THE_END = ("script", "style")
-_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _RAW}
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
 # What an opening element closes if it is still open, and where that search ends.
-_CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
+_CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
 
 # Words in class, id and role that tell what a block is for.
 KINDS = {
@@ -56,11 +57,8 @@ _TAG_KIND = {"article": "main", "main": "main", "nav": "nav", "menu": "nav", "he
 _TAG_KIND = {t: list(KINDS).index(k) for t, k in _TAG_KIND.items()}
 _GROUPS = {t: i for i, ts in enumerate(("html body", "div section center", "p", "h1", "h2 h3 h4 h5 h6", "li dd dt", "ul ol dl", "table tbody thead tr td th", "blockquote pre figure figcaption", "#text")) for t in ts.split()}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|hidden|style|data-kept)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _STOPS = re.compile(r"[.!?,;:]")
@@ -109,23 +107,71 @@ def _attributes(tag: str, text: str) -> tuple:
     return kinds, hidden, kept
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of all `>` and quotes, and for each the end of a tag that goes on there: the next `>` outside quotes, or -1.
+    Read from the end, so that no tag, however broken, is looked through twice."""
+    marks = [m.start() for m in _MARK.finditer(page)]
+    ends, same = [-1] * (len(marks) + 1), {}
+    for k in range(len(marks) - 1, -1, -1):
+        mark = page[marks[k]]
+        if mark == ">":
+            ends[k] = marks[k]
+        else:
+            ends[k] = ends[same[mark] + 1] if mark in same else -1
+            same[mark] = k
+    return marks, ends
+
+
+class _Open:
+    """The open blocks, root first, and where in this list those of each tag stand."""
+
+    def __init__(self):
+        self.nodes: list[int] = [0]
+        self._tags: list[str] = ["html"]
+        self._at: dict[str, list[int]] = {}
+
+    def push(self, node: int, tag: str) -> None:
+        self._at.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self._tags.append(tag)
+
+    def last(self, tags: tuple[str, ...]) -> int:
+        """The place of the innermost block with one of these tags; 0 if none is open."""
+        return max((self._at[t][-1] for t in tags if self._at.get(t)), default=0)
+
+    def close(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.nodes.pop()
+            self._at[self._tags.pop()].pop()
+
+
 def parse(page: str) -> list[Node]:
-    """The blocks of a page in page order, the root first. Text beside blocks is a block of its own (#text)."""
+    """The blocks of a page in page order, the root first. Text beside blocks is a block of its own (#text).
+
+    A tag whose quotes do not close ends at its first `>`; without one, it is text. Time follows the length of the page,
+    broken or not."""
     nodes = [Node("html", -1, 0, _PLAIN)]
-    stack, link, run = [0], False, -1
+    stack, link, run = _Open(), False, -1
 
     def opened(tag: str, attributes: tuple) -> int:
-        parent = stack[-1]
-        node = Node(tag, parent, len(stack), attributes)
+        parent = stack.nodes[-1]
+        node = Node(tag, parent, len(stack.nodes), attributes)
         nodes[parent].children.append(len(nodes))
         nodes.append(node)
         return len(nodes) - 1
 
-    at, unclosed = 0, set()
-    while m := _TOKEN.match(page, at):
-        at = m.end()
-        text = m["text"]
-        if text is not None:
+    marks, tag_ends = _tag_ends(page)
+    at, last, unclosed = 0, page.rfind(">"), set()
+    while at < len(page):
+        if page.startswith("<!--", at):
+            if (close := page.find("-->", at + 4)) < 0:
+                break
+            at = close + 3
+            continue
+        m = _TAG.match(page, at) if at < last else None
+        if m is None:
+            end = page.find("<", at + 1)
+            at, text = (end, page[at:end]) if end >= 0 else (len(page), page[at:])
             if run < 0:
                 if not text.strip():
                     continue
@@ -135,15 +181,22 @@ def parse(page: str) -> list[Node]:
             if link:
                 nodes[run].links += len(text)
             continue
-        tag = m["tag"] or m["tag2"]
+        ends, tag = m[1], m[2]
         if tag is None:
+            at = page.find(">", m.end()) + 1
             continue
-        tag = tag.lower()
-        ends = m["end"] or m["end2"]
+        tag, attrs = tag.lower(), ""
+        if (end := tag_ends[bisect_left(marks, m.end())]) >= 0:
+            attrs = page[m.end() : end]
+        else:
+            end = page.find(">", m.end())
+        at = end + 1
         if tag in _RAW_ENDS and not ends:
-            if tag not in unclosed and (tag in _TO_THE_END or not m[0].endswith("/>")):
-                if close := _RAW_ENDS[tag].search(page, at):
-                    at = close.end()
+            if tag not in unclosed and (tag in _TO_THE_END or page[end - 1] != "/"):
+                close = _RAW_ENDS[tag].search(page, at)
+                end = page.find(">", close.end()) if close else -1
+                if end >= 0:
+                    at = end + 1
                 elif tag in _TO_THE_END:
                     break
                 else:
@@ -155,26 +208,20 @@ def parse(page: str) -> list[Node]:
         elif tag in BLOCKS:
             run, link = -1, False
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[k]].tag == tag:
-                        del stack[k:]
-                        break
+                if place := stack.last((tag,)):
+                    stack.close(place)
                 continue
-            if tag in ("html", "body") and len(stack) == 1:
+            if tag in ("html", "body") and len(stack.nodes) == 1:
                 continue
-            if nodes[stack[-1]].tag == "p":
-                stack.pop()
+            if nodes[stack.nodes[-1]].tag == "p":
+                stack.close(len(stack.nodes) - 1)
             if tag in _CLOSES:
                 same, until = _CLOSES[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[k]].tag in until:
-                        break
-                    if nodes[stack[k]].tag in same.split():
-                        del stack[k:]
-                        break
-            node = opened(tag, _attributes(tag, m["attrs"] or "") if m["attrs"] or tag in _TAG_KIND else _PLAIN)
+                if (place := stack.last(same)) > stack.last(until):
+                    stack.close(place)
+            node = opened(tag, _attributes(tag, attrs) if attrs or tag in _TAG_KIND else _PLAIN)
             if tag not in EMPTY:
-                stack.append(node)
+                stack.push(node, tag)
     for node in nodes:
         if node.tag == "#text":
             node.text = " ".join("".join(node.text).split())
