@@ -6,10 +6,12 @@ import html
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
 import pytest
+import regex
 
 from spanloom.llm import chat, decontaminate, fingerprint, html_extract, jaccard_join, line_dedup, packing, pii, registry, sharding, toxicity
 
@@ -84,6 +86,22 @@ def test_html_unclosed(page, want):
     assert [n.text for n in html_extract.parse(page) if n.tag == "#text" and n.text] == want
 
 
+@pytest.mark.parametrize("piece", ["<a ", '<p "', "<!", '<a ">" ', "<a", "<div>", "</p><div>", "</script ", "<td><div>", "<b '\">"])
+@pytest.mark.parametrize(("before", "after"), [("", ""), ("<script>", ""), ("<td><table>", ">")])
+def test_html_long_broken_pages(piece, before, after):
+    """A page of 100,000 broken or unclosed tags takes seconds, and what follows it is read as ever."""
+    begun = time.process_time()
+    nodes = html_extract.parse(before + piece * 100_000 + after)
+    assert nodes and time.process_time() - begun < 10
+
+
+def test_html_quotes():
+    """An attribute may hold `>`; a quote that does not close ends with its tag."""
+    read = lambda page: [n.text for n in html_extract.parse(page) if n.tag == "#text" and n.text]
+    assert read("<p title='a > b'>x</p><p title=\"y>z</p>w < v <3") == ["x", "z", "w < v <3"]
+    assert read("<p>it's</p><p id='>one</p><p>two") == ["it's", "one", "two"]
+
+
 def test_html_open_head(spark, sf_dir):
     """An end tag that html may leave out, and unclosed elements, cost no text."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").limit(20)
@@ -136,6 +154,48 @@ def test_chat(spark, sf_dir):
     assert chat.formatted_digest(turns.limit(0)).count() == 0
 
 
+def plain_windows(rows, budget, history_turns, history_tokens):
+    """Windows as lists of (turn, repeated), turns from 1."""
+    size = [len(regex.findall(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]", text)) + 4 for _, _, text in rows]
+    system = bool(rows) and rows[0][1] == "system"
+    first, fixed = (1, size[0]) if system else (0, 0)
+    out, at = [], first
+    while at < len(rows) or not out:
+        begin = at
+        for k in range(min(history_turns, at - first), 0, -1):
+            shown = sum(size[at - k : at])
+            if shown <= history_tokens and fixed + shown + size[at] <= budget:
+                begin = at - k
+                break
+        end = min(at + 1, len(rows))
+        while end < len(rows) and fixed + sum(size[begin : end + 1]) <= budget:
+            end += 1
+        own = [(1, bool(out))] if system else []
+        out.append(own + [(i + 1, i < at) for i in range(begin, end)])
+        assert fixed + sum(size[begin:end]) <= budget or (end - at <= 1 and begin == at)
+        at = end
+    return out
+
+
+@pytest.mark.parametrize(("budget", "history_turns", "history_tokens"), [(1024, 2, 256), (60, 2, 40), (60, 3, 200), (40, 0, 0), (1, 2, 40)])
+def test_chat_windows_brute_force(spark, sf_dir, budget, history_turns, history_tokens):
+    """No window is over the budget unless its one own turn and the system turn are; history and masks are as planned."""
+    r = random.Random(9)
+    rows = [(i, t, "system" if t == 0 and i % 2 else "user" if t % 2 else "assistant", "w " * r.choice([0, 1, 5, 20, 33, 60])) for i in range(60) for t in range(r.randint(1, 9))]
+    rows += [(100, 0, "user", "w " * 236), (100, 1, "assistant", "w " * 896), (101, 0, "system", "only")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    turns = turns.union(spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr("conv_id + 1000", "turn", "role", "text"))
+    conversations = collections.defaultdict(list)
+    for x in turns.collect():
+        conversations[x.conv_id].append((x.turn, x.role or "", x.text or ""))
+    for x in chat.windows(turns, budget, history_turns, history_tokens).collect():
+        own = sorted(conversations.pop(x.conv_id))
+        assert [[(t.at, t.repeated) for t in w.turns] for w in x.windows] == plain_windows(own, budget, history_turns, history_tokens)
+        for w in x.windows:
+            assert [(t.start, t.end) for t in w.turns if own[t.at - 1][1] == "assistant" and not t.repeated] == [tuple(z) for z in w.loss]
+    assert not conversations
+
+
 def test_sharding(spark, odd):
     def table(shards, slots):
         number = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:15], 16)
