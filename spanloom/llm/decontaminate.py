@@ -16,9 +16,10 @@ from . import hashing
 
 SEED_WORDS = 3
 # Alignment: points for equal words, and what a different or a missing word costs. A passage counts from this share of
-# the points that the whole item would give.
+# the points that the whole item would give, or from the points of so many words copied in a row, whichever is less.
 MATCH, OTHER, GAP = 2, 1, 1
 LEAST_SHARE = 0.5
+LEAST_WORDS = 13
 # Benchmark words that are held in memory at a time; a larger benchmark is taken in as many rounds as it needs.
 WORDS_PER_ROUND = 2_000_000
 
@@ -54,7 +55,7 @@ def _texts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
     """Per text, in lower case, its words and the bytes where they start and end."""
     data, offsets = hashing.text_bytes(column)
     for first, last in hashing.blocks(offsets):
-        hashed, at, starts, ends = hashing.words(data, offsets[first : last + 1], hashing.LETTERS)
+        hashed, at, starts, ends = hashing.words(data, offsets[first : last + 1], hashing.LETTERS_DIGITS)
         for row, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
             base = offsets[first + row]
             yield hashed[a:b], starts[a:b] - base, ends[a:b] - base
@@ -65,6 +66,11 @@ def _lower(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column)
 
 
+def least_points(length: int) -> float:
+    """The points from which a passage counts as a copy of an item of so many words, or of a part of it."""
+    return MATCH * min(LEAST_SHARE * length, LEAST_WORDS)
+
+
 def align(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman: the best local score of `item` in `words`, and where the item and the passage end."""
     step = GAP * np.arange(len(words) + 1)
@@ -82,9 +88,9 @@ def align(words: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _passages(hashed: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
-    """(item, first word, last word) of stretches around a seed, however common it is, that hold enough of the item's words to
-    reach LEAST_SHARE."""
+def _stretches(hashed: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
+    """(item, first word, last word) of stretches around seeds, however common these are, that hold enough of the item's words
+    for a copy. Stretches of an item do not overlap."""
     rows, places = [], []
     for n in items.lengths():
         grams = hashing.ngrams(hashed, n)
@@ -104,12 +110,39 @@ def _passages(hashed: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]
     lengths = np.asarray([len(w) for w in items.words])
     new = np.concatenate([[True], (item[1:] != item[:-1]) | (np.diff(start) > np.maximum(lengths[item[1:]] // 2, 1))])
     cut = np.append(np.flatnonzero(new), len(item))
+    open_: tuple[int, int, int] | None = None
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         i, n = int(item[a]), int(lengths[item[a]])
-        # Words skipped cost GAP each, so a passage that counts holds at most n beside the item's own.
-        first, last = max(0, int(start[a]) - n), min(len(hashed), int(start[b - 1]) + 2 * n)
-        if np.isin(items.words[i], hashed[first:last]).sum() >= LEAST_SHARE * n:
-            yield i, first, last
+        # A different or skipped word costs a point, so a passage that counts holds at most `beside` words not the item's own.
+        beside = int(MATCH * n - least_points(n))
+        first, last = max(0, int(start[a]) - beside), min(len(hashed), int(start[b - 1]) + n + beside)
+        if MATCH * np.isin(items.words[i], hashed[first:last]).sum() < least_points(n):
+            continue
+        if open_ and open_[0] == i and first < open_[2]:
+            open_ = i, open_[1], max(open_[2], last)
+        else:
+            if open_:
+                yield open_
+            open_ = i, first, last
+    if open_:
+        yield open_
+
+
+def copies(words: np.ndarray, item: np.ndarray) -> list[tuple[int, int, int]]:
+    """(points, first word, end) of the passages of `words` that are copies of `item` or of enough of it: the best one, then
+    the best ones of what is before and after it, and so on."""
+    found, left = [], [(0, len(words))]
+    while left:
+        first, last = left.pop()
+        points, item_end, end = align(words[first:last], item)
+        if points < least_points(len(item)):
+            continue
+        # The same alignment read backwards ends where the passage begins.
+        _, _, back = align(words[first : first + end][::-1], item[:item_end][::-1])
+        begin, end = first + end - back, first + end
+        found.append((points, begin, end))
+        left += [(first, begin), (end, last)]
+    return sorted(found, key=lambda x: x[1])
 
 
 def _benchmark(benchmark: DataFrame) -> Iterator[Items]:
@@ -130,11 +163,13 @@ def _benchmark(benchmark: DataFrame) -> Iterator[Items]:
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, start, end, passage): the passages of `docs` (doc_id, text) that are copies of test items of
-    `benchmark` (item_id, text), the best one per document row and item.
+    `benchmark` (item_id, text), or of a part of them: per document row and item the best one and all that do not overlap a
+    better one.
 
-    Seeds are hashes of SEED_WORDS words, letters only and without case. Every stretch that shares one with an item and has
-    words enough is aligned word by word, however often the seed occurs; a passage that shares none is not found. `score` is
-    the alignment's points as a share of a perfect copy's, at least LEAST_SHARE. `start` and `end` are code points.
+    Seeds are hashes of SEED_WORDS words of letters and digits, without case. Every stretch that shares one with an item and
+    has words enough is aligned word by word, however often the seed occurs; a passage that shares none is not found. `score`
+    is the alignment's points as a share of a whole perfect copy's. A passage counts from LEAST_SHARE of them on, or from the
+    points of LEAST_WORDS words in a row. `start` and `end` are code points.
 
     The one pass over the texts is map-only; a round's items (at most WORDS_PER_ROUND words) are broadcast. Null and empty
     texts contain nothing; items of one or two words are one seed; an item_id that repeats is reported for each of its
@@ -158,19 +193,16 @@ def _round(texts: DataFrame, items: Items) -> DataFrame:
             found = []
             lower = _lower(batch.column(1))
             for row, (hashed, starts, ends) in enumerate(_texts(lower)):
-                best: dict[int, tuple] = {}
-                for i, first, last in _passages(hashed, own):
-                    score, item_end, end = align(hashed[first:last], own.words[i])
-                    share = score / (MATCH * len(own.words[i]))
-                    if share >= LEAST_SHARE and share > best.get(i, (0,))[0]:
-                        # The same alignment read backwards ends where the passage begins.
-                        _, _, back = align(hashed[first : first + end][::-1], own.words[i][:item_end][::-1])
-                        best[i] = (share, int(starts[first + end - back]), int(ends[first + end - 1]))
-                if best:
+                passages = [
+                    (own.ids[i], points / (MATCH * len(own.words[i])), int(starts[first + begin]), int(ends[first + end - 1]))
+                    for i, first, last in _stretches(hashed, own)
+                    for points, begin, end in copies(hashed[first:last], own.words[i])
+                ]
+                if passages:
                     raw, text = lower[row].as_py().encode(), batch.column(1)[row].as_py()
-                    for i, (share, start, end) in best.items():
+                    for item, share, start, end in passages:
                         start, end = (len(raw[:at].decode()) for at in (start, end))
-                        found.append((row, own.ids[i], share, start, end, text[start:end]))
+                        found.append((row, item, share, start, end, text[start:end]))
             rows, *rest = zip(*found, strict=True) if found else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), *[pa.array(v, t) for v, t in zip(rest, (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string()), strict=True)]],

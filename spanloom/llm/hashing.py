@@ -46,8 +46,17 @@ def _letter_table() -> np.ndarray:
     return np.where(letters, table, 0).astype(np.uint16)
 
 
+def _letter_digit_table() -> np.ndarray:
+    """As the letter table, but digits belong to words."""
+    table = _letter_table()
+    digits = slice(ord("0"), ord("9") + 1)
+    table[digits] = _plain_table()[digits]
+    return table
+
+
 PLAIN = _plain_table()
 LETTERS = _letter_table()
+LETTERS_DIGITS = _letter_digit_table()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
