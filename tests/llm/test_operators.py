@@ -529,7 +529,7 @@ def test_alignment():
 def test_decontamination(spark, sf_dir, docs):
     r = random.Random(8)
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    plain = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    plain = lambda t: re.findall(r"[^\W_]+", t.lower())
     items = {i.item_id: plain(i.text) for i in bench.collect()}
     edited = []
     for item, words in items.items():
@@ -542,7 +542,47 @@ def test_decontamination(spark, sf_dir, docs):
     for doc, item in got:
         if doc < 10**6:
             words = plain(dict(texts(docs))[doc])
-            assert align(words, items[item]) >= len(items[item])
+            assert align(words, items[item]) >= min(len(items[item]), 26)
+
+
+def plain_copies(words, item):
+    """All copies in a whole text, best first, each by its own alignment: (points, begin, end)."""
+    least, found, left = min(len(item), 26), [], [(0, len(words))]
+    while left:
+        first, last = left.pop()
+        best = (0, 0, 0)
+        for end in range(first + 1, last + 1):
+            # The best alignment that ends here is the best of the text up to here, where it is better than before.
+            points = align(words[first:end], item)
+            if points > best[0]:
+                best = points, 0, end
+        if best[0] < least:
+            continue
+        begin = max(b for b in range(first, best[2]) if align(words[b : best[2]], item) == best[0])
+        found.append((best[0], begin, best[2]))
+        left += [(first, begin), (best[2], last)]
+    return sorted(found, key=lambda x: x[1])
+
+
+def test_decontamination_brute_force(spark):
+    """Parts, second copies, copies of numbers and edited ones, over several items at once, as a plain alignment finds them."""
+    r = random.Random(11)
+    vocabulary = [f"{a}{b}" for a in "abcdefghij" for b in "uvwxyz"] + [str(k) for k in range(10, 60)]
+    some = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    items = {1: some(59), 2: some(16), 3: [str(7919 * k) for k in range(10)], 4: some(30)}
+    edited = lambda ws, share: [w if r.random() > share else "changed" for w in ws]
+    rows = {1: some(9) + items[1][20:49] + some(9), 2: items[3], 3: items[2] + some(30) + items[2] + some(4) + items[4], 4: some(60)}
+    rows |= {5: some(5) + edited(items[1], 0.1) + some(5) + edited(items[4], 0.15), 6: items[1][:12] + some(20), 7: items[4][4:20] + some(3) + items[4][4:18]}
+    spark_rows = [(i, " ".join(ws)) for i, ws in rows.items()]
+    bench = spark.createDataFrame([(i, ", ".join(ws).upper()) for i, ws in items.items()], "item_id bigint, text string")
+    got = collections.defaultdict(list)
+    for x in decontaminate.contaminations(spark.createDataFrame(spark_rows, "doc_id bigint, text string"), bench).collect():
+        before = rows[x.doc_id]
+        begin = len(" ".join(before)[: x.start].split())
+        got[x.doc_id, x.item_id].append((round(x.score * 2 * len(items[x.item_id])), begin, begin + len(x.passage.split())))
+    want = {(d, i): found for d, ws in rows.items() for i, item in items.items() if (found := plain_copies(ws, item))}
+    assert {k: sorted(v, key=lambda x: x[1]) for k, v in got.items()} == want
+    assert {(1, 1), (2, 3), (3, 2), (7, 4)} <= set(want) and len(want[3, 2]) == 2 and (6, 1) not in want
 
 
 def test_decontamination_odd(spark, odd):
