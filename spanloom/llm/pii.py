@@ -1,4 +1,4 @@
-"""Personal data: patterns find the values to protect, and what the whole corpus says about the words beside them
+"""Personal data: patterns find the values to protect, and what the whole corpus says about the words in the same documents
 decides which of those words give a value away and have to go too."""
 
 from __future__ import annotations
@@ -21,22 +21,19 @@ PATTERNS = {
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM = "term"
 
-# Code points read on either side of a value, and a word in them.
-CONTEXT_CHARS = 48
 WORD = r"[\p{L}\p{N}]+"
-# A word is sensitive from this share of the value's own information on, if seen beside it in so many documents. From
-# REMOVED_SHARE on it is removed, below it generalised to a mark.
+# A word is sensitive from this share of the value's own information on. From REMOVED_SHARE on it is removed, below it
+# generalised to a mark.
 DISCLOSED_SHARE = 0.75
 REMOVED_SHARE = 0.9
-LEAST_DOCUMENTS = 2
 
 
 def _sql(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def located(text: str, pattern: str, where: str = "0") -> str:
-    """SQL: all matches of a pattern as array<struct<start, end, value>>, in code points, plus `where`.
+def located(text: str, pattern: str) -> str:
+    """SQL: all matches of a pattern as array<struct<start, end, value>>, in code points.
 
     The gaps between matches come from a split by the same pattern, and their lengths place the matches.
     """
@@ -46,7 +43,7 @@ def located(text: str, pattern: str, where: str = "0") -> str:
         "array(named_struct('start', a, 'end', a + length(m.found[i]), 'value', m.found[i])))))[0]"
     )
     none = "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, value: STRING>>)"
-    placed = f"aggregate(sequence(0, size(m.found) - 1), named_struct('at', {where}, 'out', {none}), (s, i) -> {step}, s -> s.out)"
+    placed = f"aggregate(sequence(0, size(m.found) - 1), named_struct('at', 0, 'out', {none}), (s, i) -> {step}, s -> s.out)"
     return f"transform(array(named_struct('found', {found}, 'gaps', {gaps})), m -> if(size(m.found) = 0, {none}, {placed}))[0]"
 
 
@@ -74,60 +71,90 @@ def base_spans(text: str) -> str:
     return f"array_sort(concat({', '.join(parts)}))"
 
 
-def _beside(text: str, spans: str) -> str:
-    """SQL: the words within CONTEXT_CHARS of each span, array<struct<value, term, start, end>>; none that is cut off by
-    the context's edge or lies in a span."""
-    low = f"greatest(0, v.start - {CONTEXT_CHARS})"
-    before = located(f"substring({text}, {low} + 1, v.start - {low})", WORD, low)
-    after = located(f"substring({text}, v.end + 1, {CONTEXT_CHARS})", WORD, "v.end")
-    whole = f"(x.start > {low} OR {low} = 0) AND (x.end < v.end + {CONTEXT_CHARS} OR x.end >= length({text}))"
-    free = f"NOT exists({spans}, o -> o.start < x.end AND x.start < o.end)"
-    entry = "named_struct('value', xxhash64(v.kind, v.value), 'term', xxhash64(lower(x.value)), 'start', x.start, 'end', x.end)"
-    return f"flatten(transform({spans}, v -> transform(filter(concat({before}, {after}), x -> {whole} AND {free}), x -> {entry})))"
+def _masked(text: str, spans: str) -> str:
+    """SQL: the text with a space for every character of its spans."""
+    gap = f"substring({text}, s.at + 1, greatest(x.start, s.at) - s.at)"
+    return (
+        f"aggregate({spans}, named_struct('at', 0, 'out', ''), (s, x) -> if(x.end <= s.at, s, named_struct('at', x.end, "
+        f"'out', concat(s.out, {gap}, repeat(' ', x.end - greatest(x.start, s.at))))), s -> concat(s.out, substring({text}, s.at + 1)))"
+    )
+
+
+def _term(word: str) -> str:
+    return f"xxhash64(lower({word}))"
+
+
+def _terms(text: str) -> str:
+    """SQL: the different words of a text, as numbers."""
+    return f"array_distinct(transform(regexp_extract_all({text}, {_sql(WORD)}, 0), w -> {_term('w')}))"
+
+
+_TERM_SPANS = "ARRAY<STRUCT<start: INT, end: INT, removed: BOOLEAN>>"
+
+
+def _occurrences(text: str, marks: str) -> str:
+    """SQL: where the words of `marks`, array<struct<term, removed>>, stand in a text, array<struct<start, end, removed>>."""
+    hit = f"filter({marks}, y -> y.term = z.term)[0]"
+    step = (
+        f"transform(array(named_struct('at', s.at + length(m.gaps[i]), 'term', {_term('m.found[i]')}, 'size', length(m.found[i]))), z -> named_struct("
+        f"'at', z.at + z.size, 'out', if(exists({marks}, y -> y.term = z.term), concat(s.out, array(named_struct("
+        f"'start', z.at, 'end', z.at + z.size, 'removed', {hit}.removed))), s.out)))[0]"
+    )
+    walk = f"aggregate(sequence(0, size(m.found) - 1), named_struct('at', 0, 'out', CAST(array() AS {_TERM_SPANS})), (s, i) -> {step}, s -> s.out)"
+    return (
+        f"transform(array(named_struct('found', regexp_extract_all({text}, {_sql(WORD)}, 0), 'gaps', split({text}, {_sql(WORD)}, -1))), "
+        f"m -> if(size(m.found) = 0, CAST(array() AS {_TERM_SPANS}), {walk}))[0]"
+    )
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key): rows with equal doc_id and text, and only those, have one key."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr(whole_text()).alias("text"))
+    return rows.withColumn("key", F.expr("unhex(substr(sha2(concat(coalesce(CAST(doc_id AS STRING), ''), ':', text), 256), 1, 32))"))
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, base, terms) of `docs` (doc_id, text): the protected values of each text, and the words beside them
-    that disclose them. Spans are in code points, their end exclusive.
+    """(doc_id, key, base, terms) of `docs` (doc_id, text): the protected values of each text, and all places of the words in
+    it that disclose one of them. Spans are in code points, their end exclusive.
 
     How much a word says about a value is their pointwise mutual information, log2(P(value | word) / P(value)), as a share
     of the value's own information, log2(1 / P(value)): a word seen with hardly anything else has a share near 1, a
-    word seen everywhere near 0. P(value) and P(word) count the documents of the whole corpus; P(value, word) counts the
-    documents where they stand side by side.
+    word seen everywhere near 0. All three counts are of documents of the whole corpus, wherever in a text word and value
+    stand; words that lie in values are not looked at. A value of one document is disclosed by that document's rarest words.
+
+    P(value, word) is at most P(value), so only words of up to n_value^DISCLOSED_SHARE * n^(1 - DISCLOSED_SHARE) documents
+    can disclose a value; other pairs are left out before they are made.
 
-    A null text is empty, an empty text has no spans; rows with equal doc_id and text get equal results, each row its
-    own; a null doc_id is kept; other columns are ignored; an empty table gives no rows.
+    A null text is empty, an empty text has no spans; rows with equal doc_id and text count as documents of their own and
+    get equal results; a null doc_id is kept; other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr(whole_text()).alias("text"))
+    rows = _keyed(docs)
     spans = rows.withColumn("base", F.expr(base_spans("text")))
-    scanned = written(
-        spans.selectExpr("doc_id", "xxhash64(text) AS text_key", "base", f"{_beside('text', 'base')} AS beside"), "pii-spans"
-    )
-    beside = scanned.where("size(beside) > 0").selectExpr("doc_id", "text_key", "inline(beside)")
+    scanned = written(spans.selectExpr("doc_id", "key", "base", f"if(size(base) > 0, {_masked('text', 'base')}, NULL) AS masked"), "pii-spans")
     n = scanned.count()
-    values = scanned.where("size(base) > 0").selectExpr(
-        "explode(array_distinct(transform(base, x -> xxhash64(x.kind, x.value)))) AS value"
-    ).groupBy("value").agg(F.count("*").alias("n_value"))
-    seen = beside.select("doc_id", "text_key", "value", "term").distinct().groupBy("value", "term").agg(F.count("*").alias("n_both"))
-    seen = seen.where(f"n_both >= {LEAST_DOCUMENTS}")
-    counts = written(seen.join(values, "value"), "pii-counts")
-    terms = counts.select("term").distinct()
-    words = rows.selectExpr(f"explode(array_distinct(regexp_extract_all(lower(text), {_sql(WORD)}, 0))) AS word")
-    frequency = words.selectExpr("xxhash64(word) AS term").groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
+    holding = scanned.where("masked IS NOT NULL")
+    held = holding.selectExpr("key", "explode(array_distinct(transform(base, x -> xxhash64(x.kind, x.value)))) AS value")
+    values = held.groupBy("value").agg(F.count("*").alias("n_value")).where(f"n_value < {n}")
+    # `most`: the most documents of a word that can still disclose the value, rounded up against errors of the last digit.
+    most = f"ceil(pow(n_value, {DISCLOSED_SHARE}D) * pow({n}, {1 - DISCLOSED_SHARE}D)) + 1"
+    valued = written(held.distinct().join(values, "value").selectExpr("key", "value", "n_value", f"{most} AS most"), "pii-values")
+    frequency = rows.selectExpr(f"explode({_terms('text')}) AS term").groupBy("term").agg(F.count("*").alias("n_term"))
+    reach = valued.groupBy("key").agg(F.max("most").alias("reach"))
+    words = holding.select("key", "masked").join(reach, "key").selectExpr("key", "reach", f"explode({_terms('masked')}) AS term")
+    rare = words.join(frequency, "term").where("n_term <= reach").select("key", "term", "n_term")
+    pairs = written(rare.join(valued, "key").where("n_term <= most").select("key", "value", "term", "n_value", "n_term"), "pii-pairs")
     share = f"log2(n_both * {n}D / (CAST(n_value AS DOUBLE) * n_term)) / log2({n}D / n_value)"
     disclosing = (
-        counts.join(frequency, "term").where(f"n_value < {n}")
+        pairs.groupBy("value", "term", "n_value", "n_term").agg(F.count("*").alias("n_both"))
         .selectExpr("value", "term", f"{share} AS share").where(f"share >= {DISCLOSED_SHARE}")
     )
     marked = (
-        beside.join(disclosing, ["value", "term"])
-        .groupBy("doc_id", "text_key")
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end", F.expr(f"share >= {REMOVED_SHARE} AS removed")))).alias("terms"))
+        pairs.join(disclosing, ["value", "term"])
+        .groupBy("key", "term").agg(F.expr(f"max(share) >= {REMOVED_SHARE} AS removed"))
+        .groupBy("key").agg(F.collect_list(F.struct("term", "removed")).alias("marks"))
     )
-    marked = marked.withColumnRenamed("doc_id", "marked_id").withColumnRenamed("text_key", "marked_key")
-    both = (F.col("doc_id").eqNullSafe(F.col("marked_id"))) & (F.col("text_key") == F.col("marked_key"))
-    empty = "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, removed: BOOLEAN>>)"
-    return scanned.drop("beside").join(marked, both, "left").selectExpr("doc_id", "text_key", "base", f"coalesce(terms, {empty}) AS terms")
+    placed = f"if(marks IS NULL, CAST(array() AS {_TERM_SPANS}), {_occurrences('masked', 'marks')})"
+    return scanned.join(marked, "key", "left").selectExpr("doc_id", "key", "base", f"{placed} AS terms")
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
@@ -136,16 +163,14 @@ def sanitise(docs: DataFrame) -> DataFrame:
     Of spans that overlap, the one that starts first is replaced and the others with it. Repeated rows come out as often
     as they came in.
     """
-    spans = find(docs).withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"}).dropDuplicates(["found_id", "found_key"])
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr(whole_text()).alias("text")).withColumn("text_key", F.expr("xxhash64(text)"))
-    joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
+    spans = find(docs).drop("doc_id").dropDuplicates(["key"])
     cuts = """array_sort(concat(transform(base, x -> struct(x.start AS start, x.end AS end, concat('[', upper(x.kind), ']') AS mark)),
         transform(terms, x -> struct(x.start AS start, x.end AS end, if(x.removed, '', '[TERM]') AS mark))))"""
     cleaned = f"""aggregate({cuts}, named_struct('at', 0, 'out', ''),
         (s, x) -> named_struct('at', greatest(s.at, x.end), 'out',
             if(x.start < s.at, s.out, concat(s.out, substring(text, s.at + 1, x.start - s.at), x.mark))),
         s -> concat(s.out, substring(text, s.at + 1, length(text))))"""
-    return joined.selectExpr("doc_id", f"{cleaned} AS text")
+    return _keyed(docs).join(spans, "key").selectExpr("doc_id", f"{cleaned} AS text")
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
