@@ -259,6 +259,51 @@ def test_pii_terms(spark):
     assert not any(found[i] for i in range(60))
 
 
+def plain_terms(rows):
+    """Per row the places of disclosing words, from counts of whole documents."""
+    words, values, masked = [], [], []
+    for text in rows:
+        spans = [s.split(":") for s in base_spans(text).split(",") if s]
+        blank = list(text)
+        for _, a, b in spans:
+            blank[int(a) : int(b)] = " " * (int(b) - int(a))
+        masked.append("".join(blank))
+        values.append({(k, text[int(a) : int(b)]) for k, a, b in spans})
+        words.append({w.lower() for w in regex.findall(r"[\p{L}\p{N}]+", text)})
+    n_term = collections.Counter(w for ws in words for w in ws)
+    n_value = collections.Counter(v for vs in values for v in vs)
+    inside = [{w.lower() for w in regex.findall(r"[\p{L}\p{N}]+", t)} for t in masked]
+    n_both = collections.Counter((v, w) for vs, ws in zip(values, inside, strict=True) for v in vs for w in ws)
+    n, out = len(rows), []
+    share = {(v, w): np.log2(c * n / (n_value[v] * n_term[w])) / np.log2(n / n_value[v]) for (v, w), c in n_both.items() if n_value[v] < n}
+    for text, vs in zip(masked, values, strict=True):
+        spans = []
+        for m in regex.finditer(r"[\p{L}\p{N}]+", text):
+            best = max((share.get((v, m[0].lower()), 0) for v in vs), default=0)
+            if best >= 0.75:
+                spans.append((m.start(), m.end(), bool(best >= 0.9)))
+        out.append(spans)
+    return out
+
+
+def test_pii_terms_brute_force(spark, docs):
+    """Terms come from whole documents: far from the value, in every place, for values of one document and of many."""
+    r = random.Random(5)
+    plain = [f"word{i}" for i in range(40)]
+    rows = [" ".join(r.choice(plain) for _ in range(r.randint(1, 60))) for _ in range(120)]
+    far = " ".join(plain[:20])
+    rows += [f"Zanzibar\u00e9 {far} joe@x.org {far} zanzibar\u00c9 10.0.0.{i}" for i in range(4)] + ["zanzibar\u00e9 alone"]
+    rows += ["once seen@one.example hapax \U0001f600 hapax"] + ["same +1 555 010 9999 rare same"] * 3 + [f"often a@b.c {far} joint{i % 2}" for i in range(45)]
+    rows += [t or "" for _, t in texts(docs)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {x.doc_id: [tuple(t) for t in x.terms] for x in pii.find(df).collect()}
+    want = plain_terms(rows)
+    assert got == dict(enumerate(want)) and sum(map(len, want)) > 20
+    assert [len([1 for a, b, _ in w if rows[120 + i][a:b].lower() == "zanzibar\u00e9"]) for i, w in enumerate(want[120:125])] == [2, 2, 2, 2, 0]
+    clean = {x.doc_id: x.text for x in pii.sanitise(df).collect()}
+    assert all("anzibar" not in clean[i] and "joe" not in clean[i] for i in range(120, 124)) and clean[0] == rows[0]
+
+
 def test_pii_odd(odd):
     assert pii.span_digest(odd).count() == pii.sanitise(odd).count() == 8
     assert pii.span_digest(odd.limit(0)).count() == 0
