@@ -6,7 +6,7 @@ them whole, at nearly its place, in any line within those edits.
 
 from __future__ import annotations
 
-from string import ascii_lowercase
+from string import ascii_lowercase, digits
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +16,10 @@ from .common import components, limited, whole_text, written
 # Edits allowed by the length of the shorter line, the least length first. Lines below the first are compared exactly.
 EDITS = ((16, 1), (256, 2))
 MOST_EDITS = max(e for _, e in EDITS)
-# Letters counted to reject a pair early: an edit changes all their counts together by two at most.
-COUNTED = ascii_lowercase
+# Characters counted to reject a pair early: an edit changes all their counts together by two at most.
+COUNTED = ascii_lowercase + digits
+# Lines with one segment, as their own, beyond which the segment's lines are told apart by further ones.
+CROWDED = 256
 
 
 def edits(length: str) -> str:
@@ -32,26 +34,33 @@ def _segment(i: int, segments: int, length: str) -> tuple[str, str]:
     return f"{i - 1} * ({size}) + 1", size if i < segments else f"({length}) - {segments - 1} * ({size})"
 
 
-def _keys() -> str:
-    """SQL for the keys of a line, array<struct<key, indexed>>: its own segments, and the substrings at which a line
-    shorter by 0 to MOST_EDITS characters can have one of its segments.
+def _probes(under: str, text: str, own: str, shorter: int, allowed: int, places: bool) -> str:
+    """SQL for the keys of a text of length `own` + `shorter` for partners of length `own`: array<struct<key, indexed>>,
+    with `places` also where in the text the key's segment is.
 
     Of the shifts that the edits allow, only those are probed that leave enough edits for the text before and the text
     after the segment.
     """
+    entries = []
+    for i in range(1, allowed + 2):
+        start, size = _segment(i, allowed + 1, own)
+        for shift in range(max(1 - i, shorter - (allowed + 1 - i)), min(i - 1, shorter + (allowed + 1 - i)) + 1):
+            key = f"xxhash64({under}, {i}, substring({text}, {start} + {shift}, {size}))"
+            place = f", 'start', {start} + {shift}, 'size', {size}, 'd', {shorter}, 'k', {allowed}" if places else ""
+            entries.append(f"named_struct('key', {key}, 'indexed', {str(shorter == 0 and shift == 0).lower()}{place})")
+    return f"array({', '.join(entries)})"
+
+
+def _keys(places: bool = False) -> str:
+    """SQL for the keys of a line: its own segments (indexed), and the substrings at which a line shorter by 0 to
+    MOST_EDITS characters can have one of its segments."""
     parts = []
+    place = ", start: INT, size: INT, d: INT, k: INT" if places else ""
     for shorter in range(MOST_EDITS + 1):
         own = f"length(line) - {shorter}"
-        cases = []
-        for allowed in range(max(shorter, 1), MOST_EDITS + 1):
-            entries = []
-            for i in range(1, allowed + 2):
-                start, size = _segment(i, allowed + 1, own)
-                for shift in range(max(1 - i, shorter - (allowed + 1 - i)), min(i - 1, shorter + (allowed + 1 - i)) + 1):
-                    key = f"xxhash64({own}, {i}, substring(line, {start} + {shift}, {size}))"
-                    entries.append(f"named_struct('key', {key}, 'indexed', {str(shorter == 0 and shift == 0).lower()})")
-            cases.append(f"WHEN {edits(own)} = {allowed} THEN array({', '.join(entries)})")
-        parts.append(f"CASE {' '.join(cases)} ELSE CAST(array() AS ARRAY<STRUCT<key: BIGINT, indexed: BOOLEAN>>) END")
+        allowed = range(max(shorter, 1), MOST_EDITS + 1)
+        cases = " ".join(f"WHEN {edits(own)} = {k} THEN {_probes(own, 'line', own, shorter, k, places)}" for k in allowed)
+        parts.append(f"CASE {cases} ELSE CAST(array() AS ARRAY<STRUCT<key: BIGINT, indexed: BOOLEAN{place}>>) END")
     return f"concat({', '.join(parts)})"
 
 
@@ -89,12 +98,63 @@ def lines(docs: DataFrame) -> DataFrame:
     return cut.where("trim(line) <> ''").withColumn("h", F.xxhash64("line"))
 
 
+def _characters(text: str) -> str:
+    return f"regexp_extract_all({text}, '(?s).', 0)"
+
+
+def _in_common(a: str, b: str) -> str:
+    """SQL for the number of characters with which both texts begin."""
+    same = f"array_position(zip_with({_characters(a)}, {_characters(b)}, (x, y) -> x <=> y), false)"
+    return f"CASE WHEN {a} = {b} THEN length({a}) ELSE CAST({same} AS INT) - 1 END"
+
+
+def _split(texts: DataFrame, crowded: DataFrame) -> list[DataFrame]:
+    """(key, h, indexed) in place of the rows of `crowded` keys: more keys, each shared by fewer lines.
+
+    Lines of one key agree in a segment, so their rests, what is left of them without it, are within the edits too.
+    What the rests of all lines of the key have in common at their beginnings and ends goes as well, which changes no
+    distance. The remainders, of numbered lines about the numbers, are cut into segments like whole lines, and a key that is
+    still crowded is split again. Every round takes a segment away, so there are about as many rounds as the logarithm
+    of the longest line; rests no longer than the edits have few forms and are left as they are.
+    """
+    placed = texts.selectExpr("h", "line", f"inline({_keys(places=True)}) AS (key, indexed, start, size, d, k)")
+    without = "concat(substring({0}, 1, start - 1), substring({0}, start + size))"
+    rests = placed.join(limited(crowded), "key").selectExpr("key", "h", "d", "k", "indexed", f"{without.format('line')} AS rest")
+    done = []
+    while True:
+        rests = written(rests, "line-rests")
+        sides = rests.groupBy("key").agg(
+            F.min("rest").alias("low"), F.max("rest").alias("high"), F.min(F.reverse("rest")).alias("low_end"),
+            F.max(F.reverse("rest")).alias("high_end"), F.min(F.length("rest")).alias("shortest"),
+        )
+        sides = sides.selectExpr("key", "shortest", f"{_in_common('low', 'high')} AS head", f"{_in_common('low_end', 'high_end')} AS tail")
+        sides = written(sides.selectExpr("key", "least(head, shortest) AS head", "least(tail, shortest - least(head, shortest)) AS tail"), "line-sides")
+        inner = rests.join(limited(sides), "key").selectExpr(
+            "key", "h", "d", "k", "indexed", "substring(rest, head + 1, length(rest) - head - tail) AS rest"
+        )
+        done.append(inner.where("length(rest) - d <= k").select("key", "h", "indexed"))
+        cases = " ".join(
+            f"WHEN d = {d} AND k = {k} THEN {_probes('key', 'rest', f'length(rest) - {d}', d, k, True)}"
+            for k in range(1, MOST_EDITS + 1) for d in range(k + 1)
+        )
+        cut = inner.where("length(rest) - d > k").selectExpr("h", "d", "k", "rest", "indexed AS was", f"inline(CASE {cases} END) AS (key, indexed, start, size, d_, k_)")
+        cut = written(cut.selectExpr("key", "h", "d", "k", "was AND indexed AS indexed", f"{without.format('rest')} AS rest").distinct(), "line-cut")
+        counts = cut.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count_if("indexed").alias("n"))
+        counts = written(counts.where("low <> high AND n > 0").select("key", "n"), "line-counts")
+        done.append(cut.join(limited(counts.where(f"n <= {CROWDED}").select("key")), "key").select("key", "h", "indexed"))
+        crowded = counts.where(f"n > {CROWDED}").select("key")
+        if crowded.isEmpty():
+            return done
+        rests = cut.join(limited(crowded), "key")
+
+
 def near_lines(docs: DataFrame) -> DataFrame:
     """(a, b): hashes of different lines within the edits allowed for the shorter of the two, a < b.
 
     First a sum per segment key finds the keys that two different lines share; its partial sums make the copies of
-    frequent lines one row. Only rows with such keys go on. The pairs of a key are joined on letter counts as well, so
-    lines that merely have a segment in common are not paired.
+    frequent lines one row. Only rows with such keys go on; keys that more than CROWDED lines have as their own are
+    replaced by finer ones, so a line meets at most CROWDED others under a key. The pairs of a key are joined on counts of
+    characters as well, so lines that merely have a segment in common are not verified.
     """
     every = lines(docs)
     keyed = every.selectExpr("h", "length(line) AS n", f"inline({_keys()}) AS (key, indexed)")
@@ -104,11 +164,18 @@ def near_lines(docs: DataFrame) -> DataFrame:
     wanted = written(matched.select("h").distinct(), "line-wanted")
     counts = [f"length(line) - length(replace(line, '{c}', '')) AS c{i}" for i, c in enumerate(COUNTED)]
     texts = every.select("h", "line").join(limited(wanted), "h").groupBy("h").agg(F.min("line").alias("line"))
-    texts = written(texts.selectExpr("h", "line", *counts), "line-texts")
-    names = [f"c{i}" for i in range(len(COUNTED))]
-    sized = matched.join(texts.select("h", *names), "h")
-    other = sized.select("key", *[F.col(c).alias(f"{c}_b") for c in ("h", "n", *names)])
-    apart = " + ".join(f"abs({c} - {c}_b)" for c in names)
+    texts = written(texts.selectExpr("h", "line", "length(line) AS n", *counts), "line-texts")
+    crowded = matched.where("indexed").groupBy("key").count().where(f"count > {CROWDED}").select("key")
+    crowded = written(crowded, "line-crowded")
+    meeting = matched.select("key", "h", "indexed")
+    if not crowded.isEmpty():
+        meeting = meeting.join(limited(crowded), "key", "left_anti")
+        for finer in _split(texts, crowded):
+            meeting = meeting.union(finer)
+    names = ["n", *[f"c{i}" for i in range(len(COUNTED))]]
+    sized = meeting.join(texts.select("h", *names), "h")
+    other = sized.select("key", *[F.col(c).alias(f"{c}_b") for c in ("h", *names)])
+    apart = " + ".join(f"abs({c} - {c}_b)" for c in names[1:])
     pairs = (
         sized.where("indexed").join(other, "key")
         .where(f"h <> h_b AND n_b BETWEEN n AND n + {edits('n')} AND {apart} <= 2 * {edits('n')}")

@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from spanloom.llm import chat, decontaminate, fingerprint, html_extract, jaccard_join, line_dedup, packing, pii, registry, sharding, toxicity
 
@@ -548,6 +549,41 @@ def test_line_dedup(spark):
     assert {r.doc_id: r.text for r in line_dedup.line_digest(df).collect()} == want
 
 
+@pytest.mark.parametrize("crowded", [4, 40])
+def test_line_pairs_of_crowded_keys(spark, monkeypatch, crowded):
+    """Numbered lines of one and two edits, with numbers of any width anywhere, also two of them; lines of another
+    pattern share their keys. Every pair is found, and no other."""
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
+    r, long = random.Random(4), "some words of a longer line, again " * 8
+    every = {f"line {i} of the text" for i in range(0, 1300, 5)} | {f"entry {i % 17} of {i} here" for i in range(150)}
+    every |= {f"{long[:r.choice((3, 100, 200))]}{i * 7}{long[:270]}" for i in range(90)}
+    every |= {f"{long}{i}-{i * i} \N{GREEK SMALL LETTER ALPHA}{'x' * (i % 3)}" for i in range(90)} | {"line of the text", f"{long}-"}
+    every = sorted(every)
+    got = line_dedup.near_lines(spark.createDataFrame([(i, x) for i, x in enumerate(every)], "doc_id bigint, text string"))
+    names = {h: x for x, h in spark.createDataFrame([(x,) for x in every], "x string").selectExpr("x", "xxhash64(x)").collect()}
+    allowed = lambda n: 0 if n < 16 else 1 if n < 256 else 2
+    want = set()
+    for i, a in enumerate(every):
+        for b in every[:i]:
+            k = allowed(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= k and sum((collections.Counter(a) - collections.Counter(b)).values()) <= k and edit_distance(a, b) <= k:
+                want.add(frozenset((a, b)))
+    assert len(want) > 300
+    assert {frozenset((names[e.a], names[e.b])) for e in got.collect()} == want
+
+
+def test_many_numbered_lines(spark):
+    """Twice as many numbered lines do not take four times as many pairs."""
+    def work(n):
+        docs = spark.range(n).selectExpr("id div 1000 AS doc_id", "id").groupBy("doc_id").agg(F.array_join(F.collect_list(F.format_string("line %d of text", "id")), "\n").alias("text"))
+        begin = time.time()
+        left = line_dedup.first_lines(docs).count()
+        return left, time.time() - begin
+
+    (_, before), (left, after) = work(4000), work(16000)
+    assert left >= 1 and after < 8 * before + 20
+
+
 def test_line_dedup_odd(odd):
     got = line_dedup.without_repeated_lines(odd)
     assert got.columns == odd.columns and got.count() == 8
