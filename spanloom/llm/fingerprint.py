@@ -3,6 +3,8 @@ trees differ, the branches that differ say where the edit is."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ SECTION_END = "(?<= [0-3][0-9a-f]{63}) "
 SHOWN_DIGITS = 16
 # Documents per window of neighbours, about.
 NEIGHBOURS = 64
+# Slices of ids of about as many documents each, whose bounds pass the driver.
+MOST_SLICES = 1024
 
 
 def fingerprint(text: str) -> str:
@@ -47,14 +51,51 @@ def likeness(a: str, b: str) -> str:
     )
 
 
+def _count_below(ordered: str, x: str, or_equal: bool = False) -> str:
+    """SQL for the number of entries of an ascending array that are less than x (or equal), by halving steps."""
+    steps = ", ".join(f"{1 << e}" for e in range(30, -1, -1))
+    less = "<=" if or_equal else "<"
+    needed = f"filter(array({steps}), e -> e <= size({ordered}))"
+    return f"aggregate({needed}, 0, (p, e) -> if(p + e <= size({ordered}) AND get({ordered}, p + e - 1) {less} {x}, p + e, p))"
+
+
 def differing(a: str, b: str, level: str) -> str:
-    """SQL for the positions (from 0) of a's sections or paragraphs that b does not have; equal roots have none."""
+    """SQL for the positions (from 0) of a's sections or paragraphs that b does not have; equal roots have none.
+
+    What b lacks is one set difference; each position is then looked up in it, in order, by halving."""
     at = {"section": 1, "paragraph": 2}[level]
     own, other = f"split(split({a}, '/')[{at}], '\\\\.')", f"split(split({b}, '/')[{at}], '\\\\.')"
+    both = f"transform(array(named_struct('own', {own}, 'other', {other})), t -> named_struct('own', t.own, 'new', array_sort(array_except(t.own, t.other))))"
+    lacking = f"get(t.new, {_count_below('t.new', 't.own[i]')}) <=> t.own[i]"
     return (
         f"CASE WHEN split({a}, '/')[0] = split({b}, '/')[0] THEN array() ELSE "
-        f"filter(sequence(0, size({own}) - 1), i -> NOT array_contains({other}, {own}[i])) END"
+        f"transform({both}, t -> filter(sequence(0, size(t.own) - 1), i -> {lacking}))[0] END"
+    )
+
+
+def windows(rows: DataFrame) -> DataFrame:
+    """`rows` with w, a number that grows with doc_id and is shared by about NEIGHBOURS of them.
+
+    Ids are cut at approximate quantiles, and each slice evenly by its own range, so that ids far from all others
+    widen the windows of their slice alone. A null doc_id has a null w.
+    """
+    n = rows.where("doc_id IS NOT NULL").count()
+    slices = min(MOST_SLICES, n // (4 * NEIGHBOURS) + 1)
+    shares = ", ".join(f"{i / slices}D" for i in range(slices))
+    low, high, cuts = rows.selectExpr("min(doc_id)", "max(doc_id)", f"percentile_approx(doc_id, array({shares}), {10 * MOST_SLICES})").first()
+    starts = sorted({low, *cuts}) if n else [0]
+    ends = [*starts[1:], (high or 0) + 1]
+    each = max(1, n // slices // NEIGHBOURS)
+    counts = [min(each, end - start) for start, end in zip(starts, ends, strict=True)]
+    offsets = [0, *itertools.accumulate(counts)]
+    table = ", ".join(
+        f"named_struct('low', {float(s)!r}D, 'width', {(e - s) / c!r}D, 'first', {o}L, 'last', {o + c - 1}L)"
+        for s, e, c, o in zip(starts, ends, counts, offsets, strict=False)
     )
+    at = f"greatest({_count_below(f'array({', '.join(f'{s}L' for s in starts)})', 'doc_id', True)} - 1, 0)"
+    sliced = rows.withColumn("slice", F.expr(f"array({table})[{at}]"))
+    w = "CASE WHEN doc_id IS NOT NULL THEN least(slice.last, slice.first + floor((CAST(doc_id AS DOUBLE) - slice.low) / slice.width)) END"
+    return sliced.withColumn("w", F.expr(w)).drop("slice")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -65,9 +106,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     next from elsewhere, the first document of the next window.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr(whole_text()).alias("text"))
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = max(1, (int(high) - int(low) + 1) * NEIGHBOURS // n) if n else 1
-    rows = rows.withColumn("w", F.expr(f"floor(doc_id / {width}D)"))
+    rows = windows(rows)
     named = rows.where("doc_id IS NOT NULL")
     order = Window.partitionBy("w").orderBy("doc_id", "text")
     inside = named.withColumn("print", F.expr(fingerprint("text"))).select(

@@ -132,6 +132,32 @@ def test_fingerprints(docs):
         assert edited == text or r.edited_paragraphs == [k for k, p in enumerate(own) if p not in new]
 
 
+def test_neighbours_of_ids_far_apart(spark):
+    """Ids close together, far away and negative: windows stay small, and grow with the ids."""
+    ids = [*range(2000), 10**15, 2**62, -(2**62), *range(10**9, 10**9 + 30000, 100)]
+    rows = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id bigint, text string")
+    got = fingerprint.windows(rows).select("doc_id", "w").collect()
+    assert max(collections.Counter(r.w for r in got).values()) <= 8 * fingerprint.NEIGHBOURS
+    order = [r.w for r in sorted(got, key=lambda r: r.doc_id)]
+    assert order == sorted(order)
+    ids.sort()
+    following = {r.doc_id: r.next_text for r in fingerprint.with_next(rows).collect()}
+    assert following == {i: f"text {j}" for i, j in zip(ids, ids[1:] + ids[:1], strict=True)}
+
+
+def test_differing_paragraphs(spark):
+    """Positions of new paragraphs, repeated ones too, as by brute force; many of them in little time."""
+    r = random.Random(3)
+    pairs = [("\n".join(r.choice("abcdefgh") for _ in range(r.randint(1, 12))), "\n".join(r.choice("abcdxyz") for _ in range(r.randint(1, 12)))) for _ in range(60)]
+    pairs.append(("\n".join(f"line {i}" for i in range(20000)), "\n".join(f"line {i}" for i in range(1, 20000, 2))))
+    prints = spark.createDataFrame(pairs, "a string, b string").selectExpr("a", "b", f"{fingerprint.fingerprint('a')} AS x", f"{fingerprint.fingerprint('b')} AS y")
+    begin = time.time()
+    for row in prints.selectExpr("a", "b", f"{fingerprint.differing('x', 'y', 'paragraph')} AS at").collect():
+        other = set(row.b.split("\n"))
+        assert row.at == [i for i, x in enumerate(row.a.split("\n")) if x not in other]
+    assert time.time() - begin < 30
+
+
 def test_fingerprints_odd(odd):
     got = fingerprint.fingerprints(odd).collect()
     assert len(got) == 8 and len({r.fingerprint for r in got if r.n_chars == 0}) == 1
