@@ -21,9 +21,20 @@ def scan_glob(spark: SparkSession, folder: str, signal: Signal, table: str) -> D
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """(column_name, column_type, column_order) of a table, from its schema alone."""
-    rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema, start=1)]
-    return df.sparkSession.createDataFrame(rows, "column_name string, column_type string, column_order bigint")
+    """(column_name, column_type, column_order, value_count): the schema, with the non-null values of each column."""
+    counts = df.agg(*[F.count(f.name).alias(f.name) for f in df.schema])
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("column_type"),
+                F.lit(i).cast("bigint").alias("column_order"),
+                F.col(f.name).alias("value_count"),
+            )
+            for i, f in enumerate(df.schema, start=1)
+        ]
+    )
+    return counts.select(F.inline(listed))
 
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,3 +22,12 @@ def test_orphan_spans_query_takes_all_spans(spark, events_dir):
     found = registry.QUERIES["orphan_spans"](spark, events_dir).collect()
     assert sorted(r.name for r in found) == ["click", "click", "click", "error"]
     assert {r.parent_span_id for r in found} == {hashlib.md5(b"10").hexdigest()[:16]}
+
+
+def test_describe_tables_counts_the_values_in_the_files(spark, events_dir):
+    rows = registry.QUERIES["describe_tables"](spark, events_dir).collect()
+    counts = {(r.table_name, r.column_name): r.value_count for r in rows}
+    assert counts["otel_logs", "timestamp"] == counts["otel_traces", "span_id"] == 14
+    # A fifth of the logs have no trace (4, 9, 14), root spans no parent (0, 5).
+    assert counts["otel_logs", "trace_id"] == 11 and counts["otel_traces", "parent_span_id"] == 12
+    assert counts["otel_traces", "trace_state"] == 0
