@@ -243,8 +243,14 @@ def read_otlp_json(spark: SparkSession, folder: str, signal: Signal) -> DataFram
 
 
 def stream_otlp_json(spark: SparkSession, folder: str, signal: Signal, files_per_batch: int | None = None) -> DataFrame:
-    """A landing folder as a stream."""
+    """A landing folder as a stream of lines, for from_otlp_json() to decode inside each micro-batch. What a stream has
+    worked out is made in full whenever a micro-batch is read, also for one column of it."""
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return from_otlp_json(_lines(reader, folder), signal)
+    return _lines(reader, folder)
+
+
+def is_lines(df: DataFrame) -> bool:
+    """Whether these are lines that are still to be decoded."""
+    return df.columns == ["value", SOURCE_FILE]

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanloom.operators.batching import cut_into_files
 from spanloom.operators.flatten import ENCODABLE, POSITIONS, encodable_rows, flatten, rejected_rows
 from spanloom.operators.sink import batch_folder, write_batches
 from spanloom.options import LakeOptions
@@ -30,7 +29,7 @@ from spanloom.plans.commit import commit_files, committed_ids, is_committed
 from spanloom.plans.manifest import MANIFEST, written_manifest
 from spanloom.schemas import COMMIT_SCHEMA, Signal
 from spanloom.session import configure, matching_paths
-from spanloom.sources.otlp_json import MALFORMED, SOURCE_FILE
+from spanloom.sources.otlp_json import MALFORMED, SOURCE_FILE, from_otlp_json, is_lines
 
 log = logging.getLogger(__name__)
 
@@ -107,6 +106,27 @@ def _line_counts(payloads: DataFrame) -> list:
     return [F.count(F.lit(1)).alias("payloads"), malformed.alias("malformed")]
 
 
+def _task_counts(rows: DataFrame) -> list:
+    """Rows and rejected records of each task that has any, as (task, rows, rejected)."""
+    return rows.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")
+    ).collect()
+
+
+def _cut_batch(rows: DataFrame, batch_id: int, tasks: list, batch_size: int) -> DataFrame:
+    """The storable rows with `tick`, the batch, and `seq`, their file in it. Rows keep the order in which they came:
+    the earlier tasks' storable rows come before a row, and those before it in its own task."""
+    stored = {t.task: t.rows - t.rejected for t in tasks}
+    earlier, total = [], 0
+    for task in range(max(stored) + 1):
+        earlier.append(f"{total}L")
+        total += stored.get(task, 0)
+    # The number of a row: its task above 33 bits, its position in the task below.
+    numbered = encodable_rows(rows).withColumn(ARRIVAL, F.monotonically_increasing_id())
+    position = f"element_at(array({', '.join(earlier)}), CAST(shiftright({ARRIVAL}, 33) AS INT) + 1) + ({ARRIVAL} & {(1 << 33) - 1}L)"
+    return numbered.selectExpr("*", f"{batch_id}L AS tick", f"({position}) div {batch_size} AS seq")
+
+
 def ingest_batch(
     payloads: DataFrame, batch_id: int, *, signal: Signal, options: LakeOptions, stream: str, checkpoint: str
 ) -> dict[str, int]:
@@ -118,19 +138,23 @@ def ingest_batch(
     from_files = SOURCE_FILE in payloads.columns
     if from_files:
         payloads = _without_known(payloads, options, stream, checkpoint)
+    arrived = payloads
+    if is_lines(payloads):
+        payloads = from_otlp_json(payloads, signal)
     folder = batch_folder(options, signal, commit_id)
     lines = Observation()
     carried = [SOURCE_FILE] if from_files else []
     observed = payloads.observe(lines, *_line_counts(payloads))
-    # Read for the counts, the cuts, the files and the rejects; what is lost with an executor comes out the same again.
-    rows = flatten(observed, signal, carry=carried).withColumn(ARRIVAL, F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    # Read for the counts, the files and the rejects; what is lost with an executor comes out the same again.
+    rows = flatten(observed, signal, carry=carried).persist(StorageLevel.DISK_ONLY)
     try:
-        totals = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(ENCODABLE)).alias("rejected")).first().asDict()
+        tasks = _task_counts(rows)
+        totals = {name: sum(t[name] for t in tasks) for name in ("rows", "rejected")}
         # Nothing is observed in a plan that turns out to have no rows.
         seen = lines.get if totals["rows"] else payloads.agg(*_line_counts(payloads)).first().asDict()
         counts = {**totals, **seen}
         if counts["rows"] > counts["rejected"]:
-            batches = cut_into_files(encodable_rows(rows), f"{batch_id}L", ARRIVAL, options.batch_size)
+            batches = _cut_batch(rows, batch_id, tasks, options.batch_size)
             write_batches(batches, signal, options, commit_id=commit_id, arrival=ARRIVAL)
         if counts["rejected"] or counts["malformed"]:
             log.warning("%s: %d of %d records and %d of %d lines rejected", commit_id, counts["rejected"], counts["rows"], counts["malformed"], counts["payloads"])
@@ -138,7 +162,7 @@ def ingest_batch(
     finally:
         rows.unpersist()
     if from_files:
-        _record_inputs(payloads, options, stream, checkpoint, commit_id)
+        _record_inputs(arrived, options, stream, checkpoint, commit_id)
     if counts["rows"] > counts["rejected"]:
         manifest = written_manifest(spark, folder, signal, options.table(signal.name))
     else:

@@ -1,10 +1,17 @@
 """Queries that answer from all rows of their tables, and the steps they share."""
 
+import glob
 import hashlib
+import json
 
+import pyarrow.parquet as pq
 import pytest
 
+from spanloom.options import LakeOptions
 from spanloom.plans import registry
+from spanloom.schemas import LOGS
+from spanloom.sources import otlp_json
+from spanloom.streaming import ingest
 
 
 @pytest.fixture()
@@ -31,3 +38,35 @@ def test_describe_tables_counts_the_values_in_the_files(spark, events_dir):
     # A fifth of the logs have no trace (4, 9, 14), root spans no parent (0, 5).
     assert counts["otel_logs", "trace_id"] == 11 and counts["otel_traces", "parent_span_id"] == 12
     assert counts["otel_traces", "trace_state"] == 0
+
+
+def _log_line(i, time=None):
+    record = {"timeUnixNano": time or str(1_704_067_200_000_000_000 + i * 1000), "body": {"stringValue": f"b{i}"}}
+    return json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [record]}]}]})
+
+
+def test_a_micro_batch_is_cut_in_order_and_in_few_jobs(spark, tmp_path):
+    """Rejected records and broken lines take no place in a file; rows stay in the order of their files and lines."""
+    n, bad, broken = 100, {3, 4, 57}, {10, 60}
+    for part in range(4):
+        with open(f"{tmp_path}/in-{part}.json", "w") as out:
+            for i in range(part * 25, part * 25 + 25):
+                line = _log_line(i, "soon" if i in bad else None)
+                out.write((line[:40] if i in broken else line) + "\n")
+    options = LakeOptions(output_path=f"{tmp_path}/lake", batch_size=10)
+    lines = otlp_json._lines(spark.read, sorted(glob.glob(f"{tmp_path}/in-*.json"))).repartition(3).sortWithinPartitions("value")
+    arrival = [json.loads(r.value)["resourceLogs"][0]["scopeLogs"][0]["logRecords"][0]["body"]["stringValue"]
+               for r in lines.collect() if len(r.value) > 40 and '"soon"' not in r.value]
+    counts = ingest.ingest_batch(lines, 7, signal=LOGS, options=options, stream="logs", checkpoint="c")
+    assert (counts["rows"], counts["rejected"], counts["malformed"]) == (n - len(broken), len(bad), len(broken))
+    files = sorted(glob.glob(f"{tmp_path}/lake/main/otel_logs/*/tick=7/*.parquet"))
+    kept = [pq.read_table(f, columns=["body"], partitioning=None)["body"].to_pylist() for f in files]
+    assert sorted(map(len, kept)) == [5] + [10] * 9
+    assert sorted(map(tuple, kept)) == sorted(tuple(arrival[i:i + 10]) for i in range(0, len(arrival), 10))
+
+
+def test_a_stream_leaves_decoding_to_its_batches(spark, tmp_path):
+    """What a stream has decoded would be decoded again for each look at a batch, also for its file names alone."""
+    (tmp_path / "a.json").write_text(_log_line(1))
+    stream = otlp_json.stream_otlp_json(spark, str(tmp_path), LOGS)
+    assert stream.isStreaming and "from_json" not in stream._jdf.queryExecution().analyzed().toString()
