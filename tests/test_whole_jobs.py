@@ -45,7 +45,7 @@ def _log_line(i, time=None):
     return json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [record]}]}]})
 
 
-def test_a_micro_batch_is_cut_in_order_and_in_few_jobs(spark, tmp_path):
+def test_a_micro_batch_of_lines_is_cut_in_order(spark, tmp_path):
     """Rejected records and broken lines take no place in a file; rows stay in the order of their files and lines."""
     n, bad, broken = 100, {3, 4, 57}, {10, 60}
     for part in range(4):
