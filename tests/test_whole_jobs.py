@@ -7,6 +7,8 @@ import json
 import pyarrow.parquet as pq
 import pytest
 
+from spanloom.operators import stats
+from spanloom.operators.batching import assign_file_batches
 from spanloom.options import LakeOptions
 from spanloom.plans import registry
 from spanloom.schemas import LOGS
@@ -70,3 +72,38 @@ def test_a_stream_leaves_decoding_to_its_batches(spark, tmp_path):
     (tmp_path / "a.json").write_text(_log_line(1))
     stream = otlp_json.stream_otlp_json(spark, str(tmp_path), LOGS)
     assert stream.isStreaming and "from_json" not in stream._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_are_not_shuffled_for_their_file_cuts(spark, tmp_path):
+    """The cuts are small although Spark takes the rows that they are worked out from for too large to be broadcast."""
+    rows = spark.sql("SELECT id AS arrival, timestamp_micros(1704067200000000 + id) AS ts, uuid() AS text FROM range(20000)")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/rows")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+        cut = assign_file_batches(spark.read.parquet(f"{tmp_path}/rows"), time="ts", arrival="arrival", batch_size=1000,
+                                  timeout_seconds=60, start_micros=1_704_067_200_000_000)
+        assert "BroadcastHashJoin" in cut._jdf.queryExecution().executedPlan().toString()
+        found = cut.select("arrival", "tick", "seq").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r.arrival, r.tick, r.seq) for r in found) == [(i, 0, i // 1000) for i in range(20000)]
+
+
+def test_statistics_read_a_service_name_once_per_resource(spark):
+    """Not in the aggregation, which sees every row; empty text is the least only where there is nothing else."""
+    resources = ['{"service.name":"b"}', '{"service.name":"a","x":1}', '{"service.name":"a"}', "{}", None, ""]
+    texts = ["", "m", None, "z", "", "m"]
+    rows = spark.createDataFrame([(1, r, t) for r, t in zip(resources, texts)] * 50 + [(2, None, "")], "f int, resource_attributes string, body string")
+    others = [c for c in LOGS.schema if c.name not in rows.columns]
+    files = stats.file_stats(rows.selectExpr("*", *[f"CAST(NULL AS {c.dataType.simpleString()}) AS {c.name}" for c in others]), LOGS, ["f"])
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set(resource_attributes" in plan and "collect_set(get_json_object" not in plan
+    one, two = sorted(files.collect(), key=lambda r: r.f)
+    assert (one.services, two.services) == (["a", "b"], [])
+    body = {r.f: next(c for c in r.column_stats if c.column_name == "body") for r in (one, two)}
+    assert [body[1][k] for k in ("column_size_bytes", "value_count", "null_count", "min_value", "max_value")] == [150, 300, 150, "m", "z"]
+    assert [body[2][k] for k in ("column_size_bytes", "value_count", "null_count", "min_value", "max_value")] == [0, 1, 1, "", ""]
+    resource = next(c for c in one.column_stats if c.column_name == "resource_attributes")
+    flags = next(c for c in one.column_stats if c.column_name == "flags")
+    assert (resource.null_count, flags.null_count, flags.min_value, flags.column_size_bytes) == (150, 300, "", 0)
