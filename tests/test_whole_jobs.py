@@ -3,6 +3,7 @@
 import glob
 import hashlib
 import json
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -107,3 +108,18 @@ def test_statistics_read_a_service_name_once_per_resource(spark):
     resource = next(c for c in one.column_stats if c.column_name == "resource_attributes")
     flags = next(c for c in one.column_stats if c.column_name == "flags")
     assert (resource.null_count, flags.null_count, flags.min_value, flags.column_size_bytes) == (150, 300, "", 0)
+
+
+def test_codecs_are_written_at_the_same_time(spark, events_dir, monkeypatch):
+    """Each write waits until all have begun."""
+    all_begun = threading.Barrier(4, timeout=30)
+    writer = registry.configured_writer
+
+    def begun(*args):
+        all_begun.wait()
+        return writer(*args)
+
+    monkeypatch.setattr(registry, "configured_writer", begun)
+    found = registry.QUERIES["write_codecs"](spark, events_dir).groupBy("codec", "ending").count().collect()
+    assert sorted((r.codec, r.ending, r["count"]) for r in found) == [
+        ("GZIP", ".gz.parquet", 14), ("SNAPPY", ".snappy.parquet", 14), ("UNCOMPRESSED", ".parquet", 14), ("ZSTD", ".zstd.parquet", 14)]
