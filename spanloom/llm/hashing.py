@@ -104,6 +104,21 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = PLAIN) -> t
     return hashed, np.searchsorted(starts, at), starts + base, starts + lengths + base
 
 
+def beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: int, table: np.ndarray = PLAIN) -> np.ndarray:
+    """Hashes of the first `letters` code points, or all, of the words that lie from `starts` to before `ends`."""
+    total, begun, inside = np.zeros(len(starts), _U), np.zeros(len(starts), np.int64), np.ones(len(starts), bool)
+    factor = places(4 * letters)
+    with np.errstate(over="ignore"):
+        for k in range(4 * letters):
+            byte = data[np.minimum(starts + k, len(data) - 1)]
+            begun += (byte & 0xC0) != 0x80
+            inside &= (starts + k < ends) & (begun <= letters)
+            if not inside.any():
+                break
+            total += np.where(inside, table[byte].astype(_U) * factor[k], _U(0))
+        return mix(total)
+
+
 def ngrams(hashed: np.ndarray, n: int, seed: int = 2) -> np.ndarray:
     """The hash of the n words from each place on; empty if there are fewer."""
     if len(hashed) < n:

@@ -412,6 +412,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, of the smallest doc_id of each component, and the rows without
     doc_id. Of rows that share a doc_id and a text one stays."""
-    dropped = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
+    dropped = written(near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct(), "jaccard-dropped")
     kept = docs.join(dropped, docs["doc_id"].cast("bigint") == dropped["dropped_id"], "left_anti")
     return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).union(kept.where("doc_id IS NULL"))

@@ -406,6 +406,12 @@ def test_jaccard_odd(odd):
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "2", "3", "4", "5", "None"]
 
 
+def test_jaccard_dropped_once(spark, odd):
+    """Copies are looked up in a stored table: the plan of what is kept does not hold their search, let alone twice."""
+    plan = jaccard_join.without_near_copies(odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == plan.count("Join LeftAnti") == 2
+
+
 def test_toxicity(spark):
     r = random.Random(5)
     words = [f"{a}{b}" for a in ("ba", "to", "ri", "sen") for b in ("na", "le", "mo", "tu")]
@@ -515,6 +521,43 @@ def test_toxicity_models_brute_force(spark):
         assert abs(got[i].strongest - max([0, *each])) < 1e-6
 
 
+def test_toxicity_unseen_forms(spark):
+    """Telling words that have another ending in each text are known by how they begin."""
+    r = random.Random(9)
+    syllables = ["na", "le", "mo", "tu", "é", "ßi"]
+    words = [f"{a}{b}{c}" for a in ("ba", "to", "rü", "sen") for b in syllables for c in syllables]
+    rows = []
+    for i in range(1500):
+        body = [r.choice(words) for _ in range(40)] + [("Grím" if i % 6 == 0 else "gräm") + "".join(r.choice(syllables) for _ in range(7))]
+        r.shuffle(body)
+        rows.append((i, " ".join(body)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(1500)], "doc_id bigint, toxic int")
+    held = [x for x in toxicity.scores(docs, labels).collect() if x.held_out]
+    for toxic in (True, False):
+        own = [x for x in held if (x.doc_id % 6 == 0) == toxic]
+        assert sum(x.predicted == toxic for x in own) >= 0.97 * len(own)
+    left = {x.doc_id for x in toxicity.without_toxic(docs, labels).collect()}
+    assert sum(x.doc_id in left for x in held if x.doc_id % 6 == 0) <= 0.03 * len(held)
+
+
+def test_toxicity_beginnings_brute_force(spark):
+    r = random.Random(13)
+    vocabulary = [a + b for a in ("ab", "é", "straß", "xylo", "日本語話") for b in ("", "q", "rest", "ürze", "す")]
+    texts = [" ".join(r.choice(vocabulary[: r.choice([4, 25])]) for _ in range(r.randint(0, 12))) for _ in range(90)]
+    labelled = [(t, int(r.random() < 0.4)) for t in texts[:60]]
+    model = toxicity.train(spark.createDataFrame(labelled, "text string, toxic int").repartition(5))
+    got = {x.doc_id: x.beginning for x in toxicity.ratios(spark.createDataFrame([*enumerate(texts), (90, None)], "doc_id bigint, text string"), model).collect()}
+    total, many = collections.Counter(t for _, t in labelled), [collections.Counter(), collections.Counter()]
+    for text, toxic in labelled:
+        many[toxic].update({w[: toxicity.BEGINNING] for w in plain_words(text)})
+    smoothed = toxicity.SMOOTHED_BY / len(labelled)
+    for i, text in enumerate([*texts, None]):
+        own = {w[: toxicity.BEGINNING] for w in plain_words(text)} & {*many[0], *many[1]}
+        want = max([0, *(np.log((many[1][w] / total[1] + smoothed) / (many[0][w] / total[0] + smoothed)) for w in own)])
+        assert abs(got[i] - want) < 1e-6
+
+
 def test_toxicity_odd(spark, odd):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 0), (99, 1)], "doc_id bigint, toxic int")
     got = toxicity.scores(odd, labels).collect()
