@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import json
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from spanloom.operators.flatten import ENCODABLE, POSITIONS, encodable_rows, flatten, rejected_rows
 from spanloom.operators.sink import batch_folder, write_batches
@@ -147,7 +149,11 @@ def ingest_batch(
     observed = payloads.observe(lines, *_line_counts(payloads))
     # Read for the counts, the files and the rejects; what is lost with an executor comes out the same again.
     rows = flatten(observed, signal, carry=carried).persist(StorageLevel.DISK_ONLY)
+    beside = ThreadPoolExecutor(max_workers=1)
     try:
+        # The list of files is written meanwhile, as a job of this batch too.
+        if from_files:
+            listed = beside.submit(inheritable_thread_target(spark)(_record_inputs), arrived, options, stream, checkpoint, commit_id)
         tasks = _task_counts(rows)
         totals = {name: sum(t[name] for t in tasks) for name in ("rows", "rejected")}
         # Nothing is observed in a plan that turns out to have no rows.
@@ -159,15 +165,17 @@ def ingest_batch(
         if counts["rejected"] or counts["malformed"]:
             log.warning("%s: %d of %d records and %d of %d lines rejected", commit_id, counts["rejected"], counts["rows"], counts["malformed"], counts["payloads"])
             rejects(payloads, rows).write.mode("overwrite").parquet(f"{rejects_dir(options, signal)}/batch={commit_id}")
+        if from_files:
+            listed.result()
     finally:
+        beside.shutdown()
         rows.unpersist()
-    if from_files:
-        _record_inputs(arrived, options, stream, checkpoint, commit_id)
-    if counts["rows"] > counts["rejected"]:
+    stored = counts["rows"] - counts["rejected"]
+    if stored:
         manifest = written_manifest(spark, folder, signal, options.table(signal.name))
     else:
         manifest = spark.createDataFrame([], COMMIT_SCHEMA).select(*MANIFEST)
-    commit_files(manifest, options, commit_id)
+    commit_files(manifest, options, commit_id, files=-(-stored // options.batch_size))
     return counts
 
 
