@@ -25,10 +25,12 @@ def with_escapes_text(json: str) -> str:
         # Only a real escape counts, so the backslash in front of "u" must not itself be escaped.
         pattern = rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}"
         lowered = f"regexp_replace({lowered}, r'{pattern}', '$1{digit.lower()}')"
-    text = rf"element_at(transform(array({json}), j -> CASE WHEN contains(j, r'\u00') THEN {lowered} ELSE j END), 1)"
+    text = rf"CASE WHEN contains(j, r'\u00') THEN {lowered} ELSE j END"
     for char, escape in ESCAPED.items():
         text = f"replace({text}, '{char}', r'{escape}')"
-    return text
+    # Most texts hold none of these, which is found out in one pass.
+    some = rf"j RLIKE r'[{''.join(ESCAPED)}]|\\u00'"
+    return f"element_at(transform(array({json}), j -> CASE WHEN {some} THEN {text} ELSE j END), 1)"
 
 
 def double_text(value: str) -> str:
@@ -101,13 +103,13 @@ def _number(value: str) -> str:
     return f"try_variant_get({value}, '$', 'double')"
 
 
-def _is_double(value: str) -> str:
-    return f"schema_of_variant({value}) IN ('DOUBLE', 'FLOAT')"
+def _is_double(value: str, kind: str | None = None) -> str:
+    return f"{kind or f'schema_of_variant({value})'} IN ('DOUBLE', 'FLOAT')"
 
 
-def _may_hold_doubles(value: str) -> str:
+def _may_hold_doubles(value: str, kind: str | None = None) -> str:
     """Lists and maps whose schema text shows doubles or mixed items, which may be doubles."""
-    return f"schema_of_variant({value}) RLIKE '^(ARRAY|OBJECT)<.*(DOUBLE|FLOAT|VARIANT)'"
+    return f"{kind or f'schema_of_variant({value})'} RLIKE '^(ARRAY|OBJECT)<.*(DOUBLE|FLOAT|VARIANT)'"
 
 
 def _scalar_json(value: str) -> str:
@@ -126,29 +128,41 @@ def value_json(value: str) -> str:
     return f"CASE WHEN {_may_hold_doubles(value)} THEN {nested} ELSE {_scalar_json(value)} END"
 
 
-def _object(attributes: str) -> str:
-    """SQL text: attribute pairs as a JSON object with byte-sorted keys. The last of several equal keys wins."""
+def with_kinds(attributes: str) -> str:
+    """SQL text: attribute pairs with the `kind` of each value, its schema as text, which is asked for several times."""
+    return f"transform({attributes}, a -> named_struct('key', a.key, 'value', a.value, 'kind', schema_of_variant(a.value)))"
+
+
+def object_text(attributes: str) -> str:
+    """SQL text: attribute pairs with kinds as a JSON object with byte-sorted keys. The last of several equal keys wins."""
 
     def whole(value: str) -> str:
         pairs = f"transform({attributes}, a -> named_struct('key', a.key, 'value', coalesce({value}, parse_json('null'))))"
         return f"to_variant_object(map_from_entries({pairs}))"
 
     # Doubles at the top become decimals and print as they should; only others call for the walk.
-    plain = f"CASE WHEN {_is_double('a.value')} THEN {plain_double_text(_number('a.value'))} ELSE a.value END"
-    walk = f"{_may_hold_doubles('a.value')} OR {_is_double('a.value')} AND {_needs_own_text(_number('a.value'))}"
+    double = _is_double("a.value", "a.kind")
+    plain = f"CASE WHEN {double} THEN {plain_double_text(_number('a.value'))} ELSE a.value END"
+    walk = f"{_may_hold_doubles('a.value', 'a.kind')} OR {double} AND {_needs_own_text(_number('a.value'))}"
     walked = f"element_at(transform(array({whole('a.value')}), o -> {value_json('o')}), 1)"
     return f"CASE WHEN exists({attributes}, a -> coalesce({walk}, false)) THEN {walked} ELSE to_json({whole(plain)}) END"
 
 
-def attributes_json(attributes: str) -> Column:
-    """A column of attribute pairs as a JSON object."""
-    return F.expr(f"CASE WHEN size({attributes}) > 0 THEN {with_escapes_text(_object(attributes))} ELSE '{{}}' END")
+def _object(attributes: str) -> str:
+    """The same of pairs without kinds."""
+    return f"element_at(transform(array({with_kinds(attributes)}), ps -> {object_text('ps')}), 1)"
+
+
+def attributes_json(attributes: str, printed: str | None = None) -> Column:
+    """A column of attribute pairs as a JSON object. `printed` is SQL text for the object if it is at hand."""
+    json = with_escapes_text(printed or _object(attributes))
+    return F.expr(f"CASE WHEN size({attributes}) > 0 THEN {json} ELSE '{{}}' END")
 
 
 def _array_json(items: str, *fields: str) -> Column:
-    """A JSON array of objects; a field that is NULL is left out."""
+    """A JSON array of objects; a field that is NULL is left out. Fields are SQL text over the item `i` and its position `n`."""
     item = f"concat('{{', concat_ws(',', {', '.join(fields)}), '}}')"
-    json = with_escapes_text(f"concat('[', array_join(transform({items}, i -> {item}), ','), ']')")
+    json = with_escapes_text(f"concat('[', array_join(transform({items}, (i, n) -> {item}), ','), ']')")
     return F.expr(f"CASE WHEN size({items}) > 0 THEN {json} ELSE '[]' END")
 
 
@@ -160,40 +174,49 @@ def _count_field(name: str, count: str) -> str:
     return f"""concat('"{name}":', CAST(nullif({count}, 0L) AS STRING))"""
 
 
-_ATTRIBUTES_FIELD = f"""CASE WHEN size(i.attributes) > 0 THEN concat('"attributes":', {_object('i.attributes')}) END"""
+def _attributes_field(printed: str | None) -> str:
+    printed = printed or f"CASE WHEN size(i.attributes) > 0 THEN {_object('i.attributes')} END"
+    return f"""concat('"attributes":', {printed})"""
 
 
-def events_json(events: str) -> Column:
-    """A column of span events as a JSON array."""
+def events_json(events: str, printed: str | None = None) -> Column:
+    """A column of span events as a JSON array. `printed` is SQL text for the attributes of the event number `n` as an
+    object, NULL if it has none, if they are at hand."""
     return _array_json(
         events,
         _text_field("timestamp", f"date_format(timestamp_micros(coalesce(i.time_unix_nano, 0L) div 1000L), '{TIMESTAMP_TEXT}')"),
         _text_field("name", "coalesce(i.name, '')"),
-        _ATTRIBUTES_FIELD,
+        _attributes_field(printed),
         _count_field("dropped_attributes", "i.dropped_attributes_count"),
     )
 
 
-def links_json(links: str) -> Column:
-    """A column of span links as a JSON array."""
+def links_json(links: str, printed: str | None = None) -> Column:
+    """A column of span links as a JSON array, `printed` as with events."""
     return _array_json(
         links,
         _text_field("trace_id", f"coalesce({hex_or_null_text('i.trace_id', 16)}, '')"),
         _text_field("span_id", f"coalesce({hex_or_null_text('i.span_id', 8)}, '')"),
         _text_field("trace_state", "nullif(i.trace_state, '')"),
-        _ATTRIBUTES_FIELD,
+        _attributes_field(printed),
         _count_field("dropped_attributes", "i.dropped_attributes_count"),
         _count_field("flags", "i.flags"),
     )
 
 
-def _not_finite(value: str) -> str:
+def _not_finite(value: str, kind: str | None = None) -> str:
     """SQL text: whether a NaN or an infinity is in a value, at any level."""
 
-    def bad(v: str) -> str:
-        return f"coalesce({_is_double(v)} AND (isnan({_number(v)}) OR abs({_number(v)}) = double('Infinity')), false)"
+    def bad(v: str, kind: str | None = None) -> str:
+        return f"coalesce({_is_double(v, kind)} AND (isnan({_number(v)}) OR abs({_number(v)}) = double('Infinity')), false)"
+
+    return f"""CASE WHEN {_may_hold_doubles(value, kind)} THEN exists({_plain_nodes(value)}, n -> {bad('n.v')})
+      ELSE {bad(value, kind)} END"""
+
 
-    return f"""CASE WHEN {_may_hold_doubles(value)} THEN exists({_plain_nodes(value)}, n -> {bad('n.v')}) ELSE {bad(value)} END"""
+def encodable_text(attributes: str) -> str:
+    """SQL text: false if some attribute of pairs with kinds cannot be written as JSON."""
+    return f"NOT coalesce(exists({attributes}, a -> {_not_finite('a.value', 'a.kind')}), false)"
 
 
 def attributes_encodable(attributes: str) -> Column:

@@ -1,4 +1,4 @@
-"""OTLP/JSON payloads (one payload per line, as the public protocol defines them) to the nested payload schema.
+"""OTLP/JSON payloads (one payload per line, as the public protocol defines them) and how their records are read.
 
 In OTLP/JSON ids are hex text, numbers may be text, and every value is wrapped: {"stringValue": "x"},
 {"arrayValue": {"values": [...]}} and so on.
@@ -104,7 +104,8 @@ def unwrap(value: str) -> str:
     return f"coalesce({_scalar(value)}, CASE WHEN {nested(value)} THEN {walked} END, parse_json('null'))"
 
 
-def _pairs(attributes: str) -> str:
+def plain_pairs(attributes: str) -> str:
+    """SQL text: attribute pairs with wrapped values as pairs with plain ones."""
     return f"transform({attributes}, a -> named_struct('key', a.key, 'value', {unwrap('a.value')}))"
 
 
@@ -117,116 +118,114 @@ def _struct(**fields: str) -> str:
     return "named_struct(" + ", ".join(f"'{name}', {text}" for name, text in fields.items()) + ")"
 
 
-def _log_record(r: str) -> str:
-    read = {
-        f"{r}.timeUnixNano": _whole(f"{r}.timeUnixNano"),
-        f"{r}.observedTimeUnixNano": _whole(f"{r}.observedTimeUnixNano"),
-        f"{r}.severityNumber": _enum(f"{r}.severityNumber", SEVERITY_NAMES),
-        f"{r}.flags": _whole(f"{r}.flags"),
-        f"{r}.traceId": _id(f"{r}.traceId"),
-        f"{r}.spanId": _id(f"{r}.spanId"),
+# What is read from text in a record, an event and a link: the field, its name in the payload schema, and how.
+_LOG_READ = {
+    "timeUnixNano": ("time_unix_nano", _whole),
+    "observedTimeUnixNano": ("observed_time_unix_nano", _whole),
+    "severityNumber": ("severity_number", lambda text: _enum(text, SEVERITY_NAMES)),
+    "flags": ("flags", _whole),
+    "traceId": ("trace_id", _id),
+    "spanId": ("span_id", _id),
+}
+_SPAN_READ = {
+    "traceId": ("trace_id", _id),
+    "spanId": ("span_id", _id),
+    "parentSpanId": ("parent_span_id", _id),
+    "flags": ("flags", _whole),
+    "startTimeUnixNano": ("start_time_unix_nano", _whole),
+    "endTimeUnixNano": ("end_time_unix_nano", _whole),
+    "droppedAttributesCount": ("dropped_attributes_count", _whole),
+    "droppedEventsCount": ("dropped_events_count", _whole),
+    "droppedLinksCount": ("dropped_links_count", _whole),
+    "kind": ("kind", lambda text: _enum(text, SPAN_KINDS)),
+    "status.code": ("status_code", lambda text: _enum(text, STATUS_CODES)),
+}
+_EVENT_READ = {"timeUnixNano": ("time_unix_nano", _whole), "droppedAttributesCount": ("dropped_attributes_count", _whole)}
+_LINK_READ = {
+    "traceId": ("trace_id", _id),
+    "spanId": ("span_id", _id),
+    "droppedAttributesCount": ("dropped_attributes_count", _whole),
+    "flags": ("flags", _whole),
+}
+
+
+def _read(r: str, fields: dict) -> dict[str, str]:
+    """SQL text of what is read, by its name in the payload schema."""
+    return {name: how(f"{r}.{field}") for field, (name, how) in fields.items()}
+
+
+def _inner(items: str, fields: dict, **more: str) -> str:
+    """Events or links without their attributes."""
+    return f"transform({items}, i -> {_struct(**_read('i', fields), **{name: f'i.{field}' for name, field in more.items()})})"
+
+
+def record_fields(signal: Signal, r: str) -> dict[str, str]:
+    """SQL text of the fields of a wrapped record, by their names in the payload schema; a status as status_code and
+    status_message. `attributes` of a log record are plain pairs; `lists` are those of a span, its events and its links."""
+    if signal is LOGS:
+        return {
+            **_read(r, _LOG_READ),
+            "severity_text": f"{r}.severityText",
+            "body": f"CASE WHEN {r}.body IS NOT NULL THEN {unwrap(f'{r}.body')} END",
+            "attributes": plain_pairs(f"{r}.attributes"),
+        }
+    return {
+        **_read(r, _SPAN_READ),
+        "trace_state": f"{r}.traceState",
+        "name": f"{r}.name",
+        "status_message": f"{r}.status.message",
+        "events": _inner(f"{r}.events", _EVENT_READ, name="name"),
+        "links": _inner(f"{r}.links", _LINK_READ, trace_state="traceState"),
+        "lists": f"transform({attribute_lists(r)}, l -> {plain_pairs('l')})",
     }
-    return _struct(
-        time_unix_nano=read[f"{r}.timeUnixNano"],
-        observed_time_unix_nano=read[f"{r}.observedTimeUnixNano"],
-        severity_number=read[f"{r}.severityNumber"],
-        severity_text=f"{r}.severityText",
-        body=f"CASE WHEN {r}.body IS NOT NULL THEN {unwrap(f'{r}.body')} END",
-        attributes=_pairs(f"{r}.attributes"),
-        flags=read[f"{r}.flags"],
-        trace_id=read[f"{r}.traceId"],
-        span_id=read[f"{r}.spanId"],
-        problem=_problem(read),
-    )
 
 
-def _event_fields(e: str) -> dict[str, str]:
-    return {f"{e}.{name}": _whole(f"{e}.{name}") for name in ("timeUnixNano", "droppedAttributesCount")}
+def attribute_lists(r: str) -> str:
+    """SQL text: the attributes of a span, then those of its events, then those of its links."""
+    inner = ", ".join(f"coalesce(transform({r}.{items}, i -> i.attributes), array())" for items in ("events", "links"))
+    return f"concat(array({r}.attributes), {inner})"
 
 
-def _span_event(e: str) -> str:
-    read = _event_fields(e)
-    return _struct(
-        time_unix_nano=read[f"{e}.timeUnixNano"],
-        name=f"{e}.name",
-        attributes=_pairs(f"{e}.attributes"),
-        dropped_attributes_count=read[f"{e}.droppedAttributesCount"],
-    )
+def record_problem(signal: Signal, r: str, read: str) -> str:
+    """SQL text: the names of a wrapped record's fields that hold a text but could not be read, comma-joined; NULL if all
+    could. `read` is what comes before the name of a column that holds what was read."""
 
+    def of(fields: dict) -> str:
+        return _problem({f"{r}.{field}": f"{read}{name}" for field, (name, _) in fields.items()})
 
-def _link_fields(x: str) -> dict[str, str]:
-    ids = {f"{x}.{name}": _id(f"{x}.{name}") for name in ("traceId", "spanId")}
-    return ids | {f"{x}.{name}": _whole(f"{x}.{name}") for name in ("droppedAttributesCount", "flags")}
+    if signal is LOGS:
+        return of(_LOG_READ)
 
+    def inner(items: str, fields: dict) -> str:
+        problem = _problem({f"i.{field}": how(f"i.{field}") for field, (_, how) in fields.items()})
+        return f"CASE WHEN size({r}.{items}) > 0 THEN nullif(concat_ws(',', array_compact(transform({r}.{items}, i -> {problem}))), '') END"
 
-def _span_link(x: str) -> str:
-    read = _link_fields(x)
-    return _struct(
-        trace_id=read[f"{x}.traceId"],
-        span_id=read[f"{x}.spanId"],
-        trace_state=f"{x}.traceState",
-        attributes=_pairs(f"{x}.attributes"),
-        dropped_attributes_count=read[f"{x}.droppedAttributesCount"],
-        flags=read[f"{x}.flags"],
-    )
+    return f"nullif(concat_ws(',', {of(_SPAN_READ)}, {inner('events', _EVENT_READ)}, {inner('links', _LINK_READ)}), '')"
 
 
-def _span_record(s: str) -> str:
-    counts = ("flags", "startTimeUnixNano", "endTimeUnixNano", "droppedAttributesCount", "droppedEventsCount", "droppedLinksCount")
-    read = {f"{s}.{name}": _id(f"{s}.{name}") for name in ("traceId", "spanId", "parentSpanId")}
-    read |= {f"{s}.{name}": _whole(f"{s}.{name}") for name in counts}
-    read |= {f"{s}.kind": _enum(f"{s}.kind", SPAN_KINDS), f"{s}.status.code": _enum(f"{s}.status.code", STATUS_CODES)}
-
-    def inner(items: str, fields: str) -> str:
-        return f"concat_ws(',', array_compact(transform({s}.{items}, i -> {fields})))"
-
-    problems = [_problem(read), inner("events", _problem(_event_fields("i"))), inner("links", _problem(_link_fields("i")))]
-    return _struct(
-        trace_id=read[f"{s}.traceId"],
-        span_id=read[f"{s}.spanId"],
-        parent_span_id=read[f"{s}.parentSpanId"],
-        trace_state=f"{s}.traceState",
-        flags=read[f"{s}.flags"],
-        name=f"{s}.name",
-        kind=read[f"{s}.kind"],
-        start_time_unix_nano=read[f"{s}.startTimeUnixNano"],
-        end_time_unix_nano=read[f"{s}.endTimeUnixNano"],
-        attributes=_pairs(f"{s}.attributes"),
-        dropped_attributes_count=read[f"{s}.droppedAttributesCount"],
-        events=f"transform({s}.events, ev -> {_span_event('ev')})",
-        dropped_events_count=read[f"{s}.droppedEventsCount"],
-        links=f"transform({s}.links, li -> {_span_link('li')})",
-        dropped_links_count=read[f"{s}.droppedLinksCount"],
-        status=_struct(code=read[f"{s}.status.code"], message=f"{s}.status.message"),
-        problem=f"nullif(concat_ws(',', {', '.join(f'nullif({p}, {chr(39) * 2})' for p in problems)}), '')",
-    )
+# A payload's levels as OTLP/JSON names them.
+LEVELS = {"logs": ("resourceLogs", "scopeLogs", "logRecords"), "traces": ("resourceSpans", "scopeSpans", "spans")}
+
+
+def is_wrapped(payloads: DataFrame, signal: Signal) -> bool:
+    """Whether a payload's records are as its line has them, for flatten() to read one by one."""
+    return LEVELS[signal.name][0] in payloads.columns
 
 
 def from_otlp_json(lines: DataFrame, signal: Signal) -> DataFrame:
-    """Text lines (value, source_file) to payload rows (LOGS_PAYLOAD or TRACES_PAYLOAD, each record with its `problem`),
-    with `malformed`, the line if it is no JSON object that fits the schema, and `source_file`. A malformed line gives no
-    records, not even those that could be read before the fault; blank lines are no lines. Map-only."""
-    if signal is LOGS:
-        names = ("resourceLogs", "scopeLogs", "logRecords")
-        renamed = ("resource_logs", "scope_logs", "log_records")
-        record = _log_record("rec")
-    else:
-        names = ("resourceSpans", "scopeSpans", "spans")
-        renamed = ("resource_spans", "scope_spans", "spans")
-        record = _span_record("rec")
-    scope = _struct(scope="sc.scope", **{renamed[2]: f"transform(sc.{names[2]}, rec -> {record})"})
-    resource = _struct(
-        resource=_struct(attributes=_pairs("re.resource.attributes")),
-        **{renamed[1]: f"transform(re.{names[1]}, sc -> {scope})"},
-    )
+    """Text lines (value, source_file) to payload rows, with `malformed`, the line if it is no JSON object that fits the
+    schema, and `source_file`. A malformed line gives no records, not even those that could be read before the fault; blank
+    lines are no lines. Map-only.
+
+    Payloads keep the names and wrapped values of their lines. Their records are read by flatten(), once they are rows: inside
+    lists Spark would interpret each expression instead of compiling it."""
     options = "map('columnNameOfCorruptRecord', '_corrupt')"
     parsed = lines.where("trim(value) <> ''").selectExpr(
         f"from_json(value, '{json_schema(signal)}, _corrupt STRING', {options}) AS line", SOURCE_FILE
     )
+    resources = LEVELS[signal.name][0]
     return parsed.selectExpr(
-        f"CASE WHEN line._corrupt IS NULL THEN transform(line.{names[0]}, re -> {resource}) END AS {renamed[0]}",
-        f"line._corrupt AS {MALFORMED}",
-        SOURCE_FILE,
+        f"CASE WHEN line._corrupt IS NULL THEN line.{resources} END AS {resources}", f"line._corrupt AS {MALFORMED}", SOURCE_FILE
     )
 
 

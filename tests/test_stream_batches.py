@@ -7,9 +7,10 @@ from datetime import datetime
 
 import pytest
 
+from spanloom.operators.flatten import flatten
 from spanloom.options import LakeOptions
 from spanloom.plans import catalog, commit
-from spanloom.schemas import COLUMN_STATS, LOGS, TYPED_BOUNDS
+from spanloom.schemas import COLUMN_STATS, LOGS, TRACES, TYPED_BOUNDS
 from spanloom.sources import otlp_json
 from spanloom.streaming import ingest
 
@@ -49,6 +50,39 @@ def test_commits_of_few_files_carry_their_totals_on(spark, tmp_path, monkeypatch
     assert sorted(r.snapshot_id for r in commit.read_commits(spark, options).collect()) == list(range(1, 17))
 
 
+def _span_line(i):
+    span = {"name": f"s{i}", "attributes": [{"key": "d", "value": {"doubleValue": i + 0.5}}] if i % 2 else None}
+    if i % 3:
+        span["events"] = [{"name": "e"}, {"name": "f<", "attributes": [{"key": "n", "value": {"arrayValue": {"values": [{"doubleValue": 1e-7}]}}}]}]
+    if i % 5:
+        span["links"] = [{"attributes": [{"key": "n", "value": {"intValue": str(i)}}, {"key": "a", "value": {"stringValue": "&"}}]}, {"traceState": "t"}]
+    if i == 7:
+        span["links"][0]["attributes"][0]["value"] = {"doubleValue": "NaN"}
+    if i == 8:
+        span["events"][0]["timeUnixNano"] = "never"
+    return json.dumps({"resourceSpans": [{"scopeSpans": [{"spans": [span]}]}]})
+
+
+def test_records_are_read_as_rows(spark, tmp_path):
+    """Not inside the payload's lists; attributes of a span, its events and its links stay with what they are of."""
+    (tmp_path / "a.json").write_text("\n".join(_span_line(i) for i in range(12)))
+    payloads = otlp_json.read_otlp_json(spark, str(tmp_path), TRACES)
+    assert "transform" not in payloads._jdf.queryExecution().analyzed().toString()
+    rows = flatten(payloads, TRACES)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.arrayValue.values") == 2  # those of the resource, and all others together
+    found = {int(r.name[1:]): r for r in rows.collect()}
+    event = '{"timestamp":"1970-01-01 00:00:00.000000+00","name":"'
+    for i, r in found.items():
+        assert r.span_attributes == (f'{{"d":{i}.5}}' if i % 2 else "{}")
+        assert r.events == (f'[{event}e"}},{event}f\\u003c","attributes":{{"n":[1e-7]}}}}]' if i % 3 else "[]")
+        if i != 7:
+            link = '{"trace_id":"","span_id":"",'
+            assert r.links == (f'[{link}"attributes":{{"a":"\\u0026","n":{i}}}}},{link}"trace_state":"t"}}]' if i % 5 else "[]")
+    assert len(found) == 12
+    assert {i: r.reason for i, r in found.items() if not r.encodable} == {7: "no JSON for NaN or infinity", 8: "unreadable timeUnixNano"}
+
+
 @pytest.fixture()
 def lines(spark, tmp_path):
     line = {"resourceLogs": [{"scopeLogs": [{"logRecords": [{"body": {"stringValue": "b"}}]}]}]}
